@@ -1,9 +1,13 @@
 """The registered queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import pieces
+from . import exact, pieces, simhash
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
+    "op8_simhash": simhash.op8_simhash,
+    "op9_exact": exact.op9_exact,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_exact": exact.OP9_SQL,
+}
