@@ -1,13 +1,15 @@
 """The registered queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import exact, pieces, simhash
+from . import contamination, exact, pieces, simhash
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
+    "op7_contamination": contamination.op7_contamination,
     "op8_simhash": simhash.op8_simhash,
     "op9_exact": exact.op9_exact,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_contamination": contamination.OP7_SQL,
     "op9_exact": exact.OP9_SQL,
 }
