@@ -54,7 +54,7 @@ def _tokens(docs: DataFrame) -> DataFrame:
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term and n, its occurrences in all documents, for those of the terms that occur."""
-    flat = _tokens(docs).select(F.explode("words").alias("term"))
+    flat = _tokens(docs).select(F.explode_outer("words").alias("term")).where("term is not null")
     if _fits(terms, F.length("term")):
         return flat.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
     return flat.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
@@ -77,7 +77,8 @@ def postings(docs: DataFrame, asked: DataFrame, reach: int, size: Column) -> Dat
     around has the words from reach before to reach after, `before` of them before the posting itself.
     size: the characters of a row of asked.
     """
-    flat = _tokens(docs).select("doc_id", "key", "words", F.posexplode("words").alias("pos", "term"))
+    # The outer form, as Spark would run the expression twice to leave out empty arrays first.
+    flat = _tokens(docs).select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "term")).where("term is not null")
     start = F.greatest(F.col("pos") - reach, F.lit(0))
     near = [F.size("words").alias("n_words"), F.slice("words", start + 1, F.col("pos") - start + reach + 1).alias("around"), (F.col("pos") - start).alias("before")]
     mine, others = ["doc_id", "key", "pos", "term"], [c for c in asked.columns if c != "term"]
