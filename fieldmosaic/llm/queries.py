@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import contamination, exact, pieces, simhash, warc
+from . import contamination, exact, language, pieces, simhash, warc
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
+    "op4_language": language.op4_language,
     "op6_warc": warc.op6_warc,
     "op7_contamination": contamination.op7_contamination,
     "op8_simhash": simhash.op8_simhash,
