@@ -1,14 +1,16 @@
 """The registered queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import contamination, exact, language, pieces, simhash, warc
+from . import contamination, exact, language, lm, pieces, quality, simhash, warc
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
     "op4_language": language.op4_language,
+    "op5_suffix_tree": lm.op5_suffix_tree,
     "op6_warc": warc.op6_warc,
     "op7_contamination": contamination.op7_contamination,
     "op8_simhash": simhash.op8_simhash,
     "op9_exact": exact.op9_exact,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
