@@ -99,7 +99,7 @@ def _asked_size() -> Column:
 
 
 def phrase_matches(docs: DataFrame, windows: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
-    """doc_id, key, n_words, and found: array of (start, length, items) of the windows that occur at a posting.
+    """doc_id, key, n_words, and found: array of (start, length, items) of the windows that a document holds.
 
     windows: words, items, with at most reach + 1 words each. docs: doc_id, key, text (not null).
     """
@@ -111,7 +111,9 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, reach: int = WINDOW - 1)
         return (F.col("before") >= w["offset"]) & (F.slice("around", first, F.size(w["words"])) == w["words"])
 
     found = F.transform(F.filter("asked", same), lambda w: F.struct((F.col("pos") - w["offset"]).alias("start"), F.size(w["words"]).alias("length"), w["items"].alias("items")))
-    return at.select("doc_id", "key", "n_words", found.alias("found")).where("size(found) > 0")
+    # No filter on `found` here: pushed below, it would take whole documents along with every posting.
+    per_doc = at.select("doc_id", "key", "n_words", found.alias("found")).groupBy("doc_id", "key", "n_words")
+    return per_doc.agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found")).where("size(found) > 0")
 
 
 def proximity_matches(docs: DataFrame, queries: DataFrame, within: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -138,8 +140,7 @@ def _sources(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def _hits(rows: DataFrame, items: DataFrame, item_text: str, item_id: str) -> DataFrame:
     """of_id, of_key, hit_words, n_hit, items of the documents that hold a window."""
-    found = phrase_matches(rows, item_windows(items, item_text, item_id))
-    per_doc = found.groupBy("doc_id", "key", "n_words").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
+    per_doc = phrase_matches(rows, item_windows(items, item_text, item_id))
     spans = F.array_sort(F.transform("found", lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["length"]).alias("stop"))))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("stop"))
     covered = F.aggregate(spans, zero, lambda a, x: F.struct((a["n"] + F.greatest(x["stop"] - F.greatest(x["start"], a["stop"]), F.lit(0))).alias("n"), F.greatest(a["stop"], x["stop"]).alias("stop")))
