@@ -81,9 +81,13 @@ def roles(pages: DataFrame, least: int = 0) -> DataFrame:
     digests = pages.where(F.octet_length("html") >= least).select("page_id", sha.alias("digest"))
     first = digests.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id")).alias("first"), F.count("*").alias("n")).where("n > 1")
     shared = digests.join(first, "digest").select("digest", F.col("page_id").alias("id"), F.col("first.page_id").alias("refers_to")).distinct()
-    keyed = pages.withColumn("sha", sha)
-    joined = keyed.join(shared, (keyed["sha"] == shared["digest"]) & keyed["page_id"].eqNullSafe(shared["id"]), "left")
-    nth = F.row_number().over(Window.partitionBy("page_id", "sha").orderBy("url"))
+    # The join and the window use the same keys, so that the pages are dealt once; a null id is zero and marked.
+    own = {"sha": sha, "id0": F.coalesce("page_id", F.lit(0)), "none": F.col("page_id").isNull()}
+    theirs = {"digest": F.col("digest"), "key0": F.coalesce("id", F.lit(0)), "no_key": F.col("id").isNull(), "refers_to": F.col("refers_to")}
+    shared = shared.select(*[c.alias(n) for n, c in theirs.items()])
+    on = (F.col("sha") == F.col("digest")) & (F.col("id0") == F.col("key0")) & (F.col("none") == F.col("no_key"))
+    joined = pages.withColumns(own).join(shared, on, "left")
+    nth = F.row_number().over(Window.partitionBy(*own).orderBy("url"))
     again = F.col("digest").isNotNull() & ~(F.col("page_id").eqNullSafe(F.col("refers_to")) & (F.col("nth") == 1))
     return joined.withColumn("nth", nth).select("page_id", "url", "html", F.when(again, F.col("refers_to")).alias("refers_to"), again.alias("revisit"))
 
@@ -151,7 +155,9 @@ def read(index: DataFrame, folder: str, payload: bool = True) -> DataFrame:
     Raises if a record is damaged, or a response's payload isn't what its digest says.
     """
     stretch = F.floor(F.col("offset") / READ_BYTES)
-    dealt = index.select("archive", "offset", "length", stretch.alias("stretch")).repartition("archive", "stretch").sortWithinPartitions("archive", "offset")
+    # A stated number of parts: the index is small, and its own size would say nothing about the reads behind it.
+    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = index.select("archive", "offset", "length", stretch.alias("stretch")).repartition(parts, "archive", "stretch").sortWithinPartitions("archive", "offset")
     schema = _READ + ", payload binary" * payload
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, int, int]]]:
