@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import contamination, exact, language, lm, personal, pieces, quality, simhash, warc
+from . import contamination, exact, language, lm, personal, pieces, quality, repeats, simhash, warc
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
+    "op2_repeats": repeats.op2_repeats,
     "op3_personal": personal.op3_personal,
     "op4_language": language.op4_language,
     "op5_suffix_tree": lm.op5_suffix_tree,
