@@ -1 +1 @@
-
+"""Column expressions and column names."""

@@ -1 +1 @@
-
+"""Models over the operators, and the registered queries."""

@@ -1 +1 @@
-
+"""Readers, writers and the stand-in views over the given tables."""
