@@ -181,7 +181,7 @@ def near_groups(docs: DataFrame, words: int = 3, text: str = "text", doc_id: str
     """
     rows = common.stage(with_fingerprints(docs, words, text, doc_id), "fingerprints")
     nodes = common.stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
-    labels = components(near_links(nodes))
+    labels = components(common.stage(near_links(nodes).distinct(), "near"))
     least = nodes.join(labels, nodes["fp"] == labels["node"]).groupBy("label").agg(F.min("least_id").alias("component"))
     linked = labels.join(least, "label").select(F.col("node").alias("fp"), "component")
     named = nodes.join(linked, "fp", "left").select(F.col("fp").alias("of"), F.coalesce("component", "least_id").alias("component_id"))
