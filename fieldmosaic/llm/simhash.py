@@ -90,15 +90,15 @@ def fingerprints(texts: list[str], words: int = 3) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, words: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of each row; null texts have no words, and so zero."""
-    rows = common.pick(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
+    """doc_id, key (a hash of the text) and fp (the 64 bits as a long) of each row; null texts have no words, and so zero."""
+    rows = common.pick(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.chunks(batches, "text"):
             fp = fingerprints(batch.column("text").to_pylist(), words)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(fp.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, fp long")
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, key long, fp long")
 
 
 def _fuzzy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +173,7 @@ def near_links(distinct: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, words: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per row of docs: doc_id, fp and component_id, the smallest id reachable over links of 3 bits.
+    """One row per row of docs: doc_id, key, fp and component_id, the smallest id reachable over links of 3 bits.
 
     Null and empty texts have fingerprint zero and link like any other. Ties can't occur: a component's id is a
     minimum. Null ids are passed over by it. Rows of equal fingerprint are one node of the graph, so copies
@@ -185,7 +185,21 @@ def near_groups(docs: DataFrame, words: int = 3, text: str = "text", doc_id: str
     least = nodes.join(labels, nodes["fp"] == labels["node"]).groupBy("label").agg(F.min("least_id").alias("component"))
     linked = labels.join(least, "label").select(F.col("node").alias("fp"), "component")
     named = nodes.join(linked, "fp", "left").select(F.col("fp").alias("of"), F.coalesce("component", "least_id").alias("component_id"))
-    return rows.join(named, rows["fp"] == named["of"]).select("doc_id", "fp", "component_id")
+    # Written first, so that the join's inputs are plain shuffles, of which Spark splits those that copies make large.
+    named = common.stage(named, "named")
+    return rows.join(named, rows["fp"] == named["of"]).select("doc_id", "key", "fp", "component_id")
+
+
+def deduplicated(docs: DataFrame, words: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """docs with one row of each component of near_groups(), that of its smallest id; all columns stay.
+
+    A component of null ids only keeps each of its texts once. Texts are dealt by id and hash.
+    """
+    groups = near_groups(docs, words, text, doc_id)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), F.col("key").alias("__of"))
+    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(docs[f"`{text}`"], F.lit(""))))
+    found = keyed.join(kept, (F.col("__key") == F.col("__of")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")), "left_semi")
+    return found.dropDuplicates(["__key", doc_id]).drop("__key")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
