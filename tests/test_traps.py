@@ -171,3 +171,21 @@ def test_streamed_ingest(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert sorted((r.obs_id, r.scientific_name) for r in spark.read.parquet(str(root)).collect()) == [("1", "a_b"), ("3", "c")]
+
+
+def test_streamed_counts(spark, tmp_path):
+    from fieldmosaic.streaming.ingest import monthly_counts
+
+    df = spark.sql("select 'a_b' as scientific_name, date'2020-01-01' + cast(id as int) as date from range(40)")
+    df.write.parquet(str(tmp_path / "in"))
+    run = monthly_counts(spark, str(tmp_path / "in"), df.schema).writeStream.format("memory").queryName("counted").outputMode("complete").start()
+    run.processAllAvailable()
+    run.stop()
+    assert sum(r["count"] for r in spark.table("counted").collect()) == 40
+
+
+def test_ranks_do_not_depend_on_partitions(spark):
+    df = spark.range(0, 5000, 7).withColumnRenamed("id", "k")
+    one, two = ({tuple(r) for r in clean.ordered_slices(d, 10, "k").collect()} for d in (df.repartition(5), df.coalesce(1)))
+    n = len(one)
+    assert one == two == {(7 * i, i // (n // 10 + 1)) for i in range(n)}
