@@ -248,5 +248,8 @@ def op3_personal(spark, sf_dir: str) -> DataFrame:
     def text_of(c) -> Column:
         return F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    def of_kind(kind: str):
+        return lambda s: s["base"] & (s["kind"] == kind)
+
+    counts = [F.size(F.filter("spans", of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(text_of(base), 256).alias("base_sha256"), text_of("spans").alias("spans"))

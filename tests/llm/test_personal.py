@@ -73,3 +73,18 @@ def test_reliabilities_recover_the_truth():
         count[v] = count.get(v, 0) + 1
     prior, rates = personal.reliabilities(list(count.items()), 200)
     assert abs(prior - 0.3) < 0.03 and all(abs(x - y) < 0.06 for r, t in zip(rates, true) for x, y in zip(r, t))
+
+
+def test_query_against_brute_force(spark):
+    import hashlib
+
+    sf = "/root/testdata/sf0.001"
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = personal.op3_personal(spark, sf).collect()
+    assert len(got) == len(text)
+    for r in got:
+        want = base(text[r.doc_id])
+        assert [r[f"n_{k}"] for k in personal.KINDS] == [sum(x[0] == k for x in want) for k in personal.KINDS]
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) <= set(r.spans.split(",")) or not joined
