@@ -25,15 +25,15 @@ from . import common
 KINDS = ("email", "ip", "card", "phone")
 _BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "ip": r"(?=[0-9])(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 _WIDE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]| at ) ?[a-z0-9-]{1,63}+(?: ?(?:\(dot\)|\[dot\]| dot ) ?[a-z0-9-]{2,63}+)++",
-    "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9A-Za-z+.-])[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+.(-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{4}(?![0-9A-Za-z])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\((?:at|AT)\)|\[(?:at|AT)\]| (?:at|AT) ) ?[A-Za-z0-9-]{1,63}+(?: ?(?:\((?:dot|DOT)\)|\[(?:dot|DOT)\]| (?:dot|DOT) ) ?[A-Za-z0-9-]{2,63}+)++",
+    "ip": r"(?=[0-9A-Fa-f])(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])",
+    "card": r"(?=[0-9])(?<![0-9A-Za-z+.-])[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9A-Za-z])",
+    "phone": r"(?=[(0-9])(?<![0-9A-Za-z+.(-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{4}(?![0-9A-Za-z])",
 }
 # Words near a span that speak for its kind, and those that speak against any kind.
 _CUES = {
@@ -62,7 +62,27 @@ def _luhn(digits: Column) -> Column:
 
 
 def _octets_fit(match: Column) -> Column:
-    return F.forall(F.split(match, r"\."), lambda x: F.length(F.regexp_replace(x, "^0+", "")) <= 3) & F.forall(F.split(match, r"\."), lambda x: F.coalesce(F.expr("0") + F.right(x, F.lit(3)).cast("int"), F.lit(0)) <= 255)
+    def fits(x: Column) -> Column:
+        short = F.regexp_replace(x, "^0+", "")
+        return (F.length(short) < 3) | (F.length(short) == 3) & (short <= "255")
+
+    return F.forall(F.split(match, r"\."), fits)
+
+
+def _may_hold(wide: bool, kind: str) -> Column:
+    """A cheap sign without which a text has no match of the pattern."""
+    text = F.col("text")
+    if kind == "email" and not wide:
+        return F.contains(text, F.lit("@"))
+    if kind == "email":
+        signs = [F.contains(text, F.lit(s)) for s in ("(at)", "(AT)", "[at]", "[AT]", " at ", " AT ")]
+        ends = [F.contains(text, F.lit(s)) for s in ("dot", "DOT")]
+        return (signs[0] | signs[1] | signs[2] | signs[3] | signs[4] | signs[5]) & (ends[0] | ends[1])
+    if kind == "ip":
+        return F.contains(text, F.lit(":")) if wide else text.rlike(r"[0-9]\.[0-9]")
+    if kind == "phone" and not wide:
+        return F.contains(text, F.lit("+"))
+    return text.rlike("[0-9]")
 
 
 def _passes(kind: Column, match: Column) -> Column:
@@ -78,13 +98,17 @@ def _passes(kind: Column, match: Column) -> Column:
 
 def _matches(rows: DataFrame) -> DataFrame:
     """doc_id, key, kind, wide, n, gap, match, before, after: all matches, n counting those of a kind in a text."""
-    sets = []
+    sets, pieces = [], None
     for wide, patterns in ((False, _BASE), (True, _WIDE)):
         for kind in KINDS:
-            p = F.lit(patterns[kind])
-            sets.append(F.struct(F.lit(kind).alias("kind"), F.lit(wide).alias("wide"), F.regexp_extract_all("text", p, F.lit(0)).alias("matches"), F.split("text", patterns[kind], -1).alias("pieces")))
-    each = rows.select("doc_id", "key", F.explode(F.array(*sets)).alias("s")).where("size(s.matches) > 0")
-    parts = F.transform("s.matches", lambda m, i: F.struct(F.length(F.col("s.pieces")[i]).alias("gap"), m.alias("match"), F.right(F.col("s.pieces")[i], F.lit(BEFORE)).alias("before"), F.left(F.col("s.pieces")[i + 1], F.lit(AFTER)).alias("after")))
+            matches = F.when(_may_hold(wide, kind), F.regexp_extract_all("text", F.lit(patterns[kind]), F.lit(0)))
+            sets.append(F.struct(F.lit(kind).alias("kind"), F.lit(wide).alias("wide"), matches.alias("matches")))
+            here, split = (F.col("s.kind") == kind) & (F.col("s.wide") == wide), F.split("text", patterns[kind], -1)
+            pieces = F.when(here, split) if pieces is None else pieces.when(here, split)
+    # The outer form, as Spark would match everything twice to leave out empty arrays first. Texts are split for matches only.
+    each = rows.select("doc_id", "key", "text", F.explode_outer(F.array(*sets)).alias("s")).where("size(s.matches) > 0")
+    each = each.select("doc_id", "key", "s", pieces.alias("pieces"))
+    parts = F.transform("s.matches", lambda m, i: F.struct(F.length(F.col("pieces")[i]).alias("gap"), m.alias("match"), F.right(F.col("pieces")[i], F.lit(BEFORE)).alias("before"), F.left(F.col("pieces")[i + 1], F.lit(AFTER)).alias("after")))
     listed = each.select("doc_id", "key", "s.kind", "s.wide", parts.alias("parts")).groupBy("doc_id", "key", "kind", "wide").agg(F.first("parts").alias("parts"))
     return listed.select("doc_id", "key", "kind", "wide", F.posexplode("parts").alias("n", "p")).select("doc_id", "key", "kind", "wide", "n", "p.*")
 
