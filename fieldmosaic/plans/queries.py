@@ -101,9 +101,15 @@ def schema_probe(spark, sf):
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns) - 2))
 
 
-@query()
+_OCC_TYPES = {"obs_id": "bigint", "scientific_name": "string", "observation_date": "string", "protocol_name": "string", "effort_distance_km": "double", "longitude": "double", "latitude": "double", "cx": "int", "cy": "int"}
+
+
+@query(" union all ".join(f"select '{c}' as name, '{t}' as type, count({c}) as known, count(*) - count({c}) as missing from occ" for c, t in _OCC_TYPES.items()))
 def describe_table(spark, sf):
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in view(spark, sf, "occ").schema], "name string, type string")
+    occ = view(spark, sf, "occ")
+    counts = occ.agg(F.count("*").alias("__n"), *[F.count(c).alias(c) for c in occ.columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(t).alias("type"), F.col(c).alias("known"), (F.col("__n") - F.col(c)).alias("missing")) for c, t in occ.dtypes])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
 @query(f"select {KEY} as scientific_name, count(*) as n, min(obs_id) as first_id, max(obs_id) as last_id from occ group by 1")
