@@ -168,7 +168,7 @@ def _cover(parts: int):
             rows = []
             rows += _blocks(_home(docs, parts)[of[done]], _DONE, docs, of[done], [(at - high)[done].astype(np.int32), (at - low)[done].astype(np.int32) + np.int32(LENGTH)])
             f = ~same
-            rows += _blocks((seed[f] % np.uint64(parts)).astype(np.int64), 0, docs, of[f], [seed[f], span[f], at[f].astype(np.int32), high[f].astype(np.uint8), low[f].astype(np.uint8)])
+            rows += _blocks((seed[f] % np.uint64(parts * FINE)).astype(np.int64), 0, docs, of[f], [seed[f], span[f], at[f].astype(np.int32), high[f].astype(np.uint8), low[f].astype(np.uint8)])
             yield _batch(rows)
 
     return run
@@ -178,17 +178,25 @@ def _first_spans(parts: int):
     """Step 1, reducing: spans that occurred earlier are done; first ones of seeds with several spans are open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = []
+        now, blobs = None, []
         for batch in batches:
-            kinds, data = batch.column("kind").to_pylist(), batch.column("data").to_pylist()
-            passed = [(p, k, d) for p, k, d in zip(batch.column("part").to_pylist(), kinds, data) if k]
+            passed = []
+            for part, kind, data in zip(*(batch.column(c).to_pylist() for c in ("part", "kind", "data"))):
+                if kind:
+                    passed.append((part, kind, data))
+                    continue
+                if part != now and blobs:
+                    yield from bucket(blobs)
+                    blobs = []
+                now = part
+                blobs.append(data)
             if passed:
                 yield _batch(passed)
-            blobs += [d for k, d in zip(kinds, data) if not k]
+        if blobs:
+            yield from bucket(blobs)
+
+    def bucket(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         docs, of, (seed, span, at, high, low) = _gather(blobs, "u8", "u8", "i4", "u1", "u1")
-        del blobs
-        if not len(of):
-            return
         order = np.argsort(seed)
         sorted_seed = seed[order]
         lone = np.ones(len(order), bool)
@@ -420,7 +428,7 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     rows = common.pick(docs, doc_id=doc_id, text=text).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64("text").alias("key"), "text")
     sampled = rows.where(F.octet_length("text") >= LENGTH).select("id", "key", "text").mapInArrow(_cover(parts), _DEALT)
-    first = common.stage(sampled.repartition(parts, "part").mapInArrow(_first_spans(parts), _DEALT), "spans")
+    first = common.stage(sampled.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_first_spans(parts), _DEALT), "spans")
     asked = _joined(rows.select("id", "key", "text"), first.where(F.col("kind") == _OPEN), ("i4", "u1", "u1", "u1"), lambda *v: v, "inner")
     fetched = asked.select("id", "key", "text", "data").mapInArrow(_fetch(parts), _DEALT)
     again = fetched.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_sorted_buckets(parts), _DEALT)
