@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,11 +131,15 @@ def canny_edge(cells: DataFrame, threshold: float = 0.5) -> DataFrame:
     return top.select("cx", "cy", "magnitude", F.when((F.col("magnitude") >= threshold) & (F.col("magnitude") >= F.col("m")), 1).otherwise(0).alias("edge"))
 
 
-def all_features(cells: DataFrame, radii: tuple[int, int] = (1, 3), keys: list[str] | None = None) -> DataFrame:
-    """keys, cx, cy and 22 features: nine percentages, edge cells and core percentage for each of two radii."""
+def all_features(cells: DataFrame, radii: tuple[int, int] = (1, 3), keys: list[str] | None = None, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """keys, cx, cy and 22 features: nine percentages, edge cells and core percentage for each of two radii.
+
+    stage: writes a frame that is used several times and reads it again, so that it is computed once.
+    """
     keys = keys or []
     on = [*keys, "cx", "cy"]
-    masks = cells.join(forest_core(cells, keys), on).join(forest_edge(cells, keys), on)
+    cells = stage(cells)
+    masks = stage(cells.join(forest_core(cells, keys), on).join(forest_edge(cells, keys), on))
     out = None
     for r in radii:
         shares = [F.avg(F.when(F.col("label") == k, 100.0).otherwise(0.0)).alias(f"dw_class_{k}_pct_{r}") for k in CLASSES]
@@ -143,7 +149,7 @@ def all_features(cells: DataFrame, radii: tuple[int, int] = (1, 3), keys: list[s
     return out
 
 
-def point_features(points: DataFrame, scenes: DataFrame, radii: tuple[int, int] = (1, 2), months: int = 3) -> DataFrame:
+def point_features(points: DataFrame, scenes: DataFrame, radii: tuple[int, int] = (1, 2), months: int = 3, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """obs_id and the 22 features of each point (obs_id, cx, cy, date) over its own months.
 
     Points of one date share their cells: each needed (date, cell) is composed once. Points whose own cell has no
@@ -151,7 +157,7 @@ def point_features(points: DataFrame, scenes: DataFrame, radii: tuple[int, int]
     """
     cells = spread(points, max(radii) + 1).select("date", F.col("nx").alias("cx"), F.col("ny").alias("cy")).distinct()
     composed = lookback(cells, scenes, ["date", "cx", "cy"], months)
-    grid = all_features(composed, radii, ["date"])
+    grid = all_features(composed, radii, ["date"], stage)
     return points.select("obs_id", "date", "cx", "cy").join(grid, ["date", "cx", "cy"]).drop("date", "cx", "cy")
 
 

@@ -42,6 +42,13 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _stage(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again."""
+    path = _folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def r6(c):
     return F.round(c, 6)
 
@@ -376,13 +383,13 @@ s as (select date, cx, cy, label from (select date, cx, cy, label, row_number()
 
 @query(_all_features(_POINT_CELLS, "date", f" select o.obs_id, {_feature_columns((1, 2))} from occ o join r1 on cast(o.observation_date as date) = r1.date and o.cx = r1.cx and o.cy = r1.cy join r2 on r1.date = r2.date and r1.cx = r2.cx and r1.cy = r2.cy", (1, 2)))
 def point_features(spark, sf):
-    return _rounded(landcover.point_features(_dated(spark, sf), view(spark, sf, "cell")))
+    return _rounded(landcover.point_features(_dated(spark, sf), view(spark, sf, "cell"), stage=_stage))
 
 
 @query(_all_features(f"with s as ({_SEASON})", "", f" select 'summer' as period, r1.cx, r1.cy, {_feature_columns((1, 3))} from r1 join r3 on r1.cx = r3.cx and r1.cy = r3.cy", (1, 3)))
 def seasonal_feature_grid(spark, sf):
     path = _folder(spark, "grid")
-    _rounded(landcover.all_features(_season(spark, sf))).withColumn("period", F.lit("summer")).write.partitionBy("period").parquet(path)
+    _rounded(landcover.all_features(_season(spark, sf), stage=_stage)).withColumn("period", F.lit("summer")).write.partitionBy("period").parquet(path)
     return spark.read.parquet(path)
 
 
