@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,18 +12,41 @@ from ..sources.readers import typed
 from ..sources.writers import write_partitioned
 
 
-def ingest(spark: SparkSession, folder: str, root: str, checkpoint: str, columns: list[str], late: str = "2 days"):
+def _held(spark: SparkSession, root: str, column: T.StructField) -> DataFrame | None:
+    """That column of all that root holds; None if nothing was written yet."""
+    try:
+        return spark.read.schema(T.StructType([column])).parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def append_new(batch: DataFrame, root: str) -> None:
+    """Append the records of a batch whose obs_id root doesn't hold, one of each; those without an id all stay.
+
+    A batch that comes twice, after a failure, adds nothing the second time, save records without an id.
+    """
+    batch = batch.persist()
+    named = batch.where("obs_id is not null").dropDuplicates(["obs_id"])
+    held = _held(batch.sparkSession, root, batch.schema["obs_id"])
+    if held is not None:
+        named = named.join(held, "obs_id", "left_anti")
+    write_partitioned(named.select(*batch.columns).unionByName(batch.where("obs_id is null")), root)
+    batch.unpersist()
+
+
+def ingest(spark: SparkSession, folder: str, root: str, checkpoint: str, columns: list[str]):
     """A running query over tab-separated files in folder: columns must hold obs_id and those that cleaning reads.
 
-    A record that comes again within the watermark (by its observation date) is dropped; batches are appended to
-    root by species. Files that are there already are read first, then the query waits; call processAllAvailable().
+    Batches are appended to root by species. A record whose obs_id root already holds is dropped, however long ago it
+    came; records of any observation date are taken, in any order. Files that are there already are read first, then
+    the query waits; call processAllAvailable().
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = spark.readStream.schema(schema).option("sep", "\t").option("header", True).csv(folder)
     cleaned = clean_observations(typed(raw, {"effort_distance_km": "double", "longitude": "double", "latitude": "double"}))
-    timed = cleaned.withColumn("seen", F.col("date").cast("timestamp")).where("seen is not null")
-    once = timed.withWatermark("seen", late).dropDuplicatesWithinWatermark(["obs_id"])
-    return once.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: write_partitioned(df.drop("seen"), root)).start()
+    return cleaned.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: append_new(df, root)).start()
 
 
 def monthly_counts(spark: SparkSession, root: str, schema: T.StructType, window: str = "30 days", late: str = "60 days"):

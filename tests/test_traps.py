@@ -173,6 +173,24 @@ def test_streamed_ingest(spark, tmp_path):
     assert sorted((r.obs_id, r.scientific_name) for r in spark.read.parquet(str(root)).collect()) == [("1", "a_b"), ("3", "c")]
 
 
+def test_streamed_ingest_takes_old_dates(spark, tmp_path):
+    """Later files hold records of years before the newest one, and repeats of records long ago."""
+    from fieldmosaic.streaming.ingest import ingest
+
+    folder, root = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    head = "obs_id\tscientific_name\tobservation_date\tprotocol_name\teffort_distance_km\tlongitude\tlatitude\n"
+    row = lambda i, name, date: f"{i}\t{name}\t{date}\tStationary\t\t1\t2\n"
+    files = [row(1, "A b", "2024-12-30") + row(2, "A b", "2017-01-01"), row(3, "C", "2017-01-02") + row(4, "A b", "2020-06-01"), row(2, "A b", "2017-01-01") + row(1, "C", "2024-12-30") + row(5, "C", "2018-03-04")]
+    run = ingest(spark, str(folder), str(root), str(tmp_path / "state"), head.strip().split("\t"))
+    for k, text in enumerate(files):
+        (folder / f"{k}.tsv").write_text(head + text)
+        run.processAllAvailable()
+    run.stop()
+    got = sorted((r.obs_id, r.scientific_name) for r in spark.read.parquet(str(root)).collect())
+    assert got == [("1", "a_b"), ("2", "a_b"), ("3", "c"), ("4", "a_b"), ("5", "c")]
+
+
 def test_streamed_counts(spark, tmp_path):
     from fieldmosaic.streaming.ingest import monthly_counts
 
