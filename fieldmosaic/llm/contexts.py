@@ -1,27 +1,29 @@
 """Variable-order byte contexts: counting them with Spark, and trees that score bytes by their longest context.
 
 A gram of order k is a byte with the k bytes before it, packed into a long with the byte in the lowest place.
-Trees keep a gram only if it makes up FLOOR of its class's bytes, so that a tree has at most 1/FLOOR grams of
-each order, whatever the input's size; the counts themselves cover all data.
+Every gram that occurs counts. All trees together hold the HELD most frequent grams in memory, under the full counts
+of their contexts; what is beyond them stays in tables, and the few grams of a text that memory can't tell are
+joined to these, with the same results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Least share of a class's bytes for a gram in a tree: a tree has at most 131,072 grams of each order.
-FLOOR = 2.0**-17
+#: Grams that all trees hold in memory together.
+HELD = 1 << 20
 #: What stands before a text.
 PAD = 10
 #: Bytes whose grams a task sorts at once.
-_HELD = 6_000_000
+_SORTED = 6_000_000
 
 
 def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +64,7 @@ def count(rows: DataFrame, depth: int, prepare: Callable[[str], bytes]) -> DataF
                 code = grams(texts, depth)[0]
                 held.setdefault(kind, []).append(code)
                 size += len(code)
-            if size > _HELD:
+            if size > _SORTED:
                 yield from flush(held)
                 held, size = {}, 0
         yield from flush(held)
@@ -71,22 +73,48 @@ def count(rows: DataFrame, depth: int, prepare: Callable[[str], bytes]) -> DataF
     return found.groupBy("kind", "code").agg(F.sum("n").alias("n"))
 
 
-def frequent(counts: DataFrame, depth: int, floor: float = FLOOR) -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
-    """Of count(): for each kind and order, the grams over the floor and their counts; at most 1/floor of each."""
+@dataclass
+class Order:
+    """What memory holds of one order of a kind: sorted grams with their counts, and for each how often its context was
+    seen (total) and with how many different bytes. whole: no gram of the order is left out."""
+
+    code: np.ndarray
+    n: np.ndarray
+    total: np.ndarray
+    different: np.ndarray
+    whole: bool
+
+
+def frequent(counts: DataFrame, depth: int) -> tuple[dict[str, list[Order]], DataFrame | None]:
+    """Of count(): each kind's orders with the most frequent grams, HELD at most over all of them.
+
+    And all grams, as a written table of kind, k, code, n, total, different; None if all of them are held.
+    """
     counts = common.stage(counts, "grams")
-    totals = F.broadcast(counts.groupBy("kind").agg(F.sum("n").alias("total")))
     orders = counts.select("kind", "n", F.posexplode(F.array(*[F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1) for k in range(depth + 1)])).alias("k", "code"))
-    kept = orders.groupBy("kind", "k", "code").agg(F.sum("n").alias("n")).join(totals, "kind").where(F.col("n") >= F.col("total") * floor)
-    table = kept.select("kind", "k", "code", "n").toArrow()
-    kind, k, code, n = (table.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "k", "code", "n"))
+    summed = common.stage(orders.groupBy("kind", "k", "code").agg(F.sum("n").alias("n")), "orders")
+    context = F.shiftright("code", 8).alias("context")
+    contexts = summed.groupBy("kind", "k", context).agg(F.sum("n").alias("total"), F.count("*").alias("different"))
+    grams = common.stage(summed.select("*", context).join(contexts, ["kind", "k", "context"]).drop("context"), "contexts")
+    # Sizes by powers of two of the counts: at most 64 rows for each kind and order.
+    sizes = grams.groupBy("kind", "k", F.floor(F.log2("n") + 1e-9).cast("int").alias("power")).agg(F.count("*").alias("size")).collect()
+    least, held = 64, 0
+    for power in sorted({r["power"] for r in sizes}, reverse=True):
+        held += sum(r["size"] for r in sizes if r["power"] == power)
+        if held > HELD:
+            break
+        least = power
+    pruned = {(r["kind"], r["k"]) for r in sizes if r["power"] < least}
+    table = grams.where(F.floor(F.log2("n") + 1e-9) >= least).toArrow()
+    kind, k, code, n, total, different = (table.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "k", "code", "n", "total", "different"))
     out = {}
-    for name in sorted(set(kind.tolist())):
+    for name in sorted({r["kind"] for r in sizes}):
         out[name] = []
         for order in range(depth + 1):
             at = np.flatnonzero((kind == name) & (k == order))
             at = at[np.argsort(code[at])]
-            out[name].append((code[at].astype(np.uint64), n[at].astype(np.float64)))
-    return out
+            out[name].append(Order(code[at].astype(np.uint64), *(x[at].astype(np.float64) for x in (n, total, different)), (name, order) not in pruned))
+    return out, grams if pruned else None
 
 
 class Lookup:
@@ -117,36 +145,69 @@ class Lookup:
 class Tree:
     """Log probabilities (base e) of bytes after their contexts.
 
-    weigh(c, n, d, below): probability of a gram seen c times and the share left to grams not seen, where its
-    context was seen n times with d different bytes and `below` is the probability by the next shorter context.
+    weigh(c, n, d): probability of a gram seen c times and the share left to grams not seen, where its context was
+    seen n times with d different bytes, held in memory or not.
     """
 
-    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]], weigh: Callable) -> None:
+    def __init__(self, orders: list[Order], weigh: Callable) -> None:
         self.depth = len(orders) - 1
-        self.levels: list[tuple[Lookup, np.ndarray, Lookup, np.ndarray]] = []
-        for k, (code, n) in enumerate(orders):
-            context, of = np.unique(code >> np.uint64(8), return_inverse=True)
-            total, different = np.bincount(of, n), np.bincount(of).astype(float)
-            below = np.exp(self._log(k - 1, code)) if len(code) else n
-            seen, rest = weigh(n, total[of], different[of], below)
-            left = np.zeros(len(context))
-            left[of] = np.log(rest)
-            self.levels.append((Lookup(code), np.log(seen), Lookup(context), left))
-
-    def _log(self, k: int, code: np.ndarray) -> np.ndarray:
+        self.whole = all(o.whole for o in orders)
+        self.levels: list[tuple[Lookup, np.ndarray, Lookup, np.ndarray, np.ndarray, bool]] = []
+        for o in orders:
+            context, of = np.unique(o.code >> np.uint64(8), return_inverse=True)
+            seen, rest = weigh(o.n, o.total, o.different)
+            left, different = np.zeros(len(context)), np.zeros(len(context))
+            left[of], different[of] = np.log(rest), o.different
+            self.levels.append((Lookup(o.code), np.log(seen), Lookup(context), left, np.bincount(of, minlength=len(context)) == different, o.whole))
+
+    def _log(self, k: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         if k < 0:
-            return np.full(len(code), -np.log(256.0))
+            return np.full(len(code), -np.log(256.0)), None
         code = code & np.uint64((1 << 8 * (k + 1)) - 1)
-        grams, seen, contexts, left = self.levels[k]
+        grams, seen, contexts, left, complete, whole = self.levels[k]
         at = grams.find(code)
         out = seen[at] if len(seen) else np.zeros(len(code))
+        unknown = None
         if len(miss := np.flatnonzero(at < 0)):
             context = contexts.find(code[miss] >> np.uint64(8))
-            out[miss] = np.where(context >= 0, left[context] if len(left) else 0.0, 0.0) + self._log(k - 1, code[miss])
-        return out
+            if not whole:
+                open_ = ~np.where(context >= 0, complete[context], False) if len(left) else np.ones(len(miss), bool)
+                unknown = np.zeros(len(code), bool)
+                unknown[miss[open_]] = True
+                out[miss[open_]] = 0.0
+                miss, context = miss[~open_], context[~open_]
+            below, deeper = self._log(k - 1, code[miss])
+            out[miss] = np.where(context >= 0, left[context] if len(left) else 0.0, 0.0) + below
+            if deeper is not None:
+                unknown = np.zeros(len(code), bool) if unknown is None else unknown
+                unknown[miss[deeper]] = True
+                out[miss[deeper]] = 0.0
+        return out, unknown
 
     def log(self, code: np.ndarray) -> np.ndarray:
-        return self._log(self.depth, code)
+        """Of grams that memory can tell; 0 for others."""
+        return self._log(self.depth, code)[0]
+
+    def told(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log() and which grams memory can't tell."""
+        out, unknown = self._log(self.depth, code)
+        return out, np.zeros(len(code), bool) if unknown is None else unknown
+
+
+def told_by_table(asked: DataFrame, grams: DataFrame, depth: int, seen: Column, rest: Column) -> DataFrame:
+    """kind, code, log of the asked (distinct kind, code of the full depth), by the table of all grams of frequent().
+
+    seen and rest: the probability of a gram and the share left to others, over the columns n, total and different.
+    """
+    places = asked.select("kind", F.col("code").alias("of"), F.posexplode(F.array(*[F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1) for k in range(depth + 1)])).alias("k", "code"))
+    places = places.withColumn("context", F.shiftright("code", 8))
+    values = grams.select("kind", "k", "code", F.log(seen).alias("seen"))
+    contexts = grams.groupBy("kind", "k", F.shiftright("code", 8).alias("context")).agg(F.first(F.log(rest)).alias("left"))
+    found = places.join(values, ["kind", "k", "code"], "left").join(contexts, ["kind", "k", "context"], "left")
+    best = found.groupBy("kind", "of").agg(F.max(F.when(F.col("seen").isNotNull(), F.col("k"))).alias("best"), F.collect_list(F.struct("k", F.coalesce("seen", F.lit(0.0)).alias("seen"), F.coalesce("left", F.lit(0.0)).alias("left"))).alias("steps"))
+    step = lambda total, s: total + F.when(s["k"] > F.coalesce("best", F.lit(-1)), s["left"]).when(s["k"] == F.col("best"), s["seen"]).otherwise(0.0)
+    start = F.when(F.col("best").isNull(), -float(np.log(256.0))).otherwise(0.0)
+    return best.select("kind", F.col("of").alias("code"), F.aggregate("steps", start, step).alias("log"))
 
 
 def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:

@@ -56,6 +56,27 @@ def test_predictions(spark):
     assert language.train(odd.select("text", odd["lang_pred"].alias("lang")).limit(0)) == {}
 
 
+@pytest.mark.parametrize("held", [contexts.HELD, 60, 0])
+def test_rare_grams_count(spark, monkeypatch, held):
+    """Shares are those of all grams, however rare, in memory or joined; a language has many rare continuations."""
+    monkeypatch.setattr(contexts, "HELD", held)
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    texts = {"xx": ["ab " * 60_000] + ["".join(rng.choice(letters) for _ in range(40)) for _ in range(8)], "yy": ["cd " * 60_000] + ["".join(rng.choice("abcdz ") for _ in range(90)) for _ in range(8)]}
+    trees = language.train(spark.createDataFrame([(t, k) for k, v in texts.items() for t in v], "text string, lang string").repartition(3))
+    assert sorted(trees) == ["xx", "yy"] and (trees.table is None) == (held == contexts.HELD > 1000)
+    tests = ["a" + letters[3], "ab cd", letters[5] * 2 + "zz", texts["xx"][2][:9], "abz b", "d\u00e9", "", "a"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(tests)] + [(3, tests[3]), (9, None)], "doc_id long, text string").repartition(2)
+    got = language.predict(rows, trees).collect()
+    assert len(got) == len(tests) + 2
+    for r in got:
+        if r.doc_id == 9 or not tests[r.doc_id]:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        x, y = (_slow(texts[k], tests[r.doc_id]) for k in ("xx", "yy"))
+        assert r.lang_pred == ("xx" if x <= y else "yy") and math.isclose(r.score, 1 / (1 + math.exp(-abs(x - y))), rel_tol=1e-6)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.op4_language(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
