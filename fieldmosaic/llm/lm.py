@@ -7,14 +7,15 @@ state s with n continuations, L of them listed, predicts
     P(w | s) = (c(s, w) + (n - L + SMOOTHING) P(w | suffix of s)) / (n + SMOOTHING),
 which sums to one. Each word is scored by the longest suffix of what precedes it that is a state.
 
-What is listed is what makes up HEAD of all tokens: at most 1/HEAD words, pairs and triples, so that the tree fits
-in every task at any size of the input, while all counts cover all training documents. Listed pairs and triples are
-found exactly in two passes: hashed counters, summed over all tasks, bound every count from above; what the
-bound leaves is counted. Counts of all other words are joined on to the documents' rare words.
+Listed are all pairs and triples that occur LEAST times or more, at any size of the input. Words, pairs and triples
+are known by 64-bit keys. A text's score is a sum over its keys: what each adds (values()) is a Spark table. Values of
+keys that make up HEAD of all tokens are in memory, at most 1/HEAD of each order; texts' other keys are joined to the
+table. SuffixTree is the same tree in memory, over a head of words.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ from pyspark.sql import types as T
 from . import common, contexts
 
 HEAD = 2.0**-19
+#: Least count of a pair or triple in the tree.
+LEAST = 2
 DIVERGENCE = 12.0
 SMOOTHING = 1.0
 #: Hashed counters of each order, and the parts in which they are summed.
@@ -37,6 +40,8 @@ _HELD = 400_000
 #: The end of a text in word counts; no word is empty.
 END = ""
 _BITS, _START = np.uint64(20), 1
+#: The key of a text's start, and log2 of the bits that tell keys which a table can't hold.
+_BEGIN, _SPARSE = np.uint64(0x5851F42D4C957F2D), 27
 
 
 def words_of(text: str) -> list[bytes]:
@@ -263,6 +268,163 @@ class SuffixTree:
         return out
 
 
+class Keys:
+    """64-bit keys of words, kept for the words met lately."""
+
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
+
+    def of(self, word: bytes) -> int:
+        found = self.known.get(word)
+        if found is None:
+            found = self.known[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return found
+
+    def numbers(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all texts' words, each text after its start and before its end; where each text begins."""
+        if len(self.known) > _HELD:
+            self.known.clear()
+        flat, of, begin, end = [], self.of, int(_BEGIN), self.of(b"")
+        for words in texts:
+            flat.append(begin)
+            flat += map(of, words)
+            flat.append(end)
+        size = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
+        return np.array(flat, np.uint64), np.cumsum(size) - size
+
+
+def _mixed(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
+    x = (a ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ x >> np.uint64(29)
+
+
+def keyed(x: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of Keys.numbers(): for pairs and triples, their places, keys, and the keys of their contexts and suffixes."""
+    begins = np.zeros(len(x) + 1, bool)
+    begins[starts] = True
+    two = np.flatnonzero(~begins[:-1])
+    pair = np.zeros(len(x), np.uint64)
+    pair[two] = _mixed(x[two - 1], x[two], 2)
+    three = two[~begins[two - 1]]
+    return [(two, pair[two], x[two - 1], x[two]), (three, _mixed(pair[three - 1], x[three], 3), pair[three - 1], pair[three])]
+
+
+def _sparse(table: DataFrame) -> np.ndarray:
+    """2**_SPARSE bits in longs, set for the column key's values: keys without their bit aren't in the table."""
+    cell = F.shiftrightunsigned("key", 64 - _SPARSE)
+    found = table.groupBy(F.shiftright(cell, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - _SPARSE}) & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << _SPARSE - 6, np.uint64)
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().astype(np.int64).view(np.uint64)
+    return out
+
+
+def _may(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    cell = key >> np.uint64(64 - _SPARSE)
+    return (bits[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def grams(rows: DataFrame, text: str = "text") -> DataFrame:
+    """k (0 for pairs, 1 for triples), key, context, suffix and n of what occurs LEAST times or more in all rows."""
+    spark, known = rows.sparkSession, _texts(rows, text)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        keys = Keys()
+        for batch in common.chunks(batches, "text"):
+            yield keyed(*keys.numbers([words_of(t) for t in batch.column("text").to_pylist()]))
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+        for found in coded(batches):
+            held += [f[1] for f in found]
+            if sum(map(len, held)) > 4_000_000:
+                yield out()
+        if held:
+            yield out()
+
+    often = known.mapInArrow(single, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    shared = spark.sparkContext.broadcast(_sparse(often.select("key")))
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[tuple[np.ndarray, ...]]] = [[], []]
+
+        def out(k: int) -> pa.RecordBatch:
+            key, context, suffix = (np.concatenate(x) for x in zip(*held[k]))
+            held[k] = []
+            key, first, n = np.unique(key, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k, np.int32)), *[pa.array(x.view(np.int64)) for x in (key, context[first], suffix[first])], pa.array(n.astype(np.int64))], ["k", "key", "context", "suffix", "n"])
+
+        for found in coded(batches):
+            for k, (_, *f) in enumerate(found):
+                may = _may(shared.value, f[0])
+                held[k].append(tuple(x[may] for x in f))
+                if sum(len(h[0]) for h in held[k]) > 2_000_000:
+                    yield out(k)
+        yield from (out(k) for k in range(2) if held[k])
+
+    found = known.mapInArrow(exact, "k int, key long, context long, suffix long, n long")
+    return found.groupBy("k", "key").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+
+
+def _contexts(listed: DataFrame) -> DataFrame:
+    """listed (context, n, total, below: probability by the next shorter context) with log10 of seen and left, and gains."""
+    sums = listed.groupBy("context").agg(
+        F.sum("n").alias("__in"), F.sum("below").alias("__below"), F.greatest(F.first("total"), F.sum("n")).alias("__total"), F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("below"))).alias("__gain")
+    )
+    rest = 1 - F.col("__in") / F.col("__total")
+    gain = F.col("__gain") + F.when(rest > 1e-12, F.col("__total") * rest * F.log(rest / F.greatest(1 - F.col("__below"), F.lit(1e-12)))).otherwise(0.0)
+    escape = F.col("__total") - F.col("__in") + SMOOTHING
+    sums = sums.select("context", (2 * gain > DIVERGENCE).alias("departs"), escape.alias("__escape"), F.col("__total"), F.log10(escape / (F.col("__total") + SMOOTHING)).alias("left"))
+    joined = listed.join(sums, "context")
+    return joined.withColumn("seen", (F.col("n") + F.col("__escape") * F.col("below")) / (F.col("__total") + SMOOTHING)).drop("__escape", "__total")
+
+
+def values(training: DataFrame, counts: DataFrame, total: int, distinct: int, text: str = "text") -> DataFrame:
+    """key, n and v: what each occurrence of a word as a context, of a pair or of a triple adds to a text's score.
+
+    After a state s of two words with the shorter state t, a listed word w adds log10 P(w | s) - log10 P(w); the sum
+    is made of left(t) at each word t, of log10 P(w | t) - log10 P(w) - left(t) and left(tw) at each pair, and of
+    log10 P(w | s) - left(s) - log10 P(w | t) at each triple, where left is 0 if there is no such state.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Keys()
+        for batch in batches:
+            key = np.array([keys.of(w.encode()) for w in batch.column(0).to_pylist()], np.uint64)
+            keys.known.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(1)], ["key", "n"])
+
+    end = F.col("key") == int(np.uint64(Keys().of(b"")).astype(np.int64))
+    words = counts.select("word", "n").mapInArrow(run, "key long, n long")
+    starts = words.where(end).select(F.lit(int(_BEGIN.astype(np.int64))).alias("key"), "n")
+    words = common.stage(words.unionByName(starts), "word-keys")
+    base = words.select(F.col("key").alias("suffix"), ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("below"))
+    found = common.stage(grams(training, text), "grams")
+    of = words.select(F.col("key").alias("context"), F.col("n").alias("total"))
+    pairs = common.stage(_contexts(found.where("k = 0").drop("k").join(base, "suffix").join(of, "context")), "pairs")
+    below = pairs.select(F.col("key").alias("suffix"), F.col("seen").alias("below"))
+    of = pairs.select(F.col("key").alias("context"), F.col("n").alias("total"))
+    triples = common.stage(_contexts(found.where("k = 1").drop("k").join(below, "suffix").join(of, "context")).where("departs"), "triples")
+    long = triples.groupBy(F.col("context").alias("key")).agg(F.first("left").alias("more"))
+    joined = pairs.join(long, "key", "left")
+    # Suffixes of states are states.
+    states = joined.where("more is not null").select(F.col("suffix").alias("context")).unionByName(pairs.where("departs").select("context")).distinct().withColumn("state", F.lit(True))
+    joined = joined.join(states, "context", "left")
+    own = F.when(F.col("state"), F.log10(F.col("seen") / F.col("below")) - F.col("left")).otherwise(0.0)
+    parts = [
+        joined.where("state").groupBy(F.col("context").alias("key")).agg(F.first("total").alias("n"), F.first("left").alias("v")),
+        joined.select("key", "n", (own + F.coalesce("more", F.lit(0.0))).alias("v")),
+        triples.select("key", "n", (F.log10(F.col("seen") / F.col("below")) - F.col("left")).alias("v")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).where("v <> 0")
+
+
 def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns with n_tokens, n_known, train_tokens, base_score and score.
 
@@ -276,12 +438,16 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     frequent = counts.where(F.col("n") >= total * HEAD).toArrow()  # at most 1 / HEAD words
     head = Head({w.encode(): n for w, n in zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist())}, total, distinct)
-    tree = SuffixTree(head, listed(training, head, text))
-    shared = spark.sparkContext.broadcast((head, tree))
+    table = common.stage(values(training, counts, total, distinct, text), "values")
+    often = table.where(F.col("n") >= max(1, total * HEAD)).toArrow().sort_by("key")  # at most 1 / HEAD of each order
+    often_key, often_v = often.column("key").to_numpy().view(np.uint64), often.column("v").to_numpy()
+    order = np.argsort(often_key)
+    shared = spark.sparkContext.broadcast((head, contexts.Lookup(often_key[order]), often_v[order], _sparse(table.where(F.col("n") < max(1, total * HEAD)).select("key"))))
     kept = rows.select(*[rows[f"`{c}`"] for c in keep], F.coalesce(rows[f"`{text}`"], F.lit("")).alias("__text"), F.monotonically_increasing_id().alias("__row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, tree = shared.value
+        head, often, v, rarer = shared.value
+        keys = Keys()
         for batch in common.chunks(batches, "__text"):
             texts = [words_of(t) for t in batch.column("__text").to_pylist()]
             x, starts = head.numbers(texts)
@@ -289,7 +455,22 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
             word[starts] = False
             base = contexts.sums(np.where(word & (x > 0), head.base[x.astype(np.int64)], 0.0), starts)
             known = contexts.sums((word & (x > 0)).astype(float), starts).astype(np.int64)
-            more = contexts.sums(tree.add(x, starts), starts)
+            k, begin = keys.numbers(texts)
+            of = np.repeat(np.arange(len(texts)), np.diff(begin, append=len(k)))
+            follows = np.ones(len(k), bool)
+            follows[np.append(begin[1:], len(k)) - 1] = False
+            found = [(np.flatnonzero(follows), k[follows]), *[f[:2] for f in keyed(k, begin)]]
+            of, key = np.concatenate([of[f[0]] for f in found]), np.concatenate([f[1] for f in found])
+            at = often.find(key)
+            more = np.bincount(of[at >= 0], v[at[at >= 0]], len(texts)).astype(float)
+            asked = (at < 0) & _may(rarer, key)
+            of, key = of[asked], key[asked]
+            by = np.lexsort((key, of))
+            of, key = of[by], key[by]
+            first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (key[1:] != key[:-1])])) if len(of) else np.zeros(0, np.int64)
+            times_of = pa.array(np.diff(first, append=len(of)).astype(np.int32))
+            places = pa.array(np.searchsorted(of[first], np.arange(len(texts) + 1)).astype(np.int32))
+            lookups = pa.ListArray.from_arrays(places, pa.StructArray.from_arrays([pa.array(key[first].view(np.int64)), times_of], ["key", "times"]))
             tokens = np.array([len(w) + 1 for w in texts], np.int64)
             rare = [Counter(w for w in [*t, b""] if w not in head.number) if k < n else {} for t, k, n in zip(texts, known.tolist(), tokens.tolist())]
             at = np.concatenate([[0], np.cumsum([len(r) for r in rare])])
@@ -297,18 +478,21 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
             times = pa.array([n for r in rare for n in r.values()], pa.int32())
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays([names, times], ["word", "k"]))
             own = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*own, batch.column("__row"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(more), lists], [*keep, "row", "n_tokens", "known", "base", "states", "rare"])
+            yield pa.RecordBatch.from_arrays([*own, batch.column("__row"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(more), lists, lookups], [*keep, "row", "n_tokens", "known", "base", "states", "rare", "asked"])
 
     schema = kept.drop("__text", "__row").schema
     for name, kind in (("row", "long"), ("n_tokens", "long"), ("known", "long"), ("base", "double"), ("states", "double")):
         schema = schema.add(name, kind)
     schema = schema.add("rare", T.ArrayType(T.StructType().add("word", "string").add("k", "integer")))
+    schema = schema.add("asked", T.ArrayType(T.StructType().add("key", "long").add("times", "integer")))
     part = common.stage(kept.mapInArrow(run, schema), "scored")
+    asked = part.select("row", F.explode("asked").alias("a")).select("row", "a.*")
+    added = asked.join(table.select("key", "v"), "key").groupBy(F.col("row").alias("for")).agg(F.sum(F.col("times") * F.col("v")).alias("added"))
     rest = part.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.k").alias("k"))
     joined = rest.join(counts, "word", "left").groupBy(F.col("row").alias("of"))
     each = math.log10(total + 0.1 * (distinct + 1))
     more = joined.agg(F.sum(F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + 0.1) - F.lit(each))).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("more_known"))
-    done = part.join(more, part["row"] == more["of"], "left")
+    done = part.drop("asked").join(more, F.col("row") == F.col("of"), "left").join(added, F.col("row") == F.col("for"), "left")
     base = F.col("base") + F.coalesce("more", F.lit(0.0))
     return done.select(
         *keep,
@@ -316,7 +500,7 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
         (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        (base + F.col("states")).alias("score"),
+        (base + F.col("states") + F.coalesce("added", F.lit(0.0))).alias("score"),
     )
 
 

@@ -72,3 +72,23 @@ def test_tree(spark, monkeypatch):
 def test_better_than_word_counts(spark):
     got = [r for r in lm.op5_suffix_tree(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+@pytest.mark.parametrize("head", [2.0**-19, 0.01, 1.0])
+def test_rare_contexts_count_at_any_share(spark, monkeypatch, head):
+    """Scores are those of the tree over all words, pairs and triples that occur twice, whatever share is in memory."""
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(["m n o", "k n p", "m n o", "k n p", "d e", *vocabulary[:12], rng.choice(vocabulary)]) for _ in range(rng.randrange(50))) for _ in range(120)] + ["", "once only"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    train = df.where("doc_id % 3 > 0")
+    words = Counter(w for i, t in enumerate(texts) if i % 3 for w in [*t.encode().split(), b""])
+    total = sum(words.values())
+    whole = lm.Head(dict(words), total, len(words))
+    monkeypatch.setattr(lm, "HEAD", 1e-9)
+    tree = lm.SuffixTree(whole, lm.listed(train, whole))
+    assert len(tree.states[1].keys)
+    monkeypatch.setattr(lm, "HEAD", head)
+    for r in lm.scored(df, train).collect():
+        want = float(tree.add(*whole.numbers([texts[r.doc_id].encode().split()])).sum())
+        assert math.isclose(r.score - r.base_score, want, rel_tol=1e-6, abs_tol=1e-9)
