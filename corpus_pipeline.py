@@ -13,10 +13,10 @@ from fieldmosaic.llm import common, contamination, exact, language, pieces, simh
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learnt: those of no letter, or torn between languages, go."""
+    """Documents in a language that was learnt: those that op4 rejects (no letter) go."""
     trees = language.train(docs.where(~language.held_out()))
     marked = language.predict(docs, trees, keep=tuple(docs.columns))
-    return marked.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).drop("lang_pred", "score")
+    return marked.where(F.col("lang_pred") != language.UNKNOWN).drop("lang_pred", "score")
 
 
 def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import pytest
 
@@ -62,3 +63,14 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
         assert out.count() == 0
         assert k == len(corpus_pipeline.STAGES) - 1 or out.columns == docs.columns
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_language_stage_keeps_what_is_torn_between_three(spark):
+    """Where three languages are alike, the best share is a third, and the text stays."""
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    learnt = [i for i in range(200) if i not in held][:9]
+    rows = [(i, "one two three", ("aa", "bb", "cc")[k % 3], "s", 13) for k, i in enumerate(learnt)] + [(held[0], "two", "aa", "s", 3), (held[1], "12 !", "aa", "s", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.known_language(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted([*learnt, held[0]])
