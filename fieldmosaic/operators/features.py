@@ -24,11 +24,13 @@ def minmax(df: DataFrame, columns: list[str], top: float = 100.0) -> DataFrame:
     return df.join(F.broadcast(bounds)).withColumns(scaled).drop(*bounds.columns)
 
 
-def standard(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Mean 0 and population deviation 1; a constant column becomes 0."""
-    stats = df.agg(*[f(c).alias(f"__{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("sd", F.stddev_pop))])
+def standard(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Mean 0 and population deviation 1, within each key if there are keys; a constant column becomes 0."""
+    keys = keys or []
+    stats = df.groupBy(*keys).agg(*[f(c).alias(f"__{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("sd", F.stddev_pop))])
     scaled = {c: F.when(F.col(f"__sd_{c}") > 0, (F.col(c) - F.col(f"__avg_{c}")) / F.nullif(F.col(f"__sd_{c}"), F.lit(0.0))).otherwise(F.lit(0.0)) for c in columns}
-    return df.join(F.broadcast(stats)).withColumns(scaled).drop(*stats.columns)
+    joined = df.join(stats, keys) if keys else df.join(F.broadcast(stats))
+    return joined.withColumns(scaled).drop(*[c for c in stats.columns if c not in keys])
 
 
 def stratified_folds(df: DataFrame, keys: list[str], label: str = "label", n: int = 5, seed: int = 42, row: str = "id") -> DataFrame:

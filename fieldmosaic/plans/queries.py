@@ -584,8 +584,8 @@ def poisson_score(spark, sf):
 
 @query()
 def alpha_sweep(spark, sf):
-    df = features.stratified_folds(_training(spark, sf), ["species"])
-    scored = models.cross_validate(df, ["species"], FEATURES, [1e-4, 1e-3, 1e-2, 0.1, 1.0, 10.0])
+    df = features.stratified_folds(features.standard(_training(spark, sf), FEATURES, ["species"]), ["species"])
+    scored = models.cross_validate(df, ["species"], FEATURES, [1e-6, 1e-4, 1e-3, 1e-2, 0.1, 1.0])
     scored = metrics.normalized(scored, ["species", "alpha", "fold"]).withColumn("score", F.col("intensity"))
     keys = ["species", "alpha"]
     return _rounded(metrics.best_f1(scored, keys).join(metrics.roc_auc(scored, keys), keys))

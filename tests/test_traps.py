@@ -207,3 +207,22 @@ def test_ranks_do_not_depend_on_partitions(spark):
     one, two = ({tuple(r) for r in clean.ordered_slices(d, 10, "k").collect()} for d in (df.repartition(5), df.coalesce(1)))
     n = len(one)
     assert one == two == {(7 * i, i // (n // 10 + 1)) for i in range(n)}
+
+
+def test_alpha_sweep_scales_within_species(spark, monkeypatch):
+    """The penalties are the reference's, on features of mean 0 and deviation 1 for each species."""
+    from fieldmosaic.plans import queries
+
+    class Seen(Exception):
+        pass
+
+    def stop(df, keys, columns, alphas):
+        raise Seen(df, alphas)
+
+    monkeypatch.setattr(queries.models, "cross_validate", stop)
+    with pytest.raises(Seen) as e:
+        queries.alpha_sweep(spark, "/root/testdata/sf0.001")
+    df, alphas = e.value.args
+    assert alphas == [1e-6, 1e-4, 1e-3, 1e-2, 0.1, 1.0]
+    for r in df.groupBy("species").agg({"f1": "avg"}).join(df.groupBy("species").agg({"f1": "stddev_pop"}), "species").collect():
+        assert abs(r["avg(f1)"]) < 1e-6 and (math.isclose(r["stddev_pop(f1)"], 1, rel_tol=1e-6) or r["stddev_pop(f1)"] == 0)
