@@ -18,9 +18,11 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one is made only if the session names none."""
+    """The folder that driver and executors share; one is made only if a local session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -41,6 +43,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*staged: DataFrame) -> None:
+    """Remove what stage() wrote for these, once everything that is made of them is written itself."""
+    for df in staged:
+        spark = df.sparkSession
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it is counted to have at most that many rows, otherwise as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

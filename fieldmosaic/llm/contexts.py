@@ -118,9 +118,15 @@ def frequent(counts: DataFrame, depth: int) -> tuple[dict[str, list[Order]], Dat
 
 
 class Lookup:
-    """Places of numbers in a sorted array, by a sparse table in front of binary search."""
+    """Places of numbers in a sorted array, by a sparse table in front of binary search. Only the array is pickled."""
 
     def __init__(self, keys: np.ndarray) -> None:
+        self.__setstate__(keys)
+
+    def __getstate__(self) -> np.ndarray:
+        return self.keys
+
+    def __setstate__(self, keys: np.ndarray) -> None:
         self.keys = keys
         bits = max(4, int(len(keys)).bit_length() + 2)
         self.shift = np.uint64(64 - bits)

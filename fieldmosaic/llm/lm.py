@@ -1,45 +1,49 @@
 """Language-model scores by a probabilistic suffix tree over words (operator 5).
 
-The root is the smoothed distribution of single words over all training documents. A context of one or two
-preceding words (or the text's start) is a state if the words that often follow it depart from what its longest
-proper suffix predicts: twice the log likelihood gained must pass DIVERGENCE. Suffixes of states are states. A
-state s with n continuations, L of them listed, predicts
+The root is the smoothed distribution of single words over all training documents. The tree grows from it one word of
+context at a time, up to DEPTH words (a text's start counts as one). A context that occurs CONTEXT times or more, and
+whose shorter suffix is a state (the root always is), becomes a state if the words that follow it depart from what
+that suffix predicts: twice the log likelihood gained must pass DIVERGENCE. A state s with n continuations, L of them
+by words that follow it LEAST times or more, predicts
     P(w | s) = (c(s, w) + (n - L + SMOOTHING) P(w | suffix of s)) / (n + SMOOTHING),
-which sums to one. Each word is scored by the longest suffix of what precedes it that is a state.
+which sums to one. Each word is scored by the longest suffix of what precedes it that is a state. All counts are
+absolute, so the tree grows with the input.
 
-Listed are all pairs and triples that occur LEAST times or more, at any size of the input. Words, pairs and triples
-are known by 64-bit keys. A text's score is a sum over its keys: what each adds (values()) is a Spark table. Values of
-keys that make up HEAD of all tokens are in memory, at most 1/HEAD of each order; texts' other keys are joined to the
-table. SuffixTree is the same tree in memory, over a head of words.
+Words and sequences of words are known by 64-bit keys; the key of a sequence is made of the keys of its two
+sequences shorter by one word. Each order is one pass over the texts: a task combines its own sequences and sends
+them to the parts as packed blocks. Fixed bitmaps of the order below leave out sequences that can't be listed; what
+they let through by chance is cut by joins, so the tree is exact.
+
+A text's score is a sum over its keys: what each adds (values()) is a Spark table. The HELD most frequent keys are in
+memory; texts' other keys are joined to the table, with the same results.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common, contexts
 
-HEAD = 2.0**-19
-#: Least count of a pair or triple in the tree.
-LEAST = 2
+#: Words of context at most.
+DEPTH = 3
+#: Least count of a listed continuation, and of a context.
+LEAST, CONTEXT = 4, 8
 DIVERGENCE = 12.0
 SMOOTHING = 1.0
-#: Hashed counters of each order, and the parts in which they are summed.
-CELLS, PARTS = 1 << 20, 64
-#: Distinct words that a task holds before it passes their counts on.
-_HELD = 400_000
-#: The end of a text in word counts; no word is empty.
-END = ""
-_BITS, _START = np.uint64(20), 1
+#: Words, and keys of longer sequences, that are in memory at most.
+HELD_WORDS, HELD = 1 << 19, 1 << 21
+#: Distinct words that a task holds before it starts anew, and sequences that it combines at once.
+_WORDS, _COMBINED = 400_000, 3_000_000
+#: Sequences of all tasks that a part gets at most, as they are counted.
+_PART = 4_000_000
 #: The key of a text's start, and log2 of the bits that tell keys which a table can't hold.
 _BEGIN, _SPARSE = np.uint64(0x5851F42D4C957F2D), 27
 
@@ -48,266 +52,155 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def _texts(rows: DataFrame, text: str) -> DataFrame:
-    return common.pick(rows, text=text).select(F.coalesce("text", F.lit("")).alias("text"))
-
-
-def word_counts(rows: DataFrame, text: str = "text") -> DataFrame:
-    """word and n of all rows; the end of each text counts as the word END. Null texts count as empty."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+def _key(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
 
-        for batch in common.chunks(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                held.update(words_of(text))
-                held[b""] += 1
-            if len(held) > _HELD:
-                yield out()
-                held.clear()
-        if held:
-            yield out()
 
-    return _texts(rows, text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+class Vocabulary(dict):
+    """Numbers words as they come; 0 is a text's start, 1 its end. keys has the key of each number."""
 
+    def __init__(self) -> None:
+        super().__init__({b"": 1})
+        self.new: list[bytes] = []
+        self.keys = np.array([_BEGIN, _key(b"")], np.uint64)
 
-class Head:
-    """Frequent words, numbered from 2 on; 0 stands for all others and 1 for a text's start."""
-
-    def __init__(self, counts: dict[bytes, int], total: int, distinct: int) -> None:
-        self.number = {w: k for k, w in enumerate(sorted(counts), 2)}
-        self.n = np.array([0, counts.get(b"", 0), *(counts[w] for w in self.number)], float)
-        self.base = np.log10((self.n + 0.1) / (total + 0.1 * (distinct + 1)))
-        self.total = total
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self) + 1
+        self.new.append(word)
+        return n
 
     def numbers(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all texts' words, each text after its start and before its end; where each text begins."""
-        get, flat = self.number.get, []
-        end = [get(b"", 0)]
+        flat, get = [], self.__getitem__
         for words in texts:
-            flat.append(_START)
-            flat += [get(w, 0) for w in words]
-            flat += end
+            flat.append(0)
+            flat += map(get, words)
+            flat.append(1)
+        self.keys = np.concatenate([self.keys, np.array([_key(w) for w in self.new], np.uint64)])
+        self.new = []
         size = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
-        return np.array(flat, np.uint64), np.cumsum(size) - size
-
+        return np.array(flat, np.int64), np.cumsum(size) - size
 
-def codes(x: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """Of numbers(): for orders 1 and 2, the context and word at each place, or 0 if one isn't in the head.
 
-    Contexts don't go beyond a text's start.
-    """
-    begins = np.zeros(len(x), bool)
-    begins[starts] = True
-    pair = np.zeros(len(x), np.uint64)
-    pair[1:] = np.where((x[1:] > 0) & (x[:-1] > 0) & ~begins[1:], x[:-1] << _BITS | x[1:], 0)
-    triple = np.zeros(len(x), np.uint64)
-    triple[2:] = np.where((pair[2:] > 0) & (pair[1:-1] > 0), x[:-2] << _BITS * np.uint64(2) | pair[2:], 0)
-    return [pair, triple]
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Keys of sequences from those of their contexts (all but the last word) and of their suffixes (all but the first)."""
+    x = (a ^ a >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) + (b ^ b >> np.uint64(29))
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ x >> np.uint64(29)
 
 
-def _cell(code: np.ndarray) -> np.ndarray:
-    return (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+def sequences(x: np.ndarray, starts: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of words' keys: for sequences of 2 words up to order, the places where they end, their contexts and suffixes."""
+    place = np.arange(len(x)) - np.repeat(starts, np.diff(starts, append=len(x)))
+    now = x
+    for k in range(2, order + 1):
+        at = np.flatnonzero(place >= k - 1)
+        context, suffix = now[at - 1], now[at]
+        yield at, context, suffix
+        if k < order:
+            now = now.copy()
+            now[at] = mixed(context, suffix)
 
 
-def _coded(batches: Iterator[pa.RecordBatch], head: Head) -> Iterator[list[np.ndarray]]:
-    for batch in common.chunks(batches, "text"):
-        found = codes(*head.numbers([words_of(t) for t in batch.column("text").to_pylist()]))
-        yield [c[c > 0] for c in found]
+def _texts(rows: DataFrame, text: str) -> DataFrame:
+    return common.pick(rows, text=text).select(F.coalesce("text", F.lit("")).alias("text"))
 
 
-def listed(rows: DataFrame, head: Head, text: str = "text") -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of orders 1 and 2: sorted codes with a count of at least HEAD of all tokens, and their counts."""
-    spark = rows.sparkSession
-    least = max(2.0, head.total * HEAD)
-    known, shared = _texts(rows, text), spark.sparkContext.broadcast(head)
-
-    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros((2, CELLS), np.int64)
-        for found in _coded(batches, shared.value):
-            for k, code in enumerate(found):
-                counters[k] += np.bincount(_cell(code), minlength=CELLS)
-        if counters.any():
-            parts = [(k * PARTS + p, x.tobytes()) for k in range(2) for p, x in enumerate(np.split(np.minimum(counters[k], 2**32 - 1).astype(np.uint32), PARTS))]
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], ["part", "counters"])
-
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted by part: a bit for each counter that may belong to a listed code."""
-        now, total = None, np.zeros(CELLS // PARTS, np.int64)
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as bytes, to be read by _unpack()."""
+    return b"".join(np.array([ord(a.dtype.char), len(a)], np.int64).tobytes() + a.tobytes() for a in arrays)
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())], ["part", "open"])
-
-        for batch in batches:
-            for part, raw in zip(batch.column("part").to_pylist(), batch.column("counters").to_pylist()):
-                if part != now:
-                    if now is not None:
-                        yield out()
-                    now, total = part, np.zeros(CELLS // PARTS, np.int64)
-                total += np.frombuffer(raw, np.uint32)
-        if now is not None:
-            yield out()
 
-    summed = known.mapInArrow(bounds, "part int, counters binary").repartition("part").sortWithinPartitions("part").mapInArrow(added, "part int, open binary")
-    open_cells = np.zeros((2, CELLS), bool)
-    for row in summed.collect():  # CELLS bits of each order
-        k, p = divmod(row["part"], PARTS)
-        open_cells[k, p * CELLS // PARTS : (p + 1) * CELLS // PARTS] = np.unpackbits(np.frombuffer(row["open"], np.uint8)).astype(bool)
-    may = spark.sparkContext.broadcast(open_cells)
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[], []]
-
-        def out(k: int) -> pa.RecordBatch:
-            code, n = np.unique(np.concatenate(held[k]), return_counts=True)
-            held[k] = []
-            return pa.RecordBatch.from_arrays([pa.array([k] * len(code), pa.int32()), pa.array(code.astype(np.int64)), pa.array(n, pa.int64())], ["k", "code", "n"])
-
-        for found in _coded(batches, shared.value):
-            for k, code in enumerate(found):
-                held[k].append(code[may.value[k][_cell(code)]])
-                if sum(map(len, held[k])) > 2_000_000:
-                    yield out(k)
-        yield from (out(k) for k in range(2) if held[k])
-
-    counts = known.mapInArrow(exact, "k int, code long, n long").groupBy("k", "code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    k, code, n = (counts.column(c).to_numpy(zero_copy_only=False) for c in ("k", "code", "n"))
-    out = []
-    for order in range(2):
-        at = np.flatnonzero(k == order)
-        at = at[np.argsort(code[at])]
-        out.append((code[at].astype(np.uint64), n[at].astype(float)))
+def _unpack(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(data):
+        kind, n = np.frombuffer(data, np.int64, 2, at).tolist()
+        out.append(np.frombuffer(data, chr(kind), n, at + 16))
+        at += 16 + out[-1].nbytes
     return out
 
 
-class SuffixTree:
-    """What states add to the root's log10 probabilities."""
-
-    def __init__(self, head: Head, orders: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        low = np.uint64((1 << 20) - 1)
-        self.grams, self.gain, self.states, self.left = [], [], [], []
-        root = 10**head.base
-        kept: list[np.ndarray] = []
-        found = []
-        pairs = contexts.Lookup(orders[0][0])
-        for k, (code, n) in enumerate(orders):
-            context, of = np.unique(code >> _BITS, return_inverse=True)
-            if k == 0:
-                total = head.n[context.astype(np.int64)]
-            else:
-                total = orders[0][1][pairs.find(context)] if len(context) else np.zeros(0)
-            in_list = np.bincount(of, n, len(context)) if len(context) else np.zeros(0)
-            total = np.maximum(total, in_list)
-            below = self._below(k, code, root, found)
-            p = n / total[of]
-            rest, rest_below = 1 - in_list / np.maximum(total, 1), 1 - np.bincount(of, below, len(context)) if len(context) else np.zeros(0)
-            gain = np.bincount(of, n * np.log(p / below), len(context)) if len(context) else np.zeros(0)
-            gain = gain + np.where(rest > 1e-12, total * rest * np.log(np.maximum(rest, 1e-12) / np.maximum(rest_below, 1e-12)), 0)
-            kept.append(2 * gain > DIVERGENCE)
-            seen = (n + (total - in_list + SMOOTHING)[of] * below) / (total[of] + SMOOTHING)
-            found.append((contexts.Lookup(code), np.log10(seen), contexts.Lookup(context), np.log10((total - in_list + SMOOTHING) / (total + SMOOTHING)), of))
-        if len(kept[1]):  # suffixes of states are states
-            suffix = found[0][2].find(found[1][2].keys[kept[1]] & low)
-            kept[0][suffix[suffix >= 0]] = True
-        for k, (grams, seen, context, left, of) in enumerate(found):
-            stays = kept[k][of]
-            code = grams.keys[stays]
-            # Smoothed against the states that are left.
-            states, new_of = np.unique(code >> _BITS, return_inverse=True)
-            place = context.find(states)
-            esc = left[place] if len(states) else left[:0]
-            n = orders[k][1][stays]
-            full = head.n[states.astype(np.int64)] if k == 0 else (orders[0][1][pairs.find(states)] if len(states) else np.zeros(0))
-            in_list = np.bincount(new_of, n, len(states)) if len(states) else np.zeros(0)
-            full = np.maximum(full, in_list)
-            below = 10 ** (self._add(k - 1, [code & np.uint64((1 << 40) - 1)] * 2, np.zeros(len(code)))) * root[(code & low).astype(np.int64)]
-            p = (n + (full - in_list + SMOOTHING)[new_of] * below) / (full[new_of] + SMOOTHING)
-            self.grams.append(contexts.Lookup(code))
-            self.gain.append(np.log10(p) - head.base[(code & low).astype(np.int64)])
-            self.states.append(contexts.Lookup(states))
-            self.left.append(esc)
-
-    @staticmethod
-    def _below(k: int, code: np.ndarray, root: np.ndarray, found: list) -> np.ndarray:
-        """Probability of each code's word by the next shorter context, before any state is dropped."""
-        word = root[(code & np.uint64((1 << 20) - 1)).astype(np.int64)]
-        if k == 0:
-            return word
-        grams, seen, context, left, _ = found[0]
-        short = code & np.uint64((1 << 40) - 1)
-        at, state = grams.find(short), context.find(short >> _BITS)
-        escape = np.where(state >= 0, 10 ** left[state], 1.0) if len(left) else np.ones(len(code))
-        return np.where(at >= 0, 10 ** seen[at], word * escape) if len(seen) else word
-
-    def _add(self, k: int, found: list[np.ndarray], short: np.ndarray) -> np.ndarray:
-        """log10 of each word's probability after its context of k + 1 words or fewer, less the root's."""
-        if k < 0:
-            return short
-        code = found[k]
-        grams, states = self.grams[k], self.states[k]
-        below = self._add(k - 1, found, short)
-        if not len(grams.keys):
-            return below
-        at, state = grams.find(code), states.find(code >> _BITS)
-        return np.where(at >= 0, self.gain[k][at], below + np.where(state >= 0, self.left[k][state], 0.0))
-
-    def add(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Of numbers(): what the states add at each place; nothing at a text's start."""
-        begins = np.zeros(len(x), bool)
-        begins[starts] = True
-        before = np.concatenate([[0], x[:-1]]).astype(np.uint64)
-        before[begins] = 0
-        earlier = np.concatenate([[0], before[:-1]]).astype(np.uint64)
-        earlier[before == 0] = 0
-        pair = before << _BITS | x
-        out = self._add(1, [pair, np.where((earlier > 0) & (before > 0), earlier << _BITS * np.uint64(2) | pair, 0)], np.zeros(len(x)))
-        out[begins] = 0
-        return out
-
-
-class Keys:
-    """64-bit keys of words, kept for the words met lately."""
+def _small(n: np.ndarray) -> np.ndarray:
+    return n.astype(np.min_scalar_type(int(n.max()) if len(n) else 0))
+
+
+def _named(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    names, of = np.unique(a, return_inverse=True)
+    return names, _small(of)
+
+
+def _blocks(context: np.ndarray, suffix: np.ndarray, n: np.ndarray, parts: int, pairs: bool) -> pa.RecordBatch:
+    """Sequences with a count each, combined by key, as one block for each part."""
+    key, of = np.unique(mixed(context, suffix), return_inverse=True)
+    first = np.zeros(len(key), np.int64)
+    first[of[::-1]] = np.arange(len(of))[::-1]
+    n = np.bincount(of, n).astype(np.int64)
+    context, suffix = context[first], suffix[first]
+    part = (key >> np.uint64(32)).astype(np.int64) * parts >> 32  # sorted, as the keys are
+    cut = np.searchsorted(part, np.arange(parts + 1))
+    numbers, data = [], []
+    for p in np.flatnonzero(np.diff(cut)).tolist():
+        a, b = cut[p], cut[p + 1]
+        # Words of pairs repeat within a block, longer sequences hardly do.
+        named = [x for v in (context[a:b], suffix[a:b]) for x in (_named(v) if pairs else (v,))]
+        numbers.append(p)
+        data.append(_pack(*named, _small(n[a:b])))
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(data, pa.binary())], ["part", "data"])
+
+
+def _unblocked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """key, context, suffix and n of all blocks of a part, each key once."""
+    columns: list[list[np.ndarray]] = [[], [], []]
+    for data in blobs:
+        found = _unpack(data)
+        if len(found) == 5:
+            found = [found[0][found[1]], found[2][found[3]], found[4]]
+        for c, v in zip(columns, found):
+            c.append(v)
+    context, suffix, n = (np.concatenate(c) for c in columns)
+    key = mixed(context, suffix)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], context[order[first]], suffix[order[first]], np.add.reduceat(n[order].astype(np.int64), first)
+
+
+def _reduced(dealt: DataFrame, parts: int, least: int) -> DataFrame:
+    """key, context, suffix, n of what occurs at least so often; a part is a task."""
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [data for batch in batches for data in batch.column("data").to_pylist()]
+        if not blobs:
+            return
+        key, context, suffix, n = _unblocked(blobs)
+        often = n >= least
+        yield pa.RecordBatch.from_arrays([pa.array(v[often].view(np.int64)) for v in (key, context, suffix, n)], ["key", "context", "suffix", "n"])
 
-    def of(self, word: bytes) -> int:
-        found = self.known.get(word)
-        if found is None:
-            found = self.known[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return found
+    return dealt.repartitionById(parts, "part").mapInArrow(run, "key long, context long, suffix long, n long")
 
-    def numbers(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of all texts' words, each text after its start and before its end; where each text begins."""
-        if len(self.known) > _HELD:
-            self.known.clear()
-        flat, of, begin, end = [], self.of, int(_BEGIN), self.of(b"")
-        for words in texts:
-            flat.append(begin)
-            flat += map(of, words)
-            flat.append(end)
-        size = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
-        return np.array(flat, np.uint64), np.cumsum(size) - size
 
+def word_counts(rows: DataFrame, text: str = "text", parts: int | None = None) -> DataFrame:
+    """key and n of the words of all rows; the end of each text counts as the word b"". Null texts count as empty."""
+    parts = parts or _partitions(rows)
 
-def _mixed(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
-    x = (a ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15) + b
-    x = (x ^ x >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return x ^ x >> np.uint64(29)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, n = Vocabulary(), np.zeros(0, np.int64)
+        for batch in common.chunks(batches, "text"):
+            found = np.bincount(words.numbers([words_of(t) for t in batch.column("text").to_pylist()])[0], minlength=len(words.keys))
+            found[: len(n)] += n
+            n = found
+            if len(words) > _WORDS:
+                yield _blocks(words.keys[1:], words.keys[1:], n[1:], parts, False)
+                words, n = Vocabulary(), np.zeros(0, np.int64)
+        if len(n):
+            yield _blocks(words.keys[1:], words.keys[1:], n[1:], parts, False)
 
+    found = _reduced(_texts(rows, text).mapInArrow(run, "part int, data binary"), parts, 1)
+    return found.select(F.col("context").alias("key"), "n")
 
-def keyed(x: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of Keys.numbers(): for pairs and triples, their places, keys, and the keys of their contexts and suffixes."""
-    begins = np.zeros(len(x) + 1, bool)
-    begins[starts] = True
-    two = np.flatnonzero(~begins[:-1])
-    pair = np.zeros(len(x), np.uint64)
-    pair[two] = _mixed(x[two - 1], x[two], 2)
-    three = two[~begins[two - 1]]
-    return [(two, pair[two], x[two - 1], x[two]), (three, _mixed(pair[three - 1], x[three], 3), pair[three - 1], pair[three])]
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _sparse(table: DataFrame) -> np.ndarray:
@@ -324,105 +217,123 @@ def _may(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bits[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def grams(rows: DataFrame, text: str = "text") -> DataFrame:
-    """k (0 for pairs, 1 for triples), key, context, suffix and n of what occurs LEAST times or more in all rows."""
-    spark, known = rows.sparkSession, _texts(rows, text)
+def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: DataFrame, parts: int, text: str = "text") -> DataFrame:
+    """key, context, suffix and n of the sequences of so many words that occur LEAST times or more in all rows.
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
-        keys = Keys()
-        for batch in common.chunks(batches, "text"):
-            yield keyed(*keys.numbers([words_of(t) for t in batch.column("text").to_pylist()]))
+    contexts_of, suffixes_of: tables with the keys of the order below that are open as contexts and as suffixes. All
+    sequences of these are found, and a few of others may be.
+    """
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((_sparse(contexts_of), _sparse(suffixes_of)))
 
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        may_lead, may_follow = shared.value
+        words, held, size = Vocabulary(), [], 0
 
         def out() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+            context, suffix = (np.concatenate(v) for v in zip(*held))
+            return _blocks(context, suffix, np.ones(len(context), np.int64), parts, order == 2)
 
-        for found in coded(batches):
-            held += [f[1] for f in found]
-            if sum(map(len, held)) > 4_000_000:
+        for batch in common.chunks(batches, "text"):
+            if len(words) > _WORDS:
+                words = Vocabulary()
+            x, starts = words.numbers([words_of(t) for t in batch.column("text").to_pylist()])
+            *_, (_, context, suffix) = sequences(words.keys[x], starts, order)
+            known = _may(may_lead, context)
+            known[known] = _may(may_follow, suffix[known])
+            held.append((context[known], suffix[known]))
+            size += len(held[-1][0])
+            if size > _COMBINED:
                 yield out()
-        if held:
+                held, size = [], 0
+        if size:
             yield out()
 
-    often = known.mapInArrow(single, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-    shared = spark.sparkContext.broadcast(_sparse(often.select("key")))
+    return _reduced(_texts(rows, text).mapInArrow(run, "part int, data binary"), parts, LEAST)
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[tuple[np.ndarray, ...]]] = [[], []]
 
-        def out(k: int) -> pa.RecordBatch:
-            key, context, suffix = (np.concatenate(x) for x in zip(*held[k]))
-            held[k] = []
-            key, first, n = np.unique(key, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k, np.int32)), *[pa.array(x.view(np.int64)) for x in (key, context[first], suffix[first])], pa.array(n.astype(np.int64))], ["k", "key", "context", "suffix", "n"])
+def _states(found: DataFrame, totals: DataFrame) -> DataFrame:
+    """found (key, context, n, below: the word's probability by the context's suffix) of contexts that are states.
 
-        for found in coded(batches):
-            for k, (_, *f) in enumerate(found):
-                may = _may(shared.value, f[0])
-                held[k].append(tuple(x[may] for x in f))
-                if sum(len(h[0]) for h in held[k]) > 2_000_000:
-                    yield out(k)
-        yield from (out(k) for k in range(2) if held[k])
+    With the context's total (totals: context, total), and log10 of left (the share of P by the suffix that the state
+    leaves to words that aren't listed) and of seen (the word's probability).
+    """
+    sums = found.groupBy("context").agg(F.sum("n").alias("__in"), F.sum("below").alias("__below"), F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))).alias("__gain"))
+    sums = sums.join(totals, "context").withColumn("total", F.greatest("total", "__in"))
+    rest = 1 - F.col("__in") / F.col("total")
+    gain = F.col("__gain") - F.col("__in") * F.log("total") + F.when(rest > 1e-12, F.col("total") * rest * F.log(rest / F.greatest(1 - F.col("__below"), F.lit(1e-12)))).otherwise(0.0)
+    escape = F.col("total") - F.col("__in") + SMOOTHING
+    states = sums.where(2 * gain > DIVERGENCE).select("context", "total", escape.alias("__escape"), F.log10(escape / (F.col("total") + SMOOTHING)).alias("left"))
+    seen = (F.col("n") + F.col("__escape") * F.col("below")) / (F.col("total") + SMOOTHING)
+    return found.join(states, "context").select("key", "context", "total", "n", "below", seen.alias("seen"), "left")
+
+
+def values(training: DataFrame, words: DataFrame, total: int, distinct: int, text: str = "text") -> DataFrame:
+    """key, n and v: what each occurrence of a sequence adds to a text's score, as itself and as a context.
+
+    After a state s a listed word w adds log10 P(w | s) - log10 P(w). The sum over suffixes of s is made of left(t) at
+    each state t, and of log10 P(w | t) - log10 P(w | suffix of t) - left(t) at each listed sequence t, w.
+    words: key and n of all words, with the total of n and the number of distinct keys.
+    """
+    parts = max(_partitions(training), -(-total // _PART))
+    begins = words.where(F.col("key") == _signed(_key(b""))).select(F.lit(_signed(int(_BEGIN))).alias("key"), "n")
+    found, done = words.unionByName(begins), []
+    below = words.where(F.col("n") >= LEAST).select("key", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("below"))
+    for order in range(2, DEPTH + 2):
+        open_contexts = found.where(F.col("n") >= CONTEXT)
+        # What isn't listed after a state can't be after a longer one; but it may lead to one.
+        new = listed(training, order, open_contexts, below if order in (2, DEPTH + 1) else found, parts, text)
+        new = common.stage(new.join(below.withColumnRenamed("key", "suffix"), "suffix", "left").drop("suffix"), "listed")
+        totals = open_contexts.select(F.col("key").alias("context"), F.col("n").alias("total"))
+        table = common.stage(_states(new.where("below is not null"), totals), "states")
+        if done:
+            common.release(found)
+        found, below = new, table.select("key", F.col("seen").alias("below"))
+        done.append(table)
+    common.release(found)
+    each = []
+    for table in done:
+        each.append(table.select("key", "n", (F.log10(F.col("seen") / F.col("below")) - F.col("left")).alias("v")))
+        each.append(table.groupBy(F.col("context").alias("key")).agg(F.first("total").alias("n"), F.first("left").alias("v")))
+    out = each[0]
+    for e in each[1:]:
+        out = out.unionByName(e)
+    out = common.stage(out.groupBy("key").agg(F.max("n").alias("n"), F.sum("v").alias("v")), "values")
+    common.release(*done)
+    return out
 
-    found = known.mapInArrow(exact, "k int, key long, context long, suffix long, n long")
-    return found.groupBy("k", "key").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("n").alias("n")).where(F.col("n") >= LEAST)
 
+def _signed(key: int) -> int:
+    return int(np.uint64(key).astype(np.int64))
 
-def _contexts(listed: DataFrame) -> DataFrame:
-    """listed (context, n, total, below: probability by the next shorter context) with log10 of seen and left, and gains."""
-    sums = listed.groupBy("context").agg(
-        F.sum("n").alias("__in"), F.sum("below").alias("__below"), F.greatest(F.first("total"), F.sum("n")).alias("__total"), F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("below"))).alias("__gain")
-    )
-    rest = 1 - F.col("__in") / F.col("__total")
-    gain = F.col("__gain") + F.when(rest > 1e-12, F.col("__total") * rest * F.log(rest / F.greatest(1 - F.col("__below"), F.lit(1e-12)))).otherwise(0.0)
-    escape = F.col("__total") - F.col("__in") + SMOOTHING
-    sums = sums.select("context", (2 * gain > DIVERGENCE).alias("departs"), escape.alias("__escape"), F.col("__total"), F.log10(escape / (F.col("__total") + SMOOTHING)).alias("left"))
-    joined = listed.join(sums, "context")
-    return joined.withColumn("seen", (F.col("n") + F.col("__escape") * F.col("below")) / (F.col("__total") + SMOOTHING)).drop("__escape", "__total")
 
+def _most(table: DataFrame, size: int) -> tuple[pa.Table, DataFrame]:
+    """The rows of table (key, n, ...) with the largest n, at most size of them, and the rest."""
+    power = F.floor(F.log2("n") + 1e-9).cast("int")
+    sizes = {r["power"]: r["size"] for r in table.groupBy(power.alias("power")).agg(F.count("*").alias("size")).collect()}
+    least, held = 64, 0
+    for p in sorted(sizes, reverse=True):
+        held += sizes[p]
+        if held > size:
+            break
+        least = p
+    return table.where(power >= least).toArrow(), table.where(power < least)
 
-def values(training: DataFrame, counts: DataFrame, total: int, distinct: int, text: str = "text") -> DataFrame:
-    """key, n and v: what each occurrence of a word as a context, of a pair or of a triple adds to a text's score.
 
-    After a state s of two words with the shorter state t, a listed word w adds log10 P(w | s) - log10 P(w); the sum
-    is made of left(t) at each word t, of log10 P(w | t) - log10 P(w) - left(t) and left(tw) at each pair, and of
-    log10 P(w | s) - left(s) - log10 P(w | t) at each triple, where left is 0 if there is no such state.
-    """
+def _lookup(table: pa.Table, value: str) -> tuple[contexts.Lookup, np.ndarray]:
+    key, v = table.column("key").to_numpy().view(np.uint64), table.column(value).to_numpy()
+    order = np.argsort(key)
+    return contexts.Lookup(key[order]), v[order]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = Keys()
-        for batch in batches:
-            key = np.array([keys.of(w.encode()) for w in batch.column(0).to_pylist()], np.uint64)
-            keys.known.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(1)], ["key", "n"])
-
-    end = F.col("key") == int(np.uint64(Keys().of(b"")).astype(np.int64))
-    words = counts.select("word", "n").mapInArrow(run, "key long, n long")
-    starts = words.where(end).select(F.lit(int(_BEGIN.astype(np.int64))).alias("key"), "n")
-    words = common.stage(words.unionByName(starts), "word-keys")
-    base = words.select(F.col("key").alias("suffix"), ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("below"))
-    found = common.stage(grams(training, text), "grams")
-    of = words.select(F.col("key").alias("context"), F.col("n").alias("total"))
-    pairs = common.stage(_contexts(found.where("k = 0").drop("k").join(base, "suffix").join(of, "context")), "pairs")
-    below = pairs.select(F.col("key").alias("suffix"), F.col("seen").alias("below"))
-    of = pairs.select(F.col("key").alias("context"), F.col("n").alias("total"))
-    triples = common.stage(_contexts(found.where("k = 1").drop("k").join(below, "suffix").join(of, "context")).where("departs"), "triples")
-    long = triples.groupBy(F.col("context").alias("key")).agg(F.first("left").alias("more"))
-    joined = pairs.join(long, "key", "left")
-    # Suffixes of states are states.
-    states = joined.where("more is not null").select(F.col("suffix").alias("context")).unionByName(pairs.where("departs").select("context")).distinct().withColumn("state", F.lit(True))
-    joined = joined.join(states, "context", "left")
-    own = F.when(F.col("state"), F.log10(F.col("seen") / F.col("below")) - F.col("left")).otherwise(0.0)
-    parts = [
-        joined.where("state").groupBy(F.col("context").alias("key")).agg(F.first("total").alias("n"), F.first("left").alias("v")),
-        joined.select("key", "n", (own + F.coalesce("more", F.lit(0.0))).alias("v")),
-        triples.select("key", "n", (F.log10(F.col("seen") / F.col("below")) - F.col("left")).alias("v")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).where("v <> 0")
+
+def _asked(of: np.ndarray, key: np.ndarray, texts: int) -> pa.ListArray:
+    """For each text its distinct keys and how often it has them."""
+    by = np.lexsort((key, of))
+    of, key = of[by], key[by]
+    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (key[1:] != key[:-1])])) if len(of) else np.zeros(0, np.int64)
+    times = pa.array(np.diff(first, append=len(of)).astype(np.int32))
+    at = pa.array(np.searchsorted(of[first], np.arange(texts + 1)).astype(np.int32))
+    return pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(key[first].view(np.int64)), times], ["key", "times"]))
 
 
 def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -431,76 +342,68 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
     base_score: sum over words and the end of log10((c + 0.1) / (N + 0.1 (V + 1))) with c, N and V from the
     training rows; score: the same with the suffix tree's probabilities. Null texts count as empty: one token,
     the end. Without training rows every c is 0 and both scores are equal. Repeated rows have repeated results;
-    empty tables give empty results.
+    empty tables give empty results; other columns are ignored. Texts over the chunk size are worked on one by one.
     """
     spark = rows.sparkSession
-    counts = common.stage(word_counts(training, text), "words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = counts.where(F.col("n") >= total * HEAD).toArrow()  # at most 1 / HEAD words
-    head = Head({w.encode(): n for w, n in zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist())}, total, distinct)
-    table = common.stage(values(training, counts, total, distinct, text), "values")
-    often = table.where(F.col("n") >= max(1, total * HEAD)).toArrow().sort_by("key")  # at most 1 / HEAD of each order
-    often_key, often_v = often.column("key").to_numpy().view(np.uint64), often.column("v").to_numpy()
-    order = np.argsort(often_key)
-    shared = spark.sparkContext.broadcast((head, contexts.Lookup(often_key[order]), often_v[order], _sparse(table.where(F.col("n") < max(1, total * HEAD)).select("key"))))
+    words = common.stage(word_counts(training, text), "words")
+    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    base = math.log10(total + 0.1 * (distinct + 1))
+    table = values(training, words, total, distinct, text)
+    (often_words, rare_words), (often, rare) = _most(words, HELD_WORDS), _most(table, HELD)
+    shared = spark.sparkContext.broadcast((*_lookup(often_words, "n"), _sparse(rare_words), *_lookup(often, "v"), _sparse(rare)))
     kept = rows.select(*[rows[f"`{c}`"] for c in keep], F.coalesce(rows[f"`{text}`"], F.lit("")).alias("__text"), F.monotonically_increasing_id().alias("__row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, often, v, rarer = shared.value
-        keys = Keys()
+        often_words, count, rare_words, often, v, rare = shared.value
+        words, log, ask = Vocabulary(), np.zeros(0), np.zeros(0, bool)
         for batch in common.chunks(batches, "__text"):
+            if len(words) > _WORDS:
+                words, log, ask = Vocabulary(), np.zeros(0), np.zeros(0, bool)
             texts = [words_of(t) for t in batch.column("__text").to_pylist()]
-            x, starts = head.numbers(texts)
-            word = np.ones(len(x), bool)
-            word[starts] = False
-            base = contexts.sums(np.where(word & (x > 0), head.base[x.astype(np.int64)], 0.0), starts)
-            known = contexts.sums((word & (x > 0)).astype(float), starts).astype(np.int64)
-            k, begin = keys.numbers(texts)
-            of = np.repeat(np.arange(len(texts)), np.diff(begin, append=len(k)))
-            follows = np.ones(len(k), bool)
-            follows[np.append(begin[1:], len(k)) - 1] = False
-            found = [(np.flatnonzero(follows), k[follows]), *[f[:2] for f in keyed(k, begin)]]
-            of, key = np.concatenate([of[f[0]] for f in found]), np.concatenate([f[1] for f in found])
-            at = often.find(key)
-            more = np.bincount(of[at >= 0], v[at[at >= 0]], len(texts)).astype(float)
-            asked = (at < 0) & _may(rarer, key)
-            of, key = of[asked], key[asked]
-            by = np.lexsort((key, of))
-            of, key = of[by], key[by]
-            first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (key[1:] != key[:-1])])) if len(of) else np.zeros(0, np.int64)
-            times_of = pa.array(np.diff(first, append=len(of)).astype(np.int32))
-            places = pa.array(np.searchsorted(of[first], np.arange(len(texts) + 1)).astype(np.int32))
-            lookups = pa.ListArray.from_arrays(places, pa.StructArray.from_arrays([pa.array(key[first].view(np.int64)), times_of], ["key", "times"]))
-            tokens = np.array([len(w) + 1 for w in texts], np.int64)
-            rare = [Counter(w for w in [*t, b""] if w not in head.number) if k < n else {} for t, k, n in zip(texts, known.tolist(), tokens.tolist())]
-            at = np.concatenate([[0], np.cumsum([len(r) for r in rare])])
-            names = pa.array([w for r in rare for w in r], pa.binary()).cast(pa.string())
-            times = pa.array([n for r in rare for n in r.values()], pa.int32())
-            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays([names, times], ["word", "k"]))
-            own = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*own, batch.column("__row"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(more), lists, lookups], [*keep, "row", "n_tokens", "known", "base", "states", "rare", "asked"])
-
-    schema = kept.drop("__text", "__row").schema
-    for name, kind in (("row", "long"), ("n_tokens", "long"), ("known", "long"), ("base", "double"), ("states", "double")):
+            x, starts = words.numbers(texts)
+            of = np.repeat(np.arange(len(texts)), np.diff(starts, append=len(x)))
+            new = words.keys[len(log) :]
+            at = often_words.find(new)
+            n = np.where(at >= 0, count[at], 0) if len(count) else np.zeros(len(new))
+            log, ask = np.append(log, np.log10(n + 0.1) - base), np.append(ask, (n == 0) & _may(rare_words, new))
+            log[0], ask[0] = 0.0, False
+            key = words.keys[x]
+            sure = contexts.sums(np.where(ask[x], math.log10(0.1) - base, log[x]) * (x > 0), starts)
+            known = contexts.sums(((log[x] > math.log10(0.2) - base) & (x > 0)).astype(float), starts).astype(np.int64)
+            follows = x != 1  # an end is no context
+            asked_of, asked, more = [], [], np.zeros(len(texts))
+            for place, key_at in [(np.flatnonzero(follows), key[follows]), *((at, mixed(c, s)) for at, c, s in sequences(key, starts, DEPTH + 1))]:
+                at = often.find(key_at)
+                if len(v):
+                    more += np.bincount(of[place], np.where(at >= 0, v[at], 0.0), len(texts))
+                miss = at < 0
+                miss[miss] = _may(rare, key_at[miss])
+                asked_of.append(of[place][miss])
+                asked.append(key_at[miss])
+            of_rare = ask[x]
+            out = [*(batch.column(i) for i in range(len(keep))), batch.column("__row"), pa.array(np.diff(starts, append=len(x)) - 1), pa.array(known), pa.array(sure), pa.array(more)]
+            out += [_asked(of[of_rare], key[of_rare], len(texts)), _asked(np.concatenate(asked_of), np.concatenate(asked), len(texts))]
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    names = [*keep, "__row", "__tokens", "__known", "__base", "__states", "__words", "__keys"]
+    schema = kept.drop("__text").schema
+    for name, kind in (("__tokens", "long"), ("__known", "long"), ("__base", "double"), ("__states", "double")):
         schema = schema.add(name, kind)
-    schema = schema.add("rare", T.ArrayType(T.StructType().add("word", "string").add("k", "integer")))
-    schema = schema.add("asked", T.ArrayType(T.StructType().add("key", "long").add("times", "integer")))
-    part = common.stage(kept.mapInArrow(run, schema), "scored")
-    asked = part.select("row", F.explode("asked").alias("a")).select("row", "a.*")
-    added = asked.join(table.select("key", "v"), "key").groupBy(F.col("row").alias("for")).agg(F.sum(F.col("times") * F.col("v")).alias("added"))
-    rest = part.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.k").alias("k"))
-    joined = rest.join(counts, "word", "left").groupBy(F.col("row").alias("of"))
-    each = math.log10(total + 0.1 * (distinct + 1))
-    more = joined.agg(F.sum(F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + 0.1) - F.lit(each))).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("more_known"))
-    done = part.drop("asked").join(more, F.col("row") == F.col("of"), "left").join(added, F.col("row") == F.col("for"), "left")
-    base = F.col("base") + F.coalesce("more", F.lit(0.0))
+    pairs = T.ArrayType(T.StructType().add("key", "long").add("times", "integer"))
+    part = common.stage(kept.mapInArrow(run, schema.add("__words", pairs).add("__keys", pairs)), "scored")
+    asked = lambda c: part.select("__row", F.explode(c).alias("a")).select("__row", "a.*")
+    added = asked("__keys").join(table.select("key", "v"), "key").groupBy(F.col("__row").alias("__of")).agg(F.sum(F.col("times") * F.col("v")).alias("__added"))
+    gain = F.log10(F.col("n") + 0.1) - math.log10(0.1)
+    met = asked("__words").join(words, "key").groupBy(F.col("__row").alias("__for")).agg(F.sum(F.col("times") * gain).alias("__gain"), F.sum("times").alias("__met"))
+    done = part.drop("__words", "__keys").join(met, F.col("__row") == F.col("__for"), "left").join(added, F.col("__row") == F.col("__of"), "left")
+    whole = F.col("__base") + F.coalesce("__gain", F.lit(0.0))
     return done.select(
         *keep,
-        "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
+        F.col("__tokens").alias("n_tokens"),
+        (F.col("__known") + F.coalesce("__met", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        (base + F.col("states") + F.coalesce("added", F.lit(0.0))).alias("score"),
+        whole.alias("base_score"),
+        (whole + F.col("__states") + F.coalesce("__added", F.lit(0.0))).alias("score"),
     )
 
 

@@ -14,14 +14,61 @@ def tokens(t):
     return [w for w in re.split("[\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if w] + [None]
 
 
-@pytest.mark.parametrize("head", [lm.HEAD, 0.1])
-def test_base_scores(spark, monkeypatch, head):
-    monkeypatch.setattr(lm, "HEAD", head)
+class Plain:
+    """The tree by dictionaries of words: counts of all sequences, states grown from the root, scores word by word."""
+
+    def __init__(self, texts):
+        self.n = Counter()
+        for t in texts:
+            s = ["<s>", *tokens(t)]
+            for i in range(len(s)):
+                for k in range(1, lm.DEPTH + 2):
+                    if i - k + 1 >= 0:
+                        self.n[tuple(s[i - k + 1 : i + 1])] += 1
+        words = {g[0]: c for g, c in self.n.items() if len(g) == 1 and g[0] != "<s>"}
+        self.total, self.distinct = sum(words.values()), len(words)
+        self.next = {}
+        for g, c in self.n.items():
+            if len(g) > 1 and c >= lm.LEAST and self.n[g[:-1]] >= lm.CONTEXT:
+                self.next.setdefault(g[:-1], {})[g[-1]] = c
+        self.states = {()}
+        for k in range(1, lm.DEPTH + 1):
+            for s, after in self.next.items():
+                if len(s) == k and s[1:] in self.states and 2 * self.gain(s, after) > lm.DIVERGENCE:
+                    self.states.add(s)
+
+    def gain(self, s, after):
+        n, inside = max(self.n[s], sum(after.values())), sum(after.values())
+        below = {w: self.p(w, s[1:]) for w in after}
+        rest = 1 - inside / n
+        more = n * rest * math.log(rest / max(1 - sum(below.values()), 1e-12)) if rest > 1e-12 else 0.0
+        return sum(c * math.log(c / n / below[w]) for w, c in after.items()) + more
+
+    def p(self, w, s):
+        """Of a word after a state."""
+        if not s:
+            return (self.n[(w,)] + 0.1) / (self.total + 0.1 * (self.distinct + 1))
+        after = self.next[s]
+        inside = sum(after.values())
+        n = max(self.n[s], inside)
+        return (after.get(w, 0) + (n - inside + lm.SMOOTHING) * self.p(w, s[1:])) / (n + lm.SMOOTHING)
+
+    def score(self, text):
+        s, out = ["<s>", *tokens(text)], 0.0
+        for i in range(1, len(s)):
+            k = next(k for k in range(min(lm.DEPTH, i), -1, -1) if tuple(s[i - k : i]) in self.states)
+            out += math.log10(self.p(s[i], tuple(s[i - k : i])))
+        return out
+
+
+@pytest.mark.parametrize("held", [lm.HELD_WORDS, 5])
+def test_base_scores(spark, monkeypatch, held):
+    monkeypatch.setattr(lm, "HELD_WORDS", held)
     rng = random.Random(3)
     vocabulary = [f"W{i}" for i in range(30)] + ["É", "é", "the", "The"]
     texts = [rng.choice([" ", "\n", "\t "]).join(rng.choice(vocabulary) for _ in range(rng.randrange(40))) for _ in range(80)] + [None, "", "the " * 3000]
     rows = [(i, t, i % 4 == 0, "x") for i, t in enumerate(texts)] + [(1, texts[1], False, "x"), (None, "unseen words", True, "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, held boolean, word string").repartition(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string, held boolean, key string").repartition(3)
     got = lm.scored(df, df.where("not held")).collect()
     c = Counter(w for _, t, h, _ in rows if not h for w in tokens(t))
     n, v = sum(c.values()), len(c)
@@ -31,64 +78,48 @@ def test_base_scores(spark, monkeypatch, head):
         assert a[:4] == b[:4] and math.isclose(a[4], b[4], rel_tol=1e-9)
     assert all(r.score < 0 for r in got if r.n_tokens > 1)
     assert lm.scored(df.limit(0), df).count() == 0
-    none = lm.scored(df.where("doc_id = 1"), df.limit(0)).collect()
-    assert none[0].n_known == 0 and none[0].train_tokens == 0
-
-
-def test_tree(spark, monkeypatch):
-    """Listed counts are exact, distributions sum to one, and the score is what counting by hand gives."""
-    monkeypatch.setattr(lm, "HEAD", 0.002)
-    rng = random.Random(5)
-    texts = [" ".join(rng.choice(["a b c", "d e", "a", "e e f"]) for _ in range(rng.randrange(40))) for _ in range(60)]
-    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
-    seq = [["<s>", *t.split(), "</s>"] for t in texts]
-    count = Counter(tuple(s[i : i + k]) for s in seq for k in (2, 3) for i in range(len(s) - k + 1))
-    words = Counter(w for s in seq for w in s[1:])
-    total = sum(words.values())
-    head = lm.Head({b"" if w == "</s>" else w.encode(): n for w, n in words.items()}, total, len(words))
-    name = {1: "<s>", **{k: "</s>" if w == b"" else w.decode() for w, k in head.number.items()}}
-    orders = lm.listed(df, head)
-    least = max(2, total * 0.002)
-    for k, (code, n) in enumerate(orders):
-        got = {tuple(name[int(c) >> 20 * j & (1 << 20) - 1] for j in range(k + 1, -1, -1)): v for c, v in zip(code, n)}
-        assert got == {g: v for g, v in count.items() if len(g) == k + 2 and v >= least}
-    tree = lm.SuffixTree(head, orders)
-    assert len(tree.states[0].keys) and len(tree.states[1].keys)
-    number = {v: k for k, v in name.items()}
-    unseen = 1 - (10 ** head.base[2:]).sum()
-    for context in ([], ["a"], ["a", "b"], ["e"], ["d", "e"], ["zz", "a"]):
-        p = 0.0
-        for w in words:
-            x = np.array([1, *(number.get(c, 0) for c in context), number[w]], np.uint64)
-            p += 10 ** (head.base[number[w]] + tree.add(x, np.array([0]))[-1])
-        rare = 10 ** tree.add(np.array([1, *(number.get(c, 0) for c in context), 0], np.uint64), np.array([0]))[-1] * unseen
-        assert math.isclose(p + rare, 1, rel_tol=1e-9), context
-    x = np.array([1, number["a"], number["b"], number["c"]], np.uint64)
-    assert 10 ** (head.base[number["c"]] + tree.add(x, np.array([0]))[-1]) > 0.9
-    states = set(tree.states[0].keys.tolist())
-    assert all(c & (1 << 20) - 1 in states for c in tree.states[1].keys.tolist())
+    none = lm.scored(df, df.limit(0)).collect()
+    assert len(none) == len(rows) and all(r.n_known == 0 and r.train_tokens == 0 and r.score == r.base_score for r in none)
+
+
+def corpus():
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(60)]
+    passages = ["m n o p", "k n p q r", "x n o q", "d e", "e d d"]
+    texts = [" ".join(rng.choice([*passages, *vocabulary[:12], rng.choice(vocabulary)]) for _ in range(rng.randrange(50))) for _ in range(150)] + ["", None, "once only"]
+    return list(enumerate(texts)) + [(3, texts[3])]
+
+
+@pytest.mark.parametrize("held,combined", [(lm.HELD, lm._COMBINED), (40, 100), (0, 5000)])
+def test_scores_are_those_of_a_plain_tree(spark, monkeypatch, held, combined):
+    """Whatever is in memory, and however little is combined at once."""
+    monkeypatch.setattr(lm, "HELD", held)
+    monkeypatch.setattr(lm, "_COMBINED", combined)
+    monkeypatch.setattr(lm, "_PART", 500)
+    rows = corpus()
+    df = spark.createDataFrame([(d, t, 1.0) for d, t in rows], "doc_id long, text string, score double").repartition(3)
+    plain = Plain([t for d, t in rows if d % 3])
+    assert {len(s) for s in plain.states} == {0, 1, 2, 3}
+    got = sorted((r.doc_id, r.score) for r in lm.scored(df, df.where("doc_id % 3 > 0")).collect())
+    for (d, a), (e, b) in zip(got, sorted((d, plain.score(t)) for d, t in rows), strict=True):
+        assert d == e and math.isclose(a, b, rel_tol=1e-9)
+
+
+def test_predictions_sum_to_one():
+    plain = Plain([t for _, t in corpus()])
+    words = [g[0] for g in plain.n if len(g) == 1 and g[0] != "<s>"]
+    unseen = plain.p("never", ())
+    for s in plain.states:
+        assert math.isclose(sum(plain.p(w, s) for w in words) + plain.p("never", s), 1, rel_tol=1e-9), (s, unseen)
+
+
+def test_sequences():
+    x, starts = np.array([9, 1, 2, 9, 3], np.uint64), np.array([0, 3])
+    found = [(at.tolist(), c.tolist(), s.tolist()) for at, c, s in lm.sequences(x, starts, 3)]
+    pair = lm.mixed(np.array([9, 1], np.uint64), np.array([1, 2], np.uint64)).tolist()
+    assert found == [([1, 2, 4], [9, 1, 9], [1, 2, 3]), ([2], [pair[0]], [pair[1]])]
 
 
 def test_better_than_word_counts(spark):
     got = [r for r in lm.op5_suffix_tree(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
-
-
-@pytest.mark.parametrize("head", [2.0**-19, 0.01, 1.0])
-def test_rare_contexts_count_at_any_share(spark, monkeypatch, head):
-    """Scores are those of the tree over all words, pairs and triples that occur twice, whatever share is in memory."""
-    rng = random.Random(6)
-    vocabulary = [f"w{i}" for i in range(60)]
-    texts = [" ".join(rng.choice(["m n o", "k n p", "m n o", "k n p", "d e", *vocabulary[:12], rng.choice(vocabulary)]) for _ in range(rng.randrange(50))) for _ in range(120)] + ["", "once only"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    train = df.where("doc_id % 3 > 0")
-    words = Counter(w for i, t in enumerate(texts) if i % 3 for w in [*t.encode().split(), b""])
-    total = sum(words.values())
-    whole = lm.Head(dict(words), total, len(words))
-    monkeypatch.setattr(lm, "HEAD", 1e-9)
-    tree = lm.SuffixTree(whole, lm.listed(train, whole))
-    assert len(tree.states[1].keys)
-    monkeypatch.setattr(lm, "HEAD", head)
-    for r in lm.scored(df, train).collect():
-        want = float(tree.add(*whole.numbers([texts[r.doc_id].encode().split()])).sum())
-        assert math.isclose(r.score - r.base_score, want, rel_tol=1e-6, abs_tol=1e-9)
