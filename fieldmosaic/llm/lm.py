@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,47 +38,93 @@ LEAST, CONTEXT = 4, 8
 DIVERGENCE = 12.0
 SMOOTHING = 1.0
 #: Words, and keys of longer sequences, that are in memory at most.
-HELD_WORDS, HELD = 1 << 19, 1 << 21
-#: Distinct words that a task holds before it starts anew, and sequences that it combines at once.
-_WORDS, _COMBINED = 400_000, 3_000_000
+HELD_WORDS, HELD = 1 << 19, 1 << 20
+#: Sequences that a task combines at once, and bytes of text.
+_COMBINED, _BLOCK = 2_000_000, 2_000_000
 #: Sequences of all tasks that a part gets at most, as they are counted.
 _PART = 4_000_000
 #: The key of a text's start, and log2 of the bits that tell keys which a table can't hold.
 _BEGIN, _SPARSE = np.uint64(0x5851F42D4C957F2D), 27
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: A number for each byte, and an odd base: a word's key is the sum of its bytes' numbers times powers of the base.
+_BYTE = np.random.default_rng(5).integers(0, 2**64, 256, np.uint64)[_LOWER]
+_BASE = 0x9E3779B97F4A7C15
+_END = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _key(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+class Powers:
+    """Powers of the base and of its inverse, as many as were asked for."""
 
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = 1 << max(n - 1, 1).bit_length()
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+                x = np.full(size, base, np.uint64)
+                x[0] = 1
+                setattr(self, name, np.cumprod(x))
+        return self.up[:n], self.down[:n]
+
+
+_powers = Powers()
+
+
+def _word_keys(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of the words in bytes; begins: where a text does. Words end at white space and texts' ends."""
+    letter = ~_SPACE[data]
+    first = letter.copy()
+    first[1:] &= ~letter[:-1]
+    first[begins[begins < len(data)]] |= letter[begins[begins < len(data)]]
+    at = np.flatnonzero(first)
+    if not len(at):
+        return at, np.zeros(0, np.uint64)
+    up, down = _powers.upto(len(data))
+    value = np.where(letter, _BYTE[data], np.uint64(0)) * up
+    total = np.cumsum(value)
+    # Bytes between words add nothing, so a word's sum ends where the next one begins.
+    upto = np.append(total[at[1:] - 1], total[-1])
+    x = (upto - total[at] + value[at]) * down[at]
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return at, x ^ x >> np.uint64(29)
 
-class Vocabulary(dict):
-    """Numbers words as they come; 0 is a text's start, 1 its end. keys has the key of each number."""
 
-    def __init__(self) -> None:
-        super().__init__({b"": 1})
-        self.new: list[bytes] = []
-        self.keys = np.array([_BEGIN, _key(b"")], np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self) + 1
-        self.new.append(word)
-        return n
-
-    def numbers(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all texts' words, each text after its start and before its end; where each text begins."""
-        flat, get = [], self.__getitem__
-        for words in texts:
-            flat.append(0)
-            flat += map(get, words)
-            flat.append(1)
-        self.keys = np.concatenate([self.keys, np.array([_key(w) for w in self.new], np.uint64)])
-        self.new = []
-        size = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
-        return np.array(flat, np.int64), np.cumsum(size) - size
+def word_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all texts' words, each text after its start and before its end; where each text begins.
+
+    A-Z are lower-cased. Texts are gone through in blocks that end between words, so a very long one costs memory for
+    its words only.
+    """
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(texts) else np.zeros(0, np.uint8)
+    begins = offsets[:-1] - offsets[0]
+    places, keys, a = [], [], 0
+    while a < len(data):
+        b = a + _BLOCK
+        if b < len(data):
+            space = np.flatnonzero(_SPACE[data[b : b + _BLOCK]])
+            while not len(space) and b < len(data):
+                b += _BLOCK
+                space = np.flatnonzero(_SPACE[data[b : b + _BLOCK]])
+            b += int(space[0]) if len(space) else 0
+        own = begins[(begins >= a) & (begins < b)] - a
+        at, key = _word_keys(data[a:b], own)
+        places.append(at + a)
+        keys.append(key)
+        a = b
+    place, key = (np.concatenate(v) for v in (places, keys)) if places else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    words = np.diff(np.searchsorted(place, begins), append=len(place)) if len(begins) else np.zeros(0, np.int64)
+    starts = np.cumsum(words + 2) - (words + 2)
+    out = np.full(len(key) + 2 * len(words), _END, np.uint64)
+    out[starts] = _BEGIN
+    out[np.arange(len(key)) + 2 * np.repeat(np.arange(len(words)), words) + 1] = key
+    return out, starts
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -180,20 +225,20 @@ def _reduced(dealt: DataFrame, parts: int, least: int) -> DataFrame:
 
 
 def word_counts(rows: DataFrame, text: str = "text", parts: int | None = None) -> DataFrame:
-    """key and n of the words of all rows; the end of each text counts as the word b"". Null texts count as empty."""
+    """key and n of the words of all rows; the end of each text counts as a word. Null texts count as empty."""
     parts = parts or _partitions(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, n = Vocabulary(), np.zeros(0, np.int64)
+        held, size = [], 0
         for batch in common.chunks(batches, "text"):
-            found = np.bincount(words.numbers([words_of(t) for t in batch.column("text").to_pylist()])[0], minlength=len(words.keys))
-            found[: len(n)] += n
-            n = found
-            if len(words) > _WORDS:
-                yield _blocks(words.keys[1:], words.keys[1:], n[1:], parts, False)
-                words, n = Vocabulary(), np.zeros(0, np.int64)
-        if len(n):
-            yield _blocks(words.keys[1:], words.keys[1:], n[1:], parts, False)
+            x, _ = word_keys(batch.column("text"))
+            held.append(np.unique(x[x != _BEGIN], return_counts=True))
+            size += len(held[-1][0])
+            if size > _COMBINED:
+                yield _blocks(*(np.concatenate(v) for v in zip(*[(k, k, n) for k, n in held])), parts, False)
+                held, size = [], 0
+        if size:
+            yield _blocks(*(np.concatenate(v) for v in zip(*[(k, k, n) for k, n in held])), parts, False)
 
     found = _reduced(_texts(rows, text).mapInArrow(run, "part int, data binary"), parts, 1)
     return found.select(F.col("context").alias("key"), "n")
@@ -228,17 +273,14 @@ def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may_lead, may_follow = shared.value
-        words, held, size = Vocabulary(), [], 0
+        held, size = [], 0
 
         def out() -> pa.RecordBatch:
             context, suffix = (np.concatenate(v) for v in zip(*held))
             return _blocks(context, suffix, np.ones(len(context), np.int64), parts, order == 2)
 
         for batch in common.chunks(batches, "text"):
-            if len(words) > _WORDS:
-                words = Vocabulary()
-            x, starts = words.numbers([words_of(t) for t in batch.column("text").to_pylist()])
-            *_, (_, context, suffix) = sequences(words.keys[x], starts, order)
+            *_, (_, context, suffix) = sequences(*word_keys(batch.column("text")), order)
             known = _may(may_lead, context)
             known[known] = _may(may_follow, suffix[known])
             held.append((context[known], suffix[known]))
@@ -276,7 +318,7 @@ def values(training: DataFrame, words: DataFrame, total: int, distinct: int, tex
     words: key and n of all words, with the total of n and the number of distinct keys.
     """
     parts = max(_partitions(training), -(-total // _PART))
-    begins = words.where(F.col("key") == _signed(_key(b""))).select(F.lit(_signed(int(_BEGIN))).alias("key"), "n")
+    begins = words.where(F.col("key") == _signed(int(_END))).select(F.lit(_signed(int(_BEGIN))).alias("key"), "n")
     found, done = words.unionByName(begins), []
     below = words.where(F.col("n") >= LEAST).select("key", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("below"))
     for order in range(2, DEPTH + 2):
@@ -355,34 +397,28 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often_words, count, rare_words, often, v, rare = shared.value
-        words, log, ask = Vocabulary(), np.zeros(0), np.zeros(0, bool)
         for batch in common.chunks(batches, "__text"):
-            if len(words) > _WORDS:
-                words, log, ask = Vocabulary(), np.zeros(0), np.zeros(0, bool)
-            texts = [words_of(t) for t in batch.column("__text").to_pylist()]
-            x, starts = words.numbers(texts)
-            of = np.repeat(np.arange(len(texts)), np.diff(starts, append=len(x)))
-            new = words.keys[len(log) :]
-            at = often_words.find(new)
-            n = np.where(at >= 0, count[at], 0) if len(count) else np.zeros(len(new))
-            log, ask = np.append(log, np.log10(n + 0.1) - base), np.append(ask, (n == 0) & _may(rare_words, new))
-            log[0], ask[0] = 0.0, False
-            key = words.keys[x]
-            sure = contexts.sums(np.where(ask[x], math.log10(0.1) - base, log[x]) * (x > 0), starts)
-            known = contexts.sums(((log[x] > math.log10(0.2) - base) & (x > 0)).astype(float), starts).astype(np.int64)
-            follows = x != 1  # an end is no context
-            asked_of, asked, more = [], [], np.zeros(len(texts))
+            key, starts = word_keys(batch.column("__text"))
+            of = np.repeat(np.arange(batch.num_rows), np.diff(starts, append=len(key)))
+            word, last = key != _BEGIN, key == _END
+            at = often_words.find(key)
+            n = np.where((at >= 0) & word, count[at], 0) if len(count) else np.zeros(len(key))
+            sure = contexts.sums(np.where(word, np.log10(n + 0.1) - base, 0.0), starts)
+            known = contexts.sums((n > 0).astype(float), starts).astype(np.int64)
+            of_rare = word & (n == 0)
+            of_rare[of_rare] = _may(rare_words, key[of_rare])
+            follows = ~last  # an end is no context
+            asked_of, asked, more = [], [], np.zeros(batch.num_rows)
             for place, key_at in [(np.flatnonzero(follows), key[follows]), *((at, mixed(c, s)) for at, c, s in sequences(key, starts, DEPTH + 1))]:
                 at = often.find(key_at)
                 if len(v):
-                    more += np.bincount(of[place], np.where(at >= 0, v[at], 0.0), len(texts))
+                    more += np.bincount(of[place], np.where(at >= 0, v[at], 0.0), batch.num_rows)
                 miss = at < 0
                 miss[miss] = _may(rare, key_at[miss])
                 asked_of.append(of[place][miss])
                 asked.append(key_at[miss])
-            of_rare = ask[x]
-            out = [*(batch.column(i) for i in range(len(keep))), batch.column("__row"), pa.array(np.diff(starts, append=len(x)) - 1), pa.array(known), pa.array(sure), pa.array(more)]
-            out += [_asked(of[of_rare], key[of_rare], len(texts)), _asked(np.concatenate(asked_of), np.concatenate(asked), len(texts))]
+            out = [*(batch.column(i) for i in range(len(keep))), batch.column("__row"), pa.array(np.diff(starts, append=len(key)) - 1), pa.array(known), pa.array(sure), pa.array(more)]
+            out += [_asked(of[of_rare], key[of_rare], batch.num_rows), _asked(np.concatenate(asked_of), np.concatenate(asked), batch.num_rows)]
             yield pa.RecordBatch.from_arrays(out, names)
 
     names = [*keep, "__row", "__tokens", "__known", "__base", "__states", "__words", "__keys"]

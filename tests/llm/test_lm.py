@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("fieldmosaic.llm.lm")
@@ -113,6 +114,23 @@ def test_predictions_sum_to_one():
         assert math.isclose(sum(plain.p(w, s) for w in words) + plain.p("never", s), 1, rel_tol=1e-9), (s, unseen)
 
 
+@pytest.mark.parametrize("block", [7, 2_000_000])
+def test_word_keys(monkeypatch, block):
+    """Equal words, and only they, have equal keys, wherever they stand; texts may be empty, long or sliced."""
+    monkeypatch.setattr(lm, "_BLOCK", block)
+    rng = random.Random(2)
+    texts = ["", "  ", "a A b", "b", "ab", "É é\x85É\u2003x", "\tab\x0bAB\n", "z" * 5000 + " q"] + ["".join(rng.choice("ab \nC") for _ in range(rng.randrange(60))) for _ in range(200)]
+    key, starts = lm.word_keys(pa.array(["left out", *texts]).slice(1))
+    name = {}
+    for a, b, t in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], texts):
+        want = [b"<", *t.encode().lower().split(), b">"]
+        assert b - a == len(want)
+        for k, w in zip(key[a:b].tolist(), want):
+            assert name.setdefault(w, k) == k
+    assert len(set(name.values())) == len(name)
+    assert len(lm.word_keys(pa.array([], pa.string()))[0]) == 0
+
+
 def test_sequences():
     x, starts = np.array([9, 1, 2, 9, 3], np.uint64), np.array([0, 3])
     found = [(at.tolist(), c.tolist(), s.tolist()) for at, c, s in lm.sequences(x, starts, 3)]
