@@ -13,29 +13,32 @@ from fieldmosaic.llm import common, contamination, exact, language, pieces, simh
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learnt: those that op4 rejects (no letter) go."""
+    """Documents in a language that was learnt: those that op4 rejects (null text or no letter) go.
+
+    Between languages of equal code length the first name wins; rows with null ids, and repeated rows, are rows like others.
+    """
     trees = language.train(docs.where(~language.held_out()))
-    marked = language.predict(docs, trees, keep=tuple(docs.columns))
-    return marked.where(F.col("lang_pred") != language.UNKNOWN).drop("lang_pred", "score")
+    marked = language.predict(docs, trees, keep=tuple(docs.columns), names=("__lang", "__share"))
+    return marked.where(F.col("__lang") != language.UNKNOWN).drop("__lang", "__share")
 
 
 def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
+    """Of equal texts the document with the largest id; a null id is the smallest, of rows equal in both one stays."""
     return exact.deduplicated(docs)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
+    """Of each group of near copies the document with the smallest id; of null ids only, each text once."""
     return simhash.deduplicated(docs)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated by the benchmark."""
+    """Documents that aren't contaminated by the benchmark, repeated rows and null ids included; without items all stay."""
     return contamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids and decoded of every document."""
+    """doc_id, lang, source, n_tokens, ids and decoded of every document; a null or empty text has the end id only."""
     import public_tokenizers
 
     done = pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id", "lang", "source"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import from_parts, lenient_date, year_of
 from ..functions.names import species_key
+from .ranges import running
 
 
 def clean_observations(occ: DataFrame, first_year: int = 2017, last_year: int = 2024, most_km: float = 0.1) -> DataFrame:
@@ -36,28 +37,15 @@ def ordered_slices(df: DataFrame, n: int, order: str, key: list[str] | None = No
     Without a key the ranks are counted range by range: sorted partitions are numbered by themselves and then
     shifted by how many rows the earlier ones hold, so that no task sees all rows.
     """
-    ranked = _ranked(df, order) if not key else df.withColumns({"__rank": F.row_number().over(Window.partitionBy(*key).orderBy(order)) - 1, "__n": F.count("*").over(Window.partitionBy(*key))})
+    found = ranked(df, order) if not key else df.withColumns({"__rank": F.row_number().over(Window.partitionBy(*key).orderBy(order)) - 1, "__n": F.count("*").over(Window.partitionBy(*key))})
     step = F.floor(F.col("__n") / n) + 1
-    return ranked.withColumn("slice", F.floor(F.col("__rank") / step).cast("int")).drop("__rank", "__n")
+    return found.withColumn("slice", F.floor(F.col("__rank") / step).cast("int")).drop("__rank", "__n")
 
 
-def _ranked(df: DataFrame, order: str) -> DataFrame:
-    """df with __rank (from 0) and __n by a distinct, not null, numeric order, without a single-task window.
-
-    Approximate quantiles cut the order into ranges; ranks within a range are shifted by the exact sizes of the
-    ranges before it. The cuts only spread the work, they don't change the ranks.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(df.approxQuantile(order, [k / parts for k in range(1, parts)], 0.01)))
-    place = F.lit(0)
-    for c in cuts:
-        place = place + F.when(F.col(order) >= c, 1).otherwise(0)
-    ranged = df.withColumn("__part", place)
-    local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy("__part").orderBy(order)) - 1)
-    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__size"))  # a row for each range
-    before = Window.orderBy("__part")
-    shift = sizes.select("__part", (F.sum("__size").over(before) - F.col("__size")).alias("__shift"), F.sum("__size").over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__n"))
-    return local.join(F.broadcast(shift), "__part").withColumn("__rank", F.col("__local") + F.col("__shift")).drop("__part", "__local", "__shift")
+def ranked(df: DataFrame, order: str) -> DataFrame:
+    """df with __rank (from 0) and __n by a distinct, not null, numeric order, without a single-task window."""
+    found = running(df, [], order, {"__upto": F.lit(1)}, totals={"__n": F.lit(1)})
+    return found.withColumn("__rank", F.col("__upto") - 1).drop("__upto")
 
 
 def run_status(results: DataFrame) -> DataFrame:

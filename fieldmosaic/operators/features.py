@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .clean import _ranked
+from .clean import ranked
+from .ranges import running
 
 
 def matrix(df: DataFrame, drop: list[str], features: list[str]) -> DataFrame:
@@ -17,32 +18,39 @@ def matrix(df: DataFrame, drop: list[str], features: list[str]) -> DataFrame:
     return out.na.fill(0, subset=features)
 
 
+def _number(c: str):
+    """The column without NaN, which aggregates would take for a value."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def minmax(df: DataFrame, columns: list[str], top: float = 100.0) -> DataFrame:
-    """Scaled to 0..top; a constant column becomes 0. One row of ranges is broadcast."""
-    bounds = df.agg(*[f(c).alias(f"__{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
-    scaled = {c: F.when(F.col(f"__max_{c}") > F.col(f"__min_{c}"), (F.col(c) - F.col(f"__min_{c}")) / F.nullif(F.col(f"__max_{c}") - F.col(f"__min_{c}"), F.lit(0.0)) * top).otherwise(F.lit(0.0)) for c in columns}
+    """Scaled to 0..top; a constant column becomes 0. One row of ranges is broadcast. Nulls and NaN stay as they are."""
+    bounds = df.agg(*[f(_number(c)).alias(f"__{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
+    scaled = {c: F.when(F.col(f"__max_{c}") > F.col(f"__min_{c}"), (F.col(c) - F.col(f"__min_{c}")) / F.nullif(F.col(f"__max_{c}") - F.col(f"__min_{c}"), F.lit(0.0)) * top).otherwise(F.when(_number(c).isNull(), F.col(c)).otherwise(F.lit(0.0))) for c in columns}
     return df.join(F.broadcast(bounds)).withColumns(scaled).drop(*bounds.columns)
 
 
 def standard(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
-    """Mean 0 and population deviation 1, within each key if there are keys; a constant column becomes 0."""
+    """Mean 0 and population deviation 1, within each key if there are keys; a constant column becomes 0. Nulls and NaN
+    stay as they are and don't count."""
     keys = keys or []
-    stats = df.groupBy(*keys).agg(*[f(c).alias(f"__{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("sd", F.stddev_pop))])
-    scaled = {c: F.when(F.col(f"__sd_{c}") > 0, (F.col(c) - F.col(f"__avg_{c}")) / F.nullif(F.col(f"__sd_{c}"), F.lit(0.0))).otherwise(F.lit(0.0)) for c in columns}
+    stats = df.groupBy(*keys).agg(*[f(_number(c)).alias(f"__{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("sd", F.stddev_pop))])
+    scaled = {c: F.when(F.col(f"__sd_{c}") > 0, (F.col(c) - F.col(f"__avg_{c}")) / F.nullif(F.col(f"__sd_{c}"), F.lit(0.0))).otherwise(F.when(_number(c).isNull(), F.col(c)).otherwise(F.lit(0.0))) for c in columns}
     joined = df.join(stats, keys) if keys else df.join(F.broadcast(stats))
     return joined.withColumns(scaled).drop(*[c for c in stats.columns if c not in keys])
 
 
 def stratified_folds(df: DataFrame, keys: list[str], label: str = "label", n: int = 5, seed: int = 42, row: str = "id") -> DataFrame:
     """fold 0..n-1: rows of each key and label dealt out in the order of a hash of their id (below 3.4e9)."""
-    order = F.pmod(F.col(row) * F.lit(2654435761) + F.lit(seed), F.lit(4294967296))
-    return df.withColumn("fold", ((F.row_number().over(Window.partitionBy(*keys, label).orderBy(order, row)) - 1) % n).cast("int"))
+    hashed = df.withColumn("__hash", F.pmod(F.col(row) * F.lit(2654435761) + F.lit(seed), F.lit(4294967296)))
+    found = running(hashed, [*keys, label], "__hash", {"__upto": F.lit(1)}, ties=[row])
+    return found.withColumn("fold", ((F.col("__upto") - 1) % n).cast("int")).drop("__hash", "__upto")
 
 
 def contiguous_folds(df: DataFrame, n: int = 5, row: str = "id") -> DataFrame:
     """fold 0..n-1: consecutive stretches in the order of the row's id; the first ones take what is left over."""
-    ranked = _ranked(df, row)
+    found = ranked(df, row)
     size, rest = F.floor(F.col("__n") / n), F.col("__n") % n
     wide = rest * (size + 1)
     fold = F.when(F.col("__rank") < wide, F.floor(F.col("__rank") / (size + 1))).otherwise(rest + F.floor((F.col("__rank") - wide) / F.greatest(size, F.lit(1))))
-    return ranked.withColumn("fold", fold.cast("int")).drop("__rank", "__n")
+    return found.withColumn("fold", fold.cast("int")).drop("__rank", "__n")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,67 +100,177 @@ def forest_edge(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return joined.select(*keys, "cx", "cy", F.when((F.col("label") == FOREST) & F.col("near").isNotNull(), 1).otherwise(0).alias("edge"))
 
 
-def canny_edge(cells: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """cx, cy, magnitude, edge: forest borders by a Gaussian of one cell, Sobel slopes and thinning across them.
+#: Cells along a tile's side; weights of the smoothing kernel along an axis (binomial, about one cell wide).
+TILE, SMOOTH = 256, (1, 4, 6, 4, 1)
+#: Least slope of a border, in units of the mask after smoothing by weights that sum to 256; the cells that it needs.
+SLOPE, RIM = 128, 4
 
-    Stencils are joins of each cell's value to the cells around it; unknown cells count as not forest. A cell is an
-    edge if its slope is at least the threshold and no smaller than at its two neighbours along the slope.
-    """
-    import math
-
-    mask = cells.select("cx", "cy", F.when(F.col("label") == FOREST, 1.0).otherwise(0.0).alias("v"))
-    offsets = [(x, y) for x in range(-2, 3) for y in range(-2, 3)]
-    total = sum(math.exp(-(x * x + y * y) / 2) for x, y in offsets)
-    known = cells.select("cx", "cy")
-
-    def stencil(df: DataFrame, weights: dict[str, dict[tuple[int, int], float]]) -> DataFrame:
-        places = sorted({p for w in weights.values() for p in w})
-        parts = F.explode(F.array(*[F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy"), *[F.lit(float(w.get((x, y), 0.0))).alias(n) for n, w in weights.items()]) for x, y in places]))
-        # A value at (cx, cy) is at offset (dx, dy) from the cell (cx - dx, cy - dy).
-        sent = df.select("cx", "cy", "v", parts.alias("w")).select((F.col("cx") - F.col("w.dx")).alias("cx"), (F.col("cy") - F.col("w.dy")).alias("cy"), *[(F.col("v") * F.col(f"w.{n}")).alias(n) for n in weights])
-        return sent.groupBy("cx", "cy").agg(*[F.sum(n).alias(n) for n in weights]).join(known, ["cx", "cy"], "left_semi")
-
-    smooth = stencil(mask, {"v": {(x, y): math.exp(-(x * x + y * y) / 2) / total for x, y in offsets}})
-    sobel = {(-1, -1): -1, (-1, 0): -2, (-1, 1): -1, (1, -1): 1, (1, 0): 2, (1, 1): 1}
-    slopes = stencil(smooth, {"gx": sobel, "gy": {(y, x): w for (x, y), w in sobel.items()}})
-    slopes = slopes.withColumn("magnitude", F.sqrt(F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy")))
-    turn = F.pmod(F.round(F.atan2("gy", "gx") / (math.pi / 4)), F.lit(4)).cast("int")
-    step = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((1, 0), (1, 1), (0, 1), (-1, 1))])[turn]
-    along = slopes.withColumn("s", step).withColumn("side", F.explode(F.array(F.lit(1), F.lit(-1))))
-    along = along.select("cx", "cy", "magnitude", (F.col("cx") + F.col("side") * F.col("s.x")).alias("nx"), (F.col("cy") + F.col("side") * F.col("s.y")).alias("ny"))
-    other = slopes.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("magnitude").alias("m"))
-    top = along.join(other, ["nx", "ny"], "left").groupBy("cx", "cy").agg(F.first("magnitude").alias("magnitude"), F.coalesce(F.max("m"), F.lit(0.0)).alias("m"))
-    return top.select("cx", "cy", "magnitude", F.when((F.col("magnitude") >= threshold) & (F.col("magnitude") >= F.col("m")), 1).otherwise(0).alias("edge"))
-
-
-def all_features(cells: DataFrame, radii: tuple[int, int] = (1, 3), keys: list[str] | None = None, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """keys, cx, cy and 22 features: nine percentages, edge cells and core percentage for each of two radii.
-
-    stage: writes a frame that is used several times and reads it again, so that it is computed once.
+
+def _shift(a: np.ndarray, dx: int, dy: int) -> np.ndarray:
+    """The value of each cell's neighbour at (dx, dy); nothing outside."""
+    out = np.zeros_like(a)
+    h, w = a.shape
+    out[max(0, -dy) : h - max(0, dy), max(0, -dx) : w - max(0, dx)] = a[max(0, dy) : h - max(0, -dy), max(0, dx) : w - max(0, -dx)]
+    return out
+
+
+def canny(forest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared slope and thinned borders (0 or 1) of a dense 0/1 mask; all in whole numbers, so no sum is rounded.
+
+    Smoothing by SMOOTH along both axes, Sobel slopes, and of cells with a slope of SLOPE or more those that no
+    neighbour along the slope exceeds. The slope's direction is one of four, parted at 22.5 degrees (2414 / 1000).
     """
-    keys = keys or []
-    on = [*keys, "cx", "cy"]
-    cells = stage(cells)
-    masks = stage(cells.join(forest_core(cells, keys), on).join(forest_edge(cells, keys), on))
-    out = None
+    v = forest.astype(np.int64)
+    v = sum(w * _shift(v, d, 0) for w, d in zip(SMOOTH, range(-2, 3)))
+    v = sum(w * _shift(v, 0, d) for w, d in zip(SMOOTH, range(-2, 3)))
+    across = lambda a, turn: sum(w * (_shift(a, *turn(1, d)) - _shift(a, *turn(-1, d))) for w, d in ((1, -1), (2, 0), (1, 1)))
+    gx, gy = across(v, lambda x, y: (x, y)), across(v, lambda x, y: (y, x))
+    slope = gx * gx + gy * gy
+    flat, steep = 1000 * np.abs(gx) >= 2414 * np.abs(gy), 1000 * np.abs(gy) >= 2414 * np.abs(gx)
+    edge = slope >= SLOPE * SLOPE
+    for here, (dx, dy) in ((flat, (1, 0)), (steep & ~flat, (0, 1)), (~flat & ~steep & ((gx > 0) == (gy > 0)), (1, 1)), (~flat & ~steep & ((gx > 0) != (gy > 0)), (-1, 1))):
+        edge &= ~here | ((slope >= _shift(slope, dx, dy)) & (slope >= _shift(slope, -dx, -dy)))
+    return slope, edge.astype(np.int64)
+
+
+def _layers(label: np.ndarray) -> np.ndarray:
+    """[class 0 to 8, core, edge] masks of a dense grid of labels, -1 where unknown."""
+    known, forest = label >= 0, label == FOREST
+    other = known & ~forest
+    near = other | _shift(other, 1, 0) | _shift(other, -1, 0) | _shift(other, 0, 1) | _shift(other, 0, -1)
+    return np.stack([*(label == k for k in CLASSES), forest & ~near, known & (canny(forest)[1] > 0)]).astype(np.int64)
+
+
+def _disk_sums(layers: np.ndarray, radius: int, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """[layer, cell]: sums over the disk around each cell (y, x), by prefix sums along rows. Disks must lie inside."""
+    prefix = np.zeros((layers.shape[0], layers.shape[1], layers.shape[2] + 1), np.int64)
+    np.cumsum(layers, axis=2, out=prefix[:, :, 1:])
+    total = np.zeros((layers.shape[0], len(y)), np.int64)
+    for dy in range(-radius, radius + 1):
+        half = math.isqrt(radius * radius - dy * dy)
+        total += prefix[:, y + dy, x + half + 1] - prefix[:, y + dy, x - half]
+    return total
+
+
+def feature_names(radii: tuple[int, ...], metres: int = 100) -> list[str]:
+    return [n for r in radii for n in (*[f"dw_class_{k}_pct_{r * metres}m" for k in CLASSES], f"forest_edge_{r * metres}", f"forest_core_pct_{r * metres}")]
+
+
+def _features(layers: np.ndarray, radii: tuple[int, ...], y: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
+    """Columns of feature_names() of known cells."""
+    out = []
     for r in radii:
-        shares = [F.avg(F.when(F.col("label") == k, 100.0).otherwise(0.0)).alias(f"dw_class_{k}_pct_{r}") for k in CLASSES]
-        more = [F.sum("edge").alias(f"forest_edge_{r}"), (F.avg("core") * 100).alias(f"forest_core_pct_{r}")]
-        near = spread(masks, r).groupBy(*keys, F.col("nx").alias("cx"), F.col("ny").alias("cy")).agg(*shares, *more)
-        out = near.join(cells.select(*on), on, "left_semi") if out is None else out.join(near, on)
+        total = _disk_sums(layers, r, y, x)
+        n = total[:9].sum(0)
+        out += [total[k] * 100.0 / n for k in CLASSES] + [total[10], total[9] * 100.0 / n]
     return out
 
 
-def point_features(points: DataFrame, scenes: DataFrame, radii: tuple[int, int] = (1, 2), months: int = 3, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """obs_id and the 22 features of each point (obs_id, cx, cy, date) over its own months.
+def _tiled(cells: DataFrame, reach: int) -> DataFrame:
+    """Each cell once for every tile (tx, ty) that it lies in or within `reach` cells of."""
+    span = lambda c: F.sequence(F.floor((F.col(c) - reach) / TILE), F.floor((F.col(c) + reach) / TILE))
+    return cells.select("*", F.explode(span("cx")).alias("tx")).select("*", F.explode(span("cy")).alias("ty"))
 
-    Points of one date share their cells: each needed (date, cell) is composed once. Points whose own cell has no
-    scene in those months are left out.
+
+def _schema(keys: list[str], kinds: dict[str, str], radii: tuple[int, ...]) -> str:
+    columns = [f"{k} {kinds[k]}" for k in keys] + ["cx int", "cy int"]
+    return ", ".join(columns + [f"{n} {'long' if n.startswith('forest_edge') else 'double'}" for n in feature_names(radii)])
+
+
+def all_features(cells: DataFrame, radii: tuple[int, ...] = (1, 100), keys: list[str] | None = None) -> DataFrame:
+    """keys, cx, cy and 11 features for each radius (in cells of 100 m): nine percentages, border cells, core percentage.
+
+    One shuffle: cells (one row for each) go to tiles of TILE by TILE, and to those that they are near of. A task has
+    one tile at a time as a dense grid, of a size that only the radius and the number of columns determine; sums over
+    disks are taken from prefix sums along rows, so work grows with the radius and not with its square.
+    """
+    keys = keys or []
+    reach = max(radii) + RIM
+    side = TILE + 2 * reach
+    names = feature_names(radii)
+
+    def run(key, found):
+        *own, tx, ty = key
+        x, y = found["cx"].to_numpy() - tx * TILE + reach, found["cy"].to_numpy() - ty * TILE + reach
+        label = np.full((side, side), -1, np.int64)
+        label[y, x] = found["label"].to_numpy()
+        inside = (label >= 0)[reach : reach + TILE, reach : reach + TILE]
+        at_y, at_x = (v + reach for v in np.nonzero(inside))
+        columns = {k: pd.Series([v] * len(at_y), dtype=object if isinstance(v, str) else None) for k, v in zip(keys, own)}
+        columns |= {"cx": at_x - reach + tx * TILE, "cy": at_y - reach + ty * TILE}
+        return pd.DataFrame(columns | dict(zip(names, _features(_layers(label), radii, at_y, at_x))))
+
+    tiled = _tiled(cells.select(*keys, "cx", "cy", "label"), reach)
+    return tiled.groupBy(*keys, "tx", "ty").applyInPandas(run, _schema(keys, dict(cells.dtypes), radii))
+
+
+def forest_borders(cells: DataFrame) -> DataFrame:
+    """cx, cy, slope2, edge of known cells: squared slopes and thinned borders of forest, by canny() tile by tile."""
+    side = TILE + 2 * RIM
+
+    def run(key, found):
+        tx, ty = key
+        x, y = found["cx"].to_numpy() - tx * TILE + RIM, found["cy"].to_numpy() - ty * TILE + RIM
+        label = np.full((side, side), -1, np.int64)
+        label[y, x] = found["label"].to_numpy()
+        slope, edge = canny(label == FOREST)
+        at_y, at_x = (v + RIM for v in np.nonzero((label >= 0)[RIM:-RIM, RIM:-RIM]))
+        return pd.DataFrame({"cx": at_x - RIM + tx * TILE, "cy": at_y - RIM + ty * TILE, "slope2": slope[at_y, at_x], "edge": edge[at_y, at_x]})
+
+    tiled = _tiled(cells.select("cx", "cy", "label"), RIM)
+    return tiled.groupBy("tx", "ty").applyInPandas(run, "cx int, cy int, slope2 long, edge long")
+
+
+def point_features(points: DataFrame, scenes: DataFrame, radii: tuple[int, ...] = (1, 100), months: int = 3) -> DataFrame:
+    """obs_id and the features of each point (obs_id, cx, cy, date) over its own months.
+
+    The composite of a point's date is each cell's most frequent label (of ties the lowest) in the months before it.
+    Points whose own cell has no scene in those months are left out. Scenes are counted by cell, day and label, and go
+    with the points to groups of a tile and a quarter of a year; a group walks through its dates in order, adding and
+    removing days, so its size depends on the tile and not on the number of points, which are taken once for each cell
+    and date.
     """
-    cells = spread(points, max(radii) + 1).select("date", F.col("nx").alias("cx"), F.col("ny").alias("cy")).distinct()
-    composed = lookback(cells, scenes, ["date", "cx", "cy"], months)
-    grid = all_features(composed, radii, ["date"], stage)
-    return points.select("obs_id", "date", "cx", "cy").join(grid, ["date", "cx", "cy"]).drop("date", "cx", "cy")
+    reach, names = max(radii) + RIM, feature_names(radii)
+    quarter = lambda c: F.year(c) * 4 + F.quarter(c)
+    tile = lambda c: F.floor(F.col(c) / TILE)
+    epoch = F.lit("1970-01-01").cast("date")
+    wanted = points.where("date is not null").select("cx", "cy", "date").distinct()
+    wanted = wanted.select("*", tile("cx").alias("tx"), tile("cy").alias("ty"), quarter("date").alias("q"), F.datediff("date", epoch).alias("day"), F.datediff(F.add_months("date", -months), epoch).alias("since"))
+    daily = scenes.groupBy("cx", "cy", F.to_date("scene_ts").alias("d"), "label").agg(F.count("*").alias("n"))
+    # A day may count for dates up to so many months later; a month more than that covers short months.
+    near = F.explode(F.sequence(quarter("d"), quarter(F.add_months("d", months + 1)))).alias("q")
+    daily = _tiled(daily.select("cx", "cy", F.datediff("d", epoch).alias("day"), "label", "n", near), reach)
+    daily = daily.join(wanted.select("tx", "ty", "q").distinct(), ["tx", "ty", "q"], "left_semi")
+
+    def run(key, asked, days):
+        # Of the tile and its surroundings, what the points' disks reach.
+        x0, y0 = asked["cx"].min() - reach, asked["cy"].min() - reach
+        wide, high = asked["cx"].max() + reach + 1 - x0, asked["cy"].max() + reach + 1 - y0
+        days = days[days["cx"].between(x0, x0 + wide - 1) & days["cy"].between(y0, y0 + high - 1)].sort_values("day", kind="stable")
+        at = ((days["cy"].to_numpy() - y0) * wide + days["cx"].to_numpy() - x0) * 9 + days["label"].to_numpy()
+        day, n = days["day"].to_numpy(), days["n"].to_numpy()
+        counts, first, last, out = np.zeros(high * wide * 9, np.int64), 0, 0, []
+        for (now, since), rows in asked.groupby(["day", "since"], sort=True):
+            upto, start = np.searchsorted(day, now), np.searchsorted(day, since)
+            if start >= last:  # nothing of what is counted counts any more
+                counts[at[first:last]] = 0
+                first = last = start
+            np.add.at(counts, at[last:upto], n[last:upto])
+            np.subtract.at(counts, at[first:start], n[first:start])
+            first, last = start, upto
+            grid = counts.reshape(high, wide, 9)
+            label = np.where(grid.any(2), grid.argmax(2), -1)
+            px, py = rows["cx"].to_numpy(), rows["cy"].to_numpy()
+            ax, ay = px - x0, py - y0
+            known = label[ay, ax] >= 0
+            if known.any():
+                columns = {"date": rows["date"].to_numpy()[known], "cx": px[known], "cy": py[known]}
+                out.append(pd.DataFrame(columns | dict(zip(names, _features(_layers(label), radii, ay[known], ax[known])))))
+        return pd.concat(out) if out else pd.DataFrame(columns=["date", "cx", "cy", *names])
+
+    by = ["tx", "ty", "q"]
+    found = wanted.groupBy(*by).cogroup(daily.groupBy(*by)).applyInPandas(run, _schema(["date"], dict(wanted.dtypes), radii))
+    return points.select("obs_id", "date", "cx", "cy").join(found, ["date", "cx", "cy"]).drop("date", "cx", "cy")
 
 
 def sample_grid(points: DataFrame, grid: DataFrame, x0: float, y0: float, size: float) -> DataFrame:

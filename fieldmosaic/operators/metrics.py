@@ -1,17 +1,18 @@
-"""Curves and scores of binary predictions; every window is partitioned by the given keys and runs over distinct scores."""
+"""Curves and scores of binary predictions; running sums go over distinct scores, range by range."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranges import running
+
 
 def _steps(scored: DataFrame, keys: list[str]) -> DataFrame:
     """For each distinct score, from the highest: cumulated positives tp and negatives fp, and totals p and n."""
     by = scored.groupBy(*keys, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    down = Window.partitionBy(*keys).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    return by.select(*keys, "score", "pos", "neg", F.sum("pos").over(down).alias("tp"), F.sum("neg").over(down).alias("fp"), F.sum("pos").over(whole).alias("p"), F.sum("neg").over(whole).alias("n"))
+    pos, neg = F.col("pos"), F.col("neg")
+    return running(by, keys, "score", {"tp": pos, "fp": neg}, descending=True, totals={"p": pos, "n": neg})
 
 
 def _ratio(a: Column, b: Column) -> Column:

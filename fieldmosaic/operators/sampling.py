@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .spatial import bounding_box, points_in_any
 
 
+#: Ids below it give unlike draws.
+_MOST_IDS = 400_000_000
+
+
 def uniform(key: Column, seed: int) -> Column:
     """A number in [0, 1) for each key below 3.4e9."""
     return F.pmod(key * F.lit(2654435761) + F.lit(seed), F.lit(4294967296)) / F.lit(4294967296.0)
@@ -23,16 +27,20 @@ def with_random_date(df: DataFrame, key: str = "id", seed: int = 123, first: str
 def background_points(spark: SparkSession, vertices: DataFrame, edges: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """id, longitude, latitude: the first n of a sequence of uniform points in the bounding box that are in a polygon.
 
-    Candidates are drawn in growing numbers until there are enough. No more than n rows, in the order of id.
+    Candidates are drawn in growing numbers until there are enough, in the order of id. ValueError if the polygons take
+    up so little of the box that a thousand candidates for each point, or the ids that the draws allow, don't do.
     """
     box = bounding_box(vertices).first()
+    if box.x_min is None or n > _MOST_IDS // 2:
+        raise ValueError("no polygons to draw points in" if box.x_min is None else f"at most {_MOST_IDS // 2} points")
     tried = 2 * n
-    while True:
+    while tried <= min(2000 * n, _MOST_IDS):
         ids = spark.range(tried)
         # Two draws from unlike multiples of the id, as one sequence would lie on few lines.
         x, y = uniform(F.col("id") * 7 + 1, seed), uniform(F.pmod(F.col("id") * F.col("id") * 31 + F.col("id") * 13 + 5, F.lit(3_000_000_000)), seed + 1)
         drawn = ids.select(F.col("id").alias("obs_id"), (box.x_min + x * (box.x_max - box.x_min)).alias("longitude"), (box.y_min + y * (box.y_max - box.y_min)).alias("latitude"))
         found = points_in_any(drawn, edges)
-        if tried > 1000 * n or found.limit(n).count() >= n:
+        if found.limit(n).count() >= n:
             return found.orderBy("obs_id").limit(n).withColumnRenamed("obs_id", "id")
         tried *= 4
+    raise ValueError(f"fewer than {n} of {tried // 4} points are in a polygon")

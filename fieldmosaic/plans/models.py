@@ -1,13 +1,16 @@
 """Penalised Poisson models, any number of them in one job.
 
-Every Newton step is one grouped aggregation: the rows' gradient and curvature sums of all models, a few hundred
-numbers for each, come to the driver, where the small systems are solved. Rows never do, and a species that holds most
-rows is summed up in partial aggregates like any other. Coefficients go back as a small broadcast table.
+Every Newton step is one grouped aggregation: the rows' gradient and curvature sums of each model, which a task then
+solves, model by model. The models stay a table, a row for each, that is written after every step; only whether any is
+still open reaches the driver. A species that holds most rows is summed up in partial aggregates like any other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -15,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FLOOR = 1e-4
+#: Models that are broadcast to the rows; more are joined by a shuffle.
+BROADCAST_MODELS = 50_000
 
 
 def poisson_target(label: Column) -> Column:
@@ -29,80 +34,124 @@ def _eta(features: list[str], beta: str = "beta") -> Column:
     return F.least(F.greatest(eta, F.lit(-30.0)), F.lit(30.0))
 
 
-def fit(rows: DataFrame, keys: list[str], features: list[str], alphas: dict | float = 1e-4, target: str = "target", rounds: int = 25) -> DataFrame:
+def _bad(columns: list[str]) -> Column:
+    bad = F.lit(False)
+    for f in columns:
+        bad = bad | F.col(f).isNull() | F.isnan(f)
+    return bad
+
+
+def _with_models(rows: DataFrame, models: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """rows with the columns of their key's model; null keys are a key. Few models are broadcast, many are not."""
+    named = models.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in models.columns if c not in keys])
+    if named.limit(BROADCAST_MODELS + 1).count() <= BROADCAST_MODELS:
+        named = F.broadcast(named)
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return rows.join(named, on, how).drop(*[f"__{k}" for k in keys])
+
+
+def fit(rows: DataFrame, keys: list[str], features: list[str], stage: Callable[[DataFrame], DataFrame], alpha: float = 1e-4, target: str = "target", rounds: int = 25) -> DataFrame:
     """keys, alpha, n, beta (intercept first), status, error: a model for each key of rows.
 
     Minimises mean(mu - y eta) + alpha / 2 |beta|^2, the intercept left out of the penalty. If keys include alpha,
-    that column is the penalty, else `alphas` is. A model whose data are missing or not numbers, or that doesn't
-    converge, has status fail and its error; others aren't affected. Only sums for each model reach the driver.
+    that column is the penalty, else `alpha` is. A model whose data are missing or not numbers, or that doesn't
+    converge, has status fail and its error; others aren't affected. stage: writes a frame and reads it again.
     """
-    spark = rows.sparkSession
     p = len(features) + 1
     x = [F.lit(1.0), *[F.col(f) for f in features]]
-    bad = F.lit(False)
-    for f in [*features, target]:
-        bad = bad | F.col(f).isNull() | F.isnan(f)
-    first = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(target).alias("mean"), F.max(bad).alias("bad")).collect()
-    models = {}
-    for r in first:
-        key = tuple(r[k] for k in keys)
-        error = "features or target missing" if r["bad"] else "no positive target" if not r["mean"] or r["mean"] <= 0 else None
-        models[key] = {"n": r["n"], "beta": np.array([np.log(r["mean"]) if not error else 0.0] + [0.0] * (p - 1)), "error": error, "done": error is not None, "alpha": float(r["alpha"]) if "alpha" in keys else float(alphas)}
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"__{k} {kinds[k]}" for k in keys) + ", beta array<double>"
+    rows = stage(rows.select(*keys, *features, target))
+    first = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(target).alias("mean"), F.max(_bad([*features, target])).alias("bad"))
+    error = F.when(F.col("bad"), "features or target missing").when(F.coalesce(F.col("mean") <= 0, F.lit(True)), "no positive target")
+    start = F.array(F.when(F.col("mean") > 0, F.ln(F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0))).otherwise(0.0), *[F.lit(0.0)] * (p - 1))
+    penalty = F.col("alpha") if "alpha" in keys else F.lit(alpha)
+    models = stage(first.select(*keys, penalty.cast("double").alias("penalty"), "n", start.alias("beta"), error.alias("error"), error.isNotNull().alias("done")))
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in batches:
+            beta, done, error = [], [], []
+            for row in df.to_dict("records"):
+                b, sums = np.array(row["beta"], float), row["sums"]
+                if row["done"] or sums is None:
+                    beta.append(b), done.append(row["done"]), error.append(row["error"])
+                    continue
+                sums = np.array(sums, float) / row["n"]
+                g, h = sums[:p], np.zeros((p, p))
+                h[np.tril_indices(p)] = sums[p:]
+                h = h + np.tril(h, -1).T
+                pull = row["penalty"] * np.array([0.0] + [1.0] * (p - 1))
+                try:
+                    move = np.linalg.solve(h + np.diag(pull) + 1e-12 * np.eye(p), g + pull * b)
+                except np.linalg.LinAlgError as e:
+                    beta.append(b), done.append(True), error.append(str(e))
+                    continue
+                largest = np.abs(move).max()
+                beta.append(b - move * min(1.0, 4.0 / max(largest, 1e-300)))
+                done.append(bool(largest < 1e-9))
+                error.append(None)
+            yield df.drop(columns=["sums"]).assign(beta=beta, done=done, error=error)
+
+    sums = [F.sum((F.col("mu") - F.col(target)) * x[i]) for i in range(p)]
+    sums += [F.sum(F.col("mu") * x[i] * x[j]) for i in range(p) for j in range(i + 1)]
     for _ in range(rounds):
-        open_models = [(*k, m["beta"].tolist()) for k, m in models.items() if not m["done"]]
-        if not open_models:
+        still = models.where("not done").select(*keys, "beta")
+        if not still.limit(1).count():
             break
-        table = F.broadcast(spark.createDataFrame(open_models, schema))
-        on = F.lit(True)
-        for k in keys:
-            on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
-        met = rows.join(table, on).withColumn("mu", F.exp(_eta(features)))
-        sums = [F.sum((F.col("mu") - F.col(target)) * x[i]).alias(f"g{i}") for i in range(p)]
-        sums += [F.sum(F.col("mu") * x[i] * x[j]).alias(f"h{i}_{j}") for i in range(p) for j in range(i + 1)]
-        for r in met.groupBy(*keys).agg(*sums).collect():
-            m = models[tuple(r[k] for k in keys)]
-            g = np.array([r[f"g{i}"] for i in range(p)]) / m["n"]
-            h = np.array([[r[f"h{max(i, j)}_{min(i, j)}"] for j in range(p)] for i in range(p)]) / m["n"]
-            pull = m["alpha"] * np.array([0.0] + [1.0] * (p - 1))
-            try:
-                step = np.linalg.solve(h + np.diag(pull) + 1e-12 * np.eye(p), g + pull * m["beta"])
-            except np.linalg.LinAlgError as e:
-                m.update(done=True, error=str(e))
-                continue
-            largest = np.abs(step).max()
-            m["beta"] = m["beta"] - step * min(1.0, 4.0 / max(largest, 1e-300))
-            m["done"] = bool(largest < 1e-9)
-    out = [(*k, m["alpha"], m["n"], m["beta"].tolist(), "ok" if m["done"] and not m["error"] else "fail", m["error"] or (None if m["done"] else "no convergence")) for k, m in models.items()]
+        found = _with_models(rows, still, keys).withColumn("mu", F.exp(_eta(features))).groupBy(*keys).agg(F.array(*sums).alias("sums"))
+        schema = models.schema
+        models = stage(_with_models(models, found, keys, "left").select(*models.columns, "sums").mapInPandas(step, schema))
+    failed = F.coalesce("error", F.when(~F.col("done"), "no convergence"))
     own = [k for k in keys if k != "alpha"]
-    names = [*keys, "__alpha", "n", "beta", "status", "error"]
-    found = spark.createDataFrame(out, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", __alpha double, n long, beta array<double>, status string, error string").toDF(*names)
-    return found.select(*own, F.col("__alpha").alias("alpha"), "n", "beta", "status", "error")
+    return models.select(*own, F.col("penalty").alias("alpha"), "n", "beta", F.when(failed.isNull(), "ok").otherwise("fail").alias("status"), failed.alias("error"))
 
 
 def score(rows: DataFrame, models: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     """rows with score, exp(eta) of their key's model; null where a feature is missing or not a number, or without a model."""
-    bad = F.lit(False)
-    for f in features:
-        bad = bad | F.col(f).isNull() | F.isnan(f)
-    table = models.where("status = 'ok'").select(*[F.col(k).alias(f"__{k}") for k in keys], "beta")
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return rows.join(F.broadcast(table), on, "left").withColumn("score", F.when(~bad, F.exp(_eta(features)))).drop(*[f"__{k}" for k in keys], "beta")
-
-
-def cross_validate(rows: DataFrame, keys: list[str], features: list[str], alphas: list[float]) -> DataFrame:
-    """rows (with fold) once for each alpha, with alpha and the score of the model that didn't see their fold."""
-    spark = rows.sparkSession
-    grid = F.broadcast(spark.createDataFrame([(a,) for a in alphas], "alpha double"))
-    folds = [r["fold"] for r in rows.select("fold").distinct().collect()]
-    held = F.broadcast(spark.createDataFrame([(f,) for f in folds], "held int"))
-    training = rows.join(held, F.col("held") != F.col("fold")).join(grid)
-    models = fit(training, [*keys, "held", "alpha"], features)
-    every = rows.join(grid).withColumn("held", F.col("fold"))
-    return score(every, models, [*keys, "held", "alpha"], features).drop("held")
+    table = models.where("status = 'ok'").select(*keys, "beta")
+    return _with_models(rows, table, keys, "left").withColumn("score", F.when(~_bad(features), F.exp(_eta(features)))).drop("beta")
+
+
+def gradient(rows: DataFrame, models: DataFrame, keys: list[str], features: list[str], target: str = "target") -> DataFrame:
+    """keys, term, gradient of the penalised objective at each model's coefficients: zero at its optimum, and only there."""
+    x = {"intercept": F.lit(1.0), **{f: F.col(f) for f in features}}
+    table = models.where("status = 'ok'").select(*keys, "beta", F.col("alpha").alias("penalty"))
+    met = _with_models(rows, table, keys).withColumn("mu", F.exp(_eta(features)))
+    sums = met.groupBy(*keys).agg(F.first("beta").alias("beta"), F.first("penalty").alias("penalty"), *[F.avg((F.col("mu") - F.col(target)) * v).alias(f"__{t}") for t, v in x.items()])
+    pulled = [F.struct(F.lit(t).alias("term"), (F.col(f"__{t}") + (F.col("penalty") * F.col("beta")[k] if k else 0.0)).alias("gradient")) for k, t in enumerate(x)]
+    return sums.select(*keys, F.explode(F.array(*pulled)).alias("g")).select(*keys, "g.*")
+
+
+def cross_validate(rows: DataFrame, keys: list[str], features: list[str], alphas: list[float], stage: Callable[[DataFrame], DataFrame], folds: int = 5) -> DataFrame:
+    """rows (with fold 0 to folds - 1) once for each alpha, with alpha and the score of the model that didn't see their fold."""
+    rows = stage(rows)
+    grid = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
+    training = rows.select("*", F.explode(F.array(*[F.lit(k) for k in range(folds)])).alias("held")).where("held <> fold").select("*", grid)
+    models = fit(training, [*keys, "held", "alpha"], features, stage)
+    return score(rows.select("*", grid, F.col("fold").alias("held")), models, [*keys, "held", "alpha"], features).drop("held")
+
+
+def stored(rows: DataFrame, models: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """keys, beta, top, threshold: what scoring new data takes of each model.
+
+    top: its largest score over the training rows; threshold: that of the best F1 there, as a share of top.
+    """
+    from ..operators import metrics
+
+    scored = metrics.normalized(score(rows, models, keys, features), keys)
+    best = metrics.best_f1(scored.withColumn("score", F.round("intensity", 9)), keys).select(*keys, "threshold")
+    top = scored.groupBy(*keys).agg(F.max(F.nanvl("score", F.lit(None).cast("double"))).alias("top"))
+    return models.where("status = 'ok'").select(*keys, "beta").join(top, keys).join(best, keys)
+
+
+def predict_presence(rows: DataFrame, table: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """rows with intensity (score over the stored top) and present (1 at the stored threshold or more).
+
+    Both are null where a feature is missing or not a number, or where there is no model. Works on streams, too.
+    """
+    met = _with_models(rows, table.select(*keys, "beta", "top", "threshold"), keys, "left")
+    share = F.round(F.when(~_bad(features), F.exp(_eta(features)) / F.col("top")), 9)
+    return met.withColumn("intensity", share).withColumn("present", (F.col("intensity") >= F.col("threshold")).cast("int")).drop("beta", "top", "threshold")
 
 
 def glm(rows: DataFrame, features: list[str], target: str = "target", alpha: float = 1e-4):

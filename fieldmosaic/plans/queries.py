@@ -35,6 +35,8 @@ def _folder(spark: SparkSession, name: str) -> str:
     """A new folder that all executors see."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
@@ -102,10 +104,32 @@ def typed_cast_lenient(spark, sf):
     return readers.typed(raw, {"number": "int", "day": "date"}).withColumn("day", F.col("day").cast("string"))
 
 
-@query("select count(*) as n_rows, 4 as n_columns from (select * from region where r_regionkey < 0) as t")
+_DUMP = {"SCIENTIFIC NAME": ("string", "scientific_name"), "OBSERVATION DATE": ("date", "observation_date"), "PROTOCOL NAME": ("string", "protocol_name"), "EFFORT DISTANCE KM": ("double", "effort_distance_km"), "LONGITUDE": ("double", "longitude"), "LATITUDE": ("double", "latitude")}
+
+
+@query(" union all ".join(f"select {k} as place, '{name}' as name, '{t}' as type, count({c}) as known, count(*) as n_rows from occ" for k, (name, (t, c)) in enumerate(_DUMP.items())))
 def schema_probe(spark, sf):
-    df = readers.ingest_tsv(spark, *_tsv(spark, sf)).limit(0)
-    return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns) - 2))
+    """The dump's columns by its own header and values, from a scan for the schema alone, beside what a whole read finds."""
+    path, _ = _tsv(spark, sf)
+    probe = readers.read_inferred(spark, path).limit(0)
+    rows = readers.ingest_tsv(spark, path, probe.columns)
+    counts = rows.agg(F.count("*").alias("n_rows"), *[F.count(f"`{c}`").alias(f"c{k}") for k, c in enumerate(probe.columns)])
+    each = F.array(*[F.struct(F.lit(k).alias("place"), F.lit(c).alias("name"), F.lit(t).alias("type"), F.col(f"c{k}").alias("known")) for k, (c, t) in enumerate(probe.dtypes)])
+    return counts.select("n_rows", F.explode(each).alias("r")).select("r.*", "n_rows")
+
+
+@query(f"""select {KEY} as scientific_name, case when obs_id % 2 = 0 then longitude else null end as longitude, case when obs_id % 2 = 0 then null else cast(cx as double) end as cx, obs_id from occ
+where {KEY} in ('vireo_griseus', 'vireo_griseus_x')""")
+def globbed_csv(spark, sf):
+    """Files of one species by a pattern; their headers differ, and files of other species lie beside them."""
+    root = _folder(spark, "csv-files")
+    occ = view(spark, sf, "occ").withColumn("scientific_name", names.species_key(F.col("scientific_name")))
+    for species in ("vireo_griseus", "hyla_cinerea"):
+        own = occ.where(F.col("scientific_name") == species)
+        own.where("obs_id % 2 = 0").select("obs_id", "scientific_name", "longitude").write.option("header", True).csv(f"{root}/{species}_even")
+        own.where("obs_id % 2 = 1").select("scientific_name", "cx", "obs_id").write.option("header", True).csv(f"{root}/{species}_odd")
+    found = readers.read_csv_glob(spark, f"{root}/vireo_griseus*/*.csv")
+    return readers.typed(found, {"obs_id": "bigint", "longitude": "double", "cx": "double"}).select("scientific_name", "longitude", "cx", "obs_id")
 
 
 _OCC_TYPES = {"obs_id": "bigint", "scientific_name": "string", "observation_date": "string", "protocol_name": "string", "effort_distance_km": "double", "longitude": "double", "latitude": "double", "cx": "int", "cy": "int"}
@@ -267,11 +291,17 @@ def aoi_bbox(spark, sf):
     return _rounded(spatial.bounding_box(view(spark, sf, "vertex")))
 
 
-@query("""select o.obs_id from occ o, (select min(x) as x_min, min(y) as y_min, max(x) as x_max, max(y) as y_max from vertex where poly_id <= 3) as b
-where o.latitude between y_min - 5000 / cast(111320 as double) and y_max + 5000 / cast(111320 as double)
-  and o.longitude between x_min - 5000 / cast(111320 as double) / cos(radians((y_min + y_max) / 2)) and x_max + 5000 / cast(111320 as double) / cos(radians((y_min + y_max) / 2))""")
+_AROUND = "5000 / cast(111320 as double)"
+
+
+@query(f"""select poly_id, count(*) as n, min(obs_id) as first_id, max(obs_id) as last_id
+from occ o join (select poly_id, min(x) as x_min, min(y) as y_min, max(x) as x_max, max(y) as y_max from vertex group by poly_id) as b
+  on o.latitude between y_min - {_AROUND} and y_max + {_AROUND}
+  and o.longitude between x_min - {_AROUND} / cos(radians((y_min + y_max) / 2)) and x_max + {_AROUND} / cos(radians((y_min + y_max) / 2)) group by poly_id""")
 def bbox_clip(spark, sf):
-    return spatial.clip_to_box(view(spark, sf, "occ"), view(spark, sf, "vertex").where("poly_id <= 3"), 5000.0).select("obs_id")
+    """Records within 5 km of each polygon's bounding box, for all polygons."""
+    found = spatial.clip_to_boxes(view(spark, sf, "occ"), view(spark, sf, "vertex"), 5000.0)
+    return found.groupBy("poly_id").agg(F.count("*").alias("n"), F.min("obs_id").alias("first_id"), F.max("obs_id").alias("last_id"))
 
 
 def _projected(columns: str) -> str:
@@ -348,9 +378,25 @@ def forest_edge(spark, sf):
     return landcover.forest_edge(_season(spark, sf))
 
 
-@query()
+def _borders(key: str = "") -> str:
+    """SQL, behind the cells s (key, cx, cy, label): squared slopes s2 and thinned forest borders e (edge 0 or 1)."""
+    k, g, on = (f"{key}, ", f"{key}, cx, cy", f"e.{key} = {{0}}.{key} and ") if key else ("", "cx, cy", "")
+    sobel = ", ".join(f"({x}, {y}, {gx}, {gy})" for x, y, gx, gy in ((-1, -1, -1, -1), (-1, 0, -2, 0), (-1, 1, -1, 1), (1, -1, 1, -1), (1, 0, 2, 0), (1, 1, 1, 1), (0, -1, 0, -2), (0, 1, 0, 2)))
+    line = "(values (-2, 1), (-1, 4), (0, 6), (1, 4), (2, 1)) as d(v, w)"
+    return f"""f as (select {k}cx, cy from s where label = 1),
+sx as (select {k}cx, cy, sum(w) as v from (select {k}f.cx + d.v as cx, f.cy as cy, d.w as w from f, {line}) as t group by {g}),
+sy as (select {k}cx, cy, sum(w) as v from (select {k}sx.cx as cx, sx.cy + d.v as cy, sx.v * d.w as w from sx, {line}) as t group by {g}),
+gr as (select {k}cx, cy, cast(sum(gx) as bigint) as gx, cast(sum(gy) as bigint) as gy from (
+  select {k}sy.cx - o.dx as cx, sy.cy - o.dy as cy, sy.v * o.gx as gx, sy.v * o.gy as gy from sy, (values {sobel}) as o(dx, dy, gx, gy)) as t group by {g}),
+sl as (select {g}, gx * gx + gy * gy as s2, case when 1000 * abs(gx) >= 2414 * abs(gy) then 1 when 1000 * abs(gy) >= 2414 * abs(gx) then 0 when (gx > 0) = (gy > 0) then 1 else -1 end as ux,
+  case when 1000 * abs(gx) >= 2414 * abs(gy) then 0 else 1 end as uy from gr),
+ed as (select e.*, case when e.s2 >= 16384 and e.s2 >= coalesce(l.s2, 0) and e.s2 >= coalesce(r.s2, 0) then 1 else 0 end as edge from sl e
+  left join sl l on {on.format("l")}l.cx = e.cx + e.ux and l.cy = e.cy + e.uy left join sl r on {on.format("r")}r.cx = e.cx - e.ux and r.cy = e.cy - e.uy)"""
+
+
+@query(f"with s as ({_SEASON}), {_borders()} select s.cx, s.cy, coalesce(ed.s2, 0) as slope2, coalesce(ed.edge, 0) as edge from s left join ed on s.cx = ed.cx and s.cy = ed.cy")
 def forest_edge_canny(spark, sf):
-    return _rounded(landcover.canny_edge(_season(spark, sf)))
+    return landcover.forest_borders(_season(spark, sf))
 
 
 @query(f"with s as ({_SEASON}) select o.obs_id, s.label from occ o join s on cast(floor((o.longitude + 92) / (4 / cast(60 as double))) as int) = s.cx and cast(floor((o.latitude - 32) / (4 / cast(60 as double))) as int) = s.cy")
@@ -358,41 +404,71 @@ def sample_grid(spark, sf):
     return landcover.sample_grid(view(spark, sf, "occ").drop("cx", "cy"), _season(spark, sf), -92.0, 32.0, 4 / 60.0).select("obs_id", "label")
 
 
-def _all_features(cells: str, key: str, out: str, radii: tuple[int, int]) -> str:
-    """SQL of the 22 features of cells (key, cx, cy, label)."""
-    k, on = (f"a.{key}, ", f"a.{key} = b.{key} and ") if key else ("", "")
-    text = f"""{cells}, m as (select {k}a.cx, a.cy, a.label, {_CORE} as core, case when a.label = 1 and max(case when b.label <> 1 then 1 else 0 end) = 1 then 1 else 0 end as edge
-  from s a join s b on {on}abs(a.cx - b.cx) + abs(a.cy - b.cy) <= 1 group by {k}a.cx, a.cy, a.label)"""
+def _all_features(cells: str, key: str, out: str, radii: tuple[int, ...], of: str = "m") -> str:
+    """SQL of the features of the cells `of`, among the cells s (key, cx, cy, label)."""
+    k, on, with_edge = (f"a.{key}, ", f"a.{key} = b.{key} and ", f"c.{key} = ed.{key} and ") if key else ("", "", "")
+    text = f"""{cells}, {_borders(key)}, c as (select {k}a.cx, a.cy, a.label, {_CORE} as core from s a join s b on {on}abs(a.cx - b.cx) + abs(a.cy - b.cy) <= 1 group by {k}a.cx, a.cy, a.label),
+m as (select c.*, coalesce(ed.edge, 0) as edge from c left join ed on {with_edge}c.cx = ed.cx and c.cy = ed.cy)"""
     for r in radii:
-        shares = ", ".join(f"round(avg(case when b.label = {c} then cast(100 as double) else cast(0 as double) end), 6) as dw_class_{c}_pct_{r}" for c in range(9))
-        text += f""", r{r} as (select {k}a.cx, a.cy, {shares}, cast(sum(b.edge) as bigint) as forest_edge_{r}, round(avg(b.core) * 100, 6) as forest_core_pct_{r}
-  from m a join m b on {on}(a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy) <= {r * r} group by {k}a.cx, a.cy)"""
+        shares = ", ".join(f"round(avg(case when b.label = {n} then cast(100 as double) else cast(0 as double) end), 6) as dw_class_{n}_pct_{r}00m" for n in range(9))
+        text += f""", r{r} as (select {k}a.cx, a.cy, {shares}, cast(sum(b.edge) as bigint) as forest_edge_{r}00, round(avg(b.core) * 100, 6) as forest_core_pct_{r}00
+  from {of} a join m b on {on}(a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy) <= {r * r} group by {k}a.cx, a.cy)"""
     return text + out
 
 
 def _feature_columns(radii) -> str:
-    return ", ".join(f"r{r}.{c}" for r in radii for c in (*[f"dw_class_{k}_pct_{r}" for k in range(9)], f"forest_edge_{r}", f"forest_core_pct_{r}"))
+    return ", ".join(f"r{r}.{c}" for r in radii for c in landcover.feature_names((r,)))
 
 
-_POINT_CELLS = """with d as (select distinct cast(o.observation_date as date) as date, o.cx + x.v as cx, o.cy + y.v as cy from occ o,
-  (values (-3), (-2), (-1), (0), (1), (2), (3)) as x(v), (values (-3), (-2), (-1), (0), (1), (2), (3)) as y(v) where x.v * x.v + y.v * y.v <= 9),
+# Every (date, cell) composite of the whole grid; features are asked for at points' cells only.
+_POINT_CELLS = f"""with p as (select distinct cast(observation_date as date) as date, cx, cy from occ), dates as (select distinct date from p),
 s as (select date, cx, cy, label from (select date, cx, cy, label, row_number() over (partition by date, cx, cy order by n desc, label) as rk from (
-  select d.date, d.cx, d.cy, c.label, count(*) as n from d join cell c on d.cx = c.cx and d.cy = c.cy and c.scene_ts >= cast(d.date - interval '3' month as timestamp) and c.scene_ts < cast(d.date as timestamp)
-  group by d.date, d.cx, d.cy, c.label) as t) as u where rk = 1)"""
+  select d.date, c.cx, c.cy, c.label, count(*) as n from dates d join cell c on c.scene_ts >= cast(d.date - interval '3' month as timestamp) and c.scene_ts < cast(d.date as timestamp)
+  group by d.date, c.cx, c.cy, c.label) as t) as u where rk = 1), a0 as (select s.date, s.cx, s.cy from s join p on s.date = p.date and s.cx = p.cx and s.cy = p.cy)"""
 
 
-@query(_all_features(_POINT_CELLS, "date", f" select o.obs_id, {_feature_columns((1, 2))} from occ o join r1 on cast(o.observation_date as date) = r1.date and o.cx = r1.cx and o.cy = r1.cy join r2 on r1.date = r2.date and r1.cx = r2.cx and r1.cy = r2.cy", (1, 2)))
+@query(_all_features(_POINT_CELLS, "date", f" select o.obs_id, {KEY} as species, {_feature_columns((1, 100))} from occ o join r1 on cast(o.observation_date as date) = r1.date and o.cx = r1.cx and o.cy = r1.cy join r100 on r1.date = r100.date and r1.cx = r100.cx and r1.cy = r100.cy", (1, 100), "a0"))
 def point_features(spark, sf):
-    return _rounded(landcover.point_features(_dated(spark, sf), view(spark, sf, "cell"), stage=_stage))
+    """All features at the reference's radii (100 m and 10 km), exported by species."""
+    points = _dated(spark, sf).withColumn("species", names.species_key(F.col("scientific_name")))
+    found = _rounded(landcover.point_features(points, view(spark, sf, "cell")))
+    path = _folder(spark, "point-features")
+    writers.write_partitioned(points.select("obs_id", "species").join(found, "obs_id"), path, "species")
+    return spark.read.parquet(path)
 
 
-@query(_all_features(f"with s as ({_SEASON})", "", f" select 'summer' as period, r1.cx, r1.cy, {_feature_columns((1, 3))} from r1 join r3 on r1.cx = r3.cx and r1.cy = r3.cy", (1, 3)))
+def _grid_sql(period: str, months: str) -> str:
+    cells = _SEASON.replace("(4, 5, 6, 7, 8, 9)", months)
+    return "select * from (" + _all_features(f"with s as ({cells})", "", f" select '{period}' as period, 2019 as year, r1.cx, r1.cy, {_feature_columns((1, 100))} from r1 join r100 on r1.cx = r100.cx and r1.cy = r100.cy", (1, 100)) + ") as g"
+
+
+_PERIODS = {"summer": [4, 5, 6, 7, 8, 9], "winter_fall": [1, 2, 3, 10, 11, 12]}
+
+
+@query(" union all ".join(_grid_sql(p, str(tuple(m))) for p, m in _PERIODS.items()))
 def seasonal_feature_grid(spark, sf):
+    """All features of every cell at the reference's radii, for both periods of a year, exported by period."""
+    found = None
+    for period, months in _PERIODS.items():
+        cells = landcover.season(view(spark, sf, "cell"), 2019, months).withColumn("period", F.lit(period)).withColumn("year", F.lit(2019))
+        found = cells if found is None else found.unionByName(cells)
     path = _folder(spark, "grid")
-    _rounded(landcover.all_features(_season(spark, sf), stage=_stage)).withColumn("period", F.lit("summer")).write.partitionBy("period").parquet(path)
+    _rounded(landcover.all_features(found, keys=["period", "year"])).write.partitionBy("period", "year").parquet(path)
     return spark.read.parquet(path)
 
 
+@query(_all_features(f"with s as ({_SEASON})", "", " select * from r25", (25,)))
+def features_within_25_cells(spark, sf):
+    """A radius at which the disk's outline lies inside the grid."""
+    return _rounded(landcover.all_features(_season(spark, sf), (25,)))
+
+
+@query(_SEASON.replace("in (4, 5, 6, 7, 8, 9)", "between 1 and 12"))
+def mode_season_span(spark, sf):
+    """Months 1 to 3 and 10 to 12 taken as a span: the whole year."""
+    return landcover.season(view(spark, sf, "cell"), 2019, _PERIODS["winter_fall"], span=True)
+
+
 # --- sampling ------------------------------------------------------------------------------------------------
 
 _RAND = "((o_orderkey * 2654435761 + 123) % 4294967296) / cast(4294967296 as double)"
@@ -483,37 +559,6 @@ def score_valid_only(spark, sf):
     return _rounded(found.select("id", F.when(~F.isnan("intensity"), F.col("intensity")).alias("intensity")))
 
 
-@query("select id, case when score / max(score) over (partition by grp) >= 0.0903 then 1 else 0 end as present from scored")
-def binary_presence(spark, sf):
-    return metrics.normalized(_scored(spark, sf), ["grp"]).select("id", (F.col("intensity") >= 0.0903).cast("int").alias("present"))
-
-
-@query(f"with m as ({_RATES}), a as ({_STEPS} select grp, sum(neg * (tp - pos / cast(2 as double))) / cast(greatest(max(p) * max(n), 1) as double) as auc from s group by grp) select round(avg(m.precision), 6) as precision, round(avg(m.recall), 6) as recall, round(avg(m.f1), 6) as f1, round(avg(a.auc), 6) as auc from m join a on m.grp = a.grp")
-def cv_mean_metrics(spark, sf):
-    s = _scored(spark, sf)
-    per_fold = metrics.with_rates(metrics.confusion(s, F.lit(0.5), ["grp"])).join(metrics.roc_auc(s, ["grp"]), "grp")
-    return _rounded(per_fold.agg(*[F.avg(c).alias(c) for c in ("precision", "recall", "f1", "auc")]))
-
-
-_REPORT = _F1 + """, best as (select grp, threshold from b where rk = 1),
-x as (select z.grp, best.threshold, cast(sum(case when z.score >= best.threshold and z.label = 1 then 1 else 0 end) as double) as tp, cast(sum(case when z.score >= best.threshold and z.label = 0 then 1 else 0 end) as double) as fp,
-  cast(sum(case when z.score < best.threshold and z.label = 1 then 1 else 0 end) as double) as fn from scored z join best on z.grp = best.grp group by z.grp, best.threshold),
-y as (select s.grp, sum(neg * (tp - pos / cast(2 as double))) / cast(greatest(max(p) * max(n), 1) as double) as auc from s group by s.grp)
-select x.grp, k.metric, round(case k.metric when 'Threshold' then threshold when 'AUC' then auc when 'Precision' then tp / (tp + fp) when 'Recall' then tp / (tp + fn) else 2 * tp / (2 * tp + fp + fn) end, 6) as value
-from x join y on x.grp = y.grp, (values ('Threshold'), ('AUC'), ('Precision'), ('Recall'), ('F1')) as k(metric)"""
-
-
-@query(_REPORT)
-def accuracy_report(spark, sf):
-    s = _scored(spark, sf)
-    best = metrics.best_f1(s, ["grp"]).select("grp", F.col("threshold").alias("Threshold"))
-    rates = metrics.with_rates(metrics.confusion(s.join(F.broadcast(best), "grp"), F.col("Threshold"), ["grp"]))
-    wide = best.join(metrics.roc_auc(s, ["grp"]), "grp").join(rates, "grp").select("grp", "Threshold", F.col("auc").alias("AUC"), F.col("precision").alias("Precision"), F.col("recall").alias("Recall"), F.col("f1").alias("F1"))
-    path = _folder(spark, "accuracy")
-    _rounded(wide.unpivot("grp", ["Threshold", "AUC", "Precision", "Recall", "F1"], "metric", "value")).write.csv(path)
-    return spark.read.csv(path, schema="grp int, metric string, value double")
-
-
 # --- matrices and folds --------------------------------------------------------------------------------------
 
 
@@ -537,6 +582,15 @@ def standard_scale(spark, sf):
     return _rounded(features.standard(view(spark, sf, "train").select("id", "f1", "f2", F.lit(7.0).alias("constant")), ["f1", "f2", "constant"]))
 
 
+@query("""select id, case when id % 10 = 0 then null else round((f1 - m1) / s1, 6) + 0 end as f1, case when id % 10 = 0 then null else round((f2 - m2) / (x2 - m2) * 100, 6) + 0 end as f2 from train,
+  (select avg(f1) as m1, stddev_pop(f1) as s1, min(f2) as m2, max(f2) as x2 from train where id % 10 <> 0) as t""")
+def scale_valid_only(spark, sf):
+    """Rows without a number stay without one and don't spoil the others."""
+    gone = lambda c: F.when(F.col("id") % 10 == 0, F.lit(float("nan"))).otherwise(F.col(c)).alias(c)
+    scaled = features.minmax(features.standard(view(spark, sf, "train").select("id", gone("f1"), gone("f2")), ["f1"]), ["f2"])
+    return _rounded(scaled.select("id", *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in ("f1", "f2")]))
+
+
 @query("select id, cast((row_number() over (partition by species, label order by (id * 2654435761 + 42) % 4294967296, id) - 1) % 5 as int) as fold from train")
 def stratified_folds(spark, sf):
     return features.stratified_folds(view(spark, sf, "train"), ["species"]).select("id", "fold")
@@ -556,59 +610,160 @@ def _training(spark, sf):
     return df.withColumn("target", models.poisson_target(F.col("label")))
 
 
+# A model of one factor with four levels and no penalty has the levels' mean targets as its intensities, so SQL can tell
+# what cross-validation and final fits must give.
+LEVELS = ["level1", "level2", "level3"]
+_LEVELED = "l as (select id, species, label, cast(floor(f1 * 4) as int) as lvl, case when label = 1 then cast(1 as double) else cast(0.0001 as double) end as target from train)"
+_HELD_OUT = f"""{_LEVELED}, fo as (select *, (row_number() over (partition by species, label order by (id * 2654435761 + 42) % 4294967296, id) - 1) % 5 as fold from l),
+a as (select species, lvl, fold, sum(target) as st, count(*) as c from fo group by species, lvl, fold), b as (select species, lvl, sum(st) as st, sum(c) as c from a group by species, lvl),
+mu as (select fo.*, (b.st - a.st) / (b.c - a.c) as mu from fo join a on fo.species = a.species and fo.lvl = a.lvl and fo.fold = a.fold join b on fo.species = b.species and fo.lvl = b.lvl),
+z as (select species, fold, label, round(mu / max(mu) over (partition by species, fold), 9) as score from mu)"""
+_FINAL = f"{_LEVELED}, mu as (select *, avg(target) over (partition by species, lvl) as mu from l), z as (select id, species, label, round(mu / max(mu) over (partition by species), 9) as score from mu)"
+
+
+def _curve_sql(keys: str) -> str:
+    """SQL behind z (keys, label, score): steps s, areas y and best thresholds t."""
+    on = " and ".join(f"x.{k.strip()} = t.{k.strip()}" for k in keys.split(","))
+    return f"""g as (select {keys}, score, sum(label) as pos, sum(1 - label) as neg from z group by {keys}, score),
+s as (select {keys}, score, pos, neg, sum(pos) over (partition by {keys} order by score desc) as tp, sum(neg) over (partition by {keys} order by score desc) as fp, sum(pos) over (partition by {keys}) as p, sum(neg) over (partition by {keys}) as n from g),
+y as (select {keys}, case when max(p) > 0 and max(n) > 0 then sum(neg * (tp - pos / cast(2 as double))) / cast(max(p) * max(n) as double) end as auc from s group by {keys}),
+q as (select {keys}, score as threshold, tp / cast(tp + fp as double) as pr, case when p = 0 then 0 else tp / cast(p as double) end as re from s),
+t as (select {keys}, threshold from (select {keys}, threshold, row_number() over (partition by {keys} order by 2 * pr * re / (pr + re + cast(1e-9 as double)) desc, threshold) as rk from q) as r where rk = 1),
+w as (select {keys}, threshold, cast(tp as bigint) as tp, cast(fp as bigint) as fp, cast(fn as bigint) as fn, cast(tn as bigint) as tn from (select {", ".join(f"x.{k.strip()}" for k in keys.split(","))}, t.threshold, sum(case when score >= threshold and label = 1 then 1 else 0 end) as tp, sum(case when score >= threshold and label = 0 then 1 else 0 end) as fp,
+  sum(case when score < threshold and label = 1 then 1 else 0 end) as fn, sum(case when score < threshold and label = 0 then 1 else 0 end) as tn from z x join t on {on} group by {", ".join(f"x.{k.strip()}" for k in keys.split(","))}, t.threshold) as v)"""
+
+
+def _leveled(spark, sf):
+    level = F.floor(F.col("f1") * 4)
+    return _training(spark, sf).withColumns({name: (level == k).cast("double") for k, name in enumerate(LEVELS, 1)})
+
+
+def _held_out(spark, sf):
+    """Out-of-fold scores of five stratified folds, a fit for each species and fold, as shares of the fold's top."""
+    df = features.stratified_folds(_leveled(spark, sf).select("id", "species", "label", "target", *LEVELS), ["species"])
+    scored = models.cross_validate(df, ["species"], LEVELS, [0.0], _stage)
+    return _stage(metrics.normalized(scored, ["species", "fold"]).withColumn("score", F.round("intensity", 9)).select("species", "fold", "label", "score"))
+
+
+_ZERO = "case when {0} = 0 then 0 else {1} / cast({0} as double) end"
+
+
+@query(f"""with {_HELD_OUT}, {_curve_sql("species, fold")}, h as (select species, fold, sum(case when score >= 0.5 and label = 1 then 1 else 0 end) as tp, sum(case when score >= 0.5 and label = 0 then 1 else 0 end) as fp, sum(case when score < 0.5 and label = 1 then 1 else 0 end) as fn from z group by species, fold)
+select h.species, round(avg({_ZERO.format("tp + fp", "tp")}), 6) as precision, round(avg({_ZERO.format("tp + fn", "tp")}), 6) as recall, round(avg({_ZERO.format("2 * tp + fp + fn", "2 * tp")}), 6) as f1, round(avg(y.auc), 6) as auc
+from h join y on h.species = y.species and h.fold = y.fold group by h.species""")
+def cv_mean_metrics(spark, sf):
+    """Five fits for each species, metrics of each held-out fold at 0.5, and their means."""
+    scored, keys = _held_out(spark, sf), ["species", "fold"]
+    per_fold = metrics.with_rates(metrics.confusion(scored, F.lit(0.5), keys)).join(metrics.roc_auc(scored, keys), keys)
+    return _rounded(per_fold.groupBy("species").agg(*[F.avg(c).alias(c) for c in ("precision", "recall", "f1", "auc")]))
+
+
+@query(f"""with {_HELD_OUT}, {_curve_sql("species")} select w.species, round(threshold, 6) as threshold, tn, fp, fn, tp, round({_ZERO.format("tp + fp", "tp")}, 6) as precision, round({_ZERO.format("tp + fn", "tp")}, 6) as recall,
+  round({_ZERO.format("2 * tp + fp + fn", "2 * tp")}, 6) as f1, round(y.auc, 6) as auc from w join y on w.species = y.species""")
+def pooled_cv_report(spark, sf):
+    """Out-of-fold scores of all folds together: best threshold, confusion matrix, rates and area for each species."""
+    scored = _held_out(spark, sf)
+    best = metrics.best_f1(scored, ["species"]).select("species", "threshold")
+    rates = metrics.with_rates(metrics.confusion(scored.join(F.broadcast(best), "species"), F.col("threshold"), ["species"]))
+    return _rounded(best.join(rates, "species").join(metrics.roc_auc(scored, ["species"]), "species"))
+
+
+def _saved(spark, sf):
+    """Final models of all species with their top and threshold, saved and loaded again."""
+    df = _leveled(spark, sf)
+    path = _folder(spark, "models")
+    models.stored(df, models.fit(df, ["species"], LEVELS, _stage, alpha=0.0), ["species"], LEVELS).write.parquet(path)
+    return df, spark.read.parquet(path)
+
+
+@query(f"""with {_FINAL}, {_curve_sql("species")} select w.species, k.metric, round(case k.metric when 'Threshold' then threshold when 'AUC' then auc when 'Precision' then {_ZERO.format("tp + fp", "tp")}
+  when 'Recall' then {_ZERO.format("tp + fn", "tp")} else {_ZERO.format("2 * tp + fp + fn", "2 * tp")} end, 6) as value from w join y on w.species = y.species, (values ('Threshold'), ('AUC'), ('Precision'), ('Recall'), ('F1')) as k(metric)""")
+def accuracy_report(spark, sf):
+    """Final fit, saved and loaded, scored on its training rows at the stored threshold, as a CSV of metrics."""
+    df, table = _saved(spark, sf)
+    scored = _stage(models.predict_presence(df, table, ["species"], LEVELS).select("species", "label", F.col("intensity").alias("score")))
+    best = table.select("species", "threshold")
+    rates = metrics.with_rates(metrics.confusion(scored.join(best, "species"), F.col("threshold"), ["species"]))
+    wide = best.join(metrics.roc_auc(scored, ["species"]), "species").join(rates, "species")
+    wide = wide.select("species", F.col("threshold").alias("Threshold"), F.col("auc").alias("AUC"), F.col("precision").alias("Precision"), F.col("recall").alias("Recall"), F.col("f1").alias("F1"))
+    path = _folder(spark, "accuracy")
+    _rounded(wide.unpivot("species", ["Threshold", "AUC", "Precision", "Recall", "F1"], "metric", "value")).write.csv(path)
+    return spark.read.csv(path, schema="species string, metric string, value double")
+
+
+@query(f"with {_FINAL}, {_curve_sql('species')} select z.id, round(z.score, 6) as intensity, case when z.score >= t.threshold then 1 else 0 end as present from z join t on z.species = t.species")
+def binary_presence(spark, sf):
+    """Rows scored by loaded models, with the top and threshold that were stored beside them."""
+    df, table = _saved(spark, sf)
+    return _rounded(models.predict_presence(df, table, ["species"], LEVELS).select("id", "intensity", "present"))
+
+
+@query("select distinct species, term, cast(0 as double) as gradient from train, (values ('intercept'), ('f1'), ('f2'), ('f3')) as t(term)")
+def poisson_optimum(spark, sf):
+    """The objective's slope at the coefficients of each species: zero, as the objective is convex."""
+    df = _training(spark, sf)
+    return _rounded(models.gradient(df, models.fit(df, ["species"], FEATURES, _stage), ["species"], FEATURES))
+
+
 @query()
 def poisson_fit(spark, sf):
     df = _training(spark, sf).withColumn("all", F.lit(1))
-    found = models.fit(df, ["all"], FEATURES)
+    found = models.fit(df, ["all"], FEATURES, _stage)
     return _rounded(found.select(*[F.col("beta")[k].alias(n) for k, n in enumerate(["intercept", *FEATURES])], "status"))
 
 
 @query()
 def fit_per_species(spark, sf):
-    found = models.fit(_training(spark, sf), ["species"], FEATURES)
+    found = models.fit(_training(spark, sf), ["species"], FEATURES, _stage)
     return _rounded(found.select("species", "n", *[F.col("beta")[k].alias(n) for k, n in enumerate(["intercept", *FEATURES])], "status", "error"))
 
 
 @query("select 'hyla_cinerea' as species, 'fail' as status, 'features or target missing' as error where exists (select * from train where species = 'hyla_cinerea')")
 def failed_species(spark, sf):
     df = _training(spark, sf).withColumn("f1", F.when(F.col("species") != "hyla_cinerea", F.col("f1")))
-    return clean.run_status(models.fit(df, ["species"], FEATURES))
+    return clean.run_status(models.fit(df, ["species"], FEATURES, _stage))
 
 
 @query()
 def poisson_score(spark, sf):
     df = _training(spark, sf)
-    scored = models.score(df, models.fit(df, ["species"], FEATURES), ["species"], FEATURES)
+    scored = models.score(df, models.fit(df, ["species"], FEATURES, _stage), ["species"], FEATURES)
     return _rounded(metrics.normalized(scored, ["species"]).select("id", "species", "intensity"))
 
 
 @query()
 def alpha_sweep(spark, sf):
     df = features.stratified_folds(features.standard(_training(spark, sf), FEATURES, ["species"]), ["species"])
-    scored = models.cross_validate(df, ["species"], FEATURES, [1e-6, 1e-4, 1e-3, 1e-2, 0.1, 1.0])
-    scored = metrics.normalized(scored, ["species", "alpha", "fold"]).withColumn("score", F.col("intensity"))
+    scored = models.cross_validate(df, ["species"], FEATURES, [1e-6, 1e-4, 1e-3, 1e-2, 0.1, 1.0], _stage)
+    scored = _stage(metrics.normalized(scored, ["species", "alpha", "fold"]).select("species", "alpha", "label", F.col("intensity").alias("score")))
     keys = ["species", "alpha"]
     return _rounded(metrics.best_f1(scored, keys).join(metrics.roc_auc(scored, keys), keys))
 
 
-@query()
+@query(f"""with {_LEVELED}, fo as (select lvl, cast(label as double) as y, case when rk < rest * (size + 1) then floor(rk / (size + 1)) else rest + floor((rk - rest * (size + 1)) / size) end as fold
+  from (select lvl, label, row_number() over (order by id) - 1 as rk, floor(count(*) over () / 5) as size, count(*) over () % 5 as rest from l) as o),
+a as (select lvl, fold, sum(y) as st, count(*) as c from fo group by lvl, fold), b as (select lvl, sum(st) as st, sum(c) as c from a group by lvl),
+m as (select fo.fold, fo.y, greatest((b.st - a.st) / (b.c - a.c), cast(1e-6 as double)) as p from fo join a on fo.lvl = a.lvl and fo.fold = a.fold join b on fo.lvl = b.lvl)
+select cast(fold as int) as fold, round(avg(2 * (case when y > 0 then y * ln(y / p) else 0 end - y + p)), 6) as deviance from m group by fold""")
 def cv_deviance(spark, sf):
-    df = features.contiguous_folds(features.matrix(view(spark, sf, "train"), [], FEATURES)).withColumn("target", F.col("label").cast("double"))
-    scored = models.cross_validate(df.withColumn("all", F.lit(1)), ["all"], FEATURES, [1e-4])
+    """Unshuffled folds, labels as they are, the mean deviance of what each held-out fold was predicted."""
+    df = features.contiguous_folds(_leveled(spark, sf).select("id", "label", *LEVELS)).withColumn("target", F.col("label").cast("double"))
+    scored = models.cross_validate(df.withColumn("all", F.lit(1)), ["all"], LEVELS, [0.0], _stage)
     return _rounded(metrics.poisson_deviance(scored, ["fold"]))
 
 
 @query()
 def coef_importance(spark, sf):
     scaled = features.standard(_training(spark, sf), FEATURES)
-    return _rounded(models.importance(models.fit(scaled, ["species"], FEATURES), ["species"], FEATURES))
+    return _rounded(models.importance(models.fit(scaled, ["species"], FEATURES, _stage), ["species"], FEATURES))
 
 
-@query()
+@query(f"with {_LEVELED} select id, round(avg(target) over (partition by lvl), 6) as prediction from l")
 def model_roundtrip(spark, sf):
+    """The model of all species by Spark ML, saved and loaded."""
     from pyspark.ml import PipelineModel
 
-    df = _training(spark, sf)
+    df = _leveled(spark, sf)
     path = _folder(spark, "model")
-    models.glm(df, FEATURES).write().overwrite().save(path)
+    models.glm(df, LEVELS, alpha=0.0).write().overwrite().save(path)
     return PipelineModel.load(path).transform(df).select("id", r6("prediction").alias("prediction"))

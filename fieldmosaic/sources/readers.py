@@ -23,6 +23,14 @@ def ingest_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return rows.where(F.col(extra).isNull()).drop(extra)
 
 
+def read_inferred(spark: SparkSession, path: str, sep: str = "\t", ratio: float = 1.0) -> DataFrame:
+    """A delimited dump with the types that its values have; ratio: the share of rows that is looked at for them.
+
+    A pass of its own over the data: jobs that know their columns name them instead.
+    """
+    return spark.read.csv(path, sep=sep, quote='"', escape='"', header=True, inferSchema=True, samplingRatio=ratio)
+
+
 def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Columns cast leniently: a value that doesn't parse becomes null and its row stays."""
     return df.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items()})
@@ -49,6 +57,12 @@ def read_csv_groups(spark: SparkSession, paths: list[str]) -> DataFrame:
     return union_by_name([spark.read.csv(g, header=True, escape='"') for g in groups.values()])
 
 
+def read_csv_glob(spark: SparkSession, pattern: str) -> DataFrame:
+    """All CSV files that the pattern names, whatever their headers. Their names, not their contents, are listed first."""
+    files = spark.read.format("binaryFile").load(pattern).select("path").distinct()
+    return read_csv_groups(spark, sorted(r["path"] for r in files.collect()))
+
+
 def species_partition(spark: SparkSession, root: str, species: str) -> DataFrame:
     """One species of a partitioned dataset; only its folder is read."""
     return spark.read.parquet(root).where(F.lower("scientific_name") == species)

@@ -6,11 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, root: str, key: str = "scientific_name", files: int = 8, mode: str = "append") -> None:
-    """Snappy Parquet, a folder for each key. Rows of a key are dealt over up to `files` tasks, so a hot key isn't one."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+#: Keys whose counts are broadcast.
+_FEW_KEYS = 200_000
+
+
+def write_partitioned(df: DataFrame, root: str, key: str = "scientific_name", rows: int = 2_000_000, mode: str = "append") -> None:
+    """Snappy Parquet, a folder for each key, with a file for about so many rows of it.
+
+    Rows are counted by key first, so a hot key is dealt over as many tasks as it needs, and a rare one is one file.
+    """
+    counts = df.groupBy(F.col(key).alias("__key")).agg(F.ceil(F.count("*") / rows).cast("int").alias("__files"))
+    if counts.limit(_FEW_KEYS + 1).count() <= _FEW_KEYS:
+        counts = F.broadcast(counts)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.withColumn("__salt", salt).repartition(parts, key, "__salt").drop("__salt").write.mode(mode).partitionBy(key).option("compression", "snappy").parquet(root)
+    salted = df.join(counts, F.col(key).eqNullSafe(F.col("__key"))).withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.col("__files")))
+    salted.repartition(parts, key, "__salt").select(*df.columns).write.mode(mode).partitionBy(key).option("compression", "snappy").parquet(root)
 
 
 def write_csv(df: DataFrame, path: str, rows: int, order: list[str]) -> None:

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldmosaic.functions import dates, names
 from fieldmosaic.operators import clean, features, landcover, metrics, sampling, spatial
@@ -116,23 +117,99 @@ def test_land_cover(spark):
     core = {(r.cx, r.cy) for r in landcover.forest_core(cells).collect() if r.core}
     assert core == {(x, y) for x in range(5) for y in range(12)}
     solid = spark.createDataFrame([(x, y, 1 if x < 6 else 3) for x in range(12) for y in range(12)], "cx int, cy int, label int")
-    canny = {(r.cx, r.cy) for r in landcover.canny_edge(solid).collect() if r.edge and 2 < r.cy < 9 and 2 < r.cx < 9}
+    canny = {(r.cx, r.cy) for r in landcover.forest_borders(solid).collect() if r.edge and 2 < r.cy < 9 and 2 < r.cx < 9}
     assert canny and {x for x, _ in canny} <= {5, 6}
 
 
+@pytest.mark.parametrize("tile", [256, 5])
+def test_features_over_tiles(spark, monkeypatch, tile):
+    """Percentages, borders and cores of disks, cell by cell, wherever the tiles end; coordinates may be negative."""
+    monkeypatch.setattr(landcover, "TILE", tile)
+    rng = np.random.default_rng(3)
+    known = {(x, y): int(rng.choice([1, 1, 1, 3, 7])) for x in range(-9, 9) for y in range(-6, 8) if rng.random() < 0.9}
+    cells = spark.createDataFrame([(x, y, v, "k") for (x, y), v in known.items()], "cx int, cy int, label int, period string")
+    border = {(r.cx, r.cy): r.edge for r in landcover.forest_borders(cells).collect()}
+    core = {(r.cx, r.cy): r.core for r in landcover.forest_core(cells).collect()}
+    got = {(r.cx, r.cy): r.asDict() for r in landcover.all_features(cells, (1, 4), ["period"]).collect()}
+    assert set(got) == set(border) == set(core) == set(known) and any(border.values())
+    for (x, y), row in got.items():
+        for r in (1, 4):
+            near = [p for p in known if (p[0] - x) ** 2 + (p[1] - y) ** 2 <= r * r]
+            assert row["period"] == "k" and row[f"forest_edge_{r}00"] == sum(border[p] for p in near)
+            assert math.isclose(row[f"forest_core_pct_{r}00"], 100 * sum(core[p] for p in near) / len(near))
+            assert all(math.isclose(row[f"dw_class_{k}_pct_{r}00m"], 100 * sum(known[p] == k for p in near) / len(near)) for k in range(9))
+
+
+def test_point_features_walk_through_dates(spark, monkeypatch):
+    """The same as composing every date's cells by themselves."""
+    monkeypatch.setattr(landcover, "TILE", 7)
+    rng = np.random.default_rng(5)
+    scene = lambda: (int(rng.integers(-5, 12)), int(rng.integers(-5, 12)), f"{rng.integers(2018, 2020)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d} 10:00:00", int(rng.choice([1, 1, 4, 8])))
+    scenes = spark.createDataFrame([scene() for _ in range(9000)], "cx int, cy int, s string, label int").selectExpr("cx", "cy", "to_timestamp_ntz(s) as scene_ts", "label")
+    points = spark.createDataFrame([(k, *scene()[:3]) for k in range(40)] + [(90, 50, 50, "2018-06-01"), (91, 0, 0, None)], "obs_id int, cx int, cy int, s string").selectExpr("obs_id", "cx", "cy", "to_date(substr(s, 1, 10)) as date")
+    got = {r.obs_id: r.asDict() for r in landcover.point_features(points, scenes, (1, 3)).collect()}
+    dates = points.where("date is not null").select("date").distinct()
+    every = dates.crossJoin(scenes.select("cx", "cy").distinct())
+    composed = landcover.lookback(every, scenes, ["date", "cx", "cy"])
+    grid = {(r.date, r.cx, r.cy): r.asDict() for r in landcover.all_features(composed, (1, 3), ["date"]).collect()}
+    asked = {p.obs_id: (p.date, p.cx, p.cy) for p in points.collect()}
+    assert set(got) == {i for i, at in asked.items() if at in grid} and len(got) > 20
+    for i, row in got.items():
+        want = grid[asked[i]]
+        assert all(math.isclose(row[c], want[c], abs_tol=1e-9) for c in row if c != "obs_id")
+
+
+def test_numbers_that_are_missing_do_not_spoil_scaling(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, float("nan")), (4, None)], "id int, f double")
+    for scaled, want in ((features.standard(df, ["f"]), [-1.0, 1.0]), (features.minmax(df, ["f"]), [0.0, 100.0])):
+        rows = {r.id: r.f for r in scaled.collect()}
+        assert [rows[1], rows[2]] == want and math.isnan(rows[3]) and rows[4] is None
+
+
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_polygons_by_broadcast_and_by_shuffle(spark, monkeypatch, few):
+    monkeypatch.setattr(spatial, "BROADCAST_EDGES", few)
+    ring = [(0.0, 0.0), (3.0, 0.0), (3.0, 2.0), (0.0, 2.0), (0.0, 0.0)]
+    hole = [(1.0, 0.5), (2.0, 0.5), (2.0, 1.5), (1.0, 1.5), (1.0, 0.5)]
+    vertices = spark.createDataFrame([(1, r, k, x, y) for r, points in enumerate((ring, hole)) for k, (x, y) in enumerate(points)], "poly_id long, ring_id int, seq int, x double, y double")
+    points = [(k, x / 4, y / 4) for k, (x, y) in enumerate((x, y) for x in range(-2, 15) for y in range(-2, 11))] + [(900, None, 1.0)]
+    found = spatial.points_in_polygons(spark.createDataFrame(points, "obs_id long, longitude double, latitude double"), spatial.edges_of(vertices))
+    want = {k for k, x, y in points if x is not None and 0 <= x <= 3 and 0 <= y <= 2 and not (1 < x < 2 and 0.5 < y < 1.5)}
+    assert {r.obs_id for r in found.collect()} == want
+
+
+def test_ranges_of_a_hot_key(spark):
+    """Running sums don't depend on where ranges are cut; ties and nulls have their place."""
+    from fieldmosaic.operators import ranges
+
+    rows = [("a" if k % 10 else None, float(k % 50) if k % 7 else None, k) for k in range(400)]
+    df = spark.createDataFrame(rows, "g string, v double, k int").repartition(3)
+    got = {r.k: (r.upto, r.n) for r in ranges.running(df, ["g"], "v", {"upto": F.lit(1)}, ties=["k"], totals={"n": F.lit(1)}).collect()}
+    for g in ("a", None):
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        assert all(got[r[2]] == (i, len(own)) for i, r in enumerate(own, 1))
+
+
 def test_mode_ties_and_month_ends(spark):
     points = spark.sql("select 1 as obs_id, 0 as cx, 0 as cy, date'2020-05-31' as date")
     scenes = spark.createDataFrame([(0, 0, f"2020-0{m}", k) for m, k in (("2-28 12:00:00", 7), ("2-29 00:00:00", 4), ("5-30 23:00:00", 2), ("5-31 00:00:00", 8))], "cx int, cy int, s string, label int").selectExpr("cx", "cy", "to_timestamp_ntz(s) as scene_ts", "label")
     assert [tuple(r) for r in landcover.lookback(points, scenes, ["obs_id"]).collect()] == [(1, 2)]
 
 
-def test_poisson_models_agree(spark):
+def same(df):
+    """In place of writing a frame: take its rows, so that they are computed once."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_poisson_models_agree(spark, monkeypatch, few):
+    monkeypatch.setattr(models, "BROADCAST_MODELS", few)
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 2))
     y = rng.poisson(np.exp(0.3 + x @ [0.5, -0.8])).astype(float)
     rows = [(["a", "b", "bad"][i % 3], float(x[i, 0]) if i % 3 < 2 else None, float(x[i, 1]), float(y[i])) for i in range(400)]
     df = spark.createDataFrame(rows, "species string, f1 double, f2 double, target double")
-    found = {r.species: r for r in models.fit(df, ["species"], ["f1", "f2"], 0.1).collect()}
+    found = {r.species: r for r in models.fit(df, ["species"], ["f1", "f2"], same, alpha=0.1).collect()}
     assert found["bad"].status == "fail" and found["bad"].error and found["a"].status == "ok"
     for k, name in enumerate(["a", "b"]):
         z, t = np.column_stack([np.ones(len(x[k::3])), x[k::3]]), y[k::3]
@@ -142,7 +219,9 @@ def test_poisson_models_agree(spark):
     only = df.where("species = 'a'")
     glm = models.glm(only, ["f1", "f2"], alpha=0.1).stages[-1]
     assert np.allclose([glm.intercept, *glm.coefficients], found["a"].beta, atol=1e-5)
-    scored = models.score(df, models.fit(df, ["species"], ["f1", "f2"]), ["species"], ["f1", "f2"])
+    fitted = models.fit(df, ["species"], ["f1", "f2"], same)
+    assert all(abs(r.gradient) < 1e-9 for r in models.gradient(df.where("species <> 'bad'"), fitted, ["species"], ["f1", "f2"]).collect())
+    scored = models.score(df, fitted, ["species"], ["f1", "f2"])
     assert scored.where("species = 'bad'").where("score is not null").count() == 0 == scored.where("species <> 'bad' and score is null").count()
 
 
@@ -151,6 +230,15 @@ def test_writers_and_background(spark, tmp_path):
     writers.write_partitioned(df, str(tmp_path / "p"))
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "p")).select("id", "scientific_name").collect()} == {(1, "a"), (2, None), (3, "o'x")}
     square = spark.createDataFrame([(1, 0, k, x, y) for k, (x, y) in enumerate([(0.0, 0.0), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0)])], "poly_id long, ring_id int, seq int, x double, y double")
+    thin = spark.createDataFrame([(1, 0, k, x, y) for k, (x, y) in enumerate([(0.0, 0.0), (1.0, 1.0), (1.0, 1.0), (0.0, 0.0)])], square.schema)
+    with pytest.raises(ValueError):
+        sampling.background_points(spark, thin, spatial.edges_of(thin), 20)
+    with pytest.raises(ValueError):
+        sampling.background_points(spark, square.limit(0), spatial.edges_of(square.limit(0)), 20)
+    many = spark.createDataFrame([(k, "a" if k < 90 else "b") for k in range(100)], df.schema)
+    writers.write_partitioned(many, str(tmp_path / "q"), rows=30)
+    files = [f.rsplit("/", 2)[1] for f in spark.read.parquet(str(tmp_path / "q")).inputFiles()]
+    assert files.count("scientific_name=b") == 1 < files.count("scientific_name=a") <= 3
     one = sampling.background_points(spark, square, spatial.edges_of(square), 300).collect()
     assert len(one) == 300 and all(r.longitude + r.latitude <= 1 for r in one)
     assert abs(sum(r.longitude for r in one) / 300 - 1 / 3) < 0.06 and abs(sum(r.latitude for r in one) / 300 - 1 / 3) < 0.06
@@ -216,7 +304,7 @@ def test_alpha_sweep_scales_within_species(spark, monkeypatch):
     class Seen(Exception):
         pass
 
-    def stop(df, keys, columns, alphas):
+    def stop(df, keys, columns, alphas, stage):
         raise Seen(df, alphas)
 
     monkeypatch.setattr(queries.models, "cross_validate", stop)
