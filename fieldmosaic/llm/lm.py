@@ -15,7 +15,8 @@ them to the parts as packed blocks. Fixed bitmaps of the order below leave out s
 they let through by chance is cut by joins, so the tree is exact.
 
 A text's score is a sum over its keys: what each adds (values()) is a Spark table. The HELD most frequent keys are in
-memory; texts' other keys are joined to the table, with the same results.
+memory; what texts ask for beyond them is dealt with the table by ranges of keys, as packed blocks, and answered there
+with the same results.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,11 +40,13 @@ LEAST, CONTEXT = 4, 8
 DIVERGENCE = 12.0
 SMOOTHING = 1.0
 #: Words, and keys of longer sequences, that are in memory at most.
-HELD_WORDS, HELD = 1 << 19, 1 << 20
+HELD_WORDS, HELD = 1 << 19, 1 << 19
 #: Sequences that a task combines at once, and bytes of text.
 _COMBINED, _BLOCK = 2_000_000, 2_000_000
 #: Sequences of all tasks that a part gets at most, as they are counted.
 _PART = 4_000_000
+#: What tells the keys of words as such from those of words as contexts; what a key's answer adds to a text.
+_WORD, _VALUES = np.uint64(0xA5A5F00D12345677), ("v", "gain", "met")
 #: The key of a text's start, and log2 of the bits that tell keys which a table can't hold.
 _BEGIN, _SPARSE = np.uint64(0x5851F42D4C957F2D), 27
 
@@ -169,59 +173,64 @@ def _small(n: np.ndarray) -> np.ndarray:
     return n.astype(np.min_scalar_type(int(n.max()) if len(n) else 0))
 
 
-def _named(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    names, of = np.unique(a, return_inverse=True)
-    return names, _small(of)
+class Ids:
+    """Short codes of keys: the places of frequent ones in a sorted array, and behind it those of a block's own others."""
 
+    def __init__(self, keys: np.ndarray) -> None:
+        self.frequent = contexts.Lookup(np.sort(keys))
 
-def _blocks(context: np.ndarray, suffix: np.ndarray, n: np.ndarray, parts: int, pairs: bool) -> pa.RecordBatch:
-    """Sequences with a count each, combined by key, as one block for each part."""
-    key, of = np.unique(mixed(context, suffix), return_inverse=True)
-    first = np.zeros(len(key), np.int64)
-    first[of[::-1]] = np.arange(len(of))[::-1]
-    n = np.bincount(of, n).astype(np.int64)
-    context, suffix = context[first], suffix[first]
-    part = (key >> np.uint64(32)).astype(np.int64) * parts >> 32  # sorted, as the keys are
-    cut = np.searchsorted(part, np.arange(parts + 1))
-    numbers, data = [], []
-    for p in np.flatnonzero(np.diff(cut)).tolist():
-        a, b = cut[p], cut[p + 1]
-        # Words of pairs repeat within a block, longer sequences hardly do.
-        named = [x for v in (context[a:b], suffix[a:b]) for x in (_named(v) if pairs else (v,))]
-        numbers.append(p)
-        data.append(_pack(*named, _small(n[a:b])))
-    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(data, pa.binary())], ["part", "data"])
-
-
-def _unblocked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """key, context, suffix and n of all blocks of a part, each key once."""
-    columns: list[list[np.ndarray]] = [[], [], []]
-    for data in blobs:
-        found = _unpack(data)
-        if len(found) == 5:
-            found = [found[0][found[1]], found[2][found[3]], found[4]]
-        for c, v in zip(columns, found):
-            c.append(v)
-    context, suffix, n = (np.concatenate(c) for c in columns)
-    key = mixed(context, suffix)
+    def code(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes, and the keys that aren't frequent."""
+        code = self.frequent.find(keys).astype(np.int64)
+        rare = np.flatnonzero(code < 0)
+        names, of = np.unique(keys[rare], return_inverse=True)
+        code[rare] = len(self.frequent.keys) + of
+        return code, names
+
+    def keys(self, code: np.ndarray, names: np.ndarray) -> np.ndarray:
+        known = code < len(self.frequent.keys)
+        out = np.empty(len(code), np.uint64)
+        out[known] = self.frequent.keys[code[known]]
+        out[~known] = names[code[~known] - len(self.frequent.keys)]
+        return out
+
+
+def _combined(key: np.ndarray, n: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each key once, sorted, with its sum of n; the others belong to the key."""
     order = np.argsort(key)
     key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[first], context[order[first]], suffix[order[first]], np.add.reduceat(n[order].astype(np.int64), first)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(n[order].astype(np.int64), first) if len(key) else np.zeros(0, np.int64)
+    return key[first], sums, *(v[order[first]] for v in others)
 
 
-def _reduced(dealt: DataFrame, parts: int, least: int) -> DataFrame:
-    """key, context, suffix, n of what occurs at least so often; a part is a task."""
+def _cuts(key: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part begins among sorted keys, and the end; parts are ranges of keys."""
+    return np.searchsorted((key >> np.uint64(32)).astype(np.int64) * parts >> 32, np.arange(parts + 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [data for batch in batches for data in batch.column("data").to_pylist()]
-        if not blobs:
-            return
-        key, context, suffix, n = _unblocked(blobs)
-        often = n >= least
-        yield pa.RecordBatch.from_arrays([pa.array(v[often].view(np.int64)) for v in (key, context, suffix, n)], ["key", "context", "suffix", "n"])
 
-    return dealt.repartitionById(parts, "part").mapInArrow(run, "key long, context long, suffix long, n long")
+def _batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([d for _, d in rows], pa.binary())], ["part", "data"])
+
+
+def _blocks(context: np.ndarray, suffix: np.ndarray, parts: int, ids: tuple[Ids, Ids]) -> pa.RecordBatch:
+    """Sequences, combined by key, as one block for each part: codes of contexts by their differences, of suffixes, counts."""
+    key, n, context, suffix = _combined(mixed(context, suffix), np.ones(len(context), np.int64), context, suffix)
+    cut, rows = _cuts(key, parts), []
+    for p in np.flatnonzero(np.diff(cut)).tolist():
+        (lead, leads), (follow, follows) = (i.code(v[cut[p] : cut[p + 1]]) for i, v in zip(ids, (context, suffix)))
+        order = np.argsort(lead, kind="stable")
+        step, follow = np.diff(lead[order], prepend=0), follow[order]
+        planes = [(step & 255).astype(np.uint8), _small(step >> 8), (follow & 65535).astype(np.uint16), _small(follow >> 16)]
+        rows.append((p, _pack(leads, follows, *planes, _small(n[cut[p] : cut[p + 1]][order]))))
+    return _batch(rows)
+
+
+def _sequences_of(data: bytes, ids: tuple[Ids, Ids]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """context, suffix and n of a block."""
+    leads, follows, low, high, follow, more, n = _unpack(data)
+    lead = np.cumsum(low.astype(np.int64) | high.astype(np.int64) << 8)
+    return ids[0].keys(lead, leads), ids[1].keys(follow.astype(np.int64) | more.astype(np.int64) << 16, follows), n
 
 
 def word_counts(rows: DataFrame, text: str = "text", parts: int | None = None) -> DataFrame:
@@ -230,18 +239,30 @@ def word_counts(rows: DataFrame, text: str = "text", parts: int | None = None) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            key, n = _combined(*(np.concatenate(v) for v in zip(*held)))
+            cut = _cuts(key, parts)
+            return _batch([(p, _pack(key[cut[p] : cut[p + 1]], _small(n[cut[p] : cut[p + 1]]))) for p in np.flatnonzero(np.diff(cut)).tolist()])
+
         for batch in common.chunks(batches, "text"):
             x, _ = word_keys(batch.column("text"))
             held.append(np.unique(x[x != _BEGIN], return_counts=True))
             size += len(held[-1][0])
             if size > _COMBINED:
-                yield _blocks(*(np.concatenate(v) for v in zip(*[(k, k, n) for k, n in held])), parts, False)
+                yield out()
                 held, size = [], 0
         if size:
-            yield _blocks(*(np.concatenate(v) for v in zip(*[(k, k, n) for k, n in held])), parts, False)
+            yield out()
 
-    found = _reduced(_texts(rows, text).mapInArrow(run, "part int, data binary"), parts, 1)
-    return found.select(F.col("context").alias("key"), "n")
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [_unpack(data) for batch in batches for data in batch.column("data").to_pylist()]
+        if blobs:
+            key, n = _combined(*(np.concatenate(v) for v in zip(*blobs)))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+
+    dealt = _texts(rows, text).mapInArrow(run, "part int, data binary").repartitionById(parts, "part")
+    return dealt.mapInArrow(summed, "key long, n long")
 
 
 def _partitions(df: DataFrame) -> int:
@@ -265,20 +286,16 @@ def _may(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
 def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: DataFrame, parts: int, text: str = "text") -> DataFrame:
     """key, context, suffix and n of the sequences of so many words that occur LEAST times or more in all rows.
 
-    contexts_of, suffixes_of: tables with the keys of the order below that are open as contexts and as suffixes. All
-    sequences of these are found, and a few of others may be.
+    contexts_of, suffixes_of: tables with the keys (and n) of the order below that are open as contexts and as
+    suffixes. All sequences of these are found, and a few of others may be.
     """
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((_sparse(contexts_of), _sparse(suffixes_of)))
+    ids = tuple(Ids(_most(t.select("key", "n"), HELD)[0].column("key").to_numpy().view(np.uint64)) for t in (contexts_of, suffixes_of))
+    shared = spark.sparkContext.broadcast((*map(_sparse, (contexts_of, suffixes_of)), ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may_lead, may_follow = shared.value
+        may_lead, may_follow, ids = shared.value
         held, size = [], 0
-
-        def out() -> pa.RecordBatch:
-            context, suffix = (np.concatenate(v) for v in zip(*held))
-            return _blocks(context, suffix, np.ones(len(context), np.int64), parts, order == 2)
-
         for batch in common.chunks(batches, "text"):
             *_, (_, context, suffix) = sequences(*word_keys(batch.column("text")), order)
             known = _may(may_lead, context)
@@ -286,12 +303,22 @@ def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: Dat
             held.append((context[known], suffix[known]))
             size += len(held[-1][0])
             if size > _COMBINED:
-                yield out()
+                yield _blocks(*(np.concatenate(v) for v in zip(*held)), parts, ids)
                 held, size = [], 0
         if size:
-            yield out()
+            yield _blocks(*(np.concatenate(v) for v in zip(*held)), parts, ids)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = shared.value[2]
+        blobs = [_sequences_of(data, ids) for batch in batches for data in batch.column("data").to_pylist()]
+        if blobs:
+            context, suffix, n = (np.concatenate(v) for v in zip(*blobs))
+            key, n, context, suffix = _combined(mixed(context, suffix), n, context, suffix)
+            often = n >= LEAST
+            yield pa.RecordBatch.from_arrays([pa.array(v[often].view(np.int64)) for v in (key, context, suffix, n)], ["key", "context", "suffix", "n"])
 
-    return _reduced(_texts(rows, text).mapInArrow(run, "part int, data binary"), parts, LEAST)
+    dealt = _texts(rows, text).mapInArrow(run, "part int, data binary").repartitionById(parts, "part")
+    return dealt.mapInArrow(summed, "key long, context long, suffix long, n long")
 
 
 def _states(found: DataFrame, totals: DataFrame) -> DataFrame:
@@ -320,17 +347,17 @@ def values(training: DataFrame, words: DataFrame, total: int, distinct: int, tex
     parts = max(_partitions(training), -(-total // _PART))
     begins = words.where(F.col("key") == _signed(int(_END))).select(F.lit(_signed(int(_BEGIN))).alias("key"), "n")
     found, done = words.unionByName(begins), []
-    below = words.where(F.col("n") >= LEAST).select("key", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("below"))
+    below = words.where(F.col("n") >= LEAST).select("key", "n", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("below"))
     for order in range(2, DEPTH + 2):
         open_contexts = found.where(F.col("n") >= CONTEXT)
         # What isn't listed after a state can't be after a longer one; but it may lead to one.
         new = listed(training, order, open_contexts, below if order in (2, DEPTH + 1) else found, parts, text)
-        new = common.stage(new.join(below.withColumnRenamed("key", "suffix"), "suffix", "left").drop("suffix"), "listed")
+        new = common.stage(new.join(below.select(F.col("key").alias("suffix"), "below"), "suffix", "left").drop("suffix"), "listed")
         totals = open_contexts.select(F.col("key").alias("context"), F.col("n").alias("total"))
         table = common.stage(_states(new.where("below is not null"), totals), "states")
         if done:
             common.release(found)
-        found, below = new, table.select("key", F.col("seen").alias("below"))
+        found, below = new, table.select("key", "n", F.col("seen").alias("below"))
         done.append(table)
     common.release(found)
     each = []
@@ -368,14 +395,43 @@ def _lookup(table: pa.Table, value: str) -> tuple[contexts.Lookup, np.ndarray]:
     return contexts.Lookup(key[order]), v[order]
 
 
-def _asked(of: np.ndarray, key: np.ndarray, texts: int) -> pa.ListArray:
-    """For each text its distinct keys and how often it has them."""
-    by = np.lexsort((key, of))
-    of, key = of[by], key[by]
-    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (key[1:] != key[:-1])])) if len(of) else np.zeros(0, np.int64)
-    times = pa.array(np.diff(first, append=len(of)).astype(np.int32))
-    at = pa.array(np.searchsorted(of[first], np.arange(texts + 1)).astype(np.int32))
-    return pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(key[first].view(np.int64)), times], ["key", "times"]))
+def _questions(of: np.ndarray, key: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    """Blocks of the keys that the texts of a chunk ask for: each key once, with its texts and how often they have it."""
+    order = np.lexsort((of, key))
+    of, key = of[order], key[order]
+    entry = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (key[1:] != key[:-1])])) if len(of) else np.zeros(0, np.int64)
+    times, of, key = np.diff(entry, append=len(of)), of[entry], key[entry]
+    cut = _cuts(key, parts)
+    for p in np.flatnonzero(np.diff(cut)).tolist():
+        a, b = cut[p], cut[p + 1]
+        name, n = np.unique(key[a:b], return_counts=True)
+        yield p, _pack(name, _small(n), _small(of[a:b]), _small(times[a:b]))
+
+
+def _answered(asked: pa.Table, table: pa.Table) -> pa.Table:
+    """Of the questions of a part and its table: for each chunk, its texts with their sums."""
+    key = table.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    key, values = key[order], [table.column(c).to_numpy()[order] for c in _VALUES]
+    chunks, data = [], []
+    for chunk, raw in zip(asked.column("chunk").to_pylist(), asked.column("data").to_pylist()):
+        name, n, of, times = _unpack(raw)
+        at = np.minimum(np.searchsorted(key, name), max(len(key) - 1, 0))
+        hit = key[at] == name if len(key) else np.zeros(len(name), bool)
+        at, hit, of = np.repeat(at, n), np.repeat(hit, n), of.astype(np.int64)
+        if hit.any():
+            texts, local = np.unique(of[hit], return_inverse=True)
+            chunks.append(chunk)
+            data.append(_pack(_small(texts), *(np.bincount(local, v[at[hit]] * times[hit]) for v in values)))
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "data": pa.array(data, pa.binary())})
+
+
+def _added(answers: pa.Table) -> pa.Table:
+    """Sums of one chunk's texts over all parts."""
+    found = [_unpack(raw) for raw in answers.column("data").to_pylist()]
+    texts, local = np.unique(np.concatenate([f[0] for f in found]).astype(np.int64), return_inverse=True)
+    sums = [np.bincount(local, np.concatenate([f[k + 1] for f in found])) for k in range(len(_VALUES))]
+    return pa.table({"row": pa.array(answers.column("chunk")[0].as_py() + texts), **{c: pa.array(v) for c, v in zip(_VALUES, sums)}})
 
 
 def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -389,57 +445,67 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
     spark = rows.sparkSession
     words = common.stage(word_counts(training, text), "words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    base = math.log10(total + 0.1 * (distinct + 1))
-    table = values(training, words, total, distinct, text)
+    base, unseen = math.log10(total + 0.1 * (distinct + 1)), math.log10(0.1)
+    table, parts = values(training, words, total, distinct, text), max(_partitions(rows), -(-total // _PART))
     (often_words, rare_words), (often, rare) = _most(words, HELD_WORDS), _most(table, HELD)
     shared = spark.sparkContext.broadcast((*_lookup(often_words, "n"), _sparse(rare_words), *_lookup(often, "v"), _sparse(rare)))
-    kept = rows.select(*[rows[f"`{c}`"] for c in keep], F.coalesce(rows[f"`{text}`"], F.lit("")).alias("__text"), F.monotonically_increasing_id().alias("__row"))
+    kept = rows.select(*[rows[f"`{c}`"] for c in keep], F.coalesce(rows[f"`{text}`"], F.lit("")).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often_words, count, rare_words, often, v, rare = shared.value
+        # Rows of a task are numbered from a number of its own, chunk after chunk.
+        chunk = TaskContext.get().partitionId() << 40
         for batch in common.chunks(batches, "__text"):
             key, starts = word_keys(batch.column("__text"))
-            of = np.repeat(np.arange(batch.num_rows), np.diff(starts, append=len(key)))
-            word, last = key != _BEGIN, key == _END
+            size = np.diff(starts, append=len(key))
+            of = np.repeat(np.arange(batch.num_rows), size)
+            word = key != _BEGIN
             at = often_words.find(key)
             n = np.where((at >= 0) & word, count[at], 0) if len(count) else np.zeros(len(key))
             sure = contexts.sums(np.where(word, np.log10(n + 0.1) - base, 0.0), starts)
             known = contexts.sums((n > 0).astype(float), starts).astype(np.int64)
-            of_rare = word & (n == 0)
-            of_rare[of_rare] = _may(rare_words, key[of_rare])
-            follows = ~last  # an end is no context
-            asked_of, asked, more = [], [], np.zeros(batch.num_rows)
-            for place, key_at in [(np.flatnonzero(follows), key[follows]), *((at, mixed(c, s)) for at, c, s in sequences(key, starts, DEPTH + 1))]:
+            ask = word & (n == 0)
+            ask[ask] = _may(rare_words, key[ask])
+            asked, more = [(of[ask], key[ask] ^ _WORD)], np.zeros(batch.num_rows)
+            follows = np.flatnonzero(key != _END)  # an end is no context
+            for place, key_at in [(follows, key[follows]), *((at, mixed(c, s)) for at, c, s in sequences(key, starts, DEPTH + 1))]:
                 at = often.find(key_at)
                 if len(v):
                     more += np.bincount(of[place], np.where(at >= 0, v[at], 0.0), batch.num_rows)
                 miss = at < 0
                 miss[miss] = _may(rare, key_at[miss])
-                asked_of.append(of[place][miss])
-                asked.append(key_at[miss])
-            out = [*(batch.column(i) for i in range(len(keep))), batch.column("__row"), pa.array(np.diff(starts, append=len(key)) - 1), pa.array(known), pa.array(sure), pa.array(more)]
-            out += [_asked(of[of_rare], key[of_rare], batch.num_rows), _asked(np.concatenate(asked_of), np.concatenate(asked), batch.num_rows)]
-            yield pa.RecordBatch.from_arrays(out, names)
-
-    names = [*keep, "__row", "__tokens", "__known", "__base", "__states", "__words", "__keys"]
-    schema = kept.drop("__text").schema
-    for name, kind in (("__tokens", "long"), ("__known", "long"), ("__base", "double"), ("__states", "double")):
+                asked.append((of[place][miss], key_at[miss]))
+            own = [batch.column(i) for i in range(len(keep))]
+            own += [pa.array(chunk + np.arange(batch.num_rows)), pa.array(size - 1), pa.array(known), pa.array(sure), pa.array(more)]
+            none = [pa.nulls(batch.num_rows, t) for t in (pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*own, *none], names)
+            questions = list(_questions(*(np.concatenate(x) for x in zip(*asked)), parts))
+            if questions:
+                ends = [pa.array([chunk] * len(questions)), *[pa.nulls(len(questions), c.type) for c in own[len(keep) + 1 :]], *_batch(questions).columns]
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(questions), c.type) for c in own[: len(keep)]], *ends], names)
+            chunk += batch.num_rows
+
+    names = [*keep, "__row", "__tokens", "__known", "__base", "__states", "__part", "__data"]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema.fields[:-1]])
+    for name, kind in zip(names[len(keep) :], ("long", "long", "long", "double", "double", "integer", "binary")):
         schema = schema.add(name, kind)
-    pairs = T.ArrayType(T.StructType().add("key", "long").add("times", "integer"))
-    part = common.stage(kept.mapInArrow(run, schema.add("__words", pairs).add("__keys", pairs)), "scored")
-    asked = lambda c: part.select("__row", F.explode(c).alias("a")).select("__row", "a.*")
-    added = asked("__keys").join(table.select("key", "v"), "key").groupBy(F.col("__row").alias("__of")).agg(F.sum(F.col("times") * F.col("v")).alias("__added"))
-    gain = F.log10(F.col("n") + 0.1) - math.log10(0.1)
-    met = asked("__words").join(words, "key").groupBy(F.col("__row").alias("__for")).agg(F.sum(F.col("times") * gain).alias("__gain"), F.sum("times").alias("__met"))
-    done = part.drop("__words", "__keys").join(met, F.col("__row") == F.col("__for"), "left").join(added, F.col("__row") == F.col("__of"), "left")
+    part = common.stage(kept.mapInArrow(run, schema), "scored")
+    asked = part.where("__part is not null").select(F.col("__part").alias("part"), F.col("__row").alias("chunk"), F.col("__data").alias("data"))
+    gains = rare_words.select(F.col("key").bitwiseXOR(F.lit(_signed(int(_WORD)))).alias("key"), F.lit(0.0).alias("v"), (F.log10(F.col("n") + 0.1) - unseen).alias("gain"), F.lit(1.0).alias("met"))
+    answers = rare.select("key", "v", F.lit(0.0).alias("gain"), F.lit(0.0).alias("met")).unionByName(gains)
+    answers = answers.withColumn("part", F.shiftright(F.shiftrightunsigned("key", 32) * parts, 32).cast("int"))
+    found = asked.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_answered, "chunk long, data binary")
+    added = found.groupBy("chunk").applyInArrow(_added, "row long, v double, gain double, met double").toDF("__of", "__v", "__gain", "__met")
+    rows_of = part.where("__part is null").drop("__part", "__data")
+    done = rows_of.join(added, F.col("__row") == F.col("__of"), "left")
     whole = F.col("__base") + F.coalesce("__gain", F.lit(0.0))
     return done.select(
-        *keep,
+        *[F.col(f"`{c}`") for c in keep],
         F.col("__tokens").alias("n_tokens"),
-        (F.col("__known") + F.coalesce("__met", F.lit(0))).cast("long").alias("n_known"),
+        (F.col("__known") + F.coalesce("__met", F.lit(0.0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         whole.alias("base_score"),
-        (whole + F.col("__states") + F.coalesce("__added", F.lit(0.0))).alias("score"),
+        (whole + F.col("__states") + F.coalesce("__v", F.lit(0.0))).alias("score"),
     )
 
 

@@ -98,10 +98,10 @@ def test_scores_are_those_of_a_plain_tree(spark, monkeypatch, held, combined):
     monkeypatch.setattr(lm, "_COMBINED", combined)
     monkeypatch.setattr(lm, "_PART", 500)
     rows = corpus()
-    df = spark.createDataFrame([(d, t, 1.0) for d, t in rows], "doc_id long, text string, score double").repartition(3)
+    df = spark.createDataFrame([(d, t, 1.0) for d, t in rows], "doc_id long, text string, gain double").repartition(3)
     plain = Plain([t for d, t in rows if d % 3])
     assert {len(s) for s in plain.states} == {0, 1, 2, 3}
-    got = sorted((r.doc_id, r.score) for r in lm.scored(df, df.where("doc_id % 3 > 0")).collect())
+    got = sorted((r.doc_id, r.score) for r in lm.scored(df, df.where("doc_id % 3 > 0"), keep=("doc_id", "gain")).collect())
     for (d, a), (e, b) in zip(got, sorted((d, plain.score(t)) for d, t in rows), strict=True):
         assert d == e and math.isclose(a, b, rel_tol=1e-9)
 
