@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +47,7 @@ _COMBINED, _BLOCK = 2_000_000, 2_000_000
 _PART = 4_000_000
 #: What tells the keys of words as such from those of words as contexts; what a key's answer adds to a text.
 _WORD, _VALUES = np.uint64(0xA5A5F00D12345677), ("v", "gain", "met")
-#: The key of a text's start, and log2 of the bits that tell keys which a table can't hold.
+#: The key of a text's start, and log2 of the bits, at most, that tell keys which a table can't hold.
 _BEGIN, _SPARSE = np.uint64(0x5851F42D4C957F2D), 27
 
 
@@ -269,25 +269,31 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _sparse(table: DataFrame) -> np.ndarray:
-    """2**_SPARSE bits in longs, set for the column key's values: keys without their bit aren't in the table."""
-    cell = F.shiftrightunsigned("key", 64 - _SPARSE)
-    found = table.groupBy(F.shiftright(cell, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - _SPARSE}) & 63 as int))")).alias("bits")).toArrow()
-    out = np.zeros(1 << _SPARSE - 6, np.uint64)
+def _sparse(table: DataFrame) -> tuple[int, np.ndarray]:
+    """Bits in longs, set for the column key's values: keys without their bit aren't in the table.
+
+    64 bits for each key of a small table, 2**_SPARSE at most; the first number says how a key's bit is found.
+    """
+    log = max(10, min(_SPARSE, (64 * table.count()).bit_length()))
+    cell = F.shiftrightunsigned("key", 64 - log)
+    found = table.groupBy(F.shiftright(cell, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - log}) & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << log - 6, np.uint64)
     out[found.column("at").to_numpy()] = found.column("bits").to_numpy().astype(np.int64).view(np.uint64)
-    return out
+    return 64 - log, out
 
 
-def _may(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    cell = key >> np.uint64(64 - _SPARSE)
+def _may(sparse: tuple[int, np.ndarray], key: np.ndarray) -> np.ndarray:
+    shift, bits = sparse
+    cell = key >> np.uint64(shift)
     return (bits[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: DataFrame, parts: int, text: str = "text") -> DataFrame:
+def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: DataFrame, parts: int, text: str = "text") -> tuple[DataFrame, Broadcast]:
     """key, context, suffix and n of the sequences of so many words that occur LEAST times or more in all rows.
 
     contexts_of, suffixes_of: tables with the keys (and n) of the order below that are open as contexts and as
-    suffixes. All sequences of these are found, and a few of others may be.
+    suffixes. All sequences of these are found, and a few of others may be. Beside the table, what its tasks share: to be
+    destroyed when the table is written.
     """
     spark = rows.sparkSession
     ids = tuple(Ids(_most(t.select("key", "n"), HELD)[0].column("key").to_numpy().view(np.uint64)) for t in (contexts_of, suffixes_of))
@@ -318,7 +324,7 @@ def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: Dat
             yield pa.RecordBatch.from_arrays([pa.array(v[often].view(np.int64)) for v in (key, context, suffix, n)], ["key", "context", "suffix", "n"])
 
     dealt = _texts(rows, text).mapInArrow(run, "part int, data binary").repartitionById(parts, "part")
-    return dealt.mapInArrow(summed, "key long, context long, suffix long, n long")
+    return dealt.mapInArrow(summed, "key long, context long, suffix long, n long"), shared
 
 
 def _states(found: DataFrame, totals: DataFrame) -> DataFrame:
@@ -351,8 +357,9 @@ def values(training: DataFrame, words: DataFrame, total: int, distinct: int, tex
     for order in range(2, DEPTH + 2):
         open_contexts = found.where(F.col("n") >= CONTEXT)
         # What isn't listed after a state can't be after a longer one; but it may lead to one.
-        new = listed(training, order, open_contexts, below if order in (2, DEPTH + 1) else found, parts, text)
+        new, shared = listed(training, order, open_contexts, below if order in (2, DEPTH + 1) else found, parts, text)
         new = common.stage(new.join(below.select(F.col("key").alias("suffix"), "below"), "suffix", "left").drop("suffix"), "listed")
+        shared.destroy()
         totals = open_contexts.select(F.col("key").alias("context"), F.col("n").alias("total"))
         table = common.stage(_states(new.where("below is not null"), totals), "states")
         if done:
@@ -490,6 +497,7 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
     for name, kind in zip(names[len(keep) :], ("long", "long", "long", "double", "double", "integer", "binary")):
         schema = schema.add(name, kind)
     part = common.stage(kept.mapInArrow(run, schema), "scored")
+    shared.destroy()
     asked = part.where("__part is not null").select(F.col("__part").alias("part"), F.col("__row").alias("chunk"), F.col("__data").alias("data"))
     gains = rare_words.select(F.col("key").bitwiseXOR(F.lit(_signed(int(_WORD)))).alias("key"), F.lit(0.0).alias("v"), (F.log10(F.col("n") + 0.1) - unseen).alias("gain"), F.lit(1.0).alias("met"))
     answers = rare.select("key", "v", F.lit(0.0).alias("gain"), F.lit(0.0).alias("met")).unionByName(gains)
