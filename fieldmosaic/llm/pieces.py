@@ -8,11 +8,15 @@ Rounds: all symbols of all words lie in one flat array. Each round finds each wo
 finished words out, until no pair remains. A rank whose piece can grow at the same or a smaller rank is merged
 one occurrence at a time, which keeps the order of a priority queue in every case.
 
+Words of over LONG characters are first cut between characters that stand side by side in no piece, as no merge can
+cross there. What is then still longer than QUEUED is merged by a priority queue, as rounds would cost its square.
+
 Runs of U+2581 rank below all else; they are split apart from words, as leftmost merging does.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -28,6 +32,10 @@ SPACE = "▁"
 _NONE = np.int32(2**31 - 1)
 #: Symbols from here on are characters that no piece starts a merge with: the value less this is the code point.
 _LOOSE = 1 << 21
+#: Characters of a word beyond which it is cut where no piece can cross, and of a stretch beyond which it is queued.
+LONG, QUEUED = 64, 1_000
+#: What the library must encode as this module does, or the model isn't of the kind that it takes.
+_PROBES = ["Plain words, 12.50 and more.", " two  spaces ", "ﬁne Ａ ① é é \t\n\u00a0x", "日本語 Ωmega", "haaaaaaaaa ababababab", "\u2581under ￾"]
 #: Distinct words that a task remembers before it starts anew.
 MEMORY = 400_000
 
@@ -96,6 +104,9 @@ class PieceModel:
         self.ranks = rank_of[self.merged]
         self.unsafe_rank = np.zeros(int(rank_of[plain].max()) + 1, bool)
         self.unsafe_rank[rank_of[unsafe & (rank_of < _NONE)]] = True
+        sides = {ord(a) << 32 | ord(b) for i in plain for a, b in zip(texts[i], texts[i][1:])}
+        self.sides = np.array(sorted(sides), np.int64)
+        self.queue_of: dict[int, tuple[int, int]] | None = None
         # Pairs of the first 255 characters and U+2581 are looked up directly.
         self.common = np.full(_LOOSE + 1, -1, np.int32)
         usual = [(k, int(self.char[c])) for k, c in enumerate([*range(255), ord(SPACE)]) if self.char[c] >= 0]
@@ -113,6 +124,9 @@ class PieceModel:
         self.out = np.frombuffer(b"".join(shown), np.uint8)
         self.out_len = np.array([len(x) for x in shown], np.int64)
         self.out_at = np.concatenate([[0], np.cumsum(self.out_len)[:-1]])
+        ids, at = Encoder(self).encode(_PROBES)
+        if [p.tolist() for p in np.split(ids, at[1:-1])] != sp.encode(_PROBES):
+            raise ValueError("only BPE models with byte fallback and the identity normaliser are supported")
 
     def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece that each pair of neighbours makes."""
@@ -121,13 +135,59 @@ class PieceModel:
         hit = self.keys[at] == key
         return np.where(hit, self.ranks[at], _NONE), np.where(hit, self.merged[at], -1)
 
+    def _stretches(self, code: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """True where a word begins, or where a long word can be cut."""
+        begin = np.zeros(len(code), bool)
+        begin[(np.cumsum(size) - size)[size > 0]] = True
+        long = np.flatnonzero(np.repeat(size > LONG, size) & ~begin)
+        if len(long):
+            side = code[long - 1].astype(np.int64) << 32 | code[long]
+            at = np.minimum(np.searchsorted(self.sides, side), len(self.sides) - 1)
+            begin[long[self.sides[at] != side]] = True
+        return begin
+
+    def _queue(self, sym: np.ndarray) -> list[int]:
+        """Symbols of one stretch after all merges, smallest rank and then leftmost first."""
+        if self.queue_of is None:
+            self.queue_of = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist())))
+        of, s, n = self.queue_of, sym.tolist(), len(sym)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(x[0], i, s[i], s[i + 1], x[1]) for i in range(n - 1) if (x := of.get(s[i] << 32 | s[i + 1]))]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b, piece = heapq.heappop(heap)
+            j = after[i]
+            if s[i] != a or j >= n or s[j] != b:
+                continue
+            s[i], s[j] = piece, -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if x := of.get(piece << 32 | s[k]):
+                    heapq.heappush(heap, (x[0], i, piece, s[k], x[1]))
+            if (h := before[i]) >= 0 and (x := of.get(s[h] << 32 | piece)):
+                heapq.heappush(heap, (x[0], h, s[h], piece, x[1]))
+        return [x for x in s if x >= 0]
+
     def rounds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words without runs of U+2581, and where each word's ids start (one entry more than words)."""
         code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int32)
-        seg = np.repeat(np.arange(len(words), dtype=np.int32), np.fromiter(map(len, words), np.int64, len(words)))
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        begin = self._stretches(code, size)
+        seg = (np.cumsum(begin) - 1).astype(np.int32)
+        word_of = np.repeat(np.arange(len(words), dtype=np.int32), size)[begin]
         sym = self.char[code]
         sym = np.where(sym < 0, _LOOSE + code, sym)
         done_sym, done_seg = [], []
+        sizes = np.bincount(seg, minlength=len(word_of))
+        for k in np.flatnonzero(sizes > QUEUED).tolist():
+            a = int(np.searchsorted(seg, k))
+            found = np.array(self._queue(sym[a : a + sizes[k]]), np.int32)
+            done_sym.append(found)
+            done_seg.append(np.full(len(found), k, np.int32))
+        if done_sym:
+            keep = np.flatnonzero(np.repeat(sizes <= QUEUED, sizes))
+            sym, seg = sym[keep], seg[keep]
         rank, piece = self._edge(sym, seg)
         while len(sym):
             first = np.flatnonzero(_starts(seg))
@@ -172,7 +232,7 @@ class PieceModel:
             return np.zeros(0, np.int32), np.zeros(len(words) + 1, np.int64)
         sym, seg = np.concatenate(done_sym), np.concatenate(done_seg)
         order = np.argsort(seg, kind="stable")
-        return self._bytes(sym[order], seg[order], len(words))
+        return self._bytes(sym[order], word_of[seg[order]], len(words))
 
     def _edge(self, sym: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rank, piece = np.full(len(sym), _NONE, np.int32), np.full(len(sym), -1, np.int32)
@@ -327,7 +387,7 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text", keep:
     """The kept columns, ids (array of int) and, if asked for, decoded (the text that the ids stand for).
 
     Row by row, without a shuffle; a task holds about common.CHUNK_BYTES of text at once, so long texts cost
-    memory in proportion to the longest. A null text counts as empty and has only the end id; empty tables give
+    memory and time in proportion to their length (words without a space: to it and its logarithm). A null text counts as empty and has only the end id; empty tables give
     empty results; repeated rows give repeated results; other columns of docs are ignored.
     model_path must be readable where the tasks run.
     """

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -31,6 +32,18 @@ def test_like_the_library():
     _check(["".join(rng.choice("aeintor ") for _ in range(rng.randrange(60))) for _ in range(2000)])
 
 
+def test_long_words():
+    """Unspaced texts of hundreds of thousands of characters, in time that doesn't grow with their square."""
+    rng = random.Random(9)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    prose = "thequickbrownfoxjumpsoverthelazydogandinternationalisationofcommunities"
+    texts = ["data:," + "".join(rng.choice(base64) for _ in range(400_000)), "".join(prose[k : k + 9] for k in (rng.randrange(60) for _ in range(25_000)))]
+    texts += ["a" * 200_000, "ha" * 60_000, "".join(rng.choice("abh") for _ in range(30_000)), "".join(rng.choice("中文字ゼ日本語") for _ in range(50_000)), "=-" * 30_000 + " x", "=" * 5_001]
+    began = time.process_time()
+    _check(texts)
+    assert time.process_time() - began < 60
+
+
 def test_decode_of_any_ids():
     import sentencepiece
 
