@@ -48,10 +48,12 @@ def test_exact_code_lengths(spark):
 def test_predictions(spark):
     rows = [(i, ("the cat and the dog " if i % 2 else "der hund und die katze ") * 3, "en" if i % 2 else "de", "s") for i in range(40)]
     trees = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string, score string"))
-    odd = spark.createDataFrame([(1, None, None), (2, "", "x"), (3, "12 !_", "x"), (4, "the dog", None), (4, "the dog", None), (None, "die katze" * 9000, "x")], "doc_id long, text string, lang_pred string")
+    odd = spark.createDataFrame([(1, None, None), (2, "", "x"), (3, "12 !_ \u00bd \u00b2 \u2167", "x"), (4, "the dog", None), (4, "the dog", None), (None, "die katze" * 9000, "x")], "doc_id long, text string, lang_pred string")
     got = sorted((r.doc_id or 0, r.lang_pred, round(r.score, 3)) for r in language.predict(odd, trees).collect())
     assert got[0][1] == "de" and [g[1] for g in got[1:]] == ["und"] * 3 + ["en"] * 2 and all(0 <= g[2] <= 1 for g in got)
     assert language.predict(odd.limit(0), trees).count() == 0
+    both = language.predict(odd, trees, keep=("doc_id", "lang_pred"), names=("found", "share"))
+    assert both.columns == ["doc_id", "lang_pred", "found", "share"] and {r.found for r in both.collect()} == {"und", "en", "de"}
     assert {r.lang_pred for r in language.predict(odd, {}).collect()} == {"und"}
     assert language.train(odd.select("text", odd["lang_pred"].alias("lang")).limit(0)) == {}
 
@@ -74,10 +76,15 @@ def test_rare_grams_count(spark, monkeypatch, held):
             assert (r.lang_pred, r.score) == ("und", 0.0)
             continue
         x, y = (_slow(texts[k], tests[r.doc_id]) for k in ("xx", "yy"))
-        assert r.lang_pred == ("xx" if x <= y else "yy") and math.isclose(r.score, 1 / (1 + math.exp(-abs(x - y))), rel_tol=1e-6)
+        assert r.lang_pred == ("xx" if x <= y else "yy") and math.isclose(r.score, 1 / (1 + math.exp(-abs(x - y) / len(tests[r.doc_id].encode()))), rel_tol=1e-6)
 
 
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.op4_language(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.98 * len(got) > 100
+
+
+def test_letters():
+    assert not any(map(language.has_letter, ["", "12", "\u00bd \u00b2", "\u2167", "_", "\u0663"]))
+    assert all(map(language.has_letter, ["1a", "\u00e9", "12 \u4e00", "\u02b0"]))
