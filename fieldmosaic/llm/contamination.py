@@ -1,10 +1,11 @@
 """Benchmark decontamination over a positional inverted index (operator 7), in DataFrame functions only.
 
+Texts are split into words once; the positions are written to the shared folder, and everything else reads them there.
 The index is of training tokens, for the terms that the test side asks for: each posting has the document, the
 position, and the 12 words to either side of it, so that the position lists of all other terms of a window,
 offset to the posting, can be intersected where the posting is. Each window is asked for under its rarest term,
 counted over all documents. The test side is broadcast only if it is counted to be small; beyond that, postings
-are dealt by term, and a term's postings are already the rarest list of its windows.
+are dealt by term and one of SALTS numbers, so that a term of very many postings isn't one task.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from . import common
 WINDOW = 13
 #: Characters of test-side rows that may be broadcast.
 BROADCAST_CHARS = 20_000_000
+#: Tasks that a term's postings are dealt over where the test side is too large to broadcast.
+SALTS = 16
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -48,13 +50,14 @@ def _fits(df: DataFrame, size: Column | None = None) -> bool:
     return n <= common.BROADCAST_ROWS and chars <= BROADCAST_CHARS
 
 
-def _tokens(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "key", words_of(F.col("text")).alias("words"))
+def positions(docs: DataFrame) -> DataFrame:
+    """doc_id, key and words (by position) of docs (doc_id, key, text), written once."""
+    return common.stage(docs.select("doc_id", "key", words_of(F.col("text")).alias("words")), "positions")
 
 
-def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """term and n, its occurrences in all documents, for those of the terms that occur."""
-    flat = _tokens(docs).select(F.explode_outer("words").alias("term")).where("term is not null")
+def term_counts(tokens: DataFrame, terms: DataFrame) -> DataFrame:
+    """term and n, its occurrences in all documents (of positions()), for those of the terms that occur."""
+    flat = tokens.select(F.explode_outer("words").alias("term")).where("term is not null")
     if _fits(terms, F.length("term")):
         return flat.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
     return flat.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
@@ -71,26 +74,28 @@ def rarest(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return counted.where("least.n > 0").select("wid", "words", "items", F.col("least.term").alias("term"), F.col("least.offset").alias("offset"))
 
 
-def postings(docs: DataFrame, asked: DataFrame, reach: int, size: Column) -> DataFrame:
-    """Postings of the terms in asked: doc_id, key, n_words, pos, term, around, before, and asked's other columns.
+def postings(tokens: DataFrame, asked: DataFrame, reach: int, size: Column) -> DataFrame:
+    """Postings of the terms in asked, from positions(): doc_id, key, n_words, pos, term, around, before, and asked's other columns.
 
     around has the words from reach before to reach after, `before` of them before the posting itself.
     size: the characters of a row of asked.
     """
     # The outer form, as Spark would run the expression twice to leave out empty arrays first.
-    flat = _tokens(docs).select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "term")).where("term is not null")
+    flat = tokens.select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "term")).where("term is not null")
     start = F.greatest(F.col("pos") - reach, F.lit(0))
     near = [F.size("words").alias("n_words"), F.slice("words", start + 1, F.col("pos") - start + reach + 1).alias("around"), (F.col("pos") - start).alias("before")]
     mine, others = ["doc_id", "key", "pos", "term"], [c for c in asked.columns if c != "term"]
     if _fits(asked, size):  # neighbours are taken behind the join, for few tokens
         return flat.join(F.broadcast(asked), "term").select(*mine, *others, *near)
-    return flat.select(*mine, *near).join(asked, "term")
+    salted = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = flat.select(*mine, *near, F.pmod(F.xxhash64("key", "pos"), F.lit(SALTS)).cast("int").alias("salt"))
+    return dealt.join(salted, ["term", "salt"]).drop("salt")
 
 
-def _asked(windows: DataFrame, docs: DataFrame) -> DataFrame:
+def _asked(windows: DataFrame, tokens: DataFrame) -> DataFrame:
     """term and asked (array of offset, words, items): the windows (wid, words, items) under their rarest terms."""
     terms = common.stage(windows.select(F.explode("words").alias("term")).distinct(), "terms")
-    counts = common.stage(term_counts(docs, terms), "counts")
+    counts = common.stage(term_counts(tokens, terms), "counts")
     return common.stage(rarest(windows, counts).groupBy("term").agg(F.collect_list(F.struct("offset", "words", "items")).alias("asked")), "asked")
 
 
@@ -98,13 +103,13 @@ def _asked_size() -> Column:
     return F.aggregate("asked", F.lit(0).cast("long"), lambda n, w: n + F.length(F.concat_ws(" ", w["words"])) + 20 * F.size(w["items"]))
 
 
-def phrase_matches(docs: DataFrame, windows: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
+def phrase_matches(tokens: DataFrame, windows: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
     """doc_id, key, n_words, and found: array of (start, length, items) of the windows that a document holds.
 
-    windows: words, items, with at most reach + 1 words each. docs: doc_id, key, text (not null).
+    windows: words, items, with at most reach + 1 words each. tokens: positions() of the documents.
     """
     windows = common.stage(windows.select(F.concat_ws(" ", "words").alias("wid"), "words", "items"), "windows")
-    at = postings(docs, _asked(windows, docs), reach, _asked_size())
+    at = postings(tokens, _asked(windows, tokens), reach, _asked_size())
 
     def same(w: Column) -> Column:
         first = F.greatest(F.col("before") - w["offset"] + 1, F.lit(1))
@@ -120,10 +125,10 @@ def proximity_matches(docs: DataFrame, queries: DataFrame, within: int, text: st
     """doc_id, query_id, pos: where all words of a query (query_id, words) lie, in any order, at most `within`
     words from its rarest word, whose position pos is. Null texts hold no words; a query of no words has no match.
     """
-    docs = _sources(docs, text, doc_id)
+    tokens = positions(_sources(docs, text, doc_id))
     asked = queries.select("query_id", F.array_distinct("words").alias("words")).where("size(words) > 0")
     asked = common.stage(asked.select(F.col("query_id").alias("wid"), "words", F.array("query_id").alias("items")), "queries")
-    at = postings(docs, _asked(asked, docs), within, _asked_size())
+    at = postings(tokens, _asked(asked, tokens), within, _asked_size())
     fits = F.filter("asked", lambda q: F.size(F.array_except(q["words"], F.col("around"))) == 0)
     return at.select("doc_id", "pos", F.explode(fits).alias("q")).select("doc_id", F.col("q.items")[0].alias("query_id"), "pos")
 
@@ -138,9 +143,9 @@ def _sources(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _key(F.col("text")).alias("key"))
 
 
-def _hits(rows: DataFrame, items: DataFrame, item_text: str, item_id: str) -> DataFrame:
+def _hits(tokens: DataFrame, items: DataFrame, item_text: str, item_id: str) -> DataFrame:
     """of_id, of_key, hit_words, n_hit, items of the documents that hold a window."""
-    per_doc = phrase_matches(rows, item_windows(items, item_text, item_id))
+    per_doc = phrase_matches(tokens, item_windows(items, item_text, item_id))
     spans = F.array_sort(F.transform("found", lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["length"]).alias("stop"))))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("stop"))
     covered = F.aggregate(spans, zero, lambda a, x: F.struct((a["n"] + F.greatest(x["stop"] - F.greatest(x["start"], a["stop"]), F.lit(0))).alias("n"), F.greatest(a["stop"], x["stop"]).alias("stop")))
@@ -159,9 +164,9 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     twentieth. Null texts have no words and aren't contaminated; nor is anything if there are no items. Repeated
     rows have repeated results; items of the same text are all reported; null item ids are passed over.
     """
-    rows = _sources(docs, text, doc_id)
-    hits = _hits(rows, items, item_text, item_id)
-    counted = rows.select("doc_id", "key", F.regexp_count("text", F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"))
+    tokens = positions(_sources(docs, text, doc_id))
+    hits = _hits(tokens, items, item_text, item_id)
+    counted = tokens.select("doc_id", "key", F.size("words").cast("long").alias("n_words"))
     joined = counted.join(hits, counted["doc_id"].eqNullSafe(hits["of_id"]) & (counted["key"] == hits["of_key"]), "left")
     hit, names = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
     return joined.select("doc_id", "n_words", hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"), names.alias("items"), _contaminated(hit, F.col("n_words")).alias("contaminated"))
@@ -169,7 +174,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
 
 def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """docs without contaminated rows, by the rules of contamination(); all columns stay."""
-    bad = _hits(_sources(docs, text, doc_id), items, item_text, item_id).where(_contaminated(F.col("n_hit"), F.col("hit_words")))
+    bad = _hits(positions(_sources(docs, text, doc_id)), items, item_text, item_id).where(_contaminated(F.col("n_hit"), F.col("hit_words")))
     bad = common.stage(bad.select(F.col("of_id").alias("__id"), F.col("of_key").alias("__of")), "contaminated")
     keyed = docs.withColumn("__key", _key(docs[f"`{text}`"]))
     return keyed.join(common.small(bad), F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__of")), "left_anti").drop("__key")
