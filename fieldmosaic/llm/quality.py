@@ -138,18 +138,19 @@ def with_statistics(docs: DataFrame, keep: list[str], text: str = "text", trees:
     return kept.mapInArrow(run, schema.add("x", T.ArrayType(T.DoubleType())) if trees is None else schema.add("score", "double"))
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE) -> Trees:
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE, doc_id: str = "doc_id") -> Trees:
     """Trees fitted on docs whose doc_id has a label 0 or 1 (column quality of labels); null labels are passed over.
 
-    Of more than `sample` labelled rows, about that many are taken by a hash of doc_id. A doc_id with several
-    labels counts once for each. Without both labels present the score is constant.
+    Of more than `sample` labelled rows, about that many are taken by a hash of doc_id. A doc_id that has both labels
+    counts once for each, however often they are repeated. Without both labels present the score is constant. Other
+    columns of docs are ignored.
     """
-    known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("__id"), "quality")
+    known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("__id"), "quality").distinct()
     n = known.count()
     if n > sample:
         known = known.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(1_000_000 * sample / n))
-    found = docs.join(F.broadcast(known), docs["doc_id"] == known["__id"])
-    rows = with_statistics(found, ["quality"], text).toArrow()
+    found = common.pick(docs, doc_id=doc_id, text=text).join(F.broadcast(known), F.col("doc_id") == F.col("__id"))
+    rows = with_statistics(found, ["quality"]).toArrow()
     x = np.array(rows.column("x").to_pylist(), float).reshape(-1, len(NAMES))
     return fit(x, rows.column("quality").to_numpy().astype(float))
 
