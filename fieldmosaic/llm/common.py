@@ -57,6 +57,11 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def repeats(df: DataFrame, *columns: str) -> bool:
+    """Whether any rows are equal in these columns."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
+
+
 def pick(df: DataFrame, **cols: str) -> DataFrame:
     """Only the named columns, under fixed names: other columns can't clash with the operator's own."""
     return df.select(*[df[f"`{c}`"].alias(name) for name, c in cols.items()])

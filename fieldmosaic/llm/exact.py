@@ -230,12 +230,16 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """docs without the rows that exact_groups() drops; all columns stay.
 
-    The texts are dealt by digest and id, so a text that many rows share isn't gathered in one task.
+    The texts are dealt by digest and id, so a text that many rows share isn't gathered in one task. They are dealt
+    again only if rows are found that are equal in both.
     """
-    found = groups(keyed(docs, text, doc_id)).select(F.col("digest").alias("__of"), F.col("keep_id").alias("__id"))
+    rows = keyed(docs, text, doc_id)
+    found = groups(rows).select(F.col("digest").alias("__of"), F.col("keep_id").alias("__id"))
     marked = docs.withColumn("__digest", F.unhex(F.sha2(F.coalesce(docs[f"`{text}`"], F.lit("")), 256)))
     kept = marked.join(found, (F.col("__digest") == F.col("__of")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["__digest", doc_id]).drop("__digest")
+    if common.repeats(rows, "digest", "doc_id"):
+        kept = kept.dropDuplicates(["__digest", doc_id])
+    return kept.drop("__digest")
 
 
 def op9_exact(spark, sf_dir: str) -> DataFrame:

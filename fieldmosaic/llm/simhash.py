@@ -193,13 +193,16 @@ def near_groups(docs: DataFrame, words: int = 3, text: str = "text", doc_id: str
 def deduplicated(docs: DataFrame, words: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """docs with one row of each component of near_groups(), that of its smallest id; all columns stay.
 
-    A component of null ids only keeps each of its texts once. Texts are dealt by id and hash.
+    A component of null ids only keeps each of its texts once. Texts are dealt by id and hash, and again only if rows
+    are found that are equal in both.
     """
-    groups = near_groups(docs, words, text, doc_id)
+    groups = common.stage(near_groups(docs, words, text, doc_id), "components")
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), F.col("key").alias("__of"))
     keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(docs[f"`{text}`"], F.lit(""))))
     found = keyed.join(kept, (F.col("__key") == F.col("__of")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")), "left_semi")
-    return found.dropDuplicates(["__key", doc_id]).drop("__key")
+    if common.repeats(groups, "key", "doc_id"):
+        found = found.dropDuplicates(["__key", doc_id])
+    return found.drop("__key")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

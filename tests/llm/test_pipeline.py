@@ -74,3 +74,16 @@ def test_language_stage_keeps_what_is_torn_between_three(spark):
     got = corpus_pipeline.known_language(spark, docs, "")
     assert got.columns == docs.columns
     assert sorted(r.doc_id for r in got.collect()) == sorted([*learnt, held[0]])
+
+
+def test_stages_take_clashing_columns(spark, tmp_path):
+    names = ["lang_pred", "score", "quality", "ids", "key", "row", "words", "digest", "decoded", "n_tokens"]
+    docs = spark.createDataFrame([(k, f"some text {k % 3}", "en", "s", 11, *range(10)) for k in range(12)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names))
+    spark.createDataFrame([(1, "some text 2")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        assert k == len(corpus_pipeline.STAGES) - 1 or out.columns == docs.columns
+        left.append(out.count())
+        docs = out
+    assert left == [12, 3, 3, 2, 2]
