@@ -12,10 +12,13 @@ of a periodic one, of which each string would need several positions.
    One bucket at a time is suffix-sorted: sampled suffixes to the right, reversed prefixes to the left, with the common
    lengths of neighbours. A string at offset t is then known by two ranks, of its left t bytes and of its right
    LENGTH - t bytes, so ties of any number are resolved without comparing strings again; the first of equal ranks
-   stays. Seeds with more than HOT spans are dealt by a 128-bit hash of each string instead, so that no bucket
-   grows with one seed.
+   stays.
 3. The found intervals are dealt by document, merged, and cut out.
 
+A seed whose spans would fill a bucket by themselves (as counted in a sixteenth of the documents) is split from the
+start: its strings are dealt by a 128-bit hash of each, and no bucket grows with one seed. The number of buckets
+follows from the bytes of all texts. Both only spread the work; the result is the same.
+
 All shuffled rows are blocks of packed arrays. Spans are compared by 64-bit hashes within seeds of equal 64-bit hash.
 """
 
@@ -35,10 +38,10 @@ from . import common
 LENGTH, SEED = 100, 32
 #: Largest offset of a string's sampled position.
 REACH = LENGTH - SEED
-#: Spans of one seed that are sorted in one bucket.
-HOT = 20_000
-#: Seed buckets for each partition.
-FINE = 8
+#: Seed buckets for each partition, and bytes of text for each partition at most.
+FINE, PART_BYTES = 8, 64_000_000
+#: One document in so many is looked at for seeds that fill a bucket, and their spans there at least.
+LOOK, FEW = 16, 16
 CHUNK = 6_000_000
 _DEALT = "part int, kind int, data binary"
 _DONE, _OPEN, _SPANS, _STRINGS = 1, 2, 3, 4
@@ -147,8 +150,56 @@ def _later(same: np.ndarray, docs: np.ndarray, of: np.ndarray, at: np.ndarray) -
     return same & ~((docs[of] == docs[of[start]]).all(1) & (at == at[start]))
 
 
-def _cover(parts: int):
-    """Step 1, mapping: sampled positions by seed; repeats within the chunk are done."""
+def _strings(whole: bytes, m: np.ndarray, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of spans: which span, the place and the two halves of a hash of each of their strings."""
+    h, n = xxhash.xxh3_128_digest, high - low + 1
+    which = np.repeat(np.arange(len(m)), n)
+    at = np.repeat(m - high - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    two = np.frombuffer(b"".join([h(whole[p : p + LENGTH]) for p in at.tolist()]), np.uint64).reshape(-1, 2)
+    return which, at, two
+
+
+def _string_blocks(docs: np.ndarray, of: np.ndarray, at: np.ndarray, two: np.ndarray, parts: int) -> list[tuple[int, int, bytes]]:
+    """Strings by their hashes; those that are repeats within the chunk are done."""
+    order = np.lexsort((at, docs[of, 1], docs[of, 0], two[:, 1], two[:, 0]))
+    of, at, two = of[order], at[order].astype(np.int32), two[order]
+    same = np.concatenate([[False], (two[1:] == two[:-1]).all(1)])
+    done = _later(same, docs, of, at)
+    rows = list(_blocks(_home(docs, parts)[of[done]], _DONE, docs, of[done], [at[done], at[done] + np.int32(LENGTH)]))
+    of, at, two = of[~same], at[~same], two[~same]
+    return rows + list(_blocks((two[:, 0] % np.uint64(parts * FINE)).astype(np.int64), _STRINGS, docs, of, [at, two[:, 0].copy(), two[:, 1].copy()]))
+
+
+def _done_strings(blobs: list[bytes], parts: int) -> list[tuple[int, int, bytes]]:
+    docs, of, (at, a, b) = _gather(blobs, "i4", "u8", "u8")
+    order = np.lexsort((at, docs[of, 1], docs[of, 0], b, a))
+    of, at, a, b = of[order], at[order], a[order], b[order]
+    same = np.concatenate([[False], (a[1:] == a[:-1]) & (b[1:] == b[:-1])])
+    done = _later(same, docs, of, at)
+    return list(_blocks(_home(docs, parts)[of[done]], _DONE, docs, of[done], [at[done], at[done] + np.int32(LENGTH)]))
+
+
+def hot_seeds(rows: DataFrame, parts: int) -> np.ndarray:
+    """Hashes of the seeds that have more spans than a bucket's share of all, at most one for each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.chunks(batches, "text", CHUNK):
+            x, starts, size, _ = _texts(batch)
+            seed, n = np.unique(sample(x, starts, size)[4], return_counts=True)
+            often = n > 1
+            yield pa.RecordBatch.from_arrays([pa.array([None, *seed[often].view(np.int64).tolist()], pa.int64()), pa.array([int(n.sum()), *n[often].tolist()], pa.int64())], ["seed", "n"])
+
+    counts = rows.where(F.pmod("key", F.lit(LOOK)) == 0).select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+    counts = common.stage(counts.where(F.col("seed").isNull() | (F.col("n") >= FEW)), "seeds")
+    total = counts.where("seed is null").first()
+    if total is None:
+        return np.zeros(0, np.uint64)
+    found = counts.where(F.col("seed").isNotNull() & (F.col("n") > max(FEW, total["n"] // (parts * FINE)))).select("seed").toArrow()
+    return np.sort(found.column("seed").to_numpy().view(np.uint64))
+
+
+def _cover(parts: int, hot: np.ndarray):
+    """Step 1, mapping: sampled positions by seed, strings of hot seeds; repeats within the chunk are done."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = xxhash.xxh3_64_intdigest
@@ -168,6 +219,13 @@ def _cover(parts: int):
             rows = []
             rows += _blocks(_home(docs, parts)[of[done]], _DONE, docs, of[done], [(at - high)[done].astype(np.int32), (at - low)[done].astype(np.int32) + np.int32(LENGTH)])
             f = ~same
+            if len(hot):
+                known = f & (hot[np.minimum(np.searchsorted(hot, seed), len(hot) - 1)] == seed)
+                if known.any():
+                    which, place, two = _strings(whole, at[known] + starts[of[known]], high[known], low[known])
+                    own = of[known][which]
+                    rows += _string_blocks(docs, own, place - starts[own], two, parts)
+                    f &= ~known
             rows += _blocks((seed[f] % np.uint64(parts * FINE)).astype(np.int64), 0, docs, of[f], [seed[f], span[f], at[f].astype(np.int32), high[f].astype(np.uint8), low[f].astype(np.uint8)])
             yield _batch(rows)
 
@@ -178,22 +236,28 @@ def _first_spans(parts: int):
     """Step 1, reducing: spans that occurred earlier are done; first ones of seeds with several spans are open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, blobs = None, []
+        now, held = None, {0: [], _STRINGS: []}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if held[0]:
+                yield from bucket(held[0])
+            if held[_STRINGS]:
+                yield _batch(_done_strings(held[_STRINGS], parts))
+            held.update({0: [], _STRINGS: []})
+
         for batch in batches:
             passed = []
             for part, kind, data in zip(*(batch.column(c).to_pylist() for c in ("part", "kind", "data"))):
-                if kind:
+                if kind == _DONE:
                     passed.append((part, kind, data))
                     continue
-                if part != now and blobs:
-                    yield from bucket(blobs)
-                    blobs = []
+                if part != now:
+                    yield from out()
                 now = part
-                blobs.append(data)
+                held[kind].append(data)
             if passed:
                 yield _batch(passed)
-        if blobs:
-            yield from bucket(blobs)
+        yield from out()
 
     def bucket(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         docs, of, (seed, span, at, high, low) = _gather(blobs, "u8", "u8", "i4", "u1", "u1")
@@ -216,8 +280,8 @@ def _first_spans(parts: int):
         f = np.flatnonzero(~same)
         number = np.cumsum(np.concatenate([[True], seed[f][1:] != seed[f][:-1]])) - 1
         spans = np.bincount(number)[number]
-        f, hot = f[spans > 1], (spans[spans > 1] > HOT).astype(np.uint8)
-        yield _batch(list(_blocks(home[of[f]], _OPEN, docs, of[f], [at[f], high[f].astype(np.uint8), low[f].astype(np.uint8), hot])))
+        f = f[spans > 1]
+        yield _batch(list(_blocks(home[of[f]], _OPEN, docs, of[f], [at[f], high[f].astype(np.uint8), low[f].astype(np.uint8)])))
 
     return run
 
@@ -249,58 +313,39 @@ def _by_document(types: tuple[str, ...], merge) -> object:
     return run
 
 
-def _joined(rows: DataFrame, blocks: DataFrame, types: tuple[str, ...], merge, how: str) -> DataFrame:
+def _joined(rows: DataFrame, blocks: DataFrame, parts: int, types: tuple[str, ...], merge, how: str) -> DataFrame:
     """rows (id, key, ...) with data, what their blocks hold."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = blocks.select("part", "data").repartition(parts, "part").sortWithinPartitions("part")
     per_doc = dealt.mapInArrow(_by_document(types, merge), "of_id long, of_key long, data binary")
     return rows.join(per_doc, (rows["id"] == per_doc["of_id"]) & (rows["key"] == per_doc["of_key"]), how)
 
 
 def _fetch(parts: int):
-    """Step 2, mapping: the bytes of open spans by seed, or the hashes of their strings where the seed is hot."""
+    """Step 2, mapping: the bytes of open spans by seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, h2 = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_digest
+        h = xxhash.xxh3_64_intdigest
         for batch in common.chunks(batches, "text", CHUNK):
             docs = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key")]).astype(np.int64)
             part, of, places, highs, lows, pieces = [], [], [], [], [], []
-            hot_of, hot_at, hashes = [], [], []
             for k, (text, data) in enumerate(zip(batch.column("text").to_pylist(), batch.column("data").to_pylist())):
                 raw = text.encode()
-                for m, high, low, hot in zip(*(v.tolist() for v in unpack(data, "i4", "u1", "u1", "u1"))):
-                    if hot:
-                        for p in range(m - high, m - low + 1):
-                            hot_of.append(k)
-                            hot_at.append(p)
-                            hashes.append(h2(raw[p : p + LENGTH]))
-                        continue
+                for m, high, low in zip(*(v.tolist() for v in unpack(data, "i4", "u1", "u1"))):
                     part.append(h(raw[m : m + SEED]) % (parts * FINE))
                     of.append(k)
                     places.append(m)
                     highs.append(high)
                     lows.append(low)
                     pieces.append(raw[m - high : m - low + LENGTH])
-            rows = []
-            if part:
-                # A span's bytes are packed as a text of fixed width: left part, right part.
-                wide = np.zeros((len(pieces), REACH + LENGTH), np.uint8)
-                sizes = np.array([len(x) for x in pieces])
-                col = np.repeat(REACH - np.array(highs) - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-                wide[np.repeat(np.arange(len(pieces)), sizes), col] = np.frombuffer(b"".join(pieces), np.uint8)
-                fixed = wide.view(f"V{REACH + LENGTH}").ravel()
-                rows += _blocks(np.array(part, np.int64), _SPANS, docs, np.array(of), [np.array(places, np.int32), np.array(highs, np.uint8), np.array(lows, np.uint8), fixed])
-            if hashes:
-                two = np.frombuffer(b"".join(hashes), np.uint64).reshape(-1, 2)
-                own, at = np.array(hot_of), np.array(hot_at, np.int32)
-                order = np.lexsort((at, docs[own, 1], docs[own, 0], two[:, 1], two[:, 0]))
-                own, at, two = own[order], at[order], two[order]
-                same = np.concatenate([[False], (two[1:] == two[:-1]).all(1)])
-                done = _later(same, docs, own, at)
-                rows += _blocks(_home(docs, parts)[own[done]], _DONE, docs, own[done], [at[done], at[done] + np.int32(LENGTH)])
-                own, at, two = own[~same], at[~same], two[~same]
-                rows += _blocks((two[:, 0] % np.uint64(parts * FINE)).astype(np.int64), _STRINGS, docs, own, [at, two[:, 0].copy(), two[:, 1].copy()])
-            yield _batch(rows)
+            if not part:
+                continue
+            # A span's bytes are packed as a text of fixed width: left part, right part.
+            wide = np.zeros((len(pieces), REACH + LENGTH), np.uint8)
+            sizes = np.array([len(x) for x in pieces])
+            col = np.repeat(REACH - np.array(highs) - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+            wide[np.repeat(np.arange(len(pieces)), sizes), col] = np.frombuffer(b"".join(pieces), np.uint8)
+            fixed = wide.view(f"V{REACH + LENGTH}").ravel()
+            yield _batch(list(_blocks(np.array(part, np.int64), _SPANS, docs, np.array(of), [np.array(places, np.int32), np.array(highs, np.uint8), np.array(lows, np.uint8), fixed])))
 
     return run
 
@@ -359,36 +404,17 @@ def _sorted_buckets(parts: int):
         stop = np.nonzero(edge == -1)[1] - 1  # offsets begin..stop repeat: starts at - stop .. at - begin
         return list(_blocks(_home(docs, parts)[of[row]], _DONE, docs, of[row], [(at[row] - stop).astype(np.int32), (at[row] - begin + LENGTH).astype(np.int32)]))
 
-    def of_strings(blobs: list[bytes]) -> list[tuple[int, int, bytes]]:
-        docs, of, (at, a, b) = _gather(blobs, "i4", "u8", "u8")
-        order = np.lexsort((at, docs[of, 1], docs[of, 0], b, a))
-        of, at, a, b = of[order], at[order], a[order], b[order]
-        same = np.concatenate([[False], (a[1:] == a[:-1]) & (b[1:] == b[:-1])])
-        done = _later(same, docs, of, at)
-        return list(_blocks(_home(docs, parts)[of[done]], _DONE, docs, of[done], [at[done], at[done] + np.int32(LENGTH)]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, {_SPANS: [], _STRINGS: []}
-
-        def out() -> pa.RecordBatch:
-            rows = (of_spans(held[_SPANS]) if held[_SPANS] else []) + (of_strings(held[_STRINGS]) if held[_STRINGS] else [])
-            held.update({_SPANS: [], _STRINGS: []})
-            return _batch(rows)
-
-        passed = []
+        now, held = None, []
         for batch in batches:
-            for part, kind, data in zip(*(batch.column(c).to_pylist() for c in ("part", "kind", "data"))):
-                if kind == _DONE:
-                    passed.append((part, kind, data))
-                    continue
-                if part != now and now is not None:
-                    yield out()
+            for part, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
+                if part != now and held:
+                    yield _batch(of_spans(held))
+                    held = []
                 now = part
-                held[kind].append(data)
-            if passed:
-                yield _batch(passed)
-                passed = []
-        yield out()
+                held.append(data)
+        if held:
+            yield _batch(of_spans(held))
 
     return run
 
@@ -424,16 +450,18 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     Rows of the same id are told apart by a hash of their text, in whose order they stand; rows equal in id and text
     are one document, and each gets its result. Empty tables give empty results; other columns are ignored.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = common.pick(docs, doc_id=doc_id, text=text).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64("text").alias("key"), "text")
-    sampled = rows.where(F.octet_length("text") >= LENGTH).select("id", "key", "text").mapInArrow(_cover(parts), _DEALT)
+    long = rows.where(F.octet_length("text") >= LENGTH).select("id", "key", "text")
+    size = long.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    sampled = long.mapInArrow(_cover(parts, hot_seeds(long, parts)), _DEALT)
     first = common.stage(sampled.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_first_spans(parts), _DEALT), "spans")
-    asked = _joined(rows.select("id", "key", "text"), first.where(F.col("kind") == _OPEN), ("i4", "u1", "u1", "u1"), lambda *v: v, "inner")
+    asked = _joined(rows.select("id", "key", "text"), first.where(F.col("kind") == _OPEN), parts, ("i4", "u1", "u1"), lambda *v: v, "inner")
     fetched = asked.select("id", "key", "text", "data").mapInArrow(_fetch(parts), _DEALT)
     again = fetched.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_sorted_buckets(parts), _DEALT)
     done = common.stage(again, "strings").unionByName(first.where(F.col("kind") == _DONE))
-    final = _joined(rows, done, ("i4", "i4"), merged, "left").select("doc_id", "text", "data")
+    final = _joined(rows, done, parts, ("i4", "i4"), merged, "left").select("doc_id", "text", "data")
     schema = final.select("doc_id").schema.add("n_bytes", "long")
     schema = schema.add("spans", T.ArrayType(T.StructType().add("start", "integer").add("stop", "integer"))).add("kept", "binary")
     return final.mapInArrow(_cut, schema)

@@ -47,11 +47,14 @@ def corpus(seed):
     return rows + [rows[3], rows[3], (None, texts[5])]
 
 
-@pytest.mark.parametrize("hot,chunk", [(20_000, 6_000_000), (1, 3_000), (20_000, 3_000)])
-def test_against_brute_force(spark, monkeypatch, hot, chunk):
-    monkeypatch.setattr(repeats, "HOT", hot)
+@pytest.mark.parametrize("few,chunk", [(16, 6_000_000), (1, 3_000), (16, 3_000)])
+def test_against_brute_force(spark, monkeypatch, few, chunk):
+    """few = 1, and every document looked at: most seeds that occur twice are split into their strings."""
+    monkeypatch.setattr(repeats, "FEW", few)
+    monkeypatch.setattr(repeats, "LOOK", 1 if few == 1 else 16)
+    monkeypatch.setattr(repeats, "FINE", 8 if few > 1 else 1 << 20)
     monkeypatch.setattr(repeats, "CHUNK", chunk)
-    rows = corpus(hot + chunk)
+    rows = corpus(few + chunk)
     df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], "doc_id long, text string, key string, part int").repartition(3)
     got = [(r.doc_id, r.n_bytes, [(s.start, s.stop) for s in r.spans], bytes(r.kept)) for r in repeats.without_repeats(df).collect()]
     key = lambda r: (r[0] is None, r[0] or 0)
