@@ -116,7 +116,8 @@ def _matches(rows: DataFrame) -> DataFrame:
 def candidates(rows: DataFrame) -> DataFrame:
     """Base spans and wider candidates of rows (doc_id, key, text): doc_id, key, kind, start, stop, base, match, before, after.
 
-    start and stop are code points, stop exclusive. Wider candidates that touch a base span of the same text are left out.
+    start and stop are code points, stop exclusive. Wider candidates that touch a base span of the same text are left out,
+    and those that touch one that is kept to their left.
     """
     w = Window.partitionBy("doc_id", "key", "kind", "wide").orderBy("n")
     gone, matched = F.sum("gap").over(w), F.sum(F.length("match")).over(w)
@@ -130,9 +131,16 @@ def candidates(rows: DataFrame) -> DataFrame:
     reach = F.max(F.when(F.col("base"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
     ahead = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
     free = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (F.coalesce(ahead, F.col("stop")) >= F.col("stop"))
-    other = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    kept = every.withColumn("free", F.col("base") | free & (F.coalesce(other, F.lit(0)) <= F.col("start")))
-    return kept.where("free").select("doc_id", "key", "kind", "start", "stop", "base", "match", "before", "after")
+    apart = every.withColumn("free", free).where("base or free")
+    # What is left may still overlap: of each run of overlapping ones, from the left, those that none kept before reaches.
+    upto = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = apart.withColumn("new", F.when(F.coalesce(upto, F.lit(0)) <= F.col("start"), 1).otherwise(0)).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    one = F.struct("start", (~F.col("base")).alias("wider"), "stop", "kind", "base", "match", "before", "after")
+    listed = runs.groupBy("doc_id", "key", "run").agg(F.sort_array(F.collect_list(one)).alias("all"))
+    none = F.struct(F.lit(0).cast("long").alias("upto"), F.filter("all", lambda x: F.lit(False)).alias("kept"))
+    keep = lambda a, x: F.when(x["base"] | (x["start"] >= a["upto"]), F.struct(F.greatest(a["upto"], x["stop"].cast("long")).alias("upto"), F.concat(a["kept"], F.array(x)).alias("kept"))).otherwise(a)
+    kept = listed.select("doc_id", "key", F.explode(F.aggregate("all", none, keep)["kept"]).alias("x"))
+    return kept.select("doc_id", "key", *[F.col(f"x.{c}").alias(c) for c in ("kind", "start", "stop", "base", "match", "before", "after")])
 
 
 def votes(found: DataFrame) -> DataFrame:
