@@ -44,12 +44,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(*staged: DataFrame) -> None:
-    """Remove what stage() wrote for these, once everything that is made of them is written itself."""
+    """Remove what stage() wrote for these, once everything that is made of them is written itself.
+
+    The driver's garbage is collected then, as Spark removes the files of a shuffle when nothing refers to it any more.
+    """
     for df in staged:
         spark = df.sparkSession
         for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if staged:
+        staged[0].sparkSession._jvm.System.gc()
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

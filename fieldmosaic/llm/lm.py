@@ -39,13 +39,13 @@ DEPTH = 3
 LEAST, CONTEXT = 4, 8
 DIVERGENCE = 12.0
 SMOOTHING = 1.0
-#: Words, and keys of longer sequences, that are in memory at most.
-HELD_WORDS, HELD = 1 << 19, 1 << 19
+#: Words, and keys of what states add, that are in memory at most (some 50 bytes each), and keys with a short code.
+HELD_WORDS, HELD, CODED = 1 << 16, 1 << 21, 1 << 19
 #: Sequences that a task combines at once, and bytes of text.
 _COMBINED, _BLOCK = 2_000_000, 2_000_000
 #: Sequences of all tasks that a part gets at most, as they are counted.
 _PART = 4_000_000
-#: What tells the keys of words as such from those of words as contexts; what a key's answer adds to a text.
+#: What tells the keys of words as such from those of words as contexts; what answers add to a text.
 _WORD, _VALUES = np.uint64(0xA5A5F00D12345677), ("v", "gain", "met")
 #: The key of a text's start, and log2 of the bits, at most, that tell keys which a table can't hold.
 _BEGIN, _SPARSE = np.uint64(0x5851F42D4C957F2D), 27
@@ -296,7 +296,7 @@ def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: Dat
     destroyed when the table is written.
     """
     spark = rows.sparkSession
-    ids = tuple(Ids(_most(t.select("key", "n"), HELD)[0].column("key").to_numpy().view(np.uint64)) for t in (contexts_of, suffixes_of))
+    ids = tuple(Ids(_most(t.select("key", "n"), CODED)[0].column("key").to_numpy().view(np.uint64)) for t in (contexts_of, suffixes_of))
     shared = spark.sparkContext.broadcast((*map(_sparse, (contexts_of, suffixes_of)), ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,7 +419,8 @@ def _answered(asked: pa.Table, table: pa.Table) -> pa.Table:
     """Of the questions of a part and its table: for each chunk, its texts with their sums."""
     key = table.column("key").to_numpy().view(np.uint64)
     order = np.argsort(key)
-    key, values = key[order], [table.column(c).to_numpy()[order] for c in _VALUES]
+    v, word = table.column("v").to_numpy()[order], table.column("word").to_pandas().to_numpy(bool)[order]
+    key, values = key[order], [np.where(word, 0.0, v), np.where(word, v, 0.0), word.astype(float)]
     chunks, data = [], []
     for chunk, raw in zip(asked.column("chunk").to_pylist(), asked.column("data").to_pylist()):
         name, n, of, times = _unpack(raw)
@@ -499,8 +500,8 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
     part = common.stage(kept.mapInArrow(run, schema), "scored")
     shared.destroy()
     asked = part.where("__part is not null").select(F.col("__part").alias("part"), F.col("__row").alias("chunk"), F.col("__data").alias("data"))
-    gains = rare_words.select(F.col("key").bitwiseXOR(F.lit(_signed(int(_WORD)))).alias("key"), F.lit(0.0).alias("v"), (F.log10(F.col("n") + 0.1) - unseen).alias("gain"), F.lit(1.0).alias("met"))
-    answers = rare.select("key", "v", F.lit(0.0).alias("gain"), F.lit(0.0).alias("met")).unionByName(gains)
+    gains = rare_words.select(F.col("key").bitwiseXOR(F.lit(_signed(int(_WORD)))).alias("key"), (F.log10(F.col("n") + 0.1) - unseen).alias("v"), F.lit(True).alias("word"))
+    answers = rare.select("key", "v", F.lit(False).alias("word")).unionByName(gains)
     answers = answers.withColumn("part", F.shiftright(F.shiftrightunsigned("key", 32) * parts, 32).cast("int"))
     found = asked.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_answered, "chunk long, data binary")
     added = found.groupBy("chunk").applyInArrow(_added, "row long, v double, gain double, met double").toDF("__of", "__v", "__gain", "__met")
