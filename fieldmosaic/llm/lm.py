@@ -40,9 +40,9 @@ LEAST, CONTEXT = 4, 8
 DIVERGENCE = 12.0
 SMOOTHING = 1.0
 #: Words, and keys of what states add, that are in memory at most (some 50 bytes each), and keys with a short code.
-HELD_WORDS, HELD, CODED = 1 << 16, 1 << 21, 1 << 19
+HELD_WORDS, HELD, CODED = 1 << 16, 1 << 20, 1 << 19
 #: Sequences that a task combines at once, and bytes of text.
-_COMBINED, _BLOCK = 2_000_000, 2_000_000
+_COMBINED, _BLOCK = 1_500_000, 2_000_000
 #: Sequences of all tasks that a part gets at most, as they are counted.
 _PART = 4_000_000
 #: What tells the keys of words as such from those of words as contexts; what answers add to a text.
