@@ -406,9 +406,11 @@ def sample_grid(spark, sf):
 
 def _all_features(cells: str, key: str, out: str, radii: tuple[int, ...], of: str = "m") -> str:
     """SQL of the features of the cells `of`, among the cells s (key, cx, cy, label)."""
-    k, on, with_edge = (f"a.{key}, ", f"a.{key} = b.{key} and ", f"c.{key} = ed.{key} and ") if key else ("", "", "")
-    text = f"""{cells}, {_borders(key)}, c as (select {k}a.cx, a.cy, a.label, {_CORE} as core from s a join s b on {on}abs(a.cx - b.cx) + abs(a.cy - b.cy) <= 1 group by {k}a.cx, a.cy, a.label),
-m as (select c.*, coalesce(ed.edge, 0) as edge from c left join ed on {with_edge}c.cx = ed.cx and c.cy = ed.cy)"""
+    k, on, by = (f"a.{key}, ", f"a.{key} = b.{key} and ", f"{key}, ") if key else ("", "", "")
+    same = lambda other: (f"s.{key} = {other}.{key} and " if key else "") + f"s.cx = {other}.cx and s.cy = {other}.cy"
+    text = f"""{cells}, {_borders(key)},
+o as (select distinct {by}cx, cy from (select {by}s.cx + d.x as cx, s.cy + d.y as cy from s, (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) as d(x, y) where label <> 1) as t),
+m as (select s.*, case when s.label = 1 and o.cx is null then 1 else 0 end as core, coalesce(ed.edge, 0) as edge from s left join o on {same("o")} left join ed on {same("ed")})"""
     for r in radii:
         shares = ", ".join(f"round(avg(case when b.label = {n} then cast(100 as double) else cast(0 as double) end), 6) as dw_class_{n}_pct_{r}00m" for n in range(9))
         text += f""", r{r} as (select {k}a.cx, a.cy, {shares}, cast(sum(b.edge) as bigint) as forest_edge_{r}00, round(avg(b.core) * 100, 6) as forest_core_pct_{r}00
@@ -480,7 +482,14 @@ def background_dates(spark, sf):
     return drawn.select("id", r6("rand").alias("rand"), "obs_date")
 
 
-@query()
+_DRAWS = """k as (select greatest(100, count(*)) as n, min(x) as x_min, min(y) as y_min, max(x) as x_max, max(y) as y_max from vertex),
+i as (select unnest(range(0, 200 * n)) as id, k.* from k),
+c as (select id as obs_id, n, x_min + (((id * 7 + 1) * 2654435761 + 42) % 4294967296) / cast(4294967296 as double) * (x_max - x_min) as longitude,
+  y_min + ((((id * id * 31 + id * 13 + 5) % 3000000000) * 2654435761 + 43) % 4294967296) / cast(4294967296 as double) * (y_max - y_min) as latitude from i)"""
+
+
+@query(f"""with {_DRAWS} select id, round(longitude, 6) as longitude, round(latitude, 6) as latitude from (
+  select c.obs_id as id, n, longitude, latitude, row_number() over (order by c.obs_id) as rk from c join (select distinct obs_id from ({INSIDE.replace("from occ p", "from c p")}) as t) as f on c.obs_id = f.obs_id) as r where rk <= n""")
 def background_points(spark, sf):
     vertices = view(spark, sf, "vertex")
     n = max(100, vertices.count())
@@ -705,17 +714,29 @@ def poisson_optimum(spark, sf):
     return _rounded(models.gradient(df, models.fit(df, ["species"], FEATURES, _stage), ["species"], FEATURES))
 
 
-@query()
+def _means(keys: str) -> str:
+    """SQL of each key's mean target by level: m0 to m3, over l."""
+    shares = ", ".join(f"sum(case when lvl = {k} then target end) / cast(count(case when lvl = {k} then 1 end) as double) as m{k}" for k in range(4))
+    return f"m as (select {keys}{', ' if keys else ''}count(*) as n, {shares} from l{' group by ' + keys if keys else ''})"
+
+
+_COEFFICIENTS = "round(ln(m0), 6) as intercept, " + ", ".join(f"round(ln(m{k}) - ln(m0), 6) as level{k}" for k in (1, 2, 3))
+
+
+def _coefficients(found, *own):
+    return _rounded(found.select(*own, *[F.col("beta")[k].alias(n) for k, n in enumerate(["intercept", *LEVELS])], "status"))
+
+
+@query(f"with {_LEVELED}, {_means('')} select {_COEFFICIENTS}, 'ok' as status from m")
 def poisson_fit(spark, sf):
-    df = _training(spark, sf).withColumn("all", F.lit(1))
-    found = models.fit(df, ["all"], FEATURES, _stage)
-    return _rounded(found.select(*[F.col("beta")[k].alias(n) for k, n in enumerate(["intercept", *FEATURES])], "status"))
+    """One model of all species."""
+    df = _leveled(spark, sf).withColumn("all", F.lit(1))
+    return _coefficients(models.fit(df, ["all"], LEVELS, _stage, alpha=0.0))
 
 
-@query()
+@query(f"with {_LEVELED}, {_means('species')} select species, n, {_COEFFICIENTS}, 'ok' as status from m")
 def fit_per_species(spark, sf):
-    found = models.fit(_training(spark, sf), ["species"], FEATURES, _stage)
-    return _rounded(found.select("species", "n", *[F.col("beta")[k].alias(n) for k, n in enumerate(["intercept", *FEATURES])], "status", "error"))
+    return _coefficients(models.fit(_leveled(spark, sf), ["species"], LEVELS, _stage, alpha=0.0), "species", "n")
 
 
 @query("select 'hyla_cinerea' as species, 'fail' as status, 'features or target missing' as error where exists (select * from train where species = 'hyla_cinerea')")
@@ -724,10 +745,10 @@ def failed_species(spark, sf):
     return clean.run_status(models.fit(df, ["species"], FEATURES, _stage))
 
 
-@query()
+@query(f"with {_LEVELED}, mu as (select *, avg(target) over (partition by species, lvl) as mu from l) select id, species, round(mu / max(mu) over (partition by species), 6) as intensity from mu")
 def poisson_score(spark, sf):
-    df = _training(spark, sf)
-    scored = models.score(df, models.fit(df, ["species"], FEATURES, _stage), ["species"], FEATURES)
+    df = _leveled(spark, sf)
+    scored = models.score(df, models.fit(df, ["species"], LEVELS, _stage, alpha=0.0), ["species"], LEVELS)
     return _rounded(metrics.normalized(scored, ["species"]).select("id", "species", "intensity"))
 
 
@@ -752,10 +773,15 @@ def cv_deviance(spark, sf):
     return _rounded(metrics.poisson_deviance(scored, ["fold"]))
 
 
-@query()
+_SPREAD = "d as (select " + ", ".join(f"stddev_pop(case when lvl = {k} then cast(1 as double) else cast(0 as double) end) as d{k}" for k in (1, 2, 3)) + " from l)"
+
+
+@query(f"""with {_LEVELED}, {_means("species")}, {_SPREAD}, u as ({" union all ".join(f"select species, 'level{k}' as feature, (ln(m{k}) - ln(m0)) * d{k} as coefficient from m, d" for k in (1, 2, 3))})
+select species, feature, round(coefficient, 6) as coefficient, cast(row_number() over (partition by species order by abs(coefficient) desc, feature) as int) as rank from u""")
 def coef_importance(spark, sf):
-    scaled = features.standard(_training(spark, sf), FEATURES)
-    return _rounded(models.importance(models.fit(scaled, ["species"], FEATURES, _stage), ["species"], FEATURES))
+    """Features of equal spread, ranked by the size of their coefficients."""
+    scaled = features.standard(_leveled(spark, sf), LEVELS)
+    return _rounded(models.importance(models.fit(scaled, ["species"], LEVELS, _stage, alpha=0.0), ["species"], LEVELS))
 
 
 @query(f"with {_LEVELED} select id, round(avg(target) over (partition by lvl), 6) as prediction from l")
