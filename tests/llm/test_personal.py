@@ -63,6 +63,30 @@ def test_method_adds_spans(spark):
     assert {r.doc_id: r.text for r in out}[77] == "" and "[phone]" in {r.doc_id: r.text for r in out}[0]
 
 
+def test_added_spans_are_right(spark):
+    """Precision and recall of what the method adds, on templates of personal data and of numbers that are none."""
+    rng = random.Random(11)
+    n = lambda a, b: rng.randrange(a, b)
+    rows, truth = [], {}
+    for i in range(300):
+        phone = f"({n(201, 989)}) {n(201, 989)}-{n(1000, 9999)}"
+        mail = f"{rng.choice(['ann', 'bob', 'cy'])}{n(1, 99)} (at) site{n(1, 99)} (dot) {rng.choice(['org', 'com', 'net'])}"
+        real, text = rng.choice([("phone", f"Please call {phone} today."), ("phone", f"Tel: {phone}"), ("email", f"Write to {mail} for more."), (None, f"Order {n(100, 999)}-{n(1000, 9999)} of version {n(1, 9)}.{n(1, 9)} shipped."), (None, f"It took {n(1, 9)}:{n(10, 59)} and {n(100, 999)} steps."), (None, "Nothing to see here, move along.")])
+        rows.append((i, text))
+        truth[i] = {(real, text.index(x), text.index(x) + len(x)) for x in (phone, mail) if real and x in text}
+    got = {r.doc_id: {(s.kind, s.start, s.stop) for s in r.spans} for r in personal.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit, found, wanted = (sum(len(x) for x in v) for v in ([got[i] & truth[i] for i in truth], got.values(), truth.values()))
+    assert hit >= 0.9 * wanted and hit >= 0.9 * found, (hit, found, wanted)
+
+
+def test_spans_of_the_method_stand_apart(spark):
+    """Candidates in a row that overlap their neighbours: one that is left out hides none behind it."""
+    text = "call (555) 123-4567 (555) 123-4567 or 555-123-4567.555-123-4567.555-123-4567 now"
+    rows = spark.createDataFrame([(1, 5, text)], "doc_id long, key long, text string")
+    found = sorted((r.start, r.stop, r.base) for r in personal.candidates(rows).collect())
+    assert found and all(b[0] >= a[1] for a, b in zip(found, found[1:]) if not (a[2] and b[2]))
+
+
 def test_reliabilities_recover_the_truth():
     rng = random.Random(2)
     true = [(0.95, 0.1), (0.8, 0.2), (0.9, 0.3), (0.7, 0.05), (0.6, 0.4)]
