@@ -118,20 +118,25 @@ def frequent(counts: DataFrame, depth: int) -> tuple[dict[str, list[Order]], Dat
 
 
 class Lookup:
-    """Places of numbers in a sorted array, by a sparse table in front of binary search. Only the array is pickled."""
+    """Places of numbers in a sorted array, by a sparse table in front of binary search. Only the array is pickled.
 
-    def __init__(self, keys: np.ndarray) -> None:
-        self.__setstate__(keys)
+    spare: how much larger the table is than the array, as a power of two.
+    """
+
+    def __init__(self, keys: np.ndarray, spare: int = 2) -> None:
+        self.__setstate__((keys, spare))
 
-    def __getstate__(self) -> np.ndarray:
-        return self.keys
+    def __getstate__(self) -> tuple[np.ndarray, int]:
+        return self.keys, self.spare
 
-    def __setstate__(self, keys: np.ndarray) -> None:
-        self.keys = keys
-        bits = max(4, int(len(keys)).bit_length() + 2)
+    def __setstate__(self, state: tuple[np.ndarray, int]) -> None:
+        self.keys, self.spare = state
+        bits = max(4, int(len(self.keys)).bit_length() + self.spare)
         self.shift = np.uint64(64 - bits)
         self.slots = np.full(1 << bits, -1, np.int32)
-        self.slots[self._slot(keys)] = np.arange(len(keys))
+        for at in range(0, len(self.keys), 1 << 16):  # in steps, for little memory beside the table
+            part = self.keys[at : at + (1 << 16)]
+            self.slots[self._slot(part)] = np.arange(at, at + len(part), dtype=np.int32)
 
     def _slot(self, x: np.ndarray) -> np.ndarray:
         return (x * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)

@@ -39,8 +39,8 @@ DEPTH = 3
 LEAST, CONTEXT = 4, 8
 DIVERGENCE = 12.0
 SMOOTHING = 1.0
-#: Words, and keys of what states add, that are in memory at most (some 50 bytes each), and keys with a short code.
-HELD_WORDS, HELD, CODED = 1 << 16, 1 << 20, 1 << 19
+#: Words, and keys of what states add, that are in memory at most (some 32 bytes each), and keys with a short code.
+HELD_WORDS, HELD, CODED = 1 << 17, 1 << 21, 1 << 18
 #: Sequences that a task combines at once, and bytes of text.
 _COMBINED, _BLOCK = 1_500_000, 2_000_000
 #: Sequences of all tasks that a part gets at most, as they are counted.
@@ -177,7 +177,7 @@ class Ids:
     """Short codes of keys: the places of frequent ones in a sorted array, and behind it those of a block's own others."""
 
     def __init__(self, keys: np.ndarray) -> None:
-        self.frequent = contexts.Lookup(np.sort(keys))
+        self.frequent = contexts.Lookup(np.sort(keys), 1)
 
     def code(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and the keys that aren't frequent."""
@@ -399,7 +399,7 @@ def _most(table: DataFrame, size: int) -> tuple[pa.Table, DataFrame]:
 def _lookup(table: pa.Table, value: str) -> tuple[contexts.Lookup, np.ndarray]:
     key, v = table.column("key").to_numpy().view(np.uint64), table.column(value).to_numpy()
     order = np.argsort(key)
-    return contexts.Lookup(key[order]), v[order]
+    return contexts.Lookup(key[order], 1), v[order]
 
 
 def _questions(of: np.ndarray, key: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
