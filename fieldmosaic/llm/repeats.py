@@ -167,7 +167,8 @@ def _string_blocks(docs: np.ndarray, of: np.ndarray, at: np.ndarray, two: np.nda
     done = _later(same, docs, of, at)
     rows = list(_blocks(_home(docs, parts)[of[done]], _DONE, docs, of[done], [at[done], at[done] + np.int32(LENGTH)]))
     of, at, two = of[~same], at[~same], two[~same]
-    return rows + list(_blocks((two[:, 0] % np.uint64(parts * FINE)).astype(np.int64), _STRINGS, docs, of, [at, two[:, 0].copy(), two[:, 1].copy()]))
+    # One bucket of a partition takes all of its strings, whose results are then a block for each document's part.
+    return rows + list(_blocks((two[:, 0] % np.uint64(parts)).astype(np.int64) * FINE, _STRINGS, docs, of, [at, two[:, 0].copy(), two[:, 1].copy()]))
 
 
 def _done_strings(blobs: list[bytes], parts: int) -> list[tuple[int, int, bytes]]:
@@ -315,7 +316,7 @@ def _by_document(types: tuple[str, ...], merge) -> object:
 
 def _joined(rows: DataFrame, blocks: DataFrame, parts: int, types: tuple[str, ...], merge, how: str) -> DataFrame:
     """rows (id, key, ...) with data, what their blocks hold."""
-    dealt = blocks.select("part", "data").repartition(parts, "part").sortWithinPartitions("part")
+    dealt = blocks.select("part", "data").repartitionById(parts, "part").sortWithinPartitions("part")
     per_doc = dealt.mapInArrow(_by_document(types, merge), "of_id long, of_key long, data binary")
     return rows.join(per_doc, (rows["id"] == per_doc["of_id"]) & (rows["key"] == per_doc["of_key"]), how)
 
@@ -442,6 +443,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), spans, pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
+def _dealt(blocks: DataFrame, parts: int) -> DataFrame:
+    """FINE buckets to a partition; what is done already is dealt evenly."""
+    return blocks.repartitionById(parts, F.when(F.col("kind") == _DONE, F.col("part")).otherwise(F.floor(F.col("part") / FINE)).cast("int"))
+
+
 def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, spans (array of start, stop: removed bytes), kept (binary: the rest).
 
@@ -456,10 +462,10 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     size = long.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     sampled = long.mapInArrow(_cover(parts, hot_seeds(long, parts)), _DEALT)
-    first = common.stage(sampled.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_first_spans(parts), _DEALT), "spans")
+    first = common.stage(_dealt(sampled, parts).sortWithinPartitions("part").mapInArrow(_first_spans(parts), _DEALT), "spans")
     asked = _joined(rows.select("id", "key", "text"), first.where(F.col("kind") == _OPEN), parts, ("i4", "u1", "u1"), lambda *v: v, "inner")
     fetched = asked.select("id", "key", "text", "data").mapInArrow(_fetch(parts), _DEALT)
-    again = fetched.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_sorted_buckets(parts), _DEALT)
+    again = _dealt(fetched, parts).sortWithinPartitions("part").mapInArrow(_sorted_buckets(parts), _DEALT)
     done = common.stage(again, "strings").unionByName(first.where(F.col("kind") == _DONE))
     final = _joined(rows, done, parts, ("i4", "i4"), merged, "left").select("doc_id", "text", "data")
     schema = final.select("doc_id").schema.add("n_bytes", "long")
