@@ -88,7 +88,7 @@ def fit(rows: DataFrame, keys: list[str], features: list[str], stage: Callable[[
                     continue
                 largest = np.abs(move).max()
                 beta.append(b - move * min(1.0, 4.0 / max(largest, 1e-300)))
-                done.append(bool(largest < 1e-9))
+                done.append(bool(largest < 1e-7))  # a step's error is about its square
                 error.append(None)
             yield df.drop(columns=["sums"]).assign(beta=beta, done=done, error=error)
 

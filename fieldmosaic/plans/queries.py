@@ -435,7 +435,7 @@ def point_features(spark, sf):
     points = _dated(spark, sf).withColumn("species", names.species_key(F.col("scientific_name")))
     found = _rounded(landcover.point_features(points, view(spark, sf, "cell")))
     path = _folder(spark, "point-features")
-    writers.write_partitioned(points.select("obs_id", "species").join(found, "obs_id"), path, "species")
+    writers.write_partitioned(_stage(points.select("obs_id", "species").join(found, "obs_id")), path, "species")
     return spark.read.parquet(path)
 
 

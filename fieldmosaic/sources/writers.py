@@ -13,11 +13,13 @@ _FEW_KEYS = 200_000
 def write_partitioned(df: DataFrame, root: str, key: str = "scientific_name", rows: int = 2_000_000, mode: str = "append") -> None:
     """Snappy Parquet, a folder for each key, with a file for about so many rows of it.
 
-    Rows are counted by key first, so a hot key is dealt over as many tasks as it needs, and a rare one is one file.
+    Rows are counted by key first, so a hot key is dealt over as many tasks as it needs, and a rare one is one file. df is
+    gone through twice: write what is dear to compute to a folder before.
     """
     counts = df.groupBy(F.col(key).alias("__key")).agg(F.ceil(F.count("*") / rows).cast("int").alias("__files"))
-    if counts.limit(_FEW_KEYS + 1).count() <= _FEW_KEYS:
-        counts = F.broadcast(counts)
+    found = counts.limit(_FEW_KEYS + 1).collect()
+    if len(found) <= _FEW_KEYS:
+        counts = F.broadcast(df.sparkSession.createDataFrame(found, counts.schema))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = df.join(counts, F.col(key).eqNullSafe(F.col("__key"))).withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.col("__files")))
     salted.repartition(parts, key, "__salt").select(*df.columns).write.mode(mode).partitionBy(key).option("compression", "snappy").parquet(root)
