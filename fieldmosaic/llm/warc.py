@@ -43,11 +43,13 @@ def _header(text: str) -> str:
 
 
 def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """One WARC/1.1 record, gzipped on its own. A revisit has no payload and says whose it stands for."""
+    """One WARC/1.1 record, gzipped on its own. A revisit has no payload and says whose it stands for, if that has an id."""
     body = b"" if revisit else payload
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {_DATE}", f"WARC-Target-URI: {_header(url)}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(payload)}"]
     if revisit:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
+        if refers_to is not None:
+            lines.append(f"WARC-Refers-To: <urn:page:{refers_to}>")
     lines += ["Content-Type: application/octet-stream", f"Content-Length: {len(body)}"]
     return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n", 1, mtime=0)
 
@@ -74,7 +76,8 @@ def roles(pages: DataFrame, least: int = 0) -> DataFrame:
     """pages (page_id, url, html) with refers_to and revisit.
 
     Of equal payloads of at least `least` bytes the row of smallest page_id responds (a null id comes last, and
-    of repeated rows one responds) and the others revisit it. Only digests are dealt by payload; the pages
+    of repeated rows one responds) and the others revisit it; if no row with that payload has an id, one of them responds
+    and the others revisit it without naming it. Only digests are dealt by payload; the pages
     themselves are dealt by id and digest, so that a payload that a third of them share isn't gathered.
     """
     sha = F.unhex(F.sha1(F.col("html").cast("binary")))

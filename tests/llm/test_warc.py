@@ -38,3 +38,12 @@ def test_empty(spark):
     folder = common.new_dir(spark, "warc")
     index = warc.write(spark.createDataFrame([], "page_id long, url string, html string"), folder)
     assert index.count() == 0 and warc.read(index, folder).count() == 0
+
+
+def test_payload_of_rows_without_an_id(spark):
+    rows = [(None, "u", "same"), (None, "v", "same"), (None, "w", None), (None, "x", ""), (3, "y", "other")]
+    folder = common.new_dir(spark, "warc")
+    index = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
+    got = warc.read(index, folder, payload=False).collect()
+    assert sorted((r.payload_bytes, r.record_type) for r in got) == [(0, "response"), (0, "revisit"), (4, "response"), (4, "revisit"), (5, "response")]
+    assert all(r.refers_to is None for r in got) and [r.page_id for r in got if r.payload_bytes == 5] == [3]
