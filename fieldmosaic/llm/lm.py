@@ -1,18 +1,18 @@
 """Language-model scores by a probabilistic suffix tree over words (operator 5).
 
 The root is the smoothed distribution of single words over all training documents. The tree grows from it one word of
-context at a time, up to DEPTH words (a text's start counts as one). A context that occurs CONTEXT times or more, and
+context at a time, up to DEPTH words (a text's start counts as one). A context that occurs `context` times or more, and
 whose shorter suffix is a state (the root always is), becomes a state if the words that follow it depart from what
 that suffix predicts: twice the log likelihood gained must pass DIVERGENCE. A state s with n continuations, L of them
-by words that follow it LEAST times or more, predicts
+by words that follow it `least` times or more, predicts
     P(w | s) = (c(s, w) + (n - L + SMOOTHING) P(w | suffix of s)) / (n + SMOOTHING),
 which sums to one. Each word is scored by the longest suffix of what precedes it that is a state. All counts are
 absolute, so the tree grows with the input.
 
-Words and sequences of words are known by 64-bit keys; the key of a sequence is made of the keys of its two
-sequences shorter by one word. Each order is one pass over the texts: a task combines its own sequences and sends
+Words and sequences of words are known by 64-bit keys, mixed so that different words have equal ones by chance only (about
+one pair in 2^64); the key of a sequence is made of the keys of its two sequences shorter by one word. Each order is one pass over the texts: a task combines its own sequences and sends
 them to the parts as packed blocks. Fixed bitmaps of the order below leave out sequences that can't be listed; what
-they let through by chance is cut by joins, so the tree is exact.
+they let through by chance is cut by joins, so the tree is that of all counts.
 
 A text's score is a sum over its keys: what each adds (values()) is a Spark table. The HELD most frequent keys are in
 memory; what texts ask for beyond them is dealt with the table by ranges of keys, as packed blocks, and answered there
@@ -35,8 +35,8 @@ from . import common, contexts
 
 #: Words of context at most.
 DEPTH = 3
-#: Least count of a listed continuation, and of a context.
-LEAST, CONTEXT = 4, 8
+#: Least count of a listed continuation, and of a context, unless others are asked for.
+LEAST, CONTEXT = 2, 2
 DIVERGENCE = 12.0
 SMOOTHING = 1.0
 #: Words, and keys of what states add, that are in memory at most (some 32 bytes each), and keys with a short code.
@@ -45,6 +45,8 @@ HELD_WORDS, HELD, CODED = 1 << 17, 1 << 21, 1 << 18
 _COMBINED, _BLOCK = 1_500_000, 2_000_000
 #: Sequences of all tasks that a part gets at most, as they are counted.
 _PART = 4_000_000
+#: Bytes of text whose words a part sums up.
+_TEXT_PART = 256_000_000
 #: What tells the keys of words as such from those of words as contexts; what answers add to a text.
 _WORD, _VALUES = np.uint64(0xA5A5F00D12345677), ("v", "gain", "met")
 #: The key of a text's start, and log2 of the bits, at most, that tell keys which a table can't hold.
@@ -54,33 +56,23 @@ _BEGIN, _SPARSE = np.uint64(0x5851F42D4C957F2D), 27
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-#: A number for each byte, and an odd base: a word's key is the sum of its bytes' numbers times powers of the base.
-_BYTE = np.random.default_rng(5).integers(0, 2**64, 256, np.uint64)[_LOWER]
-_BASE = 0x9E3779B97F4A7C15
 _END = np.uint64(0xD6E8FEB86659FD93)
+_STEP, _MASKS = np.uint64(0x9E3779B97F4A7C15), np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
-class Powers:
-    """Powers of the base and of its inverse, as many as were asked for."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            size = 1 << max(n - 1, 1).bit_length()
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-                x = np.full(size, base, np.uint64)
-                x[0] = 1
-                setattr(self, name, np.cumprod(x))
-        return self.up[:n], self.down[:n]
-
-
-_powers = Powers()
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A one-to-one map of 64 bits whose every bit depends on all of x's."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
 
 
 def _word_keys(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and keys of the words in bytes; begins: where a text does. Words end at white space and texts' ends."""
+    """Places and keys of the words in bytes; begins: where a text does. Words end at white space and texts' ends.
+
+    A word's key is made of its length and the sum of its eighths of bytes, each mixed with its own place in the word first:
+    what is summed doesn't depend on place and bytes apart, so no pattern of letters cancels out.
+    """
     letter = ~_SPACE[data]
     first = letter.copy()
     first[1:] &= ~letter[:-1]
@@ -88,14 +80,19 @@ def _word_keys(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nda
     at = np.flatnonzero(first)
     if not len(at):
         return at, np.zeros(0, np.uint64)
-    up, down = _powers.upto(len(data))
-    value = np.where(letter, _BYTE[data], np.uint64(0)) * up
-    total = np.cumsum(value)
-    # Bytes between words add nothing, so a word's sum ends where the next one begins.
-    upto = np.append(total[at[1:] - 1], total[-1])
-    x = (upto - total[at] + value[at]) * down[at]
-    x = (x ^ x >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return at, x ^ x >> np.uint64(29)
+    ends = letter.copy()
+    ends[:-1] &= ~letter[1:] | first[1:]
+    size = np.flatnonzero(ends) + 1 - at
+    low = np.zeros(len(data) + 8, np.uint8)
+    low[: len(data)] = _LOWER[data]
+    eights = np.ndarray((len(data),), np.dtype("<u8"), low, 0, (1,))  # eight bytes from each place on
+    lanes = size + 7 >> 3
+    starts = np.cumsum(lanes) - lanes
+    nth = np.arange(lanes.sum()) - np.repeat(starts, lanes)
+    left = np.minimum(np.repeat(size, lanes) - 8 * nth, 8)
+    value = eights[np.repeat(at, lanes) + 8 * nth] & _MASKS[left]
+    total = np.add.reduceat(_mix(value + (nth + 1).astype(np.uint64) * _STEP), starts)
+    return at, _mix(total + size.astype(np.uint64) * _STEP)
 
 
 def word_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -235,7 +232,8 @@ def _sequences_of(data: bytes, ids: tuple[Ids, Ids]) -> tuple[np.ndarray, np.nda
 
 def word_counts(rows: DataFrame, text: str = "text", parts: int | None = None) -> DataFrame:
     """key and n of the words of all rows; the end of each text counts as a word. Null texts count as empty."""
-    parts = parts or _partitions(rows)
+    if not parts:
+        parts = max(_partitions(rows), -(-(rows.agg(F.sum(F.octet_length(rows[f"`{text}`"]).cast("long"))).first()[0] or 0) // _TEXT_PART))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -288,8 +286,8 @@ def _may(sparse: tuple[int, np.ndarray], key: np.ndarray) -> np.ndarray:
     return (bits[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: DataFrame, parts: int, text: str = "text") -> tuple[DataFrame, Broadcast]:
-    """key, context, suffix and n of the sequences of so many words that occur LEAST times or more in all rows.
+def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: DataFrame, parts: int, text: str = "text", least: int = LEAST) -> tuple[DataFrame, Broadcast]:
+    """key, context, suffix and n of the sequences of so many words that occur `least` times or more in all rows.
 
     contexts_of, suffixes_of: tables with the keys (and n) of the order below that are open as contexts and as
     suffixes. All sequences of these are found, and a few of others may be. Beside the table, what its tasks share: to be
@@ -320,7 +318,7 @@ def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: Dat
         if blobs:
             context, suffix, n = (np.concatenate(v) for v in zip(*blobs))
             key, n, context, suffix = _combined(mixed(context, suffix), n, context, suffix)
-            often = n >= LEAST
+            often = n >= least
             yield pa.RecordBatch.from_arrays([pa.array(v[often].view(np.int64)) for v in (key, context, suffix, n)], ["key", "context", "suffix", "n"])
 
     dealt = _texts(rows, text).mapInArrow(run, "part int, data binary").repartitionById(parts, "part")
@@ -343,7 +341,7 @@ def _states(found: DataFrame, totals: DataFrame) -> DataFrame:
     return found.join(states, "context").select("key", "context", "total", "n", "below", seen.alias("seen"), "left")
 
 
-def values(training: DataFrame, words: DataFrame, total: int, distinct: int, text: str = "text") -> DataFrame:
+def values(training: DataFrame, words: DataFrame, total: int, distinct: int, text: str = "text", least: int = LEAST, context: int = CONTEXT) -> DataFrame:
     """key, n and v: what each occurrence of a sequence adds to a text's score, as itself and as a context.
 
     After a state s a listed word w adds log10 P(w | s) - log10 P(w). The sum over suffixes of s is made of left(t) at
@@ -353,11 +351,11 @@ def values(training: DataFrame, words: DataFrame, total: int, distinct: int, tex
     parts = max(_partitions(training), -(-total // _PART))
     begins = words.where(F.col("key") == _signed(int(_END))).select(F.lit(_signed(int(_BEGIN))).alias("key"), "n")
     found, done = words.unionByName(begins), []
-    below = words.where(F.col("n") >= LEAST).select("key", "n", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("below"))
+    below = words.where(F.col("n") >= least).select("key", "n", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("below"))
     for order in range(2, DEPTH + 2):
-        open_contexts = found.where(F.col("n") >= CONTEXT)
+        open_contexts = found.where(F.col("n") >= context)
         # What isn't listed after a state can't be after a longer one; but it may lead to one.
-        new, shared = listed(training, order, open_contexts, below if order in (2, DEPTH + 1) else found, parts, text)
+        new, shared = listed(training, order, open_contexts, below if order in (2, DEPTH + 1) else found, parts, text, least)
         new = common.stage(new.join(below.select(F.col("key").alias("suffix"), "below"), "suffix", "left").drop("suffix"), "listed")
         shared.destroy()
         totals = open_contexts.select(F.col("key").alias("context"), F.col("n").alias("total"))
@@ -442,11 +440,11 @@ def _added(answers: pa.Table) -> pa.Table:
     return pa.table({"row": pa.array(answers.column("chunk")[0].as_py() + texts), **{c: pa.array(v) for c, v in zip(_VALUES, sums)}})
 
 
-def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), least: int = LEAST, context: int = CONTEXT) -> DataFrame:
     """The kept columns with n_tokens, n_known, train_tokens, base_score and score.
 
     base_score: sum over words and the end of log10((c + 0.1) / (N + 0.1 (V + 1))) with c, N and V from the
-    training rows; score: the same with the suffix tree's probabilities. Null texts count as empty: one token,
+    training rows; score: the same with the suffix tree's probabilities, of which `least` and `context` are the least counts. Null texts count as empty: one token,
     the end. Without training rows every c is 0 and both scores are equal. Repeated rows have repeated results;
     empty tables give empty results; other columns are ignored. Texts over the chunk size are worked on one by one.
     """
@@ -454,7 +452,7 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
     words = common.stage(word_counts(training, text), "words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     base, unseen = math.log10(total + 0.1 * (distinct + 1)), math.log10(0.1)
-    table, parts = values(training, words, total, distinct, text), max(_partitions(rows), -(-total // _PART))
+    table, parts = values(training, words, total, distinct, text, least, context), max(_partitions(rows), -(-total // _PART))
     (often_words, rare_words), (often, rare) = _most(words, HELD_WORDS), _most(table, HELD)
     shared = spark.sparkContext.broadcast((*_lookup(often_words, "n"), _sparse(rare_words), *_lookup(often, "v"), _sparse(rare)))
     kept = rows.select(*[rows[f"`{c}`"] for c in keep], F.coalesce(rows[f"`{text}`"], F.lit("")).alias("__text"))

@@ -18,7 +18,7 @@ def tokens(t):
 class Plain:
     """The tree by dictionaries of words: counts of all sequences, states grown from the root, scores word by word."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, least=lm.LEAST, context=lm.CONTEXT):
         self.n = Counter()
         for t in texts:
             s = ["<s>", *tokens(t)]
@@ -30,7 +30,7 @@ class Plain:
         self.total, self.distinct = sum(words.values()), len(words)
         self.next = {}
         for g, c in self.n.items():
-            if len(g) > 1 and c >= lm.LEAST and self.n[g[:-1]] >= lm.CONTEXT:
+            if len(g) > 1 and c >= least and self.n[g[:-1]] >= context:
                 self.next.setdefault(g[:-1], {})[g[-1]] = c
         self.states = {()}
         for k in range(1, lm.DEPTH + 1):
@@ -91,17 +91,17 @@ def corpus():
     return list(enumerate(texts)) + [(3, texts[3])]
 
 
-@pytest.mark.parametrize("held,combined", [(lm.HELD, lm._COMBINED), (40, 100), (0, 5000)])
-def test_scores_are_those_of_a_plain_tree(spark, monkeypatch, held, combined):
+@pytest.mark.parametrize("held,combined,least,context", [(lm.HELD, lm._COMBINED, 2, 2), (40, 100, 2, 2), (0, 5000, 4, 8)])
+def test_scores_are_those_of_a_plain_tree(spark, monkeypatch, held, combined, least, context):
     """Whatever is in memory, and however little is combined at once."""
     monkeypatch.setattr(lm, "HELD", held)
     monkeypatch.setattr(lm, "_COMBINED", combined)
     monkeypatch.setattr(lm, "_PART", 500)
     rows = corpus()
     df = spark.createDataFrame([(d, t, 1.0) for d, t in rows], "doc_id long, text string, gain double").repartition(3)
-    plain = Plain([t for d, t in rows if d % 3])
+    plain = Plain([t for d, t in rows if d % 3], least, context)
     assert {len(s) for s in plain.states} == {0, 1, 2, 3}
-    got = sorted((r.doc_id, r.score) for r in lm.scored(df, df.where("doc_id % 3 > 0"), keep=("doc_id", "gain")).collect())
+    got = sorted((r.doc_id, r.score) for r in lm.scored(df, df.where("doc_id % 3 > 0"), keep=("doc_id", "gain"), least=least, context=context).collect())
     for (d, a), (e, b) in zip(got, sorted((d, plain.score(t)) for d, t in rows), strict=True):
         assert d == e and math.isclose(a, b, rel_tol=1e-9)
 
@@ -131,6 +131,21 @@ def test_word_keys(monkeypatch, block):
     assert len(lm.word_keys(pa.array([], pa.string()))[0]) == 0
 
 
+@pytest.mark.parametrize("log", [1, 3, 6, 11, 12])
+def test_patterned_words_differ(spark, log):
+    """Words made to cancel out in sums of powers, whole and in parts, and words that differ by zero bytes or order."""
+    morse = "".join("ab"[bin(k).count("1") % 2] for k in range(1 << log))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    words = [morse, other, morse + other, other + morse, morse + "\0", "\0" + morse, morse * 3, other * 3, morse[::-1] + "c"]
+    key, _ = lm.word_keys(pa.array([" ".join(words)]))
+    assert len(set(key[1:-1].tolist())) == len(set(words))
+    if log == 11:
+        df = spark.createDataFrame([(0, morse), (1, other), (2, morse)], "doc_id long, text string")
+        got = {r.doc_id: r for r in lm.scored(df, df.where("doc_id > 0")).collect()}
+        want = 2 * math.log10(1.1 / (4 + 0.1 * 4)) + (math.log10(2.1 / 1.1))
+        assert all(math.isclose(got[k].base_score, want, rel_tol=1e-9) and got[k].n_known == 2 for k in got)
+
+
 def test_sequences():
     x, starts = np.array([9, 1, 2, 9, 3], np.uint64), np.array([0, 3])
     found = [(at.tolist(), c.tolist(), s.tolist()) for at, c, s in lm.sequences(x, starts, 3)]
