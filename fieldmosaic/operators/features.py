@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .clean import ranked
@@ -40,6 +40,27 @@ def standard(df: DataFrame, columns: list[str], keys: list[str] | None = None) -
     return joined.withColumns(scaled).drop(*[c for c in stats.columns if c not in keys])
 
 
+def scaler(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """keys, means, deviations (population; arrays in the order of the columns): what scaling new rows takes. Nulls and
+    NaN don't count."""
+    return df.groupBy(*keys).agg(F.array(*[F.avg(_number(c)) for c in columns]).alias("means"), F.array(*[F.stddev_pop(_number(c)) for c in columns]).alias("deviations"))
+
+
+def by_stored(value: Column, mean: Column, deviation: Column) -> Column:
+    """A value scaled by a stored mean and deviation, as standard() does: 0 if the deviation is 0; raw without a mean."""
+    return F.when(mean.isNull(), value).when(deviation > 0, (value - mean) / F.nullif(deviation, F.lit(0.0))).otherwise(F.when(value.isNull() | F.isnan(value), value).otherwise(F.lit(0.0)))
+
+
+def scaled(df: DataFrame, table: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """df with its columns scaled by what scaler() gave, of these rows or others; keys it doesn't hold stay raw."""
+    named = table.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("means").alias("__means"), F.col("deviations").alias("__deviations"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    new = {c: by_stored(F.col(c), F.col("__means")[k], F.col("__deviations")[k]) for k, c in enumerate(columns)}
+    return df.join(named, on, "left").withColumns(new).select(*df.columns)
+
+
 def stratified_folds(df: DataFrame, keys: list[str], label: str = "label", n: int = 5, seed: int = 42, row: str = "id") -> DataFrame:
     """fold 0..n-1: rows of each key and label dealt out in the order of a hash of their id (below 3.4e9)."""
     hashed = df.withColumn("__hash", F.pmod(F.col(row) * F.lit(2654435761) + F.lit(seed), F.lit(4294967296)))

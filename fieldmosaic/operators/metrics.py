@@ -67,7 +67,35 @@ def poisson_deviance(scored: DataFrame, keys: list[str]) -> DataFrame:
     return scored.groupBy(*keys).agg(F.avg(term).alias("deviance"))
 
 
+def report(scored: DataFrame, keys: list[str], thresholds: DataFrame | None = None) -> DataFrame:
+    """keys, threshold, confusion counts, precision, recall, f1 and auc, all from the distinct scores' running sums.
+
+    thresholds: keys, threshold; without them it is that of the best F1 over these rows, of equal ones the lowest.
+    """
+    s = _steps(scored, keys)
+    tp, fp = F.col("tp"), F.col("fp")
+    precision, recall = _ratio(tp, tp + fp), _ratio(tp, F.col("p"))
+    s = s.withColumn("__f1", 2 * precision * recall / (precision + recall + 1e-9))
+    at = F.struct((-F.col("__f1")).alias("m"), F.col("score").alias("threshold"), "tp", "fp")
+    if thresholds is None:
+        best = F.min(at)
+        limit, hit, false = best["threshold"], best["tp"], best["fp"]
+    else:
+        s = s.join(thresholds.select(*keys, F.col("threshold").alias("__t")), keys)
+        over = F.col("score") >= F.col("__t")
+        limit, hit, false = F.max("__t"), F.coalesce(F.max(F.when(over, tp)), F.lit(0)), F.coalesce(F.max(F.when(over, fp)), F.lit(0))
+    area = F.sum(F.col("neg") * (tp - F.col("pos") / 2))
+    auc = F.when((F.max("p") > 0) & (F.max("n") > 0), area / F.greatest(F.max("p") * F.max("n"), F.lit(1)))
+    found = s.groupBy(*keys).agg(limit.alias("threshold"), hit.alias("tp"), false.alias("fp"), F.max("p").alias("p"), F.max("n").alias("n"), auc.alias("auc"))
+    counts = found.select(*keys, "threshold", (F.col("n") - fp).alias("tn"), "fp", (F.col("p") - tp).alias("fn"), "tp", "auc")
+    return with_rates(counts).select(*keys, "threshold", "tn", "fp", "fn", "tp", "precision", "recall", "f1", "auc")
+
+
 def normalized(scored: DataFrame, keys: list[str]) -> DataFrame:
-    """intensity: score over the key's largest score that is a number. The maxima are joined, not windowed."""
-    top = scored.groupBy(*keys).agg(F.max(F.nanvl("score", F.lit(None).cast("double"))).alias("__top"))
-    return scored.join(top, keys).withColumn("intensity", F.col("score") / F.col("__top")).drop("__top")
+    """intensity: score over the key's largest score that is a number; null keys are a key. The maxima are joined, not
+    windowed."""
+    top = scored.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max(F.nanvl("score", F.lit(None).cast("double"))).alias("__top"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return scored.join(top, on).withColumn("intensity", F.col("score") / F.col("__top")).drop("__top", *[f"__{k}" for k in keys])

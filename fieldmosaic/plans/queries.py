@@ -671,17 +671,14 @@ def cv_mean_metrics(spark, sf):
   round({_ZERO.format("2 * tp + fp + fn", "2 * tp")}, 6) as f1, round(y.auc, 6) as auc from w join y on w.species = y.species""")
 def pooled_cv_report(spark, sf):
     """Out-of-fold scores of all folds together: best threshold, confusion matrix, rates and area for each species."""
-    scored = _held_out(spark, sf)
-    best = metrics.best_f1(scored, ["species"]).select("species", "threshold")
-    rates = metrics.with_rates(metrics.confusion(scored.join(F.broadcast(best), "species"), F.col("threshold"), ["species"]))
-    return _rounded(best.join(rates, "species").join(metrics.roc_auc(scored, ["species"]), "species"))
+    return _rounded(metrics.report(_held_out(spark, sf), ["species"]))
 
 
 def _saved(spark, sf):
     """Final models of all species with their top and threshold, saved and loaded again."""
-    df = _leveled(spark, sf)
+    df = _stage(_leveled(spark, sf).select("id", "species", "label", "target", *LEVELS))
     path = _folder(spark, "models")
-    models.stored(df, models.fit(df, ["species"], LEVELS, _stage, alpha=0.0), ["species"], LEVELS).write.parquet(path)
+    models.stored(df, models.fit(df, ["species"], LEVELS, _stage, alpha=0.0), ["species"], LEVELS, _stage).write.parquet(path)
     return df, spark.read.parquet(path)
 
 
@@ -689,17 +686,72 @@ def _saved(spark, sf):
   when 'Recall' then {_ZERO.format("tp + fn", "tp")} else {_ZERO.format("2 * tp + fp + fn", "2 * tp")} end, 6) as value from w join y on w.species = y.species, (values ('Threshold'), ('AUC'), ('Precision'), ('Recall'), ('F1')) as k(metric)""")
 def accuracy_report(spark, sf):
     """Final fit, saved and loaded, scored on its training rows at the stored threshold, as a CSV of metrics."""
-    df, table = _saved(spark, sf)
+    return _accuracy(spark, *_saved(spark, sf))
+
+
+def _accuracy(spark, df, table):
+    """Metrics of the training rows at the stored thresholds, by way of a CSV."""
     scored = _stage(models.predict_presence(df, table, ["species"], LEVELS).select("species", "label", F.col("intensity").alias("score")))
-    best = table.select("species", "threshold")
-    rates = metrics.with_rates(metrics.confusion(scored.join(best, "species"), F.col("threshold"), ["species"]))
-    wide = best.join(metrics.roc_auc(scored, ["species"]), "species").join(rates, "species")
+    wide = metrics.report(scored, ["species"], table.select("species", "threshold"))
     wide = wide.select("species", F.col("threshold").alias("Threshold"), F.col("auc").alias("AUC"), F.col("precision").alias("Precision"), F.col("recall").alias("Recall"), F.col("f1").alias("F1"))
     path = _folder(spark, "accuracy")
     _rounded(wide.unpivot("species", ["Threshold", "AUC", "Precision", "Recall", "F1"], "metric", "value")).write.csv(path)
     return spark.read.csv(path, schema="species string, metric string, value double")
 
 
+def _final(spark, sf):
+    """Models of scaled features with scaler, top and the pooled cross-validation's threshold, saved and loaded again."""
+    df = _stage(_leveled(spark, sf).select("id", "species", "label", "target", *LEVELS))
+    scaler = _stage(features.scaler(df, LEVELS, ["species"]))
+    scaled = _stage(features.stratified_folds(features.scaled(df, scaler, LEVELS, ["species"]), ["species"]))
+    held = metrics.normalized(models.cross_validate(scaled, ["species"], LEVELS, [0.0], _stage), ["species", "fold"])
+    thresholds = metrics.best_f1(_stage(held.select("species", "label", F.round("intensity", 9).alias("score"))), ["species"])
+    path = _folder(spark, "models")
+    models.stored(df, models.fit(scaled, ["species"], LEVELS, _stage, alpha=0.0), ["species"], LEVELS, _stage, scaler, thresholds).write.parquet(path)
+    return df, spark.read.parquet(path)
+
+
+_CUT = f"""{_HELD_OUT}, {_curve_sql("species")}, top as (select species, max(m) as top from (select species, avg(target) as m from l group by species, lvl) as x group by species),
+best as (select species, round(threshold, 9) as threshold from t)"""
+
+
+@query(f"""with {_CUT}, r as (select l.species, label, round(avg(target) over (partition by l.species, lvl) / top, 9) as score from l join top on l.species = top.species),
+g2 as (select species, score, sum(label) as pos, sum(1 - label) as neg from r group by species, score),
+s2 as (select *, sum(pos) over (partition by species order by score desc) as tp, sum(pos) over (partition by species) as p, sum(neg) over (partition by species) as n from g2),
+y2 as (select species, sum(neg * (tp - pos / cast(2 as double))) / cast(max(p) * max(n) as double) as auc from s2 group by species),
+w2 as (select r.species, threshold, sum(case when score >= threshold and label = 1 then 1 else 0 end) as tp, sum(case when score >= threshold and label = 0 then 1 else 0 end) as fp,
+  sum(case when score < threshold and label = 1 then 1 else 0 end) as fn from r join best on r.species = best.species group by r.species, threshold)
+select w2.species, k.metric, round(case k.metric when 'Threshold' then threshold when 'AUC' then auc when 'Precision' then {_ZERO.format("tp + fp", "tp")}
+  when 'Recall' then {_ZERO.format("tp + fn", "tp")} else {_ZERO.format("2 * tp + fp + fn", "2 * tp")} end, 6) as value from w2 join y2 on w2.species = y2.species, (values ('Threshold'), ('AUC'), ('Precision'), ('Recall'), ('F1')) as k(metric)""")
+def final_report(spark, sf):
+    """Scaled features, a threshold from pooled cross-validation, the final fit saved with its scaler, loaded, and its
+    metrics on the training rows."""
+    return _accuracy(spark, *_final(spark, sf))
+
+
+@query(f"""with {_CUT}, m as (select species, lvl, avg(target) as mu from l group by species, lvl), r as (select fresh.id, fresh.species, round(m.mu / top.top, 9) as share from fresh
+  left join m on m.species = fresh.species and m.lvl = cast(floor(fresh.f1 * 4) as int) left join top on top.species = fresh.species)
+select id, r.species, round(share, 6) as intensity, case when share is null then null when share >= threshold then 1 else 0 end as present from r left join best on best.species = r.species""")
+def score_new_rows(spark, sf):
+    """Rows that no fit has seen, raw, by the stored coefficients, scaler, top and threshold. A species without a model and
+    a row without its feature have none."""
+    _, table = _final(spark, sf)
+    level = F.floor(F.col("f1") * 4)
+    rows = view(spark, sf, "fresh").withColumns({name: (level == k).cast("double") for k, name in enumerate(LEVELS, 1)})
+    return _rounded(models.predict_presence(rows, table, ["species"], LEVELS).select("id", "species", "intensity", "present"))
+
+
+@query(f"""with {_LEVELED}, m as (select species, lvl, avg(target) as mu from l group by species, lvl), r as (select fresh.id, fresh.species, m.mu from fresh left join m on m.species = fresh.species and m.lvl = cast(floor(fresh.f1 * 4) as int))
+select id, species, round(mu / max(mu) over (partition by species), 6) as intensity from r""")
+def score_new_batch(spark, sf):
+    """The same rows, as shares of the largest score among themselves."""
+    df = _leveled(spark, sf)
+    table = models.stored(df, models.fit(df, ["species"], LEVELS, _stage, alpha=0.0), ["species"], LEVELS, _stage)
+    level = F.floor(F.col("f1") * 4)
+    rows = view(spark, sf, "fresh").withColumns({name: (level == k).cast("double") for k, name in enumerate(LEVELS, 1)})
+    return _rounded(models.predict_presence(rows, table, ["species"], LEVELS, mode="batch").select("id", "species", "intensity"))
+
+
 @query(f"with {_FINAL}, {_curve_sql('species')} select z.id, round(z.score, 6) as intensity, case when z.score >= t.threshold then 1 else 0 end as present from z join t on z.species = t.species")
 def binary_presence(spark, sf):
     """Rows scored by loaded models, with the top and threshold that were stored beside them."""
@@ -752,13 +804,38 @@ def poisson_score(spark, sf):
     return _rounded(metrics.normalized(scored, ["species"]).select("id", "species", "intensity"))
 
 
+ALPHAS = [1e-6, 1e-4, 1e-3, 1e-2, 0.1, 1.0]
+
+
+def _scaled_folds(spark, sf):
+    df = features.standard(_training(spark, sf), FEATURES, ["species"])
+    return _stage(features.stratified_folds(df.select("id", "species", "label", "target", *FEATURES), ["species"]))
+
+
 @query()
 def alpha_sweep(spark, sf):
-    df = features.stratified_folds(features.standard(_training(spark, sf), FEATURES, ["species"]), ["species"])
-    scored = models.cross_validate(df, ["species"], FEATURES, [1e-6, 1e-4, 1e-3, 1e-2, 0.1, 1.0], _stage)
+    scored = models.cross_validate(_scaled_folds(spark, sf), ["species"], FEATURES, ALPHAS, _stage)
     scored = _stage(metrics.normalized(scored, ["species", "alpha", "fold"]).select("species", "alpha", "label", F.col("intensity").alias("score")))
-    keys = ["species", "alpha"]
-    return _rounded(metrics.best_f1(scored, keys).join(metrics.roc_auc(scored, keys), keys))
+    return _rounded(metrics.report(scored, ["species", "alpha"]).select("species", "alpha", "threshold", "f1", "auc"))
+
+
+@query(f"""with f as (select id, species, label, (row_number() over (partition by species, label order by (id * 2654435761 + 42) % 4294967296, id) - 1) % 5 as fold from train), h as (select * from (values (0), (1), (2), (3), (4)) as v(held))
+select f.species, cast(held as int) as held, cast(a.alpha as double) as alpha, term, count(*) as n, cast(0 as double) as gradient from f, h, (values {", ".join(f"(cast({a} as double))" for a in ALPHAS)}) as a(alpha), (values ('intercept'), ('f1'), ('f2'), ('f3')) as t(term)
+where fold <> held group by f.species, held, a.alpha, term""")
+def alpha_sweep_optimum(spark, sf):
+    """The slope of each of the sweep's objectives, over the rows of its own training folds, at its coefficients: zero."""
+    df = _scaled_folds(spark, sf)
+    found = models.fit_variants(df, ["species"], FEATURES, _stage, [(k, a) for k in range(5) for a in ALPHAS], fold="fold")
+    held = F.broadcast(spark.createDataFrame([(k,) for k in range(5)], "held int"))
+    training = df.join(held, F.col("fold") != F.col("held"))
+    each = found.groupBy("species", "held").agg(F.collect_list(F.struct("alpha", "n", "beta", "status")).alias("m")).select(F.col("species").alias("s"), F.col("held").alias("h"), "m")
+    met = training.join(F.broadcast(each), (F.col("species") == F.col("s")) & (F.col("held") == F.col("h"))).select("species", "held", "target", *FEATURES, F.explode("m").alias("m")).where("m.status = 'ok'")
+    mu = F.exp(sum((F.col("m.beta")[k + 1] * F.col(f) for k, f in enumerate(FEATURES)), F.col("m.beta")[0]))
+    keys = ["species", "held", F.col("m.alpha").alias("alpha")]
+    x = {"intercept": F.lit(1.0), **{f: F.col(f) for f in FEATURES}}
+    sums = met.groupBy(*keys).agg(F.max("m.n").alias("n"), F.first("m.beta").alias("beta"), *[F.avg((mu - F.col("target")) * v).alias(f"g_{t}") for t, v in x.items()])
+    terms = [F.struct(F.lit(t).alias("term"), (F.col(f"g_{t}") + (F.col("alpha") * F.col("beta")[k] if k else 0.0)).alias("gradient")) for k, t in enumerate(x)]
+    return _rounded(sums.select("species", "held", "alpha", "n", F.explode(F.array(*terms)).alias("g")).select("species", "held", "alpha", "n", "g.*"))
 
 
 @query(f"""with {_LEVELED}, fo as (select lvl, cast(label as double) as y, case when rk < rest * (size + 1) then floor(rk / (size + 1)) else rest + floor((rk - rest * (size + 1)) / size) end as fold

@@ -59,6 +59,9 @@ select obs_id as id, lower(replace(trim(scientific_name), ' ', '_')) as species,
   case when (obs_id * 31) % 7 + cx / 20 > 5 then 1 else 0 end as label,
   cast(cx as double) / cast(60 as double) as f1, cast(cy as double) / cast(60 as double) as f2, effort_distance_km as f3
 from occ""",
+    "fresh": """
+select obs_id as id, lower(replace(trim(species), ' ', '_')) as species,
+  case when obs_id % 13 = 0 then null else cast(obs_id % 60 as double) / cast(60 as double) end as f1 from gbif""",
 }
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 

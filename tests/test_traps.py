@@ -314,3 +314,85 @@ def test_alpha_sweep_scales_within_species(spark, monkeypatch):
     assert alphas == [1e-6, 1e-4, 1e-3, 1e-2, 0.1, 1.0]
     for r in df.groupBy("species").agg({"f1": "avg"}).join(df.groupBy("species").agg({"f1": "stddev_pop"}), "species").collect():
         assert abs(r["avg(f1)"]) < 1e-6 and (math.isclose(r["stddev_pop(f1)"], 1, rel_tol=1e-6) or r["stddev_pop(f1)"] == 0)
+
+
+def _presences(n, seed, species=("a", "b", None)):
+    rng = np.random.default_rng(seed)
+    x = rng.normal([5.0, -2.0], [3.0, 0.5], size=(n, 2))
+    y = (rng.random(n) < 1 / (1 + np.exp(1 - (x @ [0.4, 1.0])))).astype(int)
+    return [(i, species[i % len(species)], float(x[i, 0]), float(x[i, 1]), 7.0, int(y[i]), 1.0 if y[i] else 1e-4, i % 5) for i in range(n)]
+
+
+_PRESENCES = "id long, species string, f1 double, f2 double, same double, label int, target double, fold int"
+
+
+def test_variants_are_separate_fits(spark, monkeypatch):
+    """Rows are shared, results aren't: each fold and penalty is what a fit of just its rows gives, null keys included."""
+    monkeypatch.setattr(models, "BROADCAST_MODELS", 8)  # two groups of models
+    rows = _presences(240, 3)
+    rows[0] = (*rows[0][:2], None, *rows[0][3:])  # fold 0 of species a can only be held
+    df = spark.createDataFrame(rows, _PRESENCES)
+    found = models.fit_variants(df, ["species"], ["f1", "f2"], same, [(None, 0.01), *[(k, a) for k in range(2) for a in (0.01, 1.0)]], fold="fold").collect()
+    assert len(found) == 15
+    for r in (r for r in found if r.held == 1 or r.alpha == 1.0 and r.species is None):
+        part = df.where(df.species.eqNullSafe(r.species)).where("true" if r.held is None else f"fold <> {r.held}")
+        (one,) = models.fit(part, ["species"], ["f1", "f2"], same, alpha=r.alpha).collect()
+        assert (one.status, one.n) == (r.status, r.n) and (r.status == "fail" or np.allclose(one.beta, r.beta, atol=1e-9))
+    assert {(r.held, r.status) for r in found if r.species == "a"} == {(None, "fail"), (0, "ok"), (1, "fail")}
+    scored = models.cross_validate(df.where("fold < 3"), ["species"], ["f1", "f2"], [0.01, 1.0], same)
+    assert scored.count() == 2 * df.where("fold < 3").count()
+    gone = scored.where("score is null").select("species", "fold", "id").distinct().collect()
+    assert all(r.species == "a" for r in gone) and {r.fold for r in gone} == {0, 1, 2}
+
+
+def _stored(spark):
+    df = spark.createDataFrame(_presences(300, 4), _PRESENCES)
+    names = ["f1", "f2", "same"]
+    scaler = features.scaler(df, names, ["species"])
+    scaled = features.scaled(df, scaler, names, ["species"])
+    cuts = spark.createDataFrame([("a", 0.3), ("b", 0.4), (None, 0.5)], "species string, threshold double")
+    fitted = models.fit(scaled, ["species"], names, same)
+    return df, names, scaled, fitted, models.stored(df, fitted, ["species"], names, same, scaler, cuts)
+
+
+def test_stored_models_scale_new_rows(spark, tmp_path):
+    """A row alone, in a batch and in a stream: one result, by the scaler, top and threshold of the training rows."""
+    df, names, scaled, fitted, table = _stored(spark)
+    table.write.parquet(str(tmp_path / "models"))
+    table = spark.read.parquet(str(tmp_path / "models"))
+    assert table.count() == 3 and {r.threshold for r in table.collect()} == {0.3, 0.4, 0.5}
+    train = models.predict_presence(df, table, ["species"], names)
+    by_hand = metrics.normalized(models.score(scaled, fitted, ["species"], names), ["species"])
+    a, b = ({r.id: r.intensity for r in d.collect()} for d in (train, by_hand))
+    assert len(a) == 300 and all(math.isclose(a[k], b[k], abs_tol=1e-8) for k in a)
+    new = spark.createDataFrame([(*r[:4], 9.0) for r in _presences(40, 9, ("a", "b", None, "unknown"))] + [(99, "a", None, 1.0, 7.0)], "id long, species string, f1 double, f2 double, same double")
+    got = {r.id: (r.intensity, r.present) for r in models.predict_presence(new, table, ["species"], names).collect()}
+    assert got[99] == (None, None) and {got[k] for k in range(3, 40, 4)} == {(None, None)}
+    for k in (0, 1, 2):
+        (alone,) = models.predict_presence(new.where(f"id = {k}"), table, ["species"], names).collect()
+        assert (alone.intensity, alone.present) == got[k] and alone.present == int(alone.intensity >= {0: 0.3, 1: 0.4, 2: 0.5}[k])
+    batch = models.predict_presence(new, table, ["species"], names, mode="batch").groupBy("species").agg({"intensity": "max"}).collect()
+    assert {r.species: r[1] for r in batch} == {"a": 1.0, "b": 1.0, None: 1.0, "unknown": None}
+    with pytest.raises(ValueError):
+        models.predict_presence(new, table, ["species"], names, mode="none")
+    new.write.parquet(str(tmp_path / "new"))
+    stream = models.predict_presence(spark.readStream.schema(new.schema).parquet(str(tmp_path / "new")), table, ["species"], names)
+    run = stream.writeStream.format("memory").queryName("presences").option("checkpointLocation", str(tmp_path / "state")).start()
+    run.processAllAvailable()
+    run.stop()
+    assert {r.id: (r.intensity, r.present) for r in spark.table("presences").collect()} == got
+
+
+def test_report_is_that_of_its_parts(spark):
+    rng = np.random.default_rng(8)
+    rows = [("x" if i % 2 else "y", float(round(rng.random(), 1)), int(rng.random() < 0.4)) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, score double, label int")
+    best = {r.g: r for r in metrics.best_f1(df, ["g"]).collect()}
+    auc = {r.g: r.auc for r in metrics.roc_auc(df, ["g"]).collect()}
+    for cuts in (None, {"x": 0.55, "y": 2.0}):
+        table = cuts and spark.createDataFrame(list(cuts.items()), "g string, threshold double")
+        for r in metrics.report(df, ["g"], table).collect():
+            at = cuts[r.g] if cuts else best[r.g].threshold
+            cells = [sum(g == r.g and (s >= at) == p and y == q for g, s, y in rows) for p, q in ((False, 0), (True, 0), (False, 1), (True, 1))]
+            assert [r.tn, r.fp, r.fn, r.tp] == cells and r.threshold == at and math.isclose(r.auc, auc[r.g])
+            assert math.isclose(r.f1, 2 * r.tp / max(2 * r.tp + r.fp + r.fn, 1))
