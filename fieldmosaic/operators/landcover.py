@@ -46,6 +46,45 @@ def lookback(points: DataFrame, scenes: DataFrame, keys: list[str], months: int
     return counts.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("m"), F.col("label"))).alias("best")).select(*keys, F.col("best.label").alias("label"))
 
 
+def running_counts(scenes: DataFrame) -> DataFrame:
+    """cx, cy, month, before, days: of each cell and calendar month between the first and last of all scenes, how often each
+    label came before the month (an array by label), and the month's own counts (day, label, n).
+
+    A month holds at most a count for each of its days and labels, and a cell a row for each month.
+    """
+    daily = scenes.where("label is not null").groupBy("cx", "cy", F.to_date("scene_ts").alias("day"), "label").agg(F.count("*").alias("n"))
+    own = daily.groupBy("cx", "cy", F.trunc("day", "month").alias("month")).agg(F.collect_list(F.struct("day", "label", "n")).alias("days"), *[F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in CLASSES])
+    span = daily.agg(F.trunc(F.min("day"), "month").alias("first"), F.trunc(F.max("day"), "month").alias("last"))
+    every = daily.select("cx", "cy").distinct().join(F.broadcast(span)).select("cx", "cy", F.explode(F.sequence("first", F.add_months("last", 1), F.expr("interval 1 month"))).alias("month"))
+    earlier = Window.partitionBy("cx", "cy").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.array(*[F.coalesce(F.sum(f"n{k}").over(earlier), F.lit(0)) for k in CLASSES])
+    return every.join(own, ["cx", "cy", "month"], "left").select("cx", "cy", "month", before.alias("before"), "days")
+
+
+def lookback_asof(points: DataFrame, counts: DataFrame, keys: list[str], months: int = 3) -> DataFrame:
+    """What lookback() gives, from running_counts(): keys and label.
+
+    A point looks up how often each label of its cell came before its date, and before the start of its months; the
+    difference is what came between. Points are neither copied by month nor grouped again.
+    """
+    ends = counts.agg(F.min("month").alias("__first"), F.max("month").alias("__last"))
+    wanted = points.select(*keys, "cx", "cy", F.col("date").alias("__to"), F.add_months("date", -months).alias("__from")).join(F.broadcast(ends))
+    label = F.sequence(F.lit(0), F.lit(max(CLASSES)))
+
+    def until(df: DataFrame, day: str, name: str) -> DataFrame:
+        """df with counts by label before that day; beyond the months that are known, those of the nearest."""
+        at = counts.select(F.col("cx").alias("__x"), F.col("cy").alias("__y"), F.col("month").alias("__m"), "before", "days")
+        month = F.least(F.greatest(F.trunc(day, "month"), "__first"), "__last")
+        met = df.join(at, (F.col("cx") == F.col("__x")) & (F.col("cy") == F.col("__y")) & (month == F.col("__m")))
+        own = lambda k: F.aggregate(F.filter(F.col("days"), lambda d: (d["label"] == k) & (d["day"] < F.col(day))), F.lit(0).cast("long"), lambda s, d: s + d["n"])
+        return met.withColumn(name, F.transform(label, lambda k: F.get("before", k) + F.coalesce(own(k), F.lit(0)))).drop("__x", "__y", "__m", "before", "days")
+
+    met = until(until(wanted, "__to", "__upto"), "__from", "__less")
+    between = F.zip_with("__upto", "__less", lambda a, b: a - b)
+    best = F.array_max("__n")
+    return met.withColumn("__n", between).where(best > 0).select(*keys, (F.array_position("__n", best) - 1).cast("int").alias("label"))
+
+
 def season(scenes: DataFrame, year: int, months: list[int], span: bool = False) -> DataFrame:
     """cx, cy, label: the mode over the given months of a year; span: over all months from the first to the last."""
     in_months = F.month("scene_ts").between(min(months), max(months)) if span else F.month("scene_ts").isin(months)

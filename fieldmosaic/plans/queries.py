@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, names, projection
 from ..operators import clean, features, landcover, metrics, sampling, spatial
-from ..sources import readers, writers
+from ..sources import readers, scenes, writers
 from ..sources.views import ctes, sql, view
 from . import models
 
@@ -270,19 +270,19 @@ def top_observations(spark, sf):
 
 @query(INSIDE)
 def points_in_polygon(spark, sf):
-    return spatial.points_in_polygons(view(spark, sf, "occ"), spatial.edges_of(view(spark, sf, "vertex")))
+    return spatial.points_in_polygons(view(spark, sf, "occ"), spatial.edges_of(view(spark, sf, "vertex")), stage=_stage)
 
 
 @query(f"select distinct obs_id from ({INSIDE}) as t")
 def points_in_any_polygon(spark, sf):
-    return spatial.points_in_any(view(spark, sf, "occ"), spatial.edges_of(view(spark, sf, "vertex"))).select("obs_id")
+    return spatial.points_in_any(view(spark, sf, "occ"), spatial.edges_of(view(spark, sf, "vertex")), stage=_stage).select("obs_id")
 
 
 @query(f"""select c.scientific_name as species, cast(extract(month from c.date) as int) as month, count(*) as n
 from ({CLEAN}) as c join (select distinct obs_id from ({INSIDE}) as t) as i on c.obs_id = i.obs_id group by 1, 2""")
 def monthly_records_in_area(spark, sf):
     """The flagship query: clean records inside the study area by species and month."""
-    inside = spatial.points_in_any(_cleaned(spark, sf), spatial.edges_of(view(spark, sf, "vertex")))
+    inside = spatial.points_in_any(_cleaned(spark, sf), spatial.edges_of(view(spark, sf, "vertex")), stage=_stage)
     return inside.groupBy(F.col("scientific_name").alias("species"), F.month("date").alias("month")).agg(F.count("*").alias("n"))
 
 
@@ -343,6 +343,22 @@ def mode_lookback(spark, sf):
     return landcover.lookback(_dated(spark, sf), view(spark, sf, "cell"), ["obs_id"])
 
 
+@query(_LOOK)
+def asof_lookback(spark, sf):
+    """The same rows from running counts: two lookups a point."""
+    counts = _stage(landcover.running_counts(view(spark, sf, "cell")))
+    return landcover.lookback_asof(_dated(spark, sf), counts, ["obs_id"])
+
+
+@query(_LOOK)
+def scene_store_lookback(spark, sf):
+    """The same rows from a store by month and tile, of which only the points' folders are read."""
+    root = _folder(spark, "scenes")
+    scenes.write_scenes(view(spark, sf, "cell"), root, tile=16)
+    points = _dated(spark, sf)
+    return landcover.lookback(points, scenes.scenes_near(points, root, _stage, tile=16, last="2050-12-31"), ["obs_id"])
+
+
 @query(_SEASON)
 def mode_season(spark, sf):
     return _season(spark, sf)

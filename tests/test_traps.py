@@ -69,6 +69,49 @@ def test_polygons_with_holes_edges_and_overlap(spark):
     assert {r.obs_id for r in spatial.points_in_any(df, spatial.edges_of(read)).collect()} == {1, 3, 4, 5, 7, 8, 10}
 
 
+@pytest.mark.parametrize("dense,size", [(256, 0.25), (2, 1.0), (5, 40.0)])
+def test_cell_cover_is_all_edges(spark, monkeypatch, tmp_path, dense, size):
+    """Every point against every edge of every polygon, in plain loops: cells inside, crossed and cut up give the same."""
+    monkeypatch.setattr(spatial, "DENSE", dense)
+    monkeypatch.setattr(spatial, "LEVELS", 4)
+
+    def written(df):
+        path = str(tmp_path / str(len(list(tmp_path.iterdir()))))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    rng = np.random.default_rng(7)
+    shapes = []
+    for n, r in ((3, 2.0), (40, 1.5), (150, 3.0)):
+        turn, radius = np.sort(rng.uniform(0, 2 * np.pi, n)), rng.uniform(0.2, r, n)
+        x, y = rng.uniform(-2, 2, 2)
+        shapes.append([[(x + a * np.cos(t), y + a * np.sin(t)) for a, t in zip(radius, turn)]])
+    comb = [(0.0, 0.0)] + [(0.25 * k, 1.0 if k % 2 else 0.25) for k in range(1, 12)] + [(3.0, 0.0)]
+    steps = [p for k in range(6) for p in ((0.5 * k - 2, 0.5 * k - 2), (0.5 * k - 1.5, 0.5 * k - 2))] + [(1.0, 1.0), (-2.0, 1.0)]
+    shapes += [[comb], [steps], [[(-4.0, -4.0), (4.0, -4.0), (4.0, 4.0), (-4.0, 4.0)], [(-1.0, -1.0), (-1.0, 1.0), (1.0, 1.0), (1.0, -1.0)]], [[(0.0, 0.0), (3.0, 3.0000001), (3.0, 3.0)]]]
+    edges = [(k, *ring[i - 1], *ring[i]) for k, rings in enumerate(shapes) for ring in rings for i in range(len(ring))]
+    points = [tuple(p) for p in rng.uniform(-4.5, 4.5, (400, 2))] + [p for rings in shapes[:2] + shapes[3:] for ring in rings for p in ring]
+    points += [(x + dx, y) for x, y in comb + steps for dx in (-0.3, 0.125)] + [((a + c) / 2, (b + d) / 2) for k, a, b, c, d in edges if k > 2]
+    want = set()
+    for i, (x, y) in enumerate(points):
+        for k in range(len(shapes)):
+            odd = on = False
+            for _, x1, y1, x2, y2 in (e for e in edges if e[0] == k):
+                across = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+                on |= across == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)
+                odd ^= (y1 > y) != (y2 > y) and (across > 0 if y2 > y1 else across < 0)
+            if on or odd:
+                want.add((i, k))
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)] + [(-1, None, 0.0)], "obs_id long, longitude double, latitude double")
+    es = spark.createDataFrame([(k, *map(float, e)) for k, *e in edges], "poly_id long, x1 double, y1 double, x2 double, y2 double")
+    got = {(r.obs_id, r.poly_id) for r in spatial.points_in_polygons(df, es, size, written).collect()}
+    assert got == want
+    index, levels = spatial.cover(es, size, written)
+    most = index.where("x1 is not null").groupBy("level", "gx", "gy", "poly_id").count().agg({"count": "max"}).first()[0]
+    assert (levels > 1) == (dense < 200) and (most <= dense or levels == spatial.LEVELS)
+    assert spatial.points_in_polygons(df, es.limit(0), size, written).count() == 0
+
+
 def test_multipolygon_wkb(spark):
     import struct
 
@@ -196,6 +239,44 @@ def test_mode_ties_and_month_ends(spark):
     assert [tuple(r) for r in landcover.lookback(points, scenes, ["obs_id"]).collect()] == [(1, 2)]
 
 
+def _scenes(spark):
+    rng = np.random.default_rng(12)
+    rows = [(int(rng.integers(-3, 3)), int(rng.integers(0, 40)), f"20{rng.integers(17, 20)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d} {rng.integers(0, 24):02d}:30:00", int(rng.integers(0, 9))) for _ in range(3000)]
+    scenes = spark.createDataFrame(rows, "cx int, cy int, s string, label int").selectExpr("cx", "cy", "to_timestamp_ntz(s) as scene_ts", "label")
+    points = [(k, int(rng.integers(-4, 4)), int(rng.integers(0, 8)), f"20{rng.integers(16, 22)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d}") for k in range(300)]
+    points += [(1000 + k, 0, 3, d) for k, d in enumerate(("2018-05-31", "2018-05-31", "2019-12-31", "2017-01-01", "2020-03-01", None))]
+    return scenes, spark.createDataFrame(points, "obs_id long, cx int, cy int, d string").selectExpr("obs_id", "cx", "cy", "cast(d as date) as date")
+
+
+def test_asof_lookback_is_lookback(spark):
+    """Points before, between and behind all scenes, in cells with and without, at month ends and without a date."""
+    scenes, points = _scenes(spark)
+    one = sorted(tuple(r) for r in landcover.lookback(points, scenes, ["obs_id"]).collect())
+    two = sorted(tuple(r) for r in landcover.lookback_asof(points, landcover.running_counts(scenes), ["obs_id"]).collect())
+    assert one == two and len(one) > 50
+    none = landcover.running_counts(scenes.limit(0))
+    assert landcover.lookback_asof(points, none, ["obs_id"]).count() == 0
+
+
+def test_scene_store_reads_only_the_points_folders(spark, tmp_path):
+    from fieldmosaic.sources import scenes as store
+
+    scenes, points = _scenes(spark)
+    few = points.where("cy < 3 and date between '2018-03-01' and '2018-06-30'")
+    store.write_scenes(scenes.where("cx < 1"), str(tmp_path), tile=4, rows=50)
+    store.write_scenes(scenes.where("cx >= 1"), str(tmp_path), tile=4, rows=50)
+    whole = store.read_scenes(spark, str(tmp_path))
+    assert whole.count() == 3000 and {"month", "tile_x", "tile_y"} < set(whole.columns)
+    near = store.scenes_near(few, str(tmp_path), same, tile=4)
+    assert "dynamicpruning" in near._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).lower()
+    read = {r[0] for r in near.selectExpr("input_file_name()").collect()}
+    assert read and all(any(f"month={m}/" in f for m in (201712, *range(201801, 201807))) for f in read)
+    want, got = (sorted(tuple(r) for r in landcover.lookback(few, s, ["obs_id"]).collect()) for s in (scenes, near))
+    assert want == got and got
+    wide = store.scenes_near(few, str(tmp_path), same, tile=4, radius=5).count()
+    assert near.count() < wide < 3000
+
+
 def same(df):
     """In place of writing a frame: take its rows, so that they are computed once."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
