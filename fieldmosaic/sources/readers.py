@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import struct
 from collections.abc import Iterator
 
@@ -49,18 +50,35 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def read_csv_groups(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """CSV files whose headers differ: those of one header are one read, and the reads are united by name."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        groups.setdefault(tuple(spark.read.csv(p, header=True, escape='"').columns), []).append(p)
-    return union_by_name([spark.read.csv(g, header=True, escape='"') for g in groups.values()])
+def read_csv_groups(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """CSV files (or patterns) whose headers differ, as strings under all their columns; null where a file lacks one.
+
+    Two jobs, however many files there are: the first lines of all files are found in one pass over their lines, and then
+    all files are one read by place, each value taken from where its file's own header has the column. Only the different
+    headers reach the driver. A line that repeats its file's header holds no record; a header is one line.
+    """
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("__file"), "value", F.monotonically_increasing_id().alias("at"))
+    firsts = lines.groupBy("__file").agg(F.min_by("value", "at").alias("line"))
+    found = firsts.groupBy("line").agg(F.min("__file").alias("first")).orderBy("first").collect()
+    headers = [(r["line"], next(csv.reader([r["line"].removeprefix("\ufeff")]), [])) for r in found]
+    names = list(dict.fromkeys(n for _, fields in headers for n in fields))
+    if not names:
+        raise ValueError(f"no header in {paths}")
+    for _, fields in headers:
+        if len(set(fields)) < len(fields):
+            raise ValueError(f"a header names a column twice: {fields}")
+    wide = T.StructType([T.StructField(f"__c{k}", T.StringType()) for k in range(max(len(f) for _, f in headers))])
+    rows = spark.read.csv(paths, schema=wide, header=False, escape='"').select("*", F.col("_metadata.file_path").alias("__file"))
+    own = firsts.join(F.broadcast(spark.createDataFrame(headers, "line string, __fields array<string>")), "line").select("__file", "__fields")
+    met = rows.join(own, "__file").withColumn("__values", F.array(*wide.names))
+    met = met.where(F.slice("__values", 1, F.size("__fields")) != F.col("__fields"))
+    place = lambda n: F.array_position("__fields", n).cast("int") - 1
+    return met.select(*[F.when(place(n) >= 0, F.get("__values", F.greatest(place(n), F.lit(0)))).alias(n) for n in names])
 
 
 def read_csv_glob(spark: SparkSession, pattern: str) -> DataFrame:
-    """All CSV files that the pattern names, whatever their headers. Their names, not their contents, are listed first."""
-    files = spark.read.format("binaryFile").load(pattern).select("path").distinct()
-    return read_csv_groups(spark, sorted(r["path"] for r in files.collect()))
+    """All CSV files that the pattern names, whatever their headers."""
+    return read_csv_groups(spark, pattern)
 
 
 def species_partition(spark: SparkSession, root: str, species: str) -> DataFrame:

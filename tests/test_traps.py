@@ -239,6 +239,35 @@ def test_mode_ties_and_month_ends(spark):
     assert [tuple(r) for r in landcover.lookback(points, scenes, ["obs_id"]).collect()] == [(1, 2)]
 
 
+def test_csv_headers_in_two_jobs(spark, tmp_path):
+    """Many files, few headers: the number of jobs stays; quotes, empty files, headers alone and repeated ones."""
+    import csv
+
+    want = []
+    for k in range(30):
+        names = [["id", "a b", "x"], ["x", "id"], ["id", "only, here"]][k % 3]
+        with open(tmp_path / f"s_{k:02d}.csv", "w", newline="") as f:
+            out = csv.writer(f, lineterminator="\n")
+            out.writerow(names)
+            for j in range(k % 4):
+                row = {n: f'{k}-{j} "q", {n}' for n in names}
+                out.writerow([row[n] for n in names])
+                want.append(tuple(row.get(n) for n in ("id", "a b", "x", "only, here")))
+            if k == 3:
+                out.writerow(names)
+    (tmp_path / "s_empty.csv").write_text("")
+    (tmp_path / "other.csv").write_text("id,z\n1,2\n")
+    tracker, counts = spark.sparkContext.statusTracker(), []
+    for pattern in ("s_0*.csv", "s_*.csv"):
+        spark.sparkContext.setJobGroup(pattern, pattern)
+        df = readers.read_csv_glob(spark, str(tmp_path / pattern))
+        got = sorted((tuple(r) for r in df.collect()), key=str)
+        counts.append(len(tracker.getJobIdsForGroup(pattern)))
+    assert df.columns == ["id", "a b", "x", "only, here"] and got == sorted(want, key=str) and counts[0] == counts[1]
+    with pytest.raises(ValueError):
+        readers.read_csv_groups(spark, [str(tmp_path / "s_empty.csv")])
+
+
 def _scenes(spark):
     rng = np.random.default_rng(12)
     rows = [(int(rng.integers(-3, 3)), int(rng.integers(0, 40)), f"20{rng.integers(17, 20)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d} {rng.integers(0, 24):02d}:30:00", int(rng.integers(0, 9))) for _ in range(3000)]
