@@ -512,6 +512,26 @@ def background_points(spark, sf):
     return _rounded(sampling.background_points(spark, vertices, spatial.edges_of(vertices), n))
 
 
+def _uniform_sql(key: str, seed: int) -> str:
+    return f"(cast((({key}) * 2654435761 + {seed}) % 4294967296 as double) / cast(4294967296 as double))"
+
+
+_X0, _Y0 = spatial.SHIFT_X, spatial.SHIFT_Y
+
+
+@query(f"""with c as (select distinct gx, gy from plot, unnest(range(cast(floor((x0 - r) / 0.25 - {_X0!r}) as bigint) - 1, cast(floor((x0 + r) / 0.25 - {_X0!r}) as bigint) + 2)) as a(gx), unnest(range(cast(floor((y0 - r) / 0.25 - {_Y0!r}) as bigint) - 1, cast(floor((y0 + r) / 0.25 - {_Y0!r}) as bigint) + 2)) as b(gy)
+  where greatest(cast(0 as double), (gx + cast({_X0!r} as double)) * 0.25 - x0, x0 - (gx + 1 + cast({_X0!r} as double)) * 0.25) + greatest(cast(0 as double), (gy + cast({_Y0!r} as double)) * 0.25 - y0, y0 - (gy + 1 + cast({_Y0!r} as double)) * 0.25) <= r + cast(1e-9 as double)),
+w as (select gx, gy, sin(radians((gy + cast({_Y0!r} as double)) * 0.25)) as low, sin(radians((gy + 1 + cast({_Y0!r} as double)) * 0.25)) as high from c),
+u as (select *, sum((high - low) * radians(cast(0.25 as double))) over (order by gy, gx) as upto, (high - low) * radians(cast(0.25 as double)) as weight from w),
+d as (select i, {_uniform_sql("i * 7 + 1", 42)} * (select max(upto) from u) as at, {_uniform_sql("(i * i * 31 + i * 13 + 5) % 3000000000", 43)} as u, {_uniform_sql("(i * i * 17 + i * 29 + 11) % 3000000000", 44)} as v from range(80000) as t(i)),
+p as (select i, (gx + cast({_X0!r} as double) + d.u) * 0.25 as x, degrees(asin(low + v * (high - low))) as y from d asof join u on d.at < u.upto)
+select i as id, round(x, 6) as longitude, round(y, 6) as latitude from p where exists (select 1 from plot where abs(x - x0) + abs(y - y0) <= r) order by i limit 10000""")
+def background_points_by_area(spark, sf):
+    """Ten thousand points, uniform by area over all polygons."""
+    found = sampling.points_by_area(spark, spatial.edges_of(view(spark, sf, "vertex")), 10_000, _stage)
+    return _rounded(found.select("id", "longitude", "latitude"))
+
+
 # --- metrics -------------------------------------------------------------------------------------------------
 
 _STEPS = """with g as (select grp, score, cast(sum(label) as bigint) as pos, cast(sum(1 - label) as bigint) as neg from scored group by grp, score),

@@ -69,6 +69,20 @@ def test_polygons_with_holes_edges_and_overlap(spark):
     assert {r.obs_id for r in spatial.points_in_any(df, spatial.edges_of(read)).collect()} == {1, 3, 4, 5, 7, 8, 10}
 
 
+def test_points_by_area(spark):
+    """Thin polygons have their points; overlaps count once; nearer the pole there are fewer for each degree."""
+    sliver = [(1, 0.0, 0.0, 4.0, 4.0), (1, 4.0, 4.0, 4.0, 4.001), (1, 4.0, 4.001, 0.0, 0.0)]
+    edges = spark.createDataFrame(sliver, "poly_id long, x1 double, y1 double, x2 double, y2 double")
+    got = sampling.points_by_area(spark, edges, 200, lambda df: df).collect()
+    assert len({r.id for r in got}) == 200 and all(r.longitude <= r.latitude <= r.longitude * 1.00025 + 1e-12 for r in got)
+    box = lambda k, x, y, e, n: [(k, x, y, e, y), (k, e, y, e, n), (k, e, n, x, n), (k, x, n, x, y)]
+    two = spark.createDataFrame([*box(1, 0.0, 0.0, 8.0, 80.0), *box(2, 4.0, 0.0, 12.0, 80.0)], edges.schema)
+    got = sampling.points_by_area(spark, two, 3000, lambda df: df, size=2.0).collect()
+    third = [sum(4 * k <= r.longitude < 4 * k + 4 for r in got) / 3000 for k in range(3)]
+    assert all(abs(t - 1 / 3) < 0.04 for t in third)
+    assert abs(sum(r.latitude > 30 for r in got) / 3000 - (np.sin(np.radians(80)) - 0.5) / np.sin(np.radians(80))) < 0.04
+
+
 @pytest.mark.parametrize("dense,size", [(256, 0.25), (2, 1.0), (5, 40.0)])
 def test_cell_cover_is_all_edges(spark, monkeypatch, tmp_path, dense, size):
     """Every point against every edge of every polygon, in plain loops: cells inside, crossed and cut up give the same."""
@@ -345,6 +359,9 @@ def test_writers_and_background(spark, tmp_path):
         sampling.background_points(spark, thin, spatial.edges_of(thin), 20)
     with pytest.raises(ValueError):
         sampling.background_points(spark, square.limit(0), spatial.edges_of(square.limit(0)), 20)
+    line = spatial.edges_of(thin)
+    with pytest.raises(ValueError):
+        sampling.points_by_area(spark, line, 20, same)
     many = spark.createDataFrame([(k, "a" if k < 90 else "b") for k in range(100)], df.schema)
     writers.write_partitioned(many, str(tmp_path / "q"), rows=30)
     files = [f.rsplit("/", 2)[1] for f in spark.read.parquet(str(tmp_path / "q")).inputFiles()]
