@@ -406,6 +406,30 @@ def test_streamed_ingest_takes_old_dates(spark, tmp_path):
     assert got == [("1", "a_b"), ("2", "a_b"), ("3", "c"), ("4", "a_b"), ("5", "c")]
 
 
+def test_index_of_ids(spark, tmp_path):
+    """Batches that fail between ids and records, come twice, or meet a root from before the index."""
+    from fieldmosaic.streaming import ingest
+
+    root = str(tmp_path / "root")
+    rows = lambda *ids: spark.createDataFrame([(i, "a_b") for i in ids], "obs_id long, scientific_name string")
+    held = lambda: sorted((r.obs_id for r in spark.read.parquet(root).collect()), key=str)
+    writers.write_partitioned(rows(1, 2, None), root)
+    ingest.append_new(rows(2, 3, 3, 4), root, 0)
+    assert held() == [1, 2, 3, 4, None]
+    ingest.append_new(rows(2, 3, 3, 4), root, 0)
+    assert held() == [1, 2, 3, 4, None]
+    # The ids of batch 1 were written, its records weren't, or only one of them.
+    writers.write_partitioned(ingest._numbered(rows(5, 6), 1), root + "_ids", "bucket")
+    writers.write_partitioned(rows(5), root)
+    ingest.append_new(rows(1, 5, 6, 7), root, 1)
+    assert held() == [1, 2, 3, 4, 5, 6, 7, None]
+    index = spark.read.parquet(root + "_ids")
+    assert sorted(int(r.obs_id) for r in index.select("obs_id").distinct().collect()) == list(range(1, 8))
+    (bucket,) = ingest._numbered(rows(6), 2).select("bucket").first()
+    files = index.where(f"bucket = {bucket}").selectExpr("input_file_name()").distinct().collect()
+    assert files and all(f"/bucket={bucket}/" in r[0] for r in files)
+
+
 def test_streamed_counts(spark, tmp_path):
     from fieldmosaic.streaming.ingest import monthly_counts
 
