@@ -118,6 +118,23 @@ def schema_probe(spark, sf):
     return counts.select("n_rows", F.explode(each).alias("r")).select("r.*", "n_rows")
 
 
+def _fits_sql(c: str) -> str:
+    """Known values of a column and how many aren't of each type, as SQL."""
+    text = f"cast({c} as varchar)"
+    miss = {t: f"not regexp_matches({text}, '{p}')" + (f" or try_cast({text} as date) is null" if t == "date" else "") for t, p in readers.LATTICE.items()}
+    return f"count({c}) as known, " + ", ".join(f"count(case when {c} is not null and ({m}) then 1 end) as not_{t}" for t, m in miss.items())
+
+
+@query(" union all ".join(f"select '{name}' as name, '{t}' as type, {_fits_sql(c)} from occ" for name, (t, c) in _DUMP.items()))
+def type_inference(spark, sf):
+    """Types of a dump's columns from the same pass that ingests it, with counts of what speaks against each type."""
+    path, columns = _tsv(spark, sf)
+    rows, found = readers.ingest_inferred(spark, path, columns, _stage)
+    if dict(rows.dtypes) != {r["name"]: r["type"] for r in found.collect()}:
+        raise ValueError("the rows don't have the types that were found")
+    return found
+
+
 @query(f"""select {KEY} as scientific_name, case when obs_id % 2 = 0 then longitude else null end as longitude, case when obs_id % 2 = 0 then null else cast(cx as double) end as cx, obs_id from occ
 where {KEY} in ('vireo_griseus', 'vireo_griseus_x')""")
 def globbed_csv(spark, sf):

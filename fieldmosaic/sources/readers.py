@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import csv
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,43 @@ def read_inferred(spark: SparkSession, path: str, sep: str = "\t", ratio: float
     return spark.read.csv(path, sep=sep, quote='"', escape='"', header=True, inferSchema=True, samplingRatio=ratio)
 
 
+#: Types that a column of text may have, the narrower first, and what a value of each looks like.
+LATTICE = {"bigint": r"^[+-]?[0-9]{1,18}$", "double": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$", "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "boolean": "^([tT][rR][uU][eE]|[fF][aA][lL][sS][eE])$"}
+
+
+def type_counts(df: DataFrame) -> list[Column]:
+    """Aggregates over columns of text: for the k-th, n<k> known values and n<k>_<type> that aren't of each type.
+
+    They are plain sums, so those of parts, files or batches add up to those of the whole.
+    """
+    out = []
+    for k, c in enumerate(df.columns):
+        value = F.col(f"`{c}`")
+        out.append(F.count(value).alias(f"n{k}"))
+        for t, pattern in LATTICE.items():
+            is_one = value.rlike(pattern) if t != "date" else value.rlike(pattern) & value.try_cast("date").isNotNull()
+            out.append(F.count(F.when(value.isNotNull() & ~is_one, 1)).alias(f"n{k}_{t}"))
+    return out
+
+
+def types_of(columns: list[str], counts: dict[str, int]) -> dict[str, str]:
+    """The narrowest type that all known values of each column have; string if there is none, or no known value."""
+    fits = lambda k: [t for t in LATTICE if counts[f"n{k}"] and not counts[f"n{k}_{t}"]]
+    return {c: next(iter(fits(k)), "string") for k, c in enumerate(columns)}
+
+
+def ingest_inferred(spark: SparkSession, path: str, columns: list[str], stage: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """A quoted, tab-separated dump (see ingest_tsv) with the types that its values have, and name, type, known and
+    not_<type> of each column. The counts are taken while the rows are written: one pass over the dump."""
+    rows, seen = ingest_tsv(spark, path, columns), Observation()
+    staged = stage(rows.observe(seen, *type_counts(rows)))
+    counts = seen.get
+    types = types_of(rows.columns, counts)
+    table = [(c, types[c], counts[f"n{k}"], *[counts[f"n{k}_{t}"] for t in LATTICE]) for k, c in enumerate(rows.columns)]
+    found = spark.createDataFrame(table, "name string, type string, known long, " + ", ".join(f"not_{t} long" for t in LATTICE))
+    return typed(staged, {c: t for c, t in types.items() if t != "string"}), found
+
+
 def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Columns cast leniently: a value that doesn't parse becomes null and its row stays."""
     return df.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items()})

@@ -253,6 +253,20 @@ def test_mode_ties_and_month_ends(spark):
     assert [tuple(r) for r in landcover.lookback(points, scenes, ["obs_id"]).collect()] == [(1, 2)]
 
 
+def test_types_come_with_the_rows(spark, tmp_path):
+    (tmp_path / "d.tsv").write_text("a\tb\tc\td\te\tf\n1\t1\t2020-02-29\ttrue\t\t7\n-2\t.5e3\t2021-12-31\tFALSE\t\tx\n\t3\t2021-02-03\t\t\t2020-02-30\n")
+    rows, found = readers.ingest_inferred(spark, str(tmp_path), list("abcdef"), lambda df: same(df))
+    assert dict(rows.dtypes) == {"a": "bigint", "b": "double", "c": "date", "d": "boolean", "e": "string", "f": "string"}
+    assert [r.b for r in rows.orderBy("c").collect()] == [1.0, 3.0, 500.0]
+    at = {r.name: r for r in found.collect()}
+    assert (at["a"].known, at["b"].not_bigint, at["b"].not_double, at["e"].known, at["f"].not_bigint, at["f"].not_date) == (2, 1, 0, 0, 2, 3)
+    # Counts of parts add up.
+    text = spark.createDataFrame([("1",), ("2.5",), (None,), ("x",)], "a string")
+    whole, parts = (d.agg(*readers.type_counts(text)).first().asDict() for d in (text, text.where("a < 'x'"))), text.where("a >= 'x'").agg(*readers.type_counts(text)).first().asDict()
+    whole, part = whole
+    assert whole == {k: part[k] + parts[k] for k in part} and readers.types_of(["a"], part) == {"a": "double"} and readers.types_of(["a"], whole) == {"a": "string"}
+
+
 def test_csv_headers_in_two_jobs(spark, tmp_path):
     """Many files, few headers: the number of jobs stays; quotes, empty files, headers alone and repeated ones."""
     import csv
