@@ -240,11 +240,11 @@ def stored(rows: DataFrame, models: DataFrame, keys: list[str], features: list[s
     else:
         held = held.withColumns({c: F.lit(None).cast("array<double>") for c in ("means", "deviations")})
     scored = _with_models(rows, held, keys).withColumn("score", _raw_score(features)).where("score is not null")
-    top = stage(scored.groupBy(*keys).agg(F.max("score").alias("top")))
+    top = scored.groupBy(*keys).agg(F.max("score").alias("top"))
     if thresholds is None:
         share = F.round(F.col("score") / F.col("top"), 9)
         thresholds = metrics.best_f1(stage(_with_models(scored, top, keys).select(*keys, "label", share.alias("score"))), keys)
-    return _with_models(_with_models(held, top, keys), stage(thresholds.select(*keys, "threshold")), keys)
+    return _with_models(_with_models(held, top, keys), thresholds.select(*keys, "threshold"), keys)
 
 
 def _raw_score(features: list[str]) -> Column:
