@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import from_parts, lenient_date, year_of
@@ -34,17 +34,17 @@ def only_species(df: DataFrame, names: DataFrame, column: str = "scientific_name
 def ordered_slices(df: DataFrame, n: int, order: str, key: list[str] | None = None) -> DataFrame:
     """Slice numbers 0..n-1 of rows in order, n // slices + 1 rows each, within each key.
 
-    Without a key the ranks are counted range by range: sorted partitions are numbered by themselves and then
-    shifted by how many rows the earlier ones hold, so that no task sees all rows.
+    Ranks are counted range by range, of a hot key, too: rows of a range are numbered by themselves and then shifted by
+    how many the earlier ones hold, so that no task sees all rows.
     """
-    found = ranked(df, order) if not key else df.withColumns({"__rank": F.row_number().over(Window.partitionBy(*key).orderBy(order)) - 1, "__n": F.count("*").over(Window.partitionBy(*key))})
+    found = ranked(df, order, key)
     step = F.floor(F.col("__n") / n) + 1
     return found.withColumn("slice", F.floor(F.col("__rank") / step).cast("int")).drop("__rank", "__n")
 
 
-def ranked(df: DataFrame, order: str) -> DataFrame:
-    """df with __rank (from 0) and __n by a distinct, not null, numeric order, without a single-task window."""
-    found = running(df, [], order, {"__upto": F.lit(1)}, totals={"__n": F.lit(1)})
+def ranked(df: DataFrame, order: str, key: list[str] | None = None) -> DataFrame:
+    """df with __rank (from 0) and __n, within each key, by a distinct, not null, numeric order, without a single-task window."""
+    found = running(df, key or [], order, {"__upto": F.lit(1)}, totals={"__n": F.lit(1)})
     return found.withColumn("__rank", F.col("__upto") - 1).drop("__upto")
 
 

@@ -460,6 +460,11 @@ def test_ranks_do_not_depend_on_partitions(spark):
     one, two = ({tuple(r) for r in clean.ordered_slices(d, 10, "k").collect()} for d in (df.repartition(5), df.coalesce(1)))
     n = len(one)
     assert one == two == {(7 * i, i // (n // 10 + 1)) for i in range(n)}
+    hot = df.withColumn("g", F.when(F.col("k") % 5 > 0, "hot"))
+    got = {(r.g, r.k): r.slice for r in clean.ordered_slices(hot, 4, "k", ["g"]).collect()}
+    for g in ("hot", None):
+        own = sorted(k for h, k in got if h == g)
+        assert [got[g, k] for k in own] == [i // (len(own) // 4 + 1) for i in range(len(own))]
 
 
 def test_alpha_sweep_scales_within_species(spark, monkeypatch):
