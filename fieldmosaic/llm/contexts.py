@@ -2,12 +2,14 @@
 
 A gram of order k is a byte with the k bytes before it, packed into a long with the byte in the lowest place.
 Every gram that occurs counts. All trees together hold the HELD most frequent grams in memory, under the full counts
-of their contexts; what is beyond them stays in tables, and the few grams of a text that memory can't tell are
-joined to these, with the same results.
+of their contexts; what is beyond them stays in tables, and memory has a filter of bits that says of most grams and
+contexts that they aren't there. Only grams of a text that occur but aren't held, and a few that the filter takes for
+such, are joined to the tables, with the same results.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,6 +22,8 @@ from . import common
 
 #: Grams that all trees hold in memory together.
 HELD = 1 << 20
+#: Bits of the filter for each gram or context beyond HELD, the power of two of its bits at most, and bits set for each.
+SPREAD, FILTER, PROBES = 24, 28, 5
 #: What stands before a text.
 PAD = 10
 #: Bytes whose grams a task sorts at once.
@@ -85,27 +89,77 @@ class Order:
     whole: bool
 
 
-def frequent(counts: DataFrame, depth: int) -> tuple[dict[str, list[Order]], DataFrame | None]:
+def _salt(kind: str, k: int, what: str) -> int:
+    return zlib.crc32(f"{kind}:{k}:{what}".encode())
+
+
+def _cells(salt: np.ndarray, code: np.ndarray, log: int) -> Iterator[np.ndarray]:
+    """The places of numbers in a filter of 2**log bits, one array for each of their bits."""
+    x = code ^ (salt * np.uint64(0x9E3779B97F4A7C15))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ x >> np.uint64(shift)) * np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    step = (x << np.uint64(32) | x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) | np.uint64(1)
+    for i in range(PROBES):
+        yield x + np.uint64(i) * step >> np.uint64(64 - log)
+
+
+@dataclass
+class Filter:
+    """Bits of the grams and contexts that memory doesn't hold: what lacks one of its bits is none of them."""
+
+    log: int
+    bits: np.ndarray
+
+    def may(self, kind: str, k: int, what: str, code: np.ndarray) -> np.ndarray:
+        out = np.ones(len(code), bool)
+        for cell in _cells(np.array([_salt(kind, k, what)], np.uint64), code, self.log):
+            out &= (self.bits[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
+
+
+def _filter(beyond: DataFrame) -> Filter:
+    """Of rows of kind, k, what and code. With over 2**FILTER / SPREAD of them it tells less and less, never wrongly."""
+    log = max(10, min(FILTER, (SPREAD * beyond.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            salt, code = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for c in ("salt", "code"))
+            cell = np.unique(np.concatenate(list(_cells(salt, code, log))))
+            at, first = np.unique(cell >> np.uint64(6), return_index=True)
+            bits = np.bitwise_or.reduceat(np.uint64(1) << (cell & np.uint64(63)), first) if len(first) else cell
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(bits.view(np.int64))], ["at", "bits"])
+
+    salted = beyond.select(F.crc32(F.concat_ws(":", "kind", F.col("k").cast("string"), "what").cast("binary")).alias("salt"), "code")
+    found = salted.mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << log - 6, np.uint64)
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return Filter(log, out)
+
+
+def frequent(counts: DataFrame, depth: int) -> tuple[dict[str, list[Order]], DataFrame | None, Filter | None]:
     """Of count(): each kind's orders with the most frequent grams, HELD at most over all of them.
 
-    And all grams, as a written table of kind, k, code, n, total, different; None if all of them are held.
+    And all grams, as a written table of kind, k, code, n, total, different, with the filter of the grams that aren't
+    held and of the contexts that have no held gram; None if all grams are held.
     """
     counts = common.stage(counts, "grams")
     orders = counts.select("kind", "n", F.posexplode(F.array(*[F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1) for k in range(depth + 1)])).alias("k", "code"))
     summed = common.stage(orders.groupBy("kind", "k", "code").agg(F.sum("n").alias("n")), "orders")
     context = F.shiftright("code", 8).alias("context")
-    contexts = summed.groupBy("kind", "k", context).agg(F.sum("n").alias("total"), F.count("*").alias("different"))
+    contexts = summed.groupBy("kind", "k", context).agg(F.sum("n").alias("total"), F.count("*").alias("different"), F.max("n").alias("most"))
     grams = common.stage(summed.select("*", context).join(contexts, ["kind", "k", "context"]).drop("context"), "contexts")
     # Sizes by powers of two of the counts: at most 64 rows for each kind and order.
-    sizes = grams.groupBy("kind", "k", F.floor(F.log2("n") + 1e-9).cast("int").alias("power")).agg(F.count("*").alias("size")).collect()
+    power = lambda n: F.floor(F.log2(n) + 1e-9).cast("int")
+    sizes = grams.groupBy("kind", "k", power("n").alias("power")).agg(F.count("*").alias("size")).collect()
     least, held = 64, 0
-    for power in sorted({r["power"] for r in sizes}, reverse=True):
-        held += sum(r["size"] for r in sizes if r["power"] == power)
+    for p in sorted({r["power"] for r in sizes}, reverse=True):
+        held += sum(r["size"] for r in sizes if r["power"] == p)
         if held > HELD:
             break
-        least = power
+        least = p
     pruned = {(r["kind"], r["k"]) for r in sizes if r["power"] < least}
-    table = grams.where(F.floor(F.log2("n") + 1e-9) >= least).toArrow()
+    table = grams.where(power("n") >= least).toArrow()
     kind, k, code, n, total, different = (table.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "k", "code", "n", "total", "different"))
     out = {}
     for name in sorted({r["kind"] for r in sizes}):
@@ -114,7 +168,11 @@ def frequent(counts: DataFrame, depth: int) -> tuple[dict[str, list[Order]], Dat
             at = np.flatnonzero((kind == name) & (k == order))
             at = at[np.argsort(code[at])]
             out[name].append(Order(code[at].astype(np.uint64), *(x[at].astype(np.float64) for x in (n, total, different)), (name, order) not in pruned))
-    return out, grams if pruned else None
+    if not pruned:
+        return out, None, None
+    beyond = grams.where(power("n") < least).select("kind", "k", F.lit("gram").alias("what"), "code")
+    alone = grams.where(power("most") < least).select("kind", "k", F.lit("context").alias("what"), F.shiftright("code", 8).alias("code")).distinct()
+    return out, grams, _filter(beyond.union(alone))
 
 
 class Lookup:
@@ -158,11 +216,11 @@ class Tree:
 
     weigh(c, n, d): probability of a gram seen c times and the share left to grams not seen, where its context was
     seen n times with d different bytes, held in memory or not.
+    kind and beyond: the kind's name and the filter of frequent(), if an order isn't whole.
     """
 
-    def __init__(self, orders: list[Order], weigh: Callable) -> None:
-        self.depth = len(orders) - 1
-        self.whole = all(o.whole for o in orders)
+    def __init__(self, orders: list[Order], weigh: Callable, kind: str = "", beyond: Filter | None = None) -> None:
+        self.depth, self.kind, self.beyond = len(orders) - 1, kind, beyond
         self.levels: list[tuple[Lookup, np.ndarray, Lookup, np.ndarray, np.ndarray, bool]] = []
         for o in orders:
             context, of = np.unique(o.code >> np.uint64(8), return_inverse=True)
@@ -182,7 +240,13 @@ class Tree:
         if len(miss := np.flatnonzero(at < 0)):
             context = contexts.find(code[miss] >> np.uint64(8))
             if not whole:
-                open_ = ~np.where(context >= 0, complete[context], False) if len(left) else np.ones(len(miss), bool)
+                open_ = np.ones(len(miss), bool)
+                if self.beyond is not None:
+                    open_ = self.beyond.may(self.kind, k, "gram", code[miss])
+                    alone = np.flatnonzero(context < 0)
+                    open_[alone] |= self.beyond.may(self.kind, k, "context", code[miss[alone]] >> np.uint64(8))
+                if len(left):
+                    open_ &= ~((context >= 0) & complete[context])
                 unknown = np.zeros(len(code), bool)
                 unknown[miss[open_]] = True
                 out[miss[open_]] = 0.0

@@ -45,8 +45,8 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> Trees:
     Counts cover all rows and every gram; what the trees hold in memory is bounded by contexts.HELD.
     """
     known = common.pick(rows, kind=lang, text=text).where("kind is not null and text is not null")
-    held, table = contexts.frequent(contexts.count(known, DEPTH, str.encode), DEPTH)
-    trees = Trees({k: contexts.Tree(orders, escape_c) for k, orders in held.items()})
+    held, table, beyond = contexts.frequent(contexts.count(known, DEPTH, str.encode), DEPTH)
+    trees = Trees({k: contexts.Tree(orders, escape_c, k, beyond) for k, orders in held.items()})
     trees.table = table
     return trees
 

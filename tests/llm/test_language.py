@@ -88,3 +88,17 @@ def test_held_out_accuracy(spark):
 def test_letters():
     assert not any(map(language.has_letter, ["", "12", "\u00bd \u00b2", "\u2167", "_", "\u0663"]))
     assert all(map(language.has_letter, ["1a", "\u00e9", "12 \u4e00", "\u02b0"]))
+
+
+def test_filter_tells_what_is_unseen(spark, monkeypatch):
+    """With memory for half of the grams, nothing is asked for a script that a language never saw, and all that is seen is."""
+    monkeypatch.setattr(contexts, "HELD", 400)
+    rng = random.Random(7)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 300)]
+    own = ["".join(rng.choice(letters) for _ in range(60)) for _ in range(30)]
+    trees = language.train(spark.createDataFrame([(t, "xx") for t in own] + [("abc abd " * 900, "yy")], "text string, lang string").repartition(3))
+    assert trees.table is not None
+    code, _ = contexts.grams([("kein Wort davon " * 200).encode()], language.DEPTH)
+    assert trees["xx"].told(code)[1].sum() < 0.02 * len(code)
+    trees["xx"].beyond = None
+    assert trees["xx"].told(code)[1].sum() > 0.5 * len(code)
