@@ -15,13 +15,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Grams that all trees hold in memory together.
-HELD = 1 << 20
+#: Grams that all trees hold in memory together, at some 40 bytes each.
+HELD = 1 << 22
 #: Bits of the filter for each gram or context beyond HELD, the power of two of its bits at most, and bits set for each.
 SPREAD, FILTER, PROBES = 24, 28, 5
 #: What stands before a text.
@@ -160,14 +161,16 @@ def frequent(counts: DataFrame, depth: int) -> tuple[dict[str, list[Order]], Dat
         least = p
     pruned = {(r["kind"], r["k"]) for r in sizes if r["power"] < least}
     table = grams.where(power("n") >= least).toArrow()
-    kind, k, code, n, total, different = (table.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "k", "code", "n", "total", "different"))
+    k, code, n, total, different = (table.column(c).to_numpy() for c in ("k", "code", "n", "total", "different"))
+    coded = pc.dictionary_encode(table.column("kind")).combine_chunks()
+    kind, number = coded.indices.to_numpy(), {name: i for i, name in enumerate(coded.dictionary.to_pylist())}
     out = {}
     for name in sorted({r["kind"] for r in sizes}):
         out[name] = []
         for order in range(depth + 1):
-            at = np.flatnonzero((kind == name) & (k == order))
+            at = np.flatnonzero((kind == number.get(name, -1)) & (k == order))
             at = at[np.argsort(code[at])]
-            out[name].append(Order(code[at].astype(np.uint64), *(x[at].astype(np.float64) for x in (n, total, different)), (name, order) not in pruned))
+            out[name].append(Order(code[at].astype(np.uint32 if order < 4 else np.uint64), *(x[at].astype(np.float64) for x in (n, total, different)), (name, order) not in pruned))
     if not pruned:
         return out, None, None
     beyond = grams.where(power("n") < least).select("kind", "k", F.lit("gram").alias("what"), "code")
@@ -197,12 +200,13 @@ class Lookup:
             self.slots[self._slot(part)] = np.arange(at, at + len(part), dtype=np.int32)
 
     def _slot(self, x: np.ndarray) -> np.ndarray:
-        return (x * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        return (x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """The place of each, or -1."""
         if not len(self.keys):
             return np.full(len(x), -1, np.int32)
+        x = x.astype(self.keys.dtype, copy=False)  # else binary search would widen all keys
         at = self.slots[self._slot(x)]
         other = np.flatnonzero((at >= 0) & (self.keys[at] != x))
         if len(other):
@@ -223,7 +227,7 @@ class Tree:
         self.depth, self.kind, self.beyond = len(orders) - 1, kind, beyond
         self.levels: list[tuple[Lookup, np.ndarray, Lookup, np.ndarray, np.ndarray, bool]] = []
         for o in orders:
-            context, of = np.unique(o.code >> np.uint64(8), return_inverse=True)
+            context, of = np.unique(o.code >> o.code.dtype.type(8), return_inverse=True)
             seen, rest = weigh(o.n, o.total, o.different)
             left, different = np.zeros(len(context)), np.zeros(len(context))
             left[of], different[of] = np.log(rest), o.different
