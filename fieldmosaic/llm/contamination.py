@@ -4,8 +4,10 @@ Texts are split into words once; the positions are written to the shared folder,
 The index is of training tokens, for the terms that the test side asks for: each posting has the document, the
 position, and the 12 words to either side of it, so that the position lists of all other terms of a window,
 offset to the posting, can be intersected where the posting is. Each window is asked for under its rarest term,
-counted over all documents. The test side is broadcast only if it is counted to be small; beyond that, postings
-are dealt by term and one of SALTS numbers, so that a term of very many postings isn't one task.
+counted over all documents. The test side is broadcast only if it is counted to be small. Beyond that, a filter of
+2**MASK bits, which is broadcast at any size, leaves out postings of terms that aren't asked for before neighbours are
+taken, and the rest are dealt by term; a term of very many postings is dealt over as many tasks as its count asks for,
+and a term of very many windows has them in rows of some LIST each.
 """
 
 from __future__ import annotations
@@ -18,8 +20,13 @@ from . import common
 WINDOW = 13
 #: Characters of test-side rows that may be broadcast.
 BROADCAST_CHARS = 20_000_000
-#: Tasks that a term's postings are dealt over where the test side is too large to broadcast.
-SALTS = 16
+#: Where the test side is too large to broadcast: postings of a term that one task may have, or a share of all postings
+#: if that is more, so that at most 1 / SHARE terms have more.
+HOT, SHARE = 100_000, 1e-4
+#: The power of two of the filter's bits; as longs they are at most 2**18 rows.
+MASK = 24
+#: Windows of a term in a row of those asked for, about.
+LIST = 64
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -74,11 +81,31 @@ def rarest(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return counted.where("least.n > 0").select("wid", "words", "items", F.col("least.term").alias("term"), F.col("least.offset").alias("offset"))
 
 
-def postings(tokens: DataFrame, asked: DataFrame, reach: int, size: Column) -> DataFrame:
+def _cell(term: Column) -> tuple[Column, Column]:
+    """The long and the bit in it that a term has in the filter."""
+    h = F.xxhash64(term)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+    return F.shiftright(h, 6).bitwiseAND((1 << MASK - 6) - 1), bit
+
+
+def _may_be_asked(flat: DataFrame, asked: DataFrame) -> DataFrame:
+    """Rows of flat without most of those whose term isn't in asked, without a shuffle of them."""
+    at, bit = _cell(F.col("term"))
+    mask = asked.groupBy(at.alias("at")).agg(F.bit_or(bit).alias("bits"))  # bounded by its number of keys
+    return flat.join(F.broadcast(mask), at == F.col("at")).where(F.col("bits").bitwiseAND(bit) != 0).drop("at", "bits")
+
+
+def _hot(counts: DataFrame) -> DataFrame:
+    """term and salts, for the terms with so many occurrences that they are dealt over several tasks."""
+    bound = max(HOT, int(SHARE * (counts.agg(F.sum("n")).first()[0] or 0)))
+    return counts.where(F.col("n") > bound).select("term", F.ceil(F.col("n") / bound).cast("int").alias("salts"))
+
+
+def postings(tokens: DataFrame, asked: DataFrame, counts: DataFrame, reach: int, size: Column) -> DataFrame:
     """Postings of the terms in asked, from positions(): doc_id, key, n_words, pos, term, around, before, and asked's other columns.
 
     around has the words from reach before to reach after, `before` of them before the posting itself.
-    size: the characters of a row of asked.
+    counts: term_counts(). size: the characters of a row of asked.
     """
     # The outer form, as Spark would run the expression twice to leave out empty arrays first.
     flat = tokens.select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "term")).where("term is not null")
@@ -87,16 +114,25 @@ def postings(tokens: DataFrame, asked: DataFrame, reach: int, size: Column) -> D
     mine, others = ["doc_id", "key", "pos", "term"], [c for c in asked.columns if c != "term"]
     if _fits(asked, size):  # neighbours are taken behind the join, for few tokens
         return flat.join(F.broadcast(asked), "term").select(*mine, *others, *near)
-    salted = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = flat.select(*mine, *near, F.pmod(F.xxhash64("key", "pos"), F.lit(SALTS)).cast("int").alias("salt"))
+    hot, salts = F.broadcast(_hot(counts)), F.coalesce("salts", F.lit(1))  # 1 / SHARE rows at most
+    salted = asked.join(hot, "term", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    found = _may_be_asked(flat, asked).join(hot, "term", "left")
+    dealt = found.select(*mine, *near, F.pmod(F.xxhash64("key", "pos"), salts).cast("int").alias("salt"))
     return dealt.join(salted, ["term", "salt"]).drop("salt")
 
 
-def _asked(windows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """term and asked (array of offset, words, items): the windows (wid, words, items) under their rarest terms."""
+def _asked(windows: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """term and asked (array of offset, words, items): the windows (wid, words, items) under their rarest terms.
+
+    A term of more than LIST windows has several rows. And term_counts() of all their words.
+    """
     terms = common.stage(windows.select(F.explode("words").alias("term")).distinct(), "terms")
     counts = common.stage(term_counts(tokens, terms), "counts")
-    return common.stage(rarest(windows, counts).groupBy("term").agg(F.collect_list(F.struct("offset", "words", "items")).alias("asked")), "asked")
+    least = common.stage(rarest(windows, counts), "rarest")
+    rows = least.groupBy("term").agg(F.ceil(F.count("*") / LIST).alias("rows"))
+    listed = least.join(rows, "term").withColumn("row", F.pmod(F.xxhash64("wid"), "rows"))
+    asked = listed.groupBy("term", "row").agg(F.collect_list(F.struct("offset", "words", "items")).alias("asked"))
+    return common.stage(asked.drop("row"), "asked"), counts
 
 
 def _asked_size() -> Column:
@@ -109,7 +145,7 @@ def phrase_matches(tokens: DataFrame, windows: DataFrame, reach: int = WINDOW -
     windows: words, items, with at most reach + 1 words each. tokens: positions() of the documents.
     """
     windows = common.stage(windows.select(F.concat_ws(" ", "words").alias("wid"), "words", "items"), "windows")
-    at = postings(tokens, _asked(windows, tokens), reach, _asked_size())
+    at = postings(tokens, *_asked(windows, tokens), reach, _asked_size())
 
     def same(w: Column) -> Column:
         first = F.greatest(F.col("before") - w["offset"] + 1, F.lit(1))
@@ -128,7 +164,7 @@ def proximity_matches(docs: DataFrame, queries: DataFrame, within: int, text: st
     tokens = positions(_sources(docs, text, doc_id))
     asked = queries.select("query_id", F.array_distinct("words").alias("words")).where("size(words) > 0")
     asked = common.stage(asked.select(F.col("query_id").alias("wid"), "words", F.array("query_id").alias("items")), "queries")
-    at = postings(tokens, _asked(asked, tokens), within, _asked_size())
+    at = postings(tokens, *_asked(asked, tokens), within, _asked_size())
     fits = F.filter("asked", lambda q: F.size(F.array_except(q["words"], F.col("around"))) == 0)
     return at.select("doc_id", "pos", F.explode(fits).alias("q")).select("doc_id", F.col("q.items")[0].alias("query_id"), "pos")
 

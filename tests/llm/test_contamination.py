@@ -31,9 +31,38 @@ def brute(docs, items):
     return out
 
 
-@pytest.mark.parametrize("bound", [200_000, 0])
-def test_against_brute_force(spark, monkeypatch, bound):
-    monkeypatch.setattr(common, "BROADCAST_ROWS", bound)
+@pytest.fixture
+def far(spark, monkeypatch):
+    """The plan of a test side that is too large to broadcast, with several tasks and rows for the frequent terms."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    for name, value in (("HOT", 40), ("SHARE", 0.0), ("LIST", 3)):
+        monkeypatch.setattr(contamination, name, value)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_far_plan(spark, far):
+    """Neighbours are taken of what may be asked for only, behind the filter and before the exchange by term and salt."""
+    docs = spark.createDataFrame([(i, f"a b c d e f{i % 9} " * 9) for i in range(200)], "doc_id long, text string")
+    tokens = contamination.positions(contamination._sources(docs, "text", "doc_id"))
+    windows = contamination.item_windows(spark.createDataFrame([(i, f"a b f{i}") for i in range(6)], "item_id long, text string"))
+    windows = windows.select(contamination.F.concat_ws(" ", "words").alias("wid"), "words", "items")
+    asked, counts = contamination._asked(windows, tokens)
+    assert {r.term for r in asked.collect()} == {f"f{i}" for i in range(6)}
+    at = contamination.postings(tokens, asked, counts, 12, contamination._asked_size())
+    assert {r.salts for r in contamination._hot(counts).where("term = 'f1'").collect()} == {6}  # 23 x 9 occurrences
+    plan = at._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    taken = [i for i, line in enumerate(plan) if "slice(" in line]
+    assert taken and max(taken) < min(i for i, line in enumerate(plan) if "bits" in line)
+    assert at.count() == sum(9 for i in range(200) if i % 9 < 6)
+
+
+@pytest.mark.parametrize("plan", ["near", "far"])
+def test_against_brute_force(spark, request, plan):
+    if plan == "far":
+        request.getfixturevalue("far")
     rng = random.Random(3)
     vocabulary = ["the", "The", "É", "é", "a1", "x-y", "of", "ÉTÉ", "b"] + [f"w{i}" for i in range(30)]
     text = lambda n: rng.choice([" ", ", ", "\n"]).join(rng.choice(vocabulary) for _ in range(n))
@@ -58,7 +87,10 @@ def test_against_brute_force(spark, monkeypatch, bound):
     assert not any(r.contaminated for r in contamination.contamination(df, bench.limit(0)).collect())
 
 
-def test_proximity(spark):
+@pytest.mark.parametrize("plan", ["near", "far"])
+def test_proximity(spark, request, plan):
+    if plan == "far":
+        request.getfixturevalue("far")
     docs = spark.createDataFrame([(1, "a b c d rare f g h"), (2, "rare x x x x d"), (3, None)], "doc_id long, text string")
     q = spark.createDataFrame([(9, ["d", "rare", "f"]), (8, ["rare", "d"])], "query_id long, words array<string>")
     assert {(r.doc_id, r.query_id, r.pos) for r in contamination.proximity_matches(docs, q, 3).collect()} == {(1, 9, 5), (1, 8, 4)}  # f is the rarest word of 9
