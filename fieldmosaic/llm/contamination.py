@@ -1,13 +1,15 @@
 """Benchmark decontamination over a positional inverted index (operator 7), in DataFrame functions only.
 
-Texts are split into words once; the positions are written to the shared folder, and everything else reads them there.
-The index is of training tokens, for the terms that the test side asks for: each posting has the document, the
-position, and the 12 words to either side of it, so that the position lists of all other terms of a window,
-offset to the posting, can be intersected where the posting is. Each window is asked for under its rarest term,
-counted over all documents. The test side is broadcast only if it is counted to be small. Beyond that, a filter of
-2**MASK bits, which is broadcast at any size, leaves out postings of terms that aren't asked for before neighbours are
-taken, and the rest are dealt by term; a term of very many postings is dealt over as many tasks as its count asks for,
-and a term of very many windows has them in rows of some LIST each.
+Texts are split into words once, and the index is written to the shared folder: for each document its terms in order,
+and for each term the sorted list of its positions. A document's lists stay together, so making the index shuffles
+nothing. Terms are counted over all documents from the lengths of their lists. A window is asked for under its rarest
+term; the lists of its other terms, from the rarest on, are intersected with the rarest one's, each by its offset: a
+posting goes on only while the next list holds the position that the window asks for.
+
+The test side is broadcast only if it is counted to be small; the intersection then takes place where the index is read.
+Beyond that, a filter of 2**MASK bits, which is broadcast at any size, leaves out lists of terms that aren't asked for,
+the others are dealt by term, and what they may match goes back to the document's index; a term of very many lists is
+dealt over as many tasks as its count asks for.
 """
 
 from __future__ import annotations
@@ -20,13 +22,11 @@ from . import common
 WINDOW = 13
 #: Characters of test-side rows that may be broadcast.
 BROADCAST_CHARS = 20_000_000
-#: Where the test side is too large to broadcast: postings of a term that one task may have, or a share of all postings
-#: if that is more, so that at most 1 / SHARE terms have more.
+#: Where the test side is too large to broadcast: occurrences of a term that one task may have, or a share of all
+#: occurrences if that is more, so that at most 1 / SHARE terms have more.
 HOT, SHARE = 100_000, 1e-4
 #: The power of two of the filter's bits; as longs they are at most 2**18 rows.
 MASK = 24
-#: Windows of a term in a row of those asked for, about.
-LIST = 64
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -57,28 +57,51 @@ def _fits(df: DataFrame, size: Column | None = None) -> bool:
     return n <= common.BROADCAST_ROWS and chars <= BROADCAST_CHARS
 
 
-def positions(docs: DataFrame) -> DataFrame:
-    """doc_id, key and words (by position) of docs (doc_id, key, text), written once."""
-    return common.stage(docs.select("doc_id", "key", words_of(F.col("text")).alias("words")), "positions")
+def index(docs: DataFrame) -> DataFrame:
+    """doc_id, key, n_words, terms and lists of docs (doc_id, key, text), written once.
+
+    terms: the distinct words in order; lists: for each of them its positions, ascending. Pairs of word and position
+    are sorted, and cut where the word changes, which takes a document's length times its logarithm.
+    """
+    words = docs.select("doc_id", "key", words_of(F.col("text")).alias("words"))
+    pairs = F.sort_array(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))))
+    sorted_ = words.select("doc_id", "key", F.size("words").alias("n_words"), pairs.alias("pairs"))
+
+    def word(i: Column) -> Column:
+        return F.get("pairs", i)["word"]
+
+    every = F.when(F.col("n_words") > 0, F.sequence(F.lit(0), F.col("n_words") - 1)).otherwise(F.array().cast("array<int>"))
+    firsts = sorted_.select("*", F.filter(every, lambda i: (i == 0) | (word(i) != word(i - 1))).alias("firsts"))
+    stop = lambda k: F.coalesce(F.get("firsts", k + 1), F.col("n_words")) - 1
+    lists = F.transform("firsts", lambda i, k: F.transform(F.sequence(i, stop(k)), lambda j: F.get("pairs", j)["at"]))
+    return common.stage(firsts.select("doc_id", "key", "n_words", F.transform("firsts", word).alias("terms"), lists.alias("lists")), "index")
 
 
-def term_counts(tokens: DataFrame, terms: DataFrame) -> DataFrame:
-    """term and n, its occurrences in all documents (of positions()), for those of the terms that occur."""
-    flat = tokens.select(F.explode_outer("words").alias("term")).where("term is not null")
+def _each_list(found: DataFrame) -> DataFrame:
+    """index() with a row for each term: term, and slot, its place among the lists."""
+    # The outer form, as Spark would read the terms twice to leave out empty arrays first.
+    return found.select("*", F.posexplode_outer("terms").alias("slot", "term")).where("term is not null")
+
+
+def term_counts(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """term and n, its occurrences in all documents (of index()), for those of the terms that occur."""
+    flat = _each_list(found).select("term", F.size(F.get("lists", F.col("slot"))).cast("long").alias("n"))
     if _fits(terms, F.length("term")):
-        return flat.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
-    return flat.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
+        return flat.join(F.broadcast(terms), "term").groupBy("term").agg(F.sum("n").alias("n"))
+    return flat.groupBy("term").agg(F.sum("n").alias("n")).join(terms, "term")
 
 
 def rarest(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """windows whose words all occur, with term (the rarest; of ties the first in the window) and offset."""
+    """windows (wid, words, items) whose words all occur: wid, term, offset, rest, length, items.
+
+    term: the rarest word (of ties the first in the window), and its offset. rest: the others' offsets and terms, rarest first.
+    """
     flat = windows.select("wid", "words", "items", F.posexplode("words").alias("offset", "term"))
-    counted = flat.join(counts, "term", "left").groupBy("wid").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("offset"), F.col("term"))).alias("least"),
-        F.first("words").alias("words"),
-        F.first("items").alias("items"),
-    )
-    return counted.where("least.n > 0").select("wid", "words", "items", F.col("least.term").alias("term"), F.col("least.offset").alias("offset"))
+    each = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("offset"), F.col("term"))
+    ranked = flat.join(counts, "term", "left").groupBy("wid").agg(F.sort_array(F.collect_list(each)).alias("by"), F.first("items").alias("items"))
+    by = F.col("by")
+    rest = F.transform(F.slice("by", 2, F.size("by")), lambda x: F.struct(x["offset"].alias("offset"), x["term"].alias("term")))
+    return ranked.where(by[0]["n"] > 0).select("wid", by[0]["term"].alias("term"), by[0]["offset"].alias("offset"), rest.alias("rest"), F.size("by").alias("length"), "items")
 
 
 def _cell(term: Column) -> tuple[Column, Column]:
@@ -101,72 +124,70 @@ def _hot(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("n") > bound).select("term", F.ceil(F.col("n") / bound).cast("int").alias("salts"))
 
 
-def postings(tokens: DataFrame, asked: DataFrame, counts: DataFrame, reach: int, size: Column) -> DataFrame:
-    """Postings of the terms in asked, from positions(): doc_id, key, n_words, pos, term, around, before, and asked's other columns.
+def _list_of(term: Column) -> Column:
+    """The positions of a term in the row's document, null if it has none."""
+    return F.get("lists", (F.array_position("terms", term) - 1).cast("int"))
+
 
-    around has the words from reach before to reach after, `before` of them before the posting itself.
-    counts: term_counts(). size: the characters of a row of asked.
+def postings(found: DataFrame, asked: DataFrame, counts: DataFrame) -> DataFrame:
+    """Positions (pos) of the asked terms: doc_id, key, n_words, terms, lists, pos, and the columns of asked.
+
+    found: index(). asked: rarest(). counts: term_counts().
     """
-    # The outer form, as Spark would run the expression twice to leave out empty arrays first.
-    flat = tokens.select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "term")).where("term is not null")
-    start = F.greatest(F.col("pos") - reach, F.lit(0))
-    near = [F.size("words").alias("n_words"), F.slice("words", start + 1, F.col("pos") - start + reach + 1).alias("around"), (F.col("pos") - start).alias("before")]
-    mine, others = ["doc_id", "key", "pos", "term"], [c for c in asked.columns if c != "term"]
-    if _fits(asked, size):  # neighbours are taken behind the join, for few tokens
-        return flat.join(F.broadcast(asked), "term").select(*mine, *others, *near)
+    kept = ["doc_id", "key", "n_words", "terms", "lists"]
+    size = F.length(F.concat_ws(" ", "rest.term")) + F.length("term") + 20 * F.size("items")
+    if _fits(asked, size):
+        met = _each_list(found).join(F.broadcast(asked), "term").withColumn("at", F.get("lists", F.col("slot")))
+        return met.select(*kept, *asked.columns, F.explode("at").alias("pos"))
     hot, salts = F.broadcast(_hot(counts)), F.coalesce("salts", F.lit(1))  # 1 / SHARE rows at most
     salted = asked.join(hot, "term", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
-    found = _may_be_asked(flat, asked).join(hot, "term", "left")
-    dealt = found.select(*mine, *near, F.pmod(F.xxhash64("key", "pos"), salts).cast("int").alias("salt"))
-    return dealt.join(salted, ["term", "salt"]).drop("salt")
-
+    once = found.dropDuplicates(["doc_id", "key"]) if common.repeats(found, "doc_id", "key") else found
+    dealt = _may_be_asked(_each_list(once), asked).join(hot, "term", "left")
+    dealt = dealt.select(F.col("doc_id").alias("of_id"), F.col("key").alias("of_key"), "term", F.get("lists", F.col("slot")).alias("at"), F.pmod(F.xxhash64("key"), salts).cast("int").alias("salt"))
+    may = dealt.join(salted, ["term", "salt"]).drop("salt")
+    met = may.join(once, (F.col("of_key") == F.col("key")) & F.col("of_id").eqNullSafe(F.col("doc_id")))
+    return met.select(*kept, *asked.columns, F.explode("at").alias("pos"))
 
-def _asked(windows: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """term and asked (array of offset, words, items): the windows (wid, words, items) under their rarest terms.
 
-    A term of more than LIST windows has several rows. And term_counts() of all their words.
-    """
+def _asked(windows: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The windows (wid, words, items) under their rarest terms, and term_counts() of all their words."""
     terms = common.stage(windows.select(F.explode("words").alias("term")).distinct(), "terms")
-    counts = common.stage(term_counts(tokens, terms), "counts")
-    least = common.stage(rarest(windows, counts), "rarest")
-    rows = least.groupBy("term").agg(F.ceil(F.count("*") / LIST).alias("rows"))
-    listed = least.join(rows, "term").withColumn("row", F.pmod(F.xxhash64("wid"), "rows"))
-    asked = listed.groupBy("term", "row").agg(F.collect_list(F.struct("offset", "words", "items")).alias("asked"))
-    return common.stage(asked.drop("row"), "asked"), counts
-
-
-def _asked_size() -> Column:
-    return F.aggregate("asked", F.lit(0).cast("long"), lambda n, w: n + F.length(F.concat_ws(" ", w["words"])) + 20 * F.size(w["items"]))
+    counts = common.stage(term_counts(found, terms), "counts")
+    return common.stage(rarest(windows, counts), "asked"), counts
 
 
-def phrase_matches(tokens: DataFrame, windows: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
+def phrase_matches(found: DataFrame, windows: DataFrame) -> DataFrame:
     """doc_id, key, n_words, and found: array of (start, length, items) of the windows that a document holds.
 
-    windows: words, items, with at most reach + 1 words each. tokens: positions() of the documents.
+    windows: words, items, with at most WINDOW words each. found: index() of the documents.
     """
     windows = common.stage(windows.select(F.concat_ws(" ", "words").alias("wid"), "words", "items"), "windows")
-    at = postings(tokens, *_asked(windows, tokens), reach, _asked_size())
+    at = postings(found, *_asked(windows, found))
+    start = F.col("pos") - F.col("offset")
 
-    def same(w: Column) -> Column:
-        first = F.greatest(F.col("before") - w["offset"] + 1, F.lit(1))
-        return (F.col("before") >= w["offset"]) & (F.slice("around", first, F.size(w["words"])) == w["words"])
+    def holds(other: Column) -> Column:
+        """Whether the list of another word, shifted by its offset, holds the start."""
+        return F.coalesce(F.array_contains(_list_of(other["term"]), start + other["offset"]), F.lit(False))
 
-    found = F.transform(F.filter("asked", same), lambda w: F.struct((F.col("pos") - w["offset"]).alias("start"), F.size(w["words"]).alias("length"), w["items"].alias("items")))
-    # No filter on `found` here: pushed below, it would take whole documents along with every posting.
-    per_doc = at.select("doc_id", "key", "n_words", found.alias("found")).groupBy("doc_id", "key", "n_words")
-    return per_doc.agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found")).where("size(found) > 0")
+    # Code is generated for the rarest of the others, so that documents are copied only for the few postings that go on.
+    second = F.get("rest", F.lit(0))
+    at = at.where(second.isNull() | holds(second))
+    # Not a filter, which Spark would put into the one above; nulls aren't collected.
+    whole = F.when(F.forall(F.slice("rest", 2, WINDOW), holds), F.struct(start.alias("start"), "length", "items"))
+    held = at.select("doc_id", "key", "n_words", whole.alias("found")).groupBy("doc_id", "key", "n_words")
+    return held.agg(F.array_distinct(F.collect_list("found")).alias("found")).where("size(found) > 0")
 
 
 def proximity_matches(docs: DataFrame, queries: DataFrame, within: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, query_id, pos: where all words of a query (query_id, words) lie, in any order, at most `within`
     words from its rarest word, whose position pos is. Null texts hold no words; a query of no words has no match.
     """
-    tokens = positions(_sources(docs, text, doc_id))
+    found = index(_sources(docs, text, doc_id))
     asked = queries.select("query_id", F.array_distinct("words").alias("words")).where("size(words) > 0")
     asked = common.stage(asked.select(F.col("query_id").alias("wid"), "words", F.array("query_id").alias("items")), "queries")
-    at = postings(tokens, *_asked(asked, tokens), within, _asked_size())
-    fits = F.filter("asked", lambda q: F.size(F.array_except(q["words"], F.col("around"))) == 0)
-    return at.select("doc_id", "pos", F.explode(fits).alias("q")).select("doc_id", F.col("q.items")[0].alias("query_id"), "pos")
+    at = postings(found, *_asked(asked, found))
+    near = F.forall("rest", lambda r: F.coalesce(F.exists(_list_of(r["term"]), lambda q: F.abs(q - F.col("pos")) <= within), F.lit(False)))
+    return at.where(near).select("doc_id", F.col("items")[0].alias("query_id"), "pos")
 
 
 def _key(text: Column) -> Column:
@@ -179,9 +200,9 @@ def _sources(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _key(F.col("text")).alias("key"))
 
 
-def _hits(tokens: DataFrame, items: DataFrame, item_text: str, item_id: str) -> DataFrame:
+def _hits(found: DataFrame, items: DataFrame, item_text: str, item_id: str) -> DataFrame:
     """of_id, of_key, hit_words, n_hit, items of the documents that hold a window."""
-    per_doc = phrase_matches(tokens, item_windows(items, item_text, item_id))
+    per_doc = phrase_matches(found, item_windows(items, item_text, item_id))
     spans = F.array_sort(F.transform("found", lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["length"]).alias("stop"))))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("stop"))
     covered = F.aggregate(spans, zero, lambda a, x: F.struct((a["n"] + F.greatest(x["stop"] - F.greatest(x["start"], a["stop"]), F.lit(0))).alias("n"), F.greatest(a["stop"], x["stop"]).alias("stop")))
@@ -200,9 +221,9 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     twentieth. Null texts have no words and aren't contaminated; nor is anything if there are no items. Repeated
     rows have repeated results; items of the same text are all reported; null item ids are passed over.
     """
-    tokens = positions(_sources(docs, text, doc_id))
-    hits = _hits(tokens, items, item_text, item_id)
-    counted = tokens.select("doc_id", "key", F.size("words").cast("long").alias("n_words"))
+    found = index(_sources(docs, text, doc_id))
+    hits = _hits(found, items, item_text, item_id)
+    counted = found.select("doc_id", "key", F.col("n_words").cast("long").alias("n_words"))
     joined = counted.join(hits, counted["doc_id"].eqNullSafe(hits["of_id"]) & (counted["key"] == hits["of_key"]), "left")
     hit, names = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
     return joined.select("doc_id", "n_words", hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"), names.alias("items"), _contaminated(hit, F.col("n_words")).alias("contaminated"))
@@ -210,7 +231,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
 
 def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """docs without contaminated rows, by the rules of contamination(); all columns stay."""
-    bad = _hits(positions(_sources(docs, text, doc_id)), items, item_text, item_id).where(_contaminated(F.col("n_hit"), F.col("hit_words")))
+    bad = _hits(index(_sources(docs, text, doc_id)), items, item_text, item_id).where(_contaminated(F.col("n_hit"), F.col("hit_words")))
     bad = common.stage(bad.select(F.col("of_id").alias("__id"), F.col("of_key").alias("__of")), "contaminated")
     keyed = docs.withColumn("__key", _key(docs[f"`{text}`"]))
     return keyed.join(common.small(bad), F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__of")), "left_anti").drop("__key")

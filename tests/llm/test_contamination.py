@@ -35,7 +35,7 @@ def brute(docs, items):
 def far(spark, monkeypatch):
     """The plan of a test side that is too large to broadcast, with several tasks and rows for the frequent terms."""
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
-    for name, value in (("HOT", 40), ("SHARE", 0.0), ("LIST", 3)):
+    for name, value in (("HOT", 40), ("SHARE", 0.0)):
         monkeypatch.setattr(contamination, name, value)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -43,19 +43,38 @@ def far(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_index(spark):
+    """Every word's positions, ascending, under its term, once; no words, no lists."""
+    texts = ["b a b c a b", "", None, "É é a", "x " * 5000 + "y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in contamination.index(contamination._sources(docs, "text", "doc_id")).collect():
+        w = words(texts[r.doc_id])
+        assert r.n_words == len(w) and r.terms == sorted(set(w), key=str.encode)
+        assert r.lists == [[i for i, x in enumerate(w) if x == t] for t in r.terms]
+
+
+def test_near_plan(spark):
+    """Lists are intersected where the index is read: no exchange below the last condition, and no Python."""
+    docs = spark.createDataFrame([(i, f"a b c d e f{i % 9}") for i in range(50)], "doc_id long, text string")
+    found = contamination.index(contamination._sources(docs, "text", "doc_id"))
+    held = contamination.phrase_matches(found, contamination.item_windows(spark.createDataFrame([(1, "d e f3")], "item_id long, text string")))
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "Python" not in plan
+    assert {r.doc_id for r in held.collect()} == {i for i in range(50) if i % 9 == 3}
+
+
 def test_far_plan(spark, far):
-    """Neighbours are taken of what may be asked for only, behind the filter and before the exchange by term and salt."""
+    """Only lists of terms that may be asked for are dealt by term and salt."""
     docs = spark.createDataFrame([(i, f"a b c d e f{i % 9} " * 9) for i in range(200)], "doc_id long, text string")
-    tokens = contamination.positions(contamination._sources(docs, "text", "doc_id"))
+    found = contamination.index(contamination._sources(docs, "text", "doc_id"))
     windows = contamination.item_windows(spark.createDataFrame([(i, f"a b f{i}") for i in range(6)], "item_id long, text string"))
     windows = windows.select(contamination.F.concat_ws(" ", "words").alias("wid"), "words", "items")
-    asked, counts = contamination._asked(windows, tokens)
-    assert {r.term for r in asked.collect()} == {f"f{i}" for i in range(6)}
-    at = contamination.postings(tokens, asked, counts, 12, contamination._asked_size())
+    asked, counts = contamination._asked(windows, found)
+    assert {(r.term, r.offset, tuple(map(tuple, r.rest))) for r in asked.collect()} == {(f"f{i}", 2, ((0, "a"), (1, "b"))) for i in range(6)}
+    at = contamination.postings(found, asked, counts)
     assert {r.salts for r in contamination._hot(counts).where("term = 'f1'").collect()} == {6}  # 23 x 9 occurrences
     plan = at._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    taken = [i for i, line in enumerate(plan) if "slice(" in line]
-    assert taken and max(taken) < min(i for i, line in enumerate(plan) if "bits" in line)
+    assert any("bits" in line for line in plan)
     assert at.count() == sum(9 for i in range(200) if i % 9 < 6)
 
 
