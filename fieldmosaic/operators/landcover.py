@@ -33,17 +33,50 @@ def mode(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def lookback(points: DataFrame, scenes: DataFrame, keys: list[str], months: int = 3) -> DataFrame:
+#: Cells that are broadcast to leave out the scenes of others.
+_FEW_CELLS = 200_000
+
+
+def of_cells(scenes: DataFrame, points: DataFrame) -> DataFrame:
+    """The scenes of cells (cx, cy) that have points, as far as those are few enough to be sent to all tasks."""
+    cells = points.select("cx", "cy").distinct()
+    few = cells.limit(_FEW_CELLS + 1).collect()
+    if len(few) > _FEW_CELLS:
+        return scenes
+    return scenes.join(F.broadcast(points.sparkSession.createDataFrame(few, cells.schema)), ["cx", "cy"], "left_semi")
+
+
     """keys and label: the mode of each point's cell (cx, cy) over the scenes of the months before its date.
 
-    From `months` before the date up to, not including, the date. Points are copied to the calendar months that
-    they need and meet scenes by cell and month only.
+    From `months` before the date up to, not including, the date. Modes are taken once for each cell and date that points
+    have, however many those are: dates are copied to the calendar months that they need and meet scenes by cell and month
+    only. Points then look theirs up. Rows that are equal in keys are one point: if they differ in place or date, their
+    counts are added up.
     """
     start = F.add_months("date", -months)
-    wanted = points.select(*keys, "cx", "cy", "date", F.explode(F.sequence(F.trunc(start, "month"), F.trunc("date", "month"), F.expr("interval 1 month"))).alias("month"))
+    of = ["cx", "cy", "date"]
+    placed = points.groupBy(*keys).agg(F.count("*").alias("__rows"), F.min(F.struct(*of)).alias("__at"))
+    own = [c for c in of if c not in keys]
+    single = placed.where("__rows = 1").select(*keys, *[F.col("__at")[c].alias(c) for c in own])
+    copied = placed.where("__rows > 1").select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    several = points.select(*keys, *own).join(copied, same, "left_semi")
+    counts = _counts_before(points.select(*of).distinct(), of_cells(scenes, points), months)
+    first = F.min(F.struct((-F.col("n")).alias("m"), F.col("label"))).alias("best")
+    best = counts.groupBy(*of).agg(first)
+    one = single.join(best, of).select(*keys, F.col("best.label").alias("label"))
+    added = several.join(counts, of).groupBy(*keys, "label").agg(F.sum("n").alias("n"))
+    return one.unionByName(added.groupBy(*keys).agg(first).select(*keys, F.col("best.label").alias("label")))
+
+
+def _counts_before(wanted: DataFrame, scenes: DataFrame, months: int) -> DataFrame:
+    """cx, cy, date, label, n: how often each label came in the months before the date, for cells and dates once each."""
+    wanted = wanted.select("cx", "cy", "date", F.explode(F.sequence(F.trunc(start, "month"), F.trunc("date", "month"), F.expr("interval 1 month"))).alias("month"))
     daily = scenes.groupBy("cx", "cy", F.to_date("scene_ts").alias("day"), "label").agg(F.count("*").alias("n")).withColumn("month", F.trunc("day", "month"))
     met = wanted.join(daily, ["cx", "cy", "month"]).where((F.col("day") >= F.add_months("date", -months)) & (F.col("day") < F.col("date")))
-    counts = met.groupBy(*keys, "label").agg(F.sum("n").alias("n"))
-    return counts.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("m"), F.col("label"))).alias("best")).select(*keys, F.col("best.label").alias("label"))
+    return met.groupBy("cx", "cy", "date", "label").agg(F.sum("n").alias("n"))
 
 
 def running_counts(scenes: DataFrame) -> DataFrame:
@@ -64,11 +97,13 @@ def running_counts(scenes: DataFrame) -> DataFrame:
 def lookback_asof(points: DataFrame, counts: DataFrame, keys: list[str], months: int = 3) -> DataFrame:
     """What lookback() gives, from running_counts(): keys and label.
 
-    A point looks up how often each label of its cell came before its date, and before the start of its months; the
-    difference is what came between. Points are neither copied by month nor grouped again.
+    Each cell and date that points have looks up how often each label of its cell came before the date, and before the
+    start of its months; the difference is what came between. Points look up the result: they are neither copied by month
+    nor grouped again.
     """
     ends = counts.agg(F.min("month").alias("__first"), F.max("month").alias("__last"))
-    wanted = points.select(*keys, "cx", "cy", F.col("date").alias("__to"), F.add_months("date", -months).alias("__from")).join(F.broadcast(ends))
+    of = ["cx", "cy", "date"]
+    wanted = points.select(*of).distinct().select(*of, F.col("date").alias("__to"), F.add_months("date", -months).alias("__from")).join(F.broadcast(ends))
     label = F.sequence(F.lit(0), F.lit(max(CLASSES)))
 
     def until(df: DataFrame, day: str, name: str) -> DataFrame:
@@ -82,7 +117,8 @@ def lookback_asof(points: DataFrame, counts: DataFrame, keys: list[str], months:
     met = until(until(wanted, "__to", "__upto"), "__from", "__less")
     between = F.zip_with("__upto", "__less", lambda a, b: a - b)
     best = F.array_max("__n")
-    return met.withColumn("__n", between).where(best > 0).select(*keys, (F.array_position("__n", best) - 1).cast("int").alias("label"))
+    found = met.withColumn("__n", between).where(best > 0).select(*of, (F.array_position("__n", best) - 1).cast("int").alias("label"))
+    return points.select(*keys, *[c for c in of if c not in keys]).join(found, of).select(*keys, "label")
 
 
 def season(scenes: DataFrame, year: int, months: list[int], span: bool = False) -> DataFrame:

@@ -315,6 +315,24 @@ def test_asof_lookback_is_lookback(spark):
     assert landcover.lookback_asof(points, none, ["obs_id"]).count() == 0
 
 
+def test_lookback_takes_each_cell_and_date_once(spark, monkeypatch):
+    """However many points share a cell and date; rows of one key add up, and cells of no point aren't counted."""
+    scenes, points = _scenes(spark)
+    asked, counts = [], landcover._counts_before
+    monkeypatch.setattr(landcover, "_counts_before", lambda wanted, kept, months: asked.append((wanted, kept)) or counts(wanted, kept, months))
+    copies = points.crossJoin(spark.range(5).withColumnRenamed("id", "k"))
+    want = sorted(tuple(r) for r in landcover.lookback(points, scenes, ["obs_id"]).collect())
+    got = sorted(tuple(r) for r in landcover.lookback(copies, scenes, ["obs_id", "k"]).collect())
+    assert got == sorted((i, k, label) for i, label in want for k in range(5)) and len(want) > 50
+    assert asked[1][0].count() == points.select("cx", "cy", "date").distinct().count() < copies.count() // 4
+    few = points.where("cy = 3")
+    landcover.lookback(few, scenes, ["obs_id"])
+    assert asked[2][1].where("cy <> 3").count() == 0 < asked[2][1].count()
+    one = landcover.lookback(copies, scenes, ["k"]).collect()
+    assert len(one) == 5 and len({r.label for r in one}) == 1
+    assert sorted(tuple(r) for r in landcover.lookback_asof(copies, landcover.running_counts(scenes), ["obs_id", "k"]).collect()) == got
+
+
 def test_scene_store_reads_only_the_points_folders(spark, tmp_path):
     from fieldmosaic.sources import scenes as store
 
