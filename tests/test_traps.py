@@ -126,6 +126,46 @@ def test_cell_cover_is_all_edges(spark, monkeypatch, tmp_path, dense, size):
     assert spatial.points_in_polygons(df, es.limit(0), size, written).count() == 0
 
 
+def test_polygons_over_each_other_are_one_cover(spark, monkeypatch):
+    """A place's work for points in any polygon doesn't grow with the polygons over it; pairs aren't grouped."""
+    monkeypatch.setattr(spatial, "DENSE", 40)
+    monkeypatch.setattr(spatial, "LEVELS", 3)
+    rng = np.random.default_rng(3)
+    centres = [(k, *rng.uniform(-1, 1, 2), rng.uniform(0.8, 1.6)) for k in range(60)]
+    corners = [[(x + r, y), (x, y + r), (x - r, y), (x, y - r), (x + r, y)] for _, x, y, r in centres]
+    edges = spark.createDataFrame([(k, *map(float, (*a, *b))) for k, c in enumerate(corners) for a, b in zip(c, c[1:])], "poly_id long, x1 double, y1 double, x2 double, y2 double")
+    at = [(i, *map(float, p)) for i, p in enumerate(rng.uniform(-3, 3, (400, 2)))] + [(900, None, 1.0)]
+    points = spark.createDataFrame(at, "obs_id long, longitude double, latitude double")
+    pairs = {(i, k) for i, x, y in at if x is not None for k, a, b, r in centres if abs(x - a) + abs(y - b) <= r}
+    found = spatial.points_in_polygons(points, edges, 0.5, same)
+    assert {tuple(r) for r in found.collect()} == pairs
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.obs_id for r in spatial.points_in_any(points, edges, 0.5, same).collect()} == {i for i, _ in pairs}
+    index, levels = spatial.any_cover(edges, 0.5, same)
+    rows = index.groupBy("level", "gx", "gy").count().collect()
+    assert levels > 1 and all(r["count"] <= 40 for r in rows if r["level"] < 2)
+    assert index.where("x1 is null").count() == index.where("x1 is null").select("level", "gx", "gy").distinct().count() > 10
+
+
+def test_counts_in_boxes_make_no_pairs(spark, monkeypatch):
+    """Every box against every point, in plain loops; many points at one place, null ids, groups of few places."""
+    monkeypatch.setattr(spatial, "PLACES", 50)
+    rng = np.random.default_rng(8)
+    at = [(int(i), float(x), float(y)) for i, (x, y) in enumerate(rng.integers(-12, 12, (700, 2)) / 8)] + [(5000 + k, 0.5, 0.5) for k in range(200)] + [(None, 0.5, 0.5), (9000, None, 0.0)]
+    points = spark.createDataFrame(at, "obs_id long, longitude double, latitude double")
+    rows = [(k, 0, s, float(x), float(y)) for k in range(40) for s, (x, y) in enumerate(rng.integers(-12, 12, (4, 2)) / 8)] + [(99, 0, 0, 70.0, 70.0)]
+    vertices = spark.createDataFrame(rows, "poly_id long, ring_id int, seq int, x double, y double")
+    want = {}
+    for k in range(40):
+        x, y = [r[3] for r in rows if r[0] == k], [r[4] for r in rows if r[0] == k]
+        found = [i for i, a, b in at if a is not None and min(x) <= a <= max(x) and min(y) <= b <= max(y)]
+        if found:
+            known = [i for i in found if i is not None]
+            want[k] = (len(found), min(known), max(known))
+    got = spatial.counts_in_boxes(points, vertices, 0.0, same).collect()
+    assert {r.poly_id: (r.n, r.first_id, r.last_id) for r in got} == want and len(want) > 20
+
+
 def test_multipolygon_wkb(spark):
     import struct
 
@@ -401,6 +441,8 @@ def test_writers_and_background(spark, tmp_path):
     one = sampling.background_points(spark, square, spatial.edges_of(square), 300).collect()
     assert len(one) == 300 and all(r.longitude + r.latitude <= 1 for r in one)
     assert abs(sum(r.longitude for r in one) / 300 - 1 / 3) < 0.06 and abs(sum(r.latitude for r in one) / 300 - 1 / 3) < 0.06
+    ids = spark.createDataFrame([(3 * k,) for k in range(100)], "obs_id long")
+    assert [sampling._nth(ids, n, 7) for n in (1, 57, 100, 101)] == [0, 168, 297, None]
     dated = sampling.with_random_date(spark.range(2000)).agg({"obs_date": "max", "rand": "avg"}).first()
     assert dated["max(obs_date)"] <= "2024-12-30" and math.isclose(dated["avg(rand)"], 0.5, abs_tol=0.05)
 
