@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import spatial
 from .ranges import running
-from .spatial import bounding_box, points_in_any
+from .spatial import any_index, bounding_box, in_any, points_in_any
 
 
 #: Ids below it give unlike draws.
@@ -28,28 +28,42 @@ def with_random_date(df: DataFrame, key: str = "id", seed: int = 123, first: str
     return drawn.withColumn("obs_date", F.date_format(F.date_add(F.lit(first).cast("date"), F.floor(F.col("rand") * days).cast("int")), "yyyy-MM-dd"))
 
 
-def background_points(spark: SparkSession, vertices: DataFrame, edges: DataFrame, n: int, seed: int = 42) -> DataFrame:
+def background_points(spark: SparkSession, vertices: DataFrame, edges: DataFrame, n: int, seed: int = 42, stage: Callable[[DataFrame], DataFrame] | None = None, band: float = 0.25) -> DataFrame:
     """id, longitude, latitude: the first n of a sequence of uniform points in the bounding box that are in a polygon.
 
     Candidates are drawn in growing numbers until there are enough, in the order of id. ValueError if the polygons take
-    up so little of the box that a thousand candidates for each point, or the ids that the draws allow, don't do.
+    up so little of the box that a thousand candidates for each point, or the ids that the draws allow, don't do. stage:
+    writes a frame and reads it again; without it, candidates are tested as often as they are used.
     """
     box = bounding_box(vertices).first()
     if box.x_min is None or n > _MOST_IDS // 2:
         raise ValueError("no polygons to draw points in" if box.x_min is None else f"at most {_MOST_IDS // 2} points")
+    index, levels = any_index(edges, band, stage)
     tried = 2 * n
     while tried <= min(2000 * n, _MOST_IDS):
         ids = spark.range(tried)
         # Two draws from unlike multiples of the id, as one sequence would lie on few lines.
         x, y = uniform(F.col("id") * 7 + 1, seed), uniform(F.pmod(F.col("id") * F.col("id") * 31 + F.col("id") * 13 + 5, F.lit(3_000_000_000)), seed + 1)
         drawn = ids.select(F.col("id").alias("obs_id"), (box.x_min + x * (box.x_max - box.x_min)).alias("longitude"), (box.y_min + y * (box.y_max - box.y_min)).alias("latitude"))
-        found = points_in_any(drawn, edges)
-        if found.limit(n).count() >= n:
-            return found.orderBy("obs_id").limit(n).withColumnRenamed("obs_id", "id")
+        found = in_any(drawn, index, levels, band)
+        found = stage(found) if stage else found
+        last = _nth(found, n)
+        if last is not None:
+            return found.where(F.col("obs_id") <= last).withColumnRenamed("obs_id", "id")
         tried *= 4
     raise ValueError(f"fewer than {n} of {tried // 4} points are in a polygon")
 
 
+def _nth(df: DataFrame, n: int, block: int = 65_536) -> int | None:
+    """The n-th smallest obs_id, if there are so many; all are different and not below 0. Counts of blocks of ids come first."""
+    for r in sorted(df.groupBy(F.floor(F.col("obs_id") / block).alias("b")).count().collect()):
+        if n <= r["count"]:
+            own = df.where((F.col("obs_id") >= r["b"] * block) & (F.col("obs_id") < (r["b"] + 1) * block))
+            return sorted(x[0] for x in own.select("obs_id").collect())[n - 1]
+        n -= r["count"]
+    return None
+
+
 #: The share of draws that should be in a polygon at least, and cells that a cover of thin polygons may have for it.
 _HIT, _MOST_CELLS = 0.005, 4_000_000
 
