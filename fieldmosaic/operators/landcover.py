@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,6 @@ def mode(df: DataFrame, keys: list[str]) -> DataFrame:
     return counts.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("m"), F.col("label"))).alias("best")).select(*keys, F.col("best.label").alias("label"))
 
 
-def lookback(points: DataFrame, scenes: DataFrame, keys: list[str], months: int = 3) -> DataFrame:
 #: Cells that are broadcast to leave out the scenes of others.
 _FEW_CELLS = 200_000
 
@@ -46,6 +46,7 @@ def of_cells(scenes: DataFrame, points: DataFrame) -> DataFrame:
     return scenes.join(F.broadcast(points.sparkSession.createDataFrame(few, cells.schema)), ["cx", "cy"], "left_semi")
 
 
+def lookback(points: DataFrame, scenes: DataFrame, keys: list[str], months: int = 3) -> DataFrame:
     """keys and label: the mode of each point's cell (cx, cy) over the scenes of the months before its date.
 
     From `months` before the date up to, not including, the date. Modes are taken once for each cell and date that points
@@ -53,7 +54,6 @@ def of_cells(scenes: DataFrame, points: DataFrame) -> DataFrame:
     only. Points then look theirs up. Rows that are equal in keys are one point: if they differ in place or date, their
     counts are added up.
     """
-    start = F.add_months("date", -months)
     of = ["cx", "cy", "date"]
     placed = points.groupBy(*keys).agg(F.count("*").alias("__rows"), F.min(F.struct(*of)).alias("__at"))
     own = [c for c in of if c not in keys]
@@ -73,6 +73,7 @@ def of_cells(scenes: DataFrame, points: DataFrame) -> DataFrame:
 
 def _counts_before(wanted: DataFrame, scenes: DataFrame, months: int) -> DataFrame:
     """cx, cy, date, label, n: how often each label came in the months before the date, for cells and dates once each."""
+    start = F.add_months("date", -months)
     wanted = wanted.select("cx", "cy", "date", F.explode(F.sequence(F.trunc(start, "month"), F.trunc("date", "month"), F.expr("interval 1 month"))).alias("month"))
     daily = scenes.groupBy("cx", "cy", F.to_date("scene_ts").alias("day"), "label").agg(F.count("*").alias("n")).withColumn("month", F.trunc("day", "month"))
     met = wanted.join(daily, ["cx", "cy", "month"]).where((F.col("day") >= F.add_months("date", -months)) & (F.col("day") < F.col("date")))
@@ -101,8 +102,8 @@ def lookback_asof(points: DataFrame, counts: DataFrame, keys: list[str], months:
     start of its months; the difference is what came between. Points look up the result: they are neither copied by month
     nor grouped again.
     """
-    ends = counts.agg(F.min("month").alias("__first"), F.max("month").alias("__last"))
     of = ["cx", "cy", "date"]
+    ends = counts.agg(F.min("month").alias("__first"), F.max("month").alias("__last"))
     wanted = points.select(*of).distinct().select(*of, F.col("date").alias("__to"), F.add_months("date", -months).alias("__from")).join(F.broadcast(ends))
     label = F.sequence(F.lit(0), F.lit(max(CLASSES)))
 
@@ -301,9 +302,9 @@ def point_features(points: DataFrame, scenes: DataFrame, radii: tuple[int, ...]
 
     The composite of a point's date is each cell's most frequent label (of ties the lowest) in the months before it.
     Points whose own cell has no scene in those months are left out. Scenes are counted by cell, day and label, and go
-    with the points to groups of a tile and a quarter of a year; a group walks through its dates in order, adding and
-    removing days, so its size depends on the tile and not on the number of points, which are taken once for each cell
-    and date.
+    with the points to groups of a tile and a quarter of a year, a row for each day; a group walks through its dates in
+    order, adding and removing days, so its size depends on the tile and not on the number of points, which are taken once
+    for each cell and date, nor on that of scenes: eight bytes for each cell, day and label.
     """
     reach, names = max(radii) + RIM, feature_names(radii)
     quarter = lambda c: F.year(c) * 4 + F.quarter(c)
@@ -311,40 +312,66 @@ def point_features(points: DataFrame, scenes: DataFrame, radii: tuple[int, ...]
     epoch = F.lit("1970-01-01").cast("date")
     wanted = points.where("date is not null").select("cx", "cy", "date").distinct()
     wanted = wanted.select("*", tile("cx").alias("tx"), tile("cy").alias("ty"), quarter("date").alias("q"), F.datediff("date", epoch).alias("day"), F.datediff(F.add_months("date", -months), epoch).alias("since"))
-    daily = scenes.groupBy("cx", "cy", F.to_date("scene_ts").alias("d"), "label").agg(F.count("*").alias("n"))
+    daily = scenes.where("label is not null").groupBy("cx", "cy", F.to_date("scene_ts").alias("d"), "label").agg(F.count("*").alias("n"))
     # A day may count for dates up to so many months later; a month more than that covers short months.
     near = F.explode(F.sequence(quarter("d"), quarter(F.add_months("d", months + 1)))).alias("q")
     daily = _tiled(daily.select("cx", "cy", F.datediff("d", epoch).alias("day"), "label", "n", near), reach)
     daily = daily.join(wanted.select("tx", "ty", "q").distinct(), ["tx", "ty", "q"], "left_semi")
+    # A day of a tile is one row: places within the tile and its surroundings, with the label as the last digit, and counts.
+    side = TILE + 2 * reach
+    at = (((F.col("cy") - F.col("ty") * TILE + reach) * side + (F.col("cx") - F.col("tx") * TILE + reach)) * 9 + F.col("label")).cast("int")
+    days = daily.groupBy("tx", "ty", "q", "day").agg(F.collect_list(F.struct(at.alias("at"), F.col("n").cast("int").alias("n"))).alias("c"))
+    days = days.select("tx", "ty", "q", "day", F.col("c.at").alias("at"), F.col("c.n").alias("n"))
 
-    def run(key, asked, days):
+    def run(key, asked: pa.Table, days: pa.Table) -> pa.Table:
+        tx, ty = (k.as_py() for k in key[:2])
+        px, py, now, since = (asked.column(c).to_numpy() for c in ("cx", "cy", "day", "since"))
         # Of the tile and its surroundings, what the points' disks reach.
-        x0, y0 = asked["cx"].min() - reach, asked["cy"].min() - reach
-        wide, high = asked["cx"].max() + reach + 1 - x0, asked["cy"].max() + reach + 1 - y0
-        days = days[days["cx"].between(x0, x0 + wide - 1) & days["cy"].between(y0, y0 + high - 1)].sort_values("day", kind="stable")
-        at = ((days["cy"].to_numpy() - y0) * wide + days["cx"].to_numpy() - x0) * 9 + days["label"].to_numpy()
-        day, n = days["day"].to_numpy(), days["n"].to_numpy()
-        counts, first, last, out = np.zeros(high * wide * 9, np.int64), 0, 0, []
-        for (now, since), rows in asked.groupby(["day", "since"], sort=True):
-            upto, start = np.searchsorted(day, now), np.searchsorted(day, since)
+        x0, y0 = px.min() - reach, py.min() - reach
+        wide, high = px.max() + reach + 1 - x0, py.max() + reach + 1 - y0
+        days = days.sort_by("day")
+        day = days.column("day").to_numpy()
+        at, n = (days.column(c).combine_chunks() for c in ("at", "n"))
+        counts, first, last = np.zeros(high * wide * 9, np.int64), 0, 0
+        taken, columns = [], {c: [] for c in names}
+
+        def put(a: int, b: int, sign: int) -> None:
+            """Adds or takes away the counts of the days a to b."""
+            for k in range(a, b):
+                place, much = at[k].values.to_numpy().astype(np.int64), n[k].values.to_numpy()
+                place, label = np.divmod(place, 9)
+                y, x = np.divmod(place, side)
+                y, x = y + ty * TILE - reach - y0, x + tx * TILE - reach - x0
+                inside = (x >= 0) & (x < wide) & (y >= 0) & (y < high)
+                counts[((y * wide + x) * 9 + label)[inside]] += sign * much[inside]  # a place and label is there once a day
+
+        order = np.lexsort((since, now))
+        new = np.concatenate([[True], (now[order][1:] != now[order][:-1]) | (since[order][1:] != since[order][:-1])])
+        for rows in np.split(order, np.flatnonzero(new)[1:]):
+            upto, start = np.searchsorted(day, now[rows[0]]), np.searchsorted(day, since[rows[0]])
             if start >= last:  # nothing of what is counted counts any more
-                counts[at[first:last]] = 0
+                counts[:] = 0
                 first = last = start
-            np.add.at(counts, at[last:upto], n[last:upto])
-            np.subtract.at(counts, at[first:start], n[first:start])
+            put(last, upto, 1)
+            put(first, start, -1)
             first, last = start, upto
             grid = counts.reshape(high, wide, 9)
             label = np.where(grid.any(2), grid.argmax(2), -1)
-            px, py = rows["cx"].to_numpy(), rows["cy"].to_numpy()
-            ax, ay = px - x0, py - y0
+            ax, ay = px[rows] - x0, py[rows] - y0
             known = label[ay, ax] >= 0
             if known.any():
-                columns = {"date": rows["date"].to_numpy()[known], "cx": px[known], "cy": py[known]}
-                out.append(pd.DataFrame(columns | dict(zip(names, _features(_layers(label), radii, ay[known], ax[known])))))
-        return pd.concat(out) if out else pd.DataFrame(columns=["date", "cx", "cy", *names])
+                taken.append(rows[known])
+                for c, v in zip(names, _features(_layers(label), radii, ay[known], ax[known])):
+                    columns[c].append(v)
+        rows = np.concatenate(taken) if taken else np.zeros(0, np.int64)
+        out = asked.select(["date", "cx", "cy"]).take(pa.array(rows))
+        for c, v in columns.items():
+            kind = pa.int64() if c.startswith("forest_edge") else pa.float64()
+            out = out.append_column(c, pa.array(np.concatenate(v) if v else np.zeros(0), kind))
+        return out
 
     by = ["tx", "ty", "q"]
-    found = wanted.groupBy(*by).cogroup(daily.groupBy(*by)).applyInPandas(run, _schema(["date"], dict(wanted.dtypes), radii))
+    found = wanted.groupBy(*by).cogroup(days.groupBy(*by)).applyInArrow(run, _schema(["date"], dict(wanted.dtypes), radii))
     return points.select("obs_id", "date", "cx", "cy").join(found, ["date", "cx", "cy"]).drop("date", "cx", "cy")
 
 
