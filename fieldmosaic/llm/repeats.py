@@ -43,6 +43,8 @@ FINE, PART_BYTES = 8, 64_000_000
 #: One document in so many is looked at for seeds that fill a bucket, and their spans there at least.
 LOOK, FEW = 16, 16
 CHUNK = 6_000_000
+#: Entries of results that a task gathers over its buckets before it passes them on.
+HELD = 2_000_000
 _DEALT = "part int, kind int, data binary"
 _DONE, _OPEN, _SPANS, _STRINGS = 1, 2, 3, 4
 
@@ -131,6 +133,30 @@ def _gather(blobs: list[bytes], *types: str) -> tuple[np.ndarray, np.ndarray, li
     return np.concatenate(docs), np.concatenate(of), [np.concatenate(a) for a in zip(*rest)]
 
 
+class _Held:
+    """Results of one bucket after another, passed on as one block for each document's part, so that their number depends
+    on the tasks and not on the buckets."""
+
+    def __init__(self, kind: int, parts: int, *types: str) -> None:
+        self.kind, self.parts, self.types = kind, parts, types
+        self.found, self.n = [], 0
+
+    def add(self, docs: np.ndarray, of: np.ndarray, *arrays: np.ndarray) -> None:
+        used, local = np.unique(of, return_inverse=True)
+        self.found.append((docs[used], local, [a.astype(t) for a, t in zip(arrays, self.types)]))
+        self.n += len(of)
+
+    def rows(self, least: int = 1) -> Iterator[pa.RecordBatch]:
+        """What is held as rows, if there are so many entries."""
+        if self.n < least:
+            return
+        docs, of, arrays = zip(*self.found)
+        before = np.cumsum([0, *map(len, docs[:-1])])
+        docs, of = np.concatenate(docs), np.concatenate([o + b for o, b in zip(of, before)])
+        self.found, self.n = [], 0
+        yield _batch(list(_blocks(_home(docs, self.parts)[of], self.kind, docs, of, [np.concatenate(a) for a in zip(*arrays)])))
+
+
 def _home(docs: np.ndarray, parts: int) -> np.ndarray:
     """The part that a document's intervals go to."""
     return (_mix(docs[:, 0].view(np.uint64) ^ _mix(docs[:, 1].view(np.uint64))) % np.uint64(parts)).astype(np.int64)
@@ -171,13 +197,13 @@ def _string_blocks(docs: np.ndarray, of: np.ndarray, at: np.ndarray, two: np.nda
     return rows + list(_blocks((two[:, 0] % np.uint64(parts)).astype(np.int64) * FINE, _STRINGS, docs, of, [at, two[:, 0].copy(), two[:, 1].copy()]))
 
 
-def _done_strings(blobs: list[bytes], parts: int) -> list[tuple[int, int, bytes]]:
+def _done_strings(blobs: list[bytes], repeats: _Held) -> None:
     docs, of, (at, a, b) = _gather(blobs, "i4", "u8", "u8")
     order = np.lexsort((at, docs[of, 1], docs[of, 0], b, a))
     of, at, a, b = of[order], at[order], a[order], b[order]
     same = np.concatenate([[False], (a[1:] == a[:-1]) & (b[1:] == b[:-1])])
     done = _later(same, docs, of, at)
-    return list(_blocks(_home(docs, parts)[of[done]], _DONE, docs, of[done], [at[done], at[done] + np.int32(LENGTH)]))
+    repeats.add(docs, of[done], at[done], at[done] + np.int32(LENGTH))
 
 
 def hot_seeds(rows: DataFrame, parts: int) -> np.ndarray:
@@ -238,29 +264,32 @@ def _first_spans(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {0: [], _STRINGS: []}
+        repeats, opened = _Held(_DONE, parts, "i4", "i4"), _Held(_OPEN, parts, "i4", "u1", "u1")
 
-        def out() -> Iterator[pa.RecordBatch]:
+        def out() -> None:
             if held[0]:
-                yield from bucket(held[0])
+                bucket(held[0], repeats, opened)
             if held[_STRINGS]:
-                yield _batch(_done_strings(held[_STRINGS], parts))
+                _done_strings(held[_STRINGS], repeats)
             held.update({0: [], _STRINGS: []})
 
         for batch in batches:
-            passed = []
             for part, kind, data in zip(*(batch.column(c).to_pylist() for c in ("part", "kind", "data"))):
                 if kind == _DONE:
-                    passed.append((part, kind, data))
+                    docs, of, arrays = _gather([data], "i4", "i4")
+                    repeats.add(docs, of, *arrays)
                     continue
                 if part != now:
-                    yield from out()
+                    out()
                 now = part
                 held[kind].append(data)
-            if passed:
-                yield _batch(passed)
-        yield from out()
+            for found in (repeats, opened):
+                yield from found.rows(HELD)
+        out()
+        for found in (repeats, opened):
+            yield from found.rows()
 
-    def bucket(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def bucket(blobs: list[bytes], repeats: _Held, opened: _Held) -> None:
         docs, of, (seed, span, at, high, low) = _gather(blobs, "u8", "u8", "i4", "u1", "u1")
         order = np.argsort(seed)
         sorted_seed = seed[order]
@@ -276,13 +305,12 @@ def _first_spans(parts: int):
         at, high, low = at.astype(np.int32), high.astype(np.int32), low.astype(np.int32)
         same = np.concatenate([[False], (seed[1:] == seed[:-1]) & (span[1:] == span[:-1])])
         done = _later(same, docs, of, at)
-        home = _home(docs, parts)
-        yield _batch(list(_blocks(home[of[done]], _DONE, docs, of[done], [(at - high)[done], (at - low)[done] + np.int32(LENGTH)])))
+        repeats.add(docs, of[done], (at - high)[done], (at - low)[done] + np.int32(LENGTH))
         f = np.flatnonzero(~same)
         number = np.cumsum(np.concatenate([[True], seed[f][1:] != seed[f][:-1]])) - 1
         spans = np.bincount(number)[number]
         f = f[spans > 1]
-        yield _batch(list(_blocks(home[of[f]], _OPEN, docs, of[f], [at[f], high[f].astype(np.uint8), low[f].astype(np.uint8)])))
+        opened.add(docs, of[f], at[f], high[f], low[f])
 
     return run
 
@@ -392,7 +420,7 @@ def later_strings(wide: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.nda
 def _sorted_buckets(parts: int):
     """Step 2, reducing, one bucket after another."""
 
-    def of_spans(blobs: list[bytes]) -> list[tuple[int, int, bytes]]:
+    def of_spans(blobs: list[bytes], repeats: _Held) -> None:
         docs, of, (at, high, low, fixed) = _gather(blobs, "i4", "u1", "u1", f"V{REACH + LENGTH}")
         order = _in_order(docs, of, at)
         mine, place = docs[of[order]], at[order]
@@ -403,19 +431,21 @@ def _sorted_buckets(parts: int):
         edge = np.diff(np.pad(again, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, begin = np.nonzero(edge == 1)
         stop = np.nonzero(edge == -1)[1] - 1  # offsets begin..stop repeat: starts at - stop .. at - begin
-        return list(_blocks(_home(docs, parts)[of[row]], _DONE, docs, of[row], [(at[row] - stop).astype(np.int32), (at[row] - begin + LENGTH).astype(np.int32)]))
+        repeats.add(docs, of[row], at[row] - stop, at[row] - begin + LENGTH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, repeats = None, [], _Held(_DONE, parts, "i4", "i4")
         for batch in batches:
             for part, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
                 if part != now and held:
-                    yield _batch(of_spans(held))
+                    of_spans(held, repeats)
                     held = []
                 now = part
                 held.append(data)
+            yield from repeats.rows(HELD)
         if held:
-            yield _batch(of_spans(held))
+            of_spans(held, repeats)
+        yield from repeats.rows()
 
     return run
 

@@ -77,3 +77,20 @@ def test_sorted_ranks():
     for i in range(1, 300):
         k = int(common[i])
         assert rows[i][:k] == rows[i - 1][:k] and (k == 20 or rows[i][k] != rows[i - 1][k])
+
+
+def test_results_of_a_task_are_few_rows():
+    """One block for each document's part, not one for each part and bucket."""
+    import numpy as np
+    import pyarrow as pa
+
+    from fieldmosaic.llm import repeats
+
+    parts, rng = 40, np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    passages = [word(400) for _ in range(20)]
+    texts = [word(50) + passages[k % 20] + word(50) for k in range(200)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(200)), "key": list(range(200)), "text": texts})
+    mapped = pa.Table.from_batches(repeats._cover(parts, np.zeros(0, np.uint64))(iter([batch]))).sort_by("part")
+    rows = sum(b.num_rows for b in repeats._first_spans(parts)(iter(mapped.to_batches())))
+    assert 0 < rows <= 2 * parts
