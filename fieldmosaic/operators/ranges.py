@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Sums of ranges that are broadcast; more are joined by a shuffle.
+BROADCAST_SUMS = 100_000
+
 
 def place(df: DataFrame, order: str) -> Column:
     """Which range of the numeric column a row is in, from 0 on; nulls are in the first.
@@ -41,6 +44,10 @@ def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column],
     before = Window.partitionBy(*keys).orderBy(F.col("__part").desc() if descending else F.col("__part").asc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     shift = parts.select(*[F.col(k).alias(f"__of_{k}") for k in keys], F.col("__part").alias("__of"), *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__sum_{n}") for n in sums], *[F.sum(f"__all_{n}").over(whole).alias(n) for n in totals])
+    # The shuffle by key and range is that of the windows only: few sums go to the rows where they are.
+    few = shift.limit(BROADCAST_SUMS + 1).collect()
+    if len(few) <= BROADCAST_SUMS:
+        shift = F.broadcast(df.sparkSession.createDataFrame(few, shift.schema))
     on = F.col("__part") == F.col("__of")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__of_{k}"))

@@ -185,7 +185,7 @@ def fit_variants(rows: DataFrame, keys: list[str], features: list[str], stage: C
                         found.append((k, h, float(a), int(group.n[k, v]), group.beta[k, v].tolist(), "fail" if error else "ok", error))
         models = rows.sparkSession.createDataFrame(found, schema)
         named = ids.where(F.col("__chunk") == c).join(F.broadcast(models), "__key").select(*keys, "held", "alpha", "n", "beta", "status", "error")
-        named = stage(named) if chunks > 1 else named
+        named = stage(named)  # a join's size would be guessed as a product, too large to be broadcast
         out = named if out is None else out.unionByName(named)
     return out
 
@@ -201,14 +201,23 @@ def score(rows: DataFrame, models: DataFrame, keys: list[str], features: list[st
     return _with_models(rows, table, keys, "left").withColumn("score", F.when(~_bad(features), F.exp(_eta(features)))).drop("beta")
 
 
-def gradient(rows: DataFrame, models: DataFrame, keys: list[str], features: list[str], target: str = "target") -> DataFrame:
-    """keys, term, gradient of the penalised objective at each model's coefficients: zero at its optimum, and only there."""
+def gradient(rows: DataFrame, models: DataFrame, keys: list[str], features: list[str], target: str = "target", fold: str | None = None) -> DataFrame:
+    """keys, n, term, gradient of the penalised objective at each model's coefficients: zero at its optimum, and only there.
+
+    fold: for models of fit_variants(), one result for each held and alpha beside the keys, over the rows that such a model
+    trains on. Only numbers are summed up, so tasks combine their own rows in memory; coefficients are joined to the sums.
+    """
     x = {"intercept": F.lit(1.0), **{f: F.col(f) for f in features}}
-    table = models.where("status = 'ok'").select(*keys, "beta", F.col("alpha").alias("penalty"))
-    met = _with_models(rows, table, keys).withColumn("mu", F.exp(_eta(features)))
-    sums = met.groupBy(*keys).agg(F.first("beta").alias("beta"), F.first("penalty").alias("penalty"), *[F.avg((F.col("mu") - F.col(target)) * v).alias(f"__{t}") for t, v in x.items()])
+    by = [*keys, "held", "alpha"] if fold else keys
+    table = models.where("status = 'ok'").select(*by, "n", "beta", F.col("alpha").alias("penalty"))
+    met = _with_models(rows.select(*keys, *features, target, *([fold] if fold else [])), table.select(*by, "beta"), keys)
+    if fold:
+        met = met.where(F.col("held").isNull() | ~F.col(fold).eqNullSafe(F.col("held")))
+    off = F.exp(_eta(features)) - F.col(target)
+    sums = met.groupBy(*by).agg(*[F.avg(off * v).alias(f"__{t}") for t, v in x.items()])
+    found = _with_models(sums, table, by)
     pulled = [F.struct(F.lit(t).alias("term"), (F.col(f"__{t}") + (F.col("penalty") * F.col("beta")[k] if k else 0.0)).alias("gradient")) for k, t in enumerate(x)]
-    return sums.select(*keys, F.explode(F.array(*pulled)).alias("g")).select(*keys, "g.*")
+    return found.select(*by, "n", F.explode(F.array(*pulled)).alias("g")).select(*by, "n", "g.*")
 
 
 def cross_validate(rows: DataFrame, keys: list[str], features: list[str], alphas: list[float], stage: Callable[[DataFrame], DataFrame], folds: int = 5) -> DataFrame:

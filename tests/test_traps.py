@@ -287,6 +287,24 @@ def test_ranges_of_a_hot_key(spark):
         assert all(got[r[2]] == (i, len(own)) for i, r in enumerate(own, 1))
 
 
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_rows_are_shuffled_once_for_running_sums(spark, monkeypatch, few):
+    """Few sums of ranges go to the rows; with many, the join has the same results."""
+    from fieldmosaic.operators import ranges
+
+    monkeypatch.setattr(ranges, "BROADCAST_SUMS", few)
+    rows = [("a" if k % 10 else None, k % 2, float(k % 50), k) for k in range(400)]
+    df = spark.createDataFrame(rows, "g string, label int, v double, id long").repartition(3)
+    found = ranges.running(df, ["g", "label"], "v", {"upto": F.lit(1)}, ties=["id"], totals={"n": F.lit(1)})
+    got = {r.id: (r.upto, r.n) for r in found.collect()}
+    for g, label in {r[:2] for r in rows}:
+        own = sorted((r for r in rows if r[:2] == (g, label)), key=lambda r: r[2:])
+        assert all(got[r[3]] == (i, len(own)) for i, r in enumerate(own, 1))
+    if few:
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def test_mode_ties_and_month_ends(spark):
     points = spark.sql("select 1 as obs_id, 0 as cx, 0 as cy, date'2020-05-31' as date")
     scenes = spark.createDataFrame([(0, 0, f"2020-0{m}", k) for m, k in (("2-28 12:00:00", 7), ("2-29 00:00:00", 4), ("5-30 23:00:00", 2), ("5-31 00:00:00", 8))], "cx int, cy int, s string, label int").selectExpr("cx", "cy", "to_timestamp_ntz(s) as scene_ts", "label")
@@ -575,6 +593,29 @@ def test_variants_are_separate_fits(spark, monkeypatch):
     assert all(r.species == "a" for r in gone) and {r.fold for r in gone} == {0, 1, 2}
 
 
+def test_slopes_of_variants(spark):
+    """Each model's slope is that over its own training rows, null keys and folds included, and no row is sorted for it."""
+    rows = _presences(120, 5)
+    rows[7] = (*rows[7][:7], None)  # trains everywhere
+    df = spark.createDataFrame(rows, _PRESENCES)
+    fitted = models.fit_variants(df, ["species"], ["f1", "f2"], same, [(None, 0.01), (0, 0.01), (0, 1.0), (3, 1.0)], fold="fold", rounds=2)
+    moved = fitted.withColumn("status", F.lit("ok"))  # not at the optimum, so that slopes aren't zero
+    slopes = models.gradient(df, moved, ["species"], ["f1", "f2"], fold="fold")
+    got = {(r.species, r.held, r.alpha, r.term): (r.n, r.gradient) for r in slopes.collect()}
+    assert len(got) == 3 * 4 * 3
+    for m in moved.collect():
+        own = [r for r in rows if r[1] == m.species and (m.held is None or r[7] != m.held)]
+        x, y = np.array([(1, *r[2:4]) for r in own]), np.array([r[6] for r in own])
+        want = x.T @ (np.exp(x @ m.beta) - y) / len(own) + m.alpha * np.array([0, *m.beta[1:]])
+        for term, slope in zip(["intercept", "f1", "f2"], want):
+            n, found = got[m.species, m.held, m.alpha, term]
+            assert n == len(own) and math.isclose(found, slope, rel_tol=1e-9, abs_tol=1e-12)
+    assert max(abs(g) for _, g in got.values()) > 1e-3
+    one = models.gradient(df, models.fit(df, ["species"], ["f1", "f2"], same), ["species"], ["f1", "f2"])
+    for found in (slopes, one):
+        assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def _stored(spark):
     df = spark.createDataFrame(_presences(300, 4), _PRESENCES)
     names = ["f1", "f2", "same"]
