@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -43,18 +44,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(*staged: DataFrame) -> None:
-    """Remove what stage() wrote for these, once everything that is made of them is written itself.
+def sweep(spark: SparkSession) -> None:
+    """Collect the driver's garbage, as Spark removes the files of a shuffle when nothing refers to it any more.
 
-    The driver's garbage is collected then, as Spark removes the files of a shuffle when nothing refers to it any more.
+    Python's comes first: frames are in cycles with their own methods there, and hold Spark's.
     """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def release(*staged: DataFrame) -> None:
+    """Remove what stage() wrote for these, once everything that is made of them is written itself, and shuffles' files."""
     for df in staged:
         spark = df.sparkSession
         for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     if staged:
-        staged[0].sparkSession._jvm.System.gc()
+        sweep(staged[0].sparkSession)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -326,19 +326,24 @@ def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: Dat
 
 
 def _states(found: DataFrame, totals: DataFrame) -> DataFrame:
-    """found (key, context, n, below: the word's probability by the context's suffix) of contexts that are states.
+    """The contexts of found (key, context, n, below: the word's probability by the context's suffix) that are states.
 
-    With the context's total (totals: context, total), and log10 of left (the share of P by the suffix that the state
-    leaves to words that aren't listed) and of seen (the word's probability).
+    context, total (totals: context, total), escape (what the total leaves to words that aren't listed) and left (log10 of
+    the share of P by the suffix that the state leaves to them).
     """
     sums = found.groupBy("context").agg(F.sum("n").alias("__in"), F.sum("below").alias("__below"), F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))).alias("__gain"))
     sums = sums.join(totals, "context").withColumn("total", F.greatest("total", "__in"))
     rest = 1 - F.col("__in") / F.col("total")
     gain = F.col("__gain") - F.col("__in") * F.log("total") + F.when(rest > 1e-12, F.col("total") * rest * F.log(rest / F.greatest(1 - F.col("__below"), F.lit(1e-12)))).otherwise(0.0)
     escape = F.col("total") - F.col("__in") + SMOOTHING
-    states = sums.where(2 * gain > DIVERGENCE).select("context", "total", escape.alias("__escape"), F.log10(escape / (F.col("total") + SMOOTHING)).alias("left"))
-    seen = (F.col("n") + F.col("__escape") * F.col("below")) / (F.col("total") + SMOOTHING)
-    return found.join(states, "context").select("key", "context", "total", "n", "below", seen.alias("seen"), "left")
+    return sums.where(2 * gain > DIVERGENCE).select("context", "total", escape.alias("escape"), F.log10(escape / (F.col("total") + SMOOTHING)).alias("left"))
+
+
+def _after(found: DataFrame, states: DataFrame) -> DataFrame:
+    """Of found's rows whose context is a state: key, n, seen (the word's probability) and v (what it adds to a score)."""
+    seen = (F.col("n") + F.col("escape") * F.col("below")) / (F.col("total") + SMOOTHING)
+    met = found.join(states, "context").withColumn("seen", seen)
+    return met.select("key", "n", "seen", (F.log10(F.col("seen") / F.col("below")) - F.col("left")).alias("v"))
 
 
 def values(training: DataFrame, words: DataFrame, total: int, distinct: int, text: str = "text", least: int = LEAST, context: int = CONTEXT) -> DataFrame:
@@ -358,17 +363,23 @@ def values(training: DataFrame, words: DataFrame, total: int, distinct: int, tex
         new, shared = listed(training, order, open_contexts, below if order in (2, DEPTH + 1) else found, parts, text, least)
         new = common.stage(new.join(below.select(F.col("key").alias("suffix"), "below"), "suffix", "left").drop("suffix"), "listed")
         shared.destroy()
+        common.sweep(training.sparkSession)
         totals = open_contexts.select(F.col("key").alias("context"), F.col("n").alias("total"))
-        table = common.stage(_states(new.where("below is not null"), totals), "states")
+        # One after the other, so that the shuffles of neither are there beside the other's.
+        states = common.stage(_states(new.where("below is not null"), totals), "states")
         if done:
             common.release(found)
+        else:
+            common.sweep(training.sparkSession)
+        table = common.stage(_after(new.where("below is not null"), states), "after")
+        common.sweep(training.sparkSession)
         found, below = new, table.select("key", "n", F.col("seen").alias("below"))
-        done.append(table)
+        done += [states, table]
     common.release(found)
     each = []
-    for table in done:
-        each.append(table.select("key", "n", (F.log10(F.col("seen") / F.col("below")) - F.col("left")).alias("v")))
-        each.append(table.groupBy(F.col("context").alias("key")).agg(F.first("total").alias("n"), F.first("left").alias("v")))
+    for states, table in zip(done[::2], done[1::2]):
+        each.append(table.select("key", "n", "v"))
+        each.append(states.select(F.col("context").alias("key"), F.col("total").alias("n"), F.col("left").alias("v")))
     out = each[0]
     for e in each[1:]:
         out = out.unionByName(e)

@@ -106,6 +106,23 @@ def test_scores_are_those_of_a_plain_tree(spark, monkeypatch, held, combined, le
         assert d == e and math.isclose(a, b, rel_tol=1e-9)
 
 
+def test_states_are_written_once_for_each_context(spark, monkeypatch):
+    """What is on disk beside each other: a row for each state, and what scores take of the words after it."""
+    written, stage = [], lm.common.stage
+
+    def kept(df, name):
+        out = stage(df, name)
+        written.append((name, out.columns, out.count(), out.select(out.columns[0]).distinct().count()))
+        return out
+
+    monkeypatch.setattr(lm.common, "stage", kept)
+    df = spark.createDataFrame(corpus(), "doc_id long, text string").repartition(2)
+    lm.scored(df, df)
+    assert [c for n, c, *_ in written if n == "after"] == [["key", "n", "seen", "v"]] * lm.DEPTH
+    states = [(rows, contexts) for n, _, rows, contexts in written if n == "states"]
+    assert len(states) == lm.DEPTH and all(rows == contexts > 0 for rows, contexts in states)
+
+
 def test_predictions_sum_to_one():
     plain = Plain([t for _, t in corpus()])
     words = [g[0] for g in plain.n if len(g) == 1 and g[0] != "<s>"]
