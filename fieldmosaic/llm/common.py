@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -47,10 +48,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def sweep(spark: SparkSession) -> None:
     """Collect the driver's garbage, as Spark removes the files of a shuffle when nothing refers to it any more.
 
-    Python's comes first: frames are in cycles with their own methods there, and hold Spark's.
+    Python's comes first, as its frames hold Spark's. Spark's listeners hold a query's plan until they have heard of its
+    end: without a moment's wait, the last query's files stay.
     """
     gc.collect()
     spark._jvm.System.gc()
+    time.sleep(0.5)
+    spark._jvm.System.gc()
 
 
 def release(*staged: DataFrame) -> None:

@@ -1,11 +1,13 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("fieldmosaic.llm.lm")
 from fieldmosaic.llm import lm
@@ -123,6 +125,16 @@ def test_states_are_written_once_for_each_context(spark, monkeypatch):
     assert len(states) == lm.DEPTH and all(rows == contexts > 0 for rows, contexts in states)
 
 
+def test_a_swept_shuffle_is_gone(spark):
+    """Files of the shuffle of a query that was just written."""
+    done = lm.common.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    tracked = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    assert tracked.size() > 0
+    lm.common.sweep(spark)
+    time.sleep(2)
+    assert tracked.size() == 0 and done.count() == 7
+
+
 def test_predictions_sum_to_one():
     plain = Plain([t for _, t in corpus()])
     words = [g[0] for g in plain.n if len(g) == 1 and g[0] != "<s>"]
