@@ -108,6 +108,31 @@ def test_scores_are_those_of_a_plain_tree(spark, monkeypatch, held, combined, le
         assert d == e and math.isclose(a, b, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("rounds,counted", [(3, 60), (1, 10**6)])
+def test_only_hot_contexts_are_listed(spark, monkeypatch, rounds, counted):
+    """Sequences of other contexts are counted where their positions are dealt to, in any number of rounds, and not written."""
+    listed, stage = [], lm.common.stage
+
+    def kept(df, name):
+        out = stage(df, name)
+        if name == "listed":
+            listed.append(out.select("context").distinct().count())
+        return out
+
+    monkeypatch.setattr(lm.common, "stage", kept)
+    monkeypatch.setattr(lm, "ROUNDS", rounds)
+    monkeypatch.setattr(lm, "_ROUND", 100)
+    monkeypatch.setattr(lm, "_COUNTED", counted)
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    plain = Plain([t for d, t in rows if d % 3])
+    got = sorted((r.doc_id, r.score) for r in lm.scored(df, df.where("doc_id % 3 > 0"), learns="doc_id % 3 > 0").collect())
+    for (d, a), (e, b) in zip(got, sorted((d, plain.score(t)) for d, t in rows), strict=True):
+        assert d == e and math.isclose(a, b, rel_tol=1e-9)
+    contexts = [len({g[:-1] for g in plain.n if len(g) == k}) for k in (2, 3, 4)]
+    assert all(0 < n < of / 2 for n, of in zip(listed, contexts))
+
+
 def test_states_are_written_once_for_each_context(spark, monkeypatch):
     """What is on disk beside each other: a row for each state, and what scores take of the words after it."""
     written, stage = [], lm.common.stage
