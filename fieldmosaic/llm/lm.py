@@ -723,8 +723,8 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
     base = math.log10(total + 0.1 * (distinct + 1))
     tokens = total * (_size(rows, text) + (0 if learns else _size(training, text))) // max(_size(training, text), 1)
     parts = max(_partitions(rows), -(-tokens // _WINDOWS_PART))
-    # A context is hot with a sixteenth of a part's positions, so that no part has many times another's.
-    tables, after, lefts = hot_tables(training, words, total, distinct, text, least, max(context, total // (16 * parts)))
+    # A context is hot with an eighth of a part's positions, so that no part has many times another's.
+    tables, after, lefts = hot_tables(training, words, total, distinct, text, least, max(context, total // (8 * parts)))
     hot = Hot(tables, total, parts)
     (often_words, rare_words), coded = _most(words, HELD_WORDS), _most(words, HELD)[0]
     # Texts' starts and words that can't be listed are frequent, too.
@@ -767,8 +767,6 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
             word = key != _BEGIN
             at = often_words.find(key)
             n = np.where((at >= 0) & word, count[at], 0) if len(count) else np.zeros(len(key), np.int64)
-            sure = contexts.sums(np.where(word, np.log10(n + 0.1) - base, 0.0), starts)
-            known = contexts.sums((n > 0).astype(float), starts).astype(np.int64)
             rare = word & (n == 0)
             rare[rare] = _may(rare_words, key[rare])
             asks = rare & scores[of]
@@ -783,6 +781,8 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
                 has += (has == k - 1) & (place[at] >= k) & leads[np.maximum(at - k, 0)]
             held.append((np.where(leads | (n >= least), key, _OTHER), at, of[at] + docs, learn[of[at]], has))
             if now.start == 0 and scores.any():  # the first round has the texts' own rows
+                sure = contexts.sums(np.where(word, np.log10(n + 0.1) - base, 0.0), starts)
+                known = contexts.sums((n > 0).astype(float), starts).astype(np.int64)
                 mine = np.flatnonzero(scores)
                 one = batch.take(pa.array(mine))
                 columns = [*[one.column(i) for i in range(len(keep))], pa.array([chunk] * len(mine), pa.int64()), pa.array(mine + docs), *(pa.array(v[mine]) for v in (sizes - 1, known, sure))]
