@@ -6,15 +6,18 @@ import gc
 import tempfile
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes that a Python task works on at once.
 CHUNK_BYTES = 2_000_000
+#: Bytes of the rows that Spark hands to a Python task at once; its own bound is 10,000 rows, however long.
+BATCH_BYTES = 1_800_000
 #: Rows that may be broadcast; tables beyond it are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -83,6 +86,18 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"].alias(name) for name, c in cols.items()])
 
 
+def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """df.mapInArrow(run, schema) by batches of some BATCH_BYTES, or of as many as the session says itself.
+
+    A batch lies in the executor and in the Python task, by vectors that double as they grow, so long rows by the
+    thousand cost each of them a multiple of the texts. The bound stays set in the session, as plans are run later.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts hold about size bytes; a longer text is a slice of its own."""
     for batch in batches:

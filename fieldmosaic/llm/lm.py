@@ -244,6 +244,13 @@ def _batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([d for _, d in rows], pa.binary())], ["part", "data"])
 
 
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    """The arrays as one; the list is emptied, so that they are in memory twice one list at a time."""
+    out = np.concatenate(arrays)
+    arrays.clear()
+    return out
+
+
 def _blocks(context: np.ndarray, suffix: np.ndarray, parts: int, ids: tuple[Ids, Ids]) -> pa.RecordBatch:
     """Sequences, combined by key, as one block for each part: codes of contexts by their differences, of suffixes, counts."""
     key, n, context, suffix = _combined(mixed(context, suffix), np.ones(len(context), np.int64), context, suffix)
@@ -293,7 +300,7 @@ def word_counts(rows: DataFrame, text: str = "text", parts: int | None = None) -
             key, n = _combined(*(np.concatenate(v) for v in zip(*blobs)))
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
-    dealt = _texts(rows, text).mapInArrow(run, "part int, data binary").repartitionById(parts, "part")
+    dealt = common.map_in_arrow(_texts(rows, text), run, "part int, data binary").repartitionById(parts, "part")
     return dealt.mapInArrow(summed, "key long, n long")
 
 
@@ -355,7 +362,7 @@ def listed(rows: DataFrame, order: int, contexts_of: DataFrame, suffixes_of: Dat
             often = n >= least
             yield pa.RecordBatch.from_arrays([pa.array(v[often].view(np.int64)) for v in (key, context, suffix, n)], ["key", "context", "suffix", "n"])
 
-    dealt = _texts(rows, text).mapInArrow(run, "part int, data binary").repartitionById(parts, "part")
+    dealt = common.map_in_arrow(_texts(rows, text), run, "part int, data binary").repartitionById(parts, "part")
     return dealt.mapInArrow(summed, "key long, context long, suffix long, n long"), shared
 
 
@@ -819,7 +826,9 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
             if answer:
                 yield _widened(_packed([(0, answer)], _ASKED, chunk, size), empty_arrow)
         windows, sizes, named, names = [], [], 0, []
-        for chunk, size, data in blocks.pop(_WINDOWS):
+        packed = blocks.pop(_WINDOWS)[::-1]
+        while packed:  # a block goes when it is unpacked
+            chunk, size, data = packed.pop()
             own, *others = _windows_of(data, len(ids.rank), named)
             windows.append(others)
             sizes.append((chunk, size, len(others[0])))
@@ -828,8 +837,9 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
         if not windows:
             return
         names = np.concatenate(names)
-        *codes, level, learn, has, of = (np.concatenate(v) for v in zip(*windows))
-        del windows
+        columns = [list(v) for v in zip(*windows)]
+        windows.clear()
+        *codes, level, learn, has, of = (_joined(v) for v in columns)
         gains, given, left_of, (pair, others) = np.zeros(len(has)), table(_AFTER, 3), table(_LEFT, 2), table(_BELOW, 2)
         for own in _buckets(codes, level, has, ids, names):
             w = [ids.keys(c[own].astype(np.int64), names) for c in codes]
@@ -865,7 +875,7 @@ def scored(rows: DataFrame, training: DataFrame, text: str = "text", keep: tuple
         now = range(parts * r // rounds, parts * (r + 1) // rounds)
         # What the round before left in the shuffle goes first.
         common.sweep(spark)
-        dealt = kept.mapInArrow(functools.partial(run, now=now), schema)
+        dealt = common.map_in_arrow(kept, functools.partial(run, now=now), schema)
         for kind, table in given:
             dealt = dealt.unionAll(_delivered(table.where(F.col("part").between(now.start, now.stop - 1)), kind, schema))
         answers = dealt.withColumn("__part", F.col("__part") - now.start).repartitionById(len(now), "__part").mapInArrow(work, schema)

@@ -210,3 +210,29 @@ def test_sequences():
 def test_better_than_word_counts(spark):
     got = [r for r in lm.op5_suffix_tree(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_texts_come_by_bounded_batches(spark):
+    """Long texts come to a task by some BATCH_BYTES, not by 10,000 rows; scores don't depend on how rows come."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    long = spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("m n o p "), 2500).alias("text"))
+    try:
+        assert {r.n for r in lm.word_counts(long).collect()} == {600, 600 * 2500}
+        sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+        assert max(r.n for r in long.mapInArrow(sizes, "n long").collect()) < 1.1 * lm.common.BATCH_BYTES
+        spark.conf.set(key, "2000")
+        got = sorted((r.doc_id, r.score) for r in lm.scored(df, df.where("doc_id % 3 > 0"), learns="doc_id % 3 > 0").collect())
+        assert spark.conf.get(key) == "2000"  # the session's own bound stays
+    finally:
+        spark.conf.unset(key)
+    plain = Plain([t for d, t in rows if d % 3])
+    for (d, a), (e, b) in zip(got, sorted((d, plain.score(t)) for d, t in rows), strict=True):
+        assert d == e and math.isclose(a, b, rel_tol=1e-9)
+
+
+def test_joined_arrays_are_let_go():
+    parts = [np.arange(3), np.arange(2)]
+    assert lm._joined(parts).tolist() == [0, 1, 2, 0, 1] and not parts
