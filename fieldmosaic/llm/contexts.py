@@ -27,8 +27,8 @@ HELD = 1 << 22
 SPREAD, FILTER, PROBES = 24, 28, 5
 #: What stands before a text.
 PAD = 10
-#: Bytes whose grams a task sorts at once.
-_SORTED = 6_000_000
+#: Different grams, by blocks of text, that a task holds at once.
+_SORTED = 1_500_000
 
 
 def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,30 +51,31 @@ def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 def count(rows: DataFrame, depth: int, prepare: Callable[[str], bytes]) -> DataFrame:
     """kind, code, n: how often each gram of the full depth occurs in the texts (column text) of each kind."""
 
-    def flush(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def flush(held: dict[str, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
         for kind, parts in held.items():
-            code = np.sort(np.concatenate(parts))
+            code, n = (np.concatenate(v) for v in zip(*parts))
+            order = np.argsort(code)
+            code = code[order]
             first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-            n = np.diff(first, append=len(code))
+            n = np.add.reduceat(n[order], first) if len(code) else n
             yield pa.RecordBatch.from_arrays([pa.array([kind] * len(first), pa.string()), pa.array(code[first].astype(np.int64)), pa.array(n, pa.int64())], ["kind", "code", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         size = 0
         for batch in common.chunks(batches, "text"):
             by: dict[str, list[bytes]] = {}
             for kind, text in zip(batch.column("kind").to_pylist(), batch.column("text").to_pylist()):
                 by.setdefault(kind, []).append(prepare(text))
             for kind, texts in by.items():
-                code = grams(texts, depth)[0]
-                held.setdefault(kind, []).append(code)
-                size += len(code)
+                held.setdefault(kind, []).append(np.unique(grams(texts, depth)[0], return_counts=True))
+                size += len(held[kind][-1][0])
             if size > _SORTED:
                 yield from flush(held)
                 held, size = {}, 0
         yield from flush(held)
 
-    found = rows.select("kind", "text").mapInArrow(run, "kind string, code long, n long")
+    found = common.map_in_arrow(rows.select("kind", "text"), run, "kind string, code long, n long")
     return found.groupBy("kind", "code").agg(F.sum("n").alias("n"))
 
 

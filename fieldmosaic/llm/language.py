@@ -21,6 +21,8 @@ from . import common, contexts
 
 DEPTH = 3
 UNKNOWN = "und"
+#: Bytes of text that are scored at once.
+_SCORED = 500_000
 _PLAIN = re.compile("[A-Za-z]")
 
 
@@ -73,29 +75,31 @@ def predict(rows: DataFrame, trees: dict[str, contexts.Tree], text: str = "text"
     """
     spark = rows.sparkSession
     known, shared = sorted(trees), spark.sparkContext.broadcast([trees[k] for k in sorted(trees)])
-    kept = rows.select(*[rows[f"`{c}`"] for c in keep], rows[f"`{text}`"].alias("__text"))
+    # A text that is kept goes to the tasks once.
+    source = text if text in keep else "__text"
+    kept = rows.select(*[rows[f"`{c}`"] for c in keep], *([] if text in keep else [rows[f"`{text}`"].alias("__text")]))
     table = getattr(trees, "table", None)
     if table is not None:
-        return _predict_joined(kept, known, shared, table, keep, names)
+        return _predict_joined(kept, source, known, shared, table, keep, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.chunks(batches, "__text"):
-            texts = [t or "" for t in batch.column("__text").to_pylist()]
+        for batch in common.chunks(batches, source, _SCORED):
+            texts = [t or "" for t in batch.column(source).to_pylist()]
             code, starts = contexts.grams([t.encode() for t in texts], DEPTH)
             bits = np.array([contexts.sums(tree.log(code), starts) for tree in shared.value])
             lang, score = _best(known, bits, np.diff(starts, append=len(code)), np.array([has_letter(t) for t in texts], bool))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [pa.array(lang, pa.string()), pa.array(score)], [*keep, *names])
 
     schema = kept.drop("__text").schema.add(names[0], "string").add(names[1], "double")
-    return kept.mapInArrow(run, schema)
+    return common.map_in_arrow(kept, run, schema)
 
 
-def _predict_joined(kept: DataFrame, known: list[str], shared, table: DataFrame, keep: tuple[str, ...], names: tuple[str, str]) -> DataFrame:
+def _predict_joined(kept: DataFrame, source: str, known: list[str], shared, table: DataFrame, keep: tuple[str, ...], names: tuple[str, str]) -> DataFrame:
     """predict() where the trees in memory aren't whole: sums of what they tell, and the rest by the table."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.chunks(batches, "__text"):
-            texts = [t or "" for t in batch.column("__text").to_pylist()]
+        for batch in common.chunks(batches, source, _SCORED):
+            texts = [t or "" for t in batch.column(source).to_pylist()]
             code, starts = contexts.grams([t.encode() for t in texts], DEPTH)
             lettered = np.array([has_letter(t) for t in texts], bool)
             of = np.repeat(np.arange(len(texts)), np.diff(starts, append=len(code)))
@@ -125,7 +129,7 @@ def _predict_joined(kept: DataFrame, known: list[str], shared, table: DataFrame,
 
     own = kept.drop("__text").schema
     schema = T.StructType([*own.fields, T.StructField("__row", T.LongType()), T.StructField("__bytes", T.LongType()), T.StructField("__lettered", T.BooleanType()), T.StructField("__bits", T.ArrayType(T.DoubleType())), T.StructField("__asked", T.ArrayType(T.StructType().add("kind", "integer").add("code", "long").add("times", "integer")))])
-    part = common.stage(kept.withColumn("__row", F.monotonically_increasing_id()).mapInArrow(told, schema), "told")
+    part = common.stage(common.map_in_arrow(kept.withColumn("__row", F.monotonically_increasing_id()), told, schema), "told")
     asked = part.select(F.col("__row").alias("row"), F.explode("__asked").alias("a")).select("row", "a.*")
     number = F.create_map(*[x for k, name in enumerate(known) for x in (F.lit(name), F.lit(k))])
     numbered = table.withColumn("kind", number[F.col("kind")])

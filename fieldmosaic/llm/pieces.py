@@ -409,7 +409,7 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text", keep:
                 out.append(pa.array(decode(model, ids, at), pa.string()))
             yield pa.RecordBatch.from_arrays(out, [f.name for f in fields])
 
-    return kept.mapInArrow(run, T.StructType(fields))
+    return common.map_in_arrow(kept, run, T.StructType(fields))
 
 
 def op1_pieces(spark, sf_dir: str, model_path: str | None = None) -> DataFrame:

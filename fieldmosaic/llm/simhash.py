@@ -98,7 +98,7 @@ def with_fingerprints(docs: DataFrame, words: int = 3, text: str = "text", doc_i
             fp = fingerprints(batch.column("text").to_pylist(), words)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(fp.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, key long, fp long")
+    return common.map_in_arrow(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, key long, fp long")
 
 
 def _fuzzy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

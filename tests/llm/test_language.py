@@ -2,10 +2,12 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("fieldmosaic.llm.language")
-from fieldmosaic.llm import contexts, language
+from fieldmosaic.llm import common, contexts, language
 
 
 def _slow(train, text, depth=3):
@@ -102,3 +104,29 @@ def test_filter_tells_what_is_unseen(spark, monkeypatch):
     assert trees["xx"].told(code)[1].sum() < 0.02 * len(code)
     trees["xx"].beyond = None
     assert trees["xx"].told(code)[1].sum() > 0.5 * len(code)
+
+
+def test_tasks_get_bounded_batches(spark):
+    """Rows of 20 kB come to a task by some BATCH_BYTES, not by Spark's 10,000 rows, and a kept text comes once."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    rows = spark.range(0, 1000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("der hund "), 2200).alias("text"), F.lit("de").alias("lang"))
+    trees = language.train(rows.limit(2))
+    found = language.predict(rows, trees, keep=("doc_id", "text", "lang"), names=("found", "share"))
+    assert "__text" not in found._jdf.queryExecution().toString()
+    got = rows.mapInArrow(sizes, "n long, size long").collect()  # the bound holds in the session, as plans are run later
+    assert sum(r["n"] for r in got) == 1000 and max(r["size"] for r in got) < 1.1 * common.BATCH_BYTES
+    assert found.where("found = 'de' and length(text) = 19800 and lang = 'de'").count() == 1000
+
+
+@pytest.mark.parametrize("held", [contexts._SORTED, 5])
+def test_counts_by_blocks(spark, monkeypatch, held):
+    """Grams are combined over a task's texts before they are shuffled, and none is lost if they are passed on early."""
+    monkeypatch.setattr(contexts, "_SORTED", held)
+    rows = spark.range(0, 500, 1, 1).select(F.when(F.col("id") % 2 == 0, "xx").otherwise("yy").alias("kind"), F.repeat(F.lit("ab"), 5000).alias("text"))
+    got = {(r.kind, r.code): r.n for r in contexts.count(rows, 1, str.encode).collect()}
+    a, b, start = ord("a"), ord("b"), contexts.PAD
+    assert got == {(k, code): 250 * n for k in ("xx", "yy") for code, n in ((start << 8 | a, 1), (a << 8 | b, 5000), (b << 8 | a, 4999))}
