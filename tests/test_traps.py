@@ -166,6 +166,30 @@ def test_counts_in_boxes_make_no_pairs(spark, monkeypatch):
     assert {r.poly_id: (r.n, r.first_id, r.last_id) for r in got} == want and len(want) > 20
 
 
+def test_boxes_clip_their_records(spark, monkeypatch):
+    """Each box's own records are made, row by row, and what is counted is the clip; batches may end anywhere."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(spatial, "PLACES", 50)
+    rng = np.random.default_rng(9)
+    at = [(int(i), float(x), float(y)) for i, (x, y) in enumerate(rng.integers(-12, 12, (300, 2)) / 8)] + [(None, 0.5, 0.5), (900, None, 0.0), (901, 0.5, 0.5)]
+    points = spark.createDataFrame(at, "obs_id long, longitude double, latitude double")
+    boxes = {k: sorted(rng.integers(-12, 12, 2) / 8) + sorted(rng.integers(-12, 12, 2) / 8) for k in range(25)} | {50: [-3.0, 3.0, -3.0, 3.0]}
+    vertices = spark.createDataFrame([(k, 0, s, float(b[s]), float(b[2 + s])) for k, b in boxes.items() for s in (0, 1)], "poly_id long, ring_id int, seq int, x double, y double")
+    want = sorted((k, -1 if i is None else i) for k, (x0, x1, y0, y1) in boxes.items() for i, x, y in at if x is not None and x0 <= x <= x1 and y0 <= y <= y1)
+    got = sorted((r.poly_id, -1 if r.obs_id is None else r.obs_id) for r in spatial.clip_to_boxes(points, vertices, 0.0, 0.25, same).collect())
+    assert got == want and len(want) > 600
+    assert {r.poly_id: r.n for r in spatial.counts_in_boxes(points, vertices, 0.0, same).collect()} == {k: sum(p == k for p, _ in want) for k in {p for p, _ in want}}
+    row = {c: None for c in ("obs_id", "longitude", "latitude", "poly_id", "x0", "x1", "y0", "y1")} | {"gx": 0, "gy": 0, "g": 0}
+    rows = [row | {"shape": 0, "obs_id": i, "longitude": x, "latitude": y} for i, x, y in ((7, 2.0, 1.0), (None, 1.0, 1.0), (3, 0.0, 5.0))]
+    rows += [row | {"shape": 1, "poly_id": k, "x0": x0, "x1": 2.0, "y0": 0.0, "y1": y1} for k, x0, y1 in ((1, 1.0, 1.0), (2, 0.0, 9.0), (3, 1.5, 0.5))]
+    rows += [row | {"gx": 1, "shape": 1, "poly_id": 4, "x0": 0.0, "x1": 9.0, "y0": 0.0, "y1": 9.0}]
+    kinds = pa.schema([(c, pa.int64() if c in ("obs_id", "poly_id", "gx", "gy", "g", "shape") else pa.float64()) for c in rows[0]])
+    for size in (1, 2, 3, 7):
+        batches = (pa.RecordBatch.from_pylist(rows[k : k + size], schema=kinds) for k in range(0, 7, size))
+        assert [(poly.as_py(), ids.to_pylist()) for ids, poly in spatial.clips(batches) if len(ids)] == [(1, [None, 7]), (2, [3, None, 7])]
+
+
 def test_multipolygon_wkb(spark):
     import struct
 
