@@ -147,6 +147,32 @@ def test_polygons_over_each_other_are_one_cover(spark, monkeypatch):
     assert index.where("x1 is null").count() == index.where("x1 is null").select("level", "gx", "gy").distinct().count() > 10
 
 
+def test_points_of_a_cell_are_decided_together(spark, monkeypatch):
+    """No row is made for a point and an edge that don't meet; cells of many points are dealt, batches may end in a polygon."""
+    monkeypatch.setattr(spatial, "PLACES", 40)
+    rng = np.random.default_rng(11)
+    at = [(i, *map(float, p)) for i, p in enumerate(rng.uniform(-2, 2, (300, 2)))] + [(None, 0.0, 0.0), (800, 0.5, None), (801, 1.0, 0.0), (802, -0.25, 0.75)]
+    shapes = [(k, *rng.uniform(-0.5, 0.5, 2), rng.uniform(0.5, 1.5)) for k in range(6)] + [(9, 0.0, 0.0, 1.0)]
+    corners = [[(x + r * np.cos(t), y + r * np.sin(t)) for t in np.linspace(0, 2 * np.pi, 20)[:-1]] for _, x, y, r in shapes[:-1]] + [[(1.0, 0.0), (0.0, 1.0), (-1.0, 0.0), (0.0, -1.0)]]
+    edges = [(s[0], *map(float, (*a, *b))) for s, c in zip(shapes, corners) for a, b in zip(c, [*c[1:], c[0]])]
+    want = set()
+    for i, x, y in at:
+        for k, *_ in shapes if x is not None and y is not None else []:
+            own = [((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1), x1, y1, x2, y2) for p, x1, y1, x2, y2 in edges if p == k]
+            on = any(a == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2) for a, x1, y1, x2, y2 in own)
+            if on or sum((y1 > y) != (y2 > y) and (a > 0 if y2 > y1 else a < 0) for a, x1, y1, x2, y2 in own) % 2:
+                want.add((i, k))
+    points = spark.createDataFrame(at, "obs_id long, longitude double, latitude double")
+    found = spatial.points_in_polygons(points, spark.createDataFrame(edges, "poly_id long, x1 double, y1 double, x2 double, y2 double"), 1.0, same)
+    assert "Join Inner" not in found._jdf.queryExecution().optimizedPlan().toString()
+    for rows in ("7", "10000"):
+        monkeypatch.setattr(spatial, "ROWS", int(rows))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        got = [tuple(r) for r in found.collect()]
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert set(got) == want and len(got) == len(want) > 300 and {(None, 9), (801, 9), (802, 9)} <= want
+
+
 def test_counts_in_boxes_make_no_pairs(spark, monkeypatch):
     """Every box against every point, in plain loops; many points at one place, null ids, groups of few places."""
     monkeypatch.setattr(spatial, "PLACES", 50)
