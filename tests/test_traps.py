@@ -166,7 +166,6 @@ def test_points_of_a_cell_are_decided_together(spark, monkeypatch):
     found = spatial.points_in_polygons(points, spark.createDataFrame(edges, "poly_id long, x1 double, y1 double, x2 double, y2 double"), 1.0, same)
     assert "Join Inner" not in found._jdf.queryExecution().optimizedPlan().toString()
     for rows in ("7", "10000"):
-        monkeypatch.setattr(spatial, "ROWS", int(rows))
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
         got = [tuple(r) for r in found.collect()]
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
